@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +42,18 @@ def author_year_collab(x: Views) -> DataFrame:
     return _years(x).select("author_id", "year", "n_affils_uk", "n_affils_abroad", "n_collab_uk", "n_collab_abroad", "n_pubs", "cited_by_count", ROUND6("fwci"), size("unique_collab_ids", "n_ids"), size("unique_collab_countries", "n_countries"))
 
 
+def _half_even(x: str) -> str:
+    """Three places; a tie, as near as doubles tell, goes to the even side."""
+    return f"CASE WHEN abs(({x}) * 1000 - floor(({x}) * 1000) - 0.5) < 1e-7 THEN 2 * round(({x}) * 500) / 1000 ELSE round({x}, 3) END"
+
+
 def _sides(sql: str, year: str = "year") -> str:
-    return ", ".join(sql.replace("SIDE", s).replace("ON", f"{year} {op} ref_year") for s, op in (("before", "<"), ("after", ">=")))
+    sql = re.sub(r"HALF_EVEN\((.*?)\)(?= AS)", lambda m: _half_even(m[1]), sql)
+    return ", ".join(sql.replace("SIDE", s).replace("(WHERE ON)", f"(WHERE {year} {op} ref_year)").replace("WHEN ON", f"WHEN {year} {op} ref_year") for s, op in (("before", "<"), ("after", ">=")))
 
 
 @query(with_(*BASE, v.CO, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id), k.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT y.author_id, "
-       + _sides("CAST(coalesce(sum(n_collab_uk + n_collab_abroad) FILTER (WHERE ON), 0) AS BIGINT) AS total_collabs_SIDE, round_even((sum(n_collab_abroad) FILTER (WHERE ON) / nullif(sum(n_collab_uk + n_collab_abroad) FILTER (WHERE ON), 0)) * 1000, 0) / 1000 AS foreign_collab_fraction_SIDE")
+       + _sides("CAST(coalesce(sum(n_collab_uk + n_collab_abroad) FILTER (WHERE ON), 0) AS BIGINT) AS total_collabs_SIDE, HALF_EVEN(sum(n_collab_abroad) FILTER (WHERE ON) / nullif(sum(n_collab_uk + n_collab_abroad) FILTER (WHERE ON), 0)) AS foreign_collab_fraction_SIDE")
        + " FROM years y JOIN refs USING (author_id) GROUP BY y.author_id) t ON r.author_id = t.author_id LEFT JOIN (SELECT y.author_id, "
        + _sides("count(DISTINCT c) FILTER (WHERE ON) AS unique_collabs_SIDE", "y.year") + ", " + _sides(f"coalesce(string_agg(DISTINCT CASE WHEN ON AND country <> '{HOME}' THEN country END, ',' ORDER BY CASE WHEN ON AND country <> '{HOME}' THEN country END), '') AS countries_SIDE", "y.year")
        + " FROM years y JOIN refs USING (author_id) LEFT JOIN co ON co.author_id = y.author_id AND co.year = y.year GROUP BY y.author_id) k ON r.author_id = k.author_id")
@@ -61,20 +69,20 @@ def collab_country_years(x: Views) -> DataFrame:
 
 
 @query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, "
-       + _sides("round_even((sum(n_affils_abroad) FILTER (WHERE ON) / nullif(sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON), 0)) * 1000, 0) / 1000 AS abroad_fraction_SIDE, CASE WHEN sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON) > 0 THEN sum(n_affils_abroad) FILTER (WHERE ON) > 0 END AS abroad_experience_SIDE")
+       + _sides("HALF_EVEN(sum(n_affils_abroad) FILTER (WHERE ON) / nullif(sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON), 0)) AS abroad_fraction_SIDE, CASE WHEN sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON) > 0 THEN sum(n_affils_abroad) FILTER (WHERE ON) > 0 END AS abroad_experience_SIDE")
        + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id")
 def affil_before_after(x: Views) -> DataFrame:
     return career.affiliations(x.refs(), _years(x), HOME).drop("countries_before", "countries_after")
 
 
 @query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, "
-       + _sides("CAST(nullif(sum(n_pubs) FILTER (WHERE ON), 0) AS BIGINT) AS n_pubs_SIDE, CAST(nullif(sum(cited_by_count) FILTER (WHERE ON), 0) AS BIGINT) AS total_citations_pubyear_SIDE, round_even((avg(cited_by_count) FILTER (WHERE ON)) * 1000, 0) / 1000 AS mean_citations_pubyear_SIDE, round_even((sum(cited_by_count) FILTER (WHERE ON) / sum(n_pubs) FILTER (WHERE ON)) * 1000, 0) / 1000 AS citations_pp_pubyear_SIDE")
+       + _sides("CAST(nullif(sum(n_pubs) FILTER (WHERE ON), 0) AS BIGINT) AS n_pubs_SIDE, CAST(nullif(sum(cited_by_count) FILTER (WHERE ON), 0) AS BIGINT) AS total_citations_pubyear_SIDE, HALF_EVEN(avg(cited_by_count) FILTER (WHERE ON)) AS mean_citations_pubyear_SIDE, HALF_EVEN(sum(cited_by_count) FILTER (WHERE ON) / sum(n_pubs) FILTER (WHERE ON)) AS citations_pp_pubyear_SIDE")
        + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id")
 def counts_before_after(x: Views) -> DataFrame:
     return career.publication_counts(x.refs(), _years(x).select("author_id", "year", "n_pubs", F.col("cited_by_count").alias("cited_by")))
 
 
-@query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, " + _sides("round_even((avg(fwci) FILTER (WHERE ON)) * 1000, 0) / 1000 AS mean_fwci_SIDE") + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id")
+@query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, " + _sides("HALF_EVEN(avg(fwci) FILTER (WHERE ON)) AS mean_fwci_SIDE") + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id")
 def fwci_before_after(x: Views) -> DataFrame:
     return career.impact(x.refs(), _years(x))
 
