@@ -106,8 +106,10 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rejected ones; columns pass through."""
-    stats = keep(word_statistics(docs).withColumn("base_failed", base_failed()).select("doc", F.col("doc.lang").alias("lang"), F.col("doc.source").alias("source"), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"))
+    """``docs`` without the rejected ones; columns pass through. The statistics are made twice, for the thresholds and for
+    the verdict, so that no copy of the texts has to be written."""
+    stats = word_statistics(docs).withColumn("base_failed", base_failed())
+    stats = stats.withColumns({"lang": F.col("doc.lang"), "source": F.col("doc.source")})
     return _verdict(stats).where("kept").select("doc.*")
 
 
