@@ -81,7 +81,7 @@ def works(raw: DataFrame) -> DataFrame:
     topics = F.transform("topics", lambda t: F.struct(tail(t["id"]).alias("topic_id"), t["display_name"].alias("topic_name"), *level(t, "subfield"), *level(t, "field"), *level(t, "domain")))
     return raw.select(
         tail(F.col("id")).alias("id"), clean_doi(F.col("doi")).alias("doi"), "title", F.try_to_date("publication_date").alias("publication_date"), "fwci", F.coalesce("cited_by_count", F.lit(0)).alias("cited_by_count"),
-        some(F.flatten(F.transform("authorships", each))).alias("authorships"), some(topics).alias("topics"), some(F.transform("referenced_works", tail)).alias("referenced_works"),
+        some(F.flatten(F.transform("authorships", each))).alias("authorships"), some(topics).alias("topics"), some(F.transform("referenced_works", lambda x: tail(x))).alias("referenced_works"),
         some(F.col("counts_by_year")).alias("counts_by_year"), tail(F.col("ids.pmid")).alias("pmid"), F.col("ids.mag").alias("mag_id"),
     )
 
