@@ -139,7 +139,7 @@ def test_hot_bucket_is_cut_into_tiles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 16)
     fps = sorted({(1 << 20) ^ (1 << a) ^ (1 << b) for a in range(30, 60) for b in range(a)})
     edges = simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long"))
-    assert {r.root for r in common.components(edges).collect()} == {min(fps)} and edges.count() < 20 * len(fps)
+    assert {r.root for r in common.components(edges).collect()} == {min(fps)} and edges.count() < len(fps) ** 2 / 20
 
 
 def test_quality(docs, crowded, empty):
@@ -225,7 +225,7 @@ def test_secrets(docs, empty):
     base = f"assign:0:{len('password = ') + 11},access:{(at := len('password = ') + 13 + len('token:short '))}:{at + 20},hex:{at + 21}:{at + 53}"
     assert r.spans == base and r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
     r = by[next(i for t, i in text.items() if "token=token" in t)]
-    assert r.n_assign == 2 and r.spans.startswith("assign:21:34")  # a failing match is dropped as a whole
+    assert r.n_assign == 1 and r.spans == "assign:21:34"  # a failing match is dropped as a whole
     assert secrets.scan_secrets(empty).count() == 0
 
 
