@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import decay
@@ -49,9 +49,35 @@ def group_distances(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return raw.crossJoin(F.broadcast(largest)).select("a", "b", F.coalesce(F.try_divide("d", "m"), F.lit(0.0)).alias("distance"))  # one row
 
 
+def author_year_publications(rows: DataFrame) -> DataFrame:
+    """(author_id, year, n_pubs, total_publications) of rows (author_id, id, year): distinct papers, and the author's total."""
+    each = rows.select("author_id", "id", "year").distinct().groupBy("author_id", "year").agg(F.count(F.lit(1)).alias("n_pubs"))
+    return each.withColumn("total_publications", F.sum("n_pubs").over(Window.partitionBy("author_id")))
+
+
+def taxonomy_subfields(taxonomy: DataFrame) -> DataFrame:
+    """(subfield_id, label) of the taxonomy's entries (label, id_path, level) of level 2."""
+    return taxonomy.where("level = 2").select(F.element_at(F.split("id_path", " > "), -1).alias("subfield_id"), "label")
+
+
+def half_even(c: Column, places: int) -> Column:
+    """Ties go to the even side; what a sum's order leaves behind the ninth place does not break one."""
+    return F.bround(F.round(c, 9), places)
+
+
+def yearly_series(series: DataFrame, places: int, *columns: str) -> DataFrame:
+    """(author_id, year, ...) with the yearly values as they are reported."""
+    return series.select("author_id", "year", *[half_even(F.col(c), places).alias(c) for c in columns])
+
+
+def collected_series(series: DataFrame, *columns: str) -> DataFrame:
+    """Per author the sorted array of its yearly values."""
+    return series.groupBy("author_id").agg(F.array_sort(F.collect_list(F.struct("year", *columns))).alias("series"))
+
+
 def before_after(refs: DataFrame, series: DataFrame, *columns: str) -> DataFrame:
     """Mean of yearly values before and after; several reference years of an author count as the earliest."""
     ref = refs.groupBy("author_id").agg(F.min("ref_year").alias("ref_year"))
     side = {"before": F.col("year") < F.col("ref_year"), "after": F.col("year") >= F.col("ref_year")}
-    aggs = [F.bround(F.avg(F.when(on, F.col(c))), 3).alias(f"{c}_{s}") for c in columns for s, on in side.items()]
+    aggs = [half_even(F.avg(F.when(on, F.col(c))), 3).alias(f"{c}_{s}") for c in columns for s, on in side.items()]
     return ref.join(ref.join(series, "author_id").groupBy("author_id").agg(*aggs), "author_id", "left")

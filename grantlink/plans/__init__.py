@@ -1 +1,3 @@
-"""See the modules."""
+"""Registered queries: ``queries`` and ``linkage`` fill one registry."""
+
+from . import linkage, queries  # noqa: F401

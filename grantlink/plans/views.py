@@ -3,6 +3,9 @@ with grants, brands subfields. Each has the same definition in SQL."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,16 @@ class Views:
     def read(self, name: str, *columns: str) -> DataFrame:
         return table(self.spark, self.folder, name, *columns)
 
+    def shared(self) -> str:
+        """The folder that all executors share; a temporary one only where none is set."""
+        return self.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df`` written into the shared folder and read again: several jobs use it, and it is made once."""
+        path = f"{self.shared()}/kept-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def authorships(self) -> DataFrame:
         """(id, author_id, country)."""
         lines = self.read("lineitem", "l_orderkey", "l_suppkey").distinct()

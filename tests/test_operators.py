@@ -198,3 +198,34 @@ def test_streamed_landing(spark, tmp_path):
     landing.land_stream(spark, str(tmp_path / "in"), "id string, v string", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert sorted(values(spark.read.parquet(str(tmp_path / "out")), "id")) == [("1",), ("2",)]
     assert values(landing.new_records(df, df.where("id = '1'")), "id") == [("2",)]
+
+
+def test_saved_versions_are_evaluated(spark, tmp_path):
+    rows = [(str(i), str(i), int(i % 4 == 0), float(i % 4 == 0) + (i % 7) / 20) for i in range(400)]
+    matrix = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int, x double")
+    tables.save_model(model.train(model.stratified_split(matrix)[0]), str(tmp_path), "v1")
+    got = model.evaluate_versions(spark, str(tmp_path), ["v1"], matrix).collect()
+    assert [r.version for r in got] == ["v1"] and got[0].f1 == got[0].roc_auc == got[0].average_precision == 1
+    assert got[0].tp + got[0].tn == model.stratified_split(matrix)[1].count()
+
+
+def test_ranking_measures(spark):
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.8), (1, 0.3), (0, 0.1)], "is_match int, match_probability double")
+    r = coverage.ranking_measures(scored).first()
+    # of the six pairs of a match and another row four are in order and one is a tie
+    assert r.roc_auc == pytest.approx(4.5 / 6) and r.average_precision == pytest.approx((1 + 2 / 3 + 3 / 4) / 3)
+    none = coverage.ranking_measures(scored.where("is_match = 1")).first()
+    assert none.roc_auc is None and coverage.ranking_measures(scored.limit(0)).first().average_precision is None
+
+
+def test_series_and_taxonomy(spark):
+    years = spark.createDataFrame([(1, 2001, 0.125), (1, 2000, 0.335), (2, 2000, None)], "author_id int, year int, d double")
+    series = diversity.yearly_series(years, 2, "d")
+    assert {(r.author_id, tuple(map(tuple, r.series))) for r in diversity.collected_series(series, "d").collect()} == {(1, ((2000, 0.34), (2001, 0.12))), (2, ((2000, None),))}
+    entries = spark.createDataFrame([("a", "1", 0), ("a > b", "1 > 11", 1), ("a > b > c", "1 > 11 > 1110", 2)], "label string, id_path string, level int")
+    assert diversity.taxonomy_subfields(entries).collect() == [("1110", "a > b > c")]
+
+
+def test_odd_transpositions():
+    """Three letters out of place are one transposition."""
+    assert jaro_winkler("abcxyz", "bcaxyz") == pytest.approx((1 + 1 + 5 / 6) / 3)
