@@ -10,16 +10,18 @@ def disruption(focal: DataFrame, citing: DataFrame) -> DataFrame:
     """For each focal work (id, referenced_works): n_f citing works share no reference with it, n_b do;
     disruption_index = (n_f - n_b) / (n_f + n_b), null with status calculation_failed if it is never cited.
 
-    A citing work counts once per id. Its references are exploded and met by the focal id: linear in citations; a
-    highly cited focal work makes a skewed join, which AQE splits.
+    Works count once per id. References are exploded to pairs of ids, and only pairs that end in a focal work are given
+    the lists: a list travels once for each such pair, not for each reference. A highly cited focal work makes a skewed
+    join, which AQE splits.
     """
     clean = lambda c: F.filter(F.coalesce(F.col(c), F.array().cast("array<bigint>")), lambda x: x.isNotNull())
-    f = focal.select(F.col("id").cast("bigint").alias("focal_id"), clean("referenced_works").alias("own"))
+    f = focal.select(F.col("id").cast("bigint").alias("focal_id"), clean("referenced_works").alias("own")).dropDuplicates(["focal_id"])
     c = citing.select(F.col("id").cast("bigint").alias("id"), clean("referenced_works").alias("refs")).dropDuplicates(["id"])
-    pairs = c.select("refs", F.explode(F.array_distinct("refs")).alias("focal_id")).join(f, "focal_id")
+    edges = c.select("id", F.explode(F.array_distinct("refs")).alias("focal_id"))
+    pairs = edges.join(f, "focal_id").join(c, "id")  # pairs of ids meet the focal works first
     shared = F.arrays_overlap("refs", "own")
     counted = pairs.groupBy("focal_id").agg(F.count_if(~shared).alias("n_f"), F.count_if(shared).alias("n_b"))
-    out = f.select("focal_id").distinct().join(counted, "focal_id", "left").select("focal_id", F.coalesce("n_f", F.lit(0)).alias("n_f"), F.coalesce("n_b", F.lit(0)).alias("n_b"))
+    out = f.select("focal_id").join(counted, "focal_id", "left").select("focal_id", F.coalesce("n_f", F.lit(0)).alias("n_f"), F.coalesce("n_b", F.lit(0)).alias("n_b"))
     index = F.try_divide(F.col("n_f") - F.col("n_b"), F.col("n_f") + F.col("n_b"))
     return out.withColumn("disruption_index", index).withColumn("status", F.when(index.isNull(), "calculation_failed").otherwise("valid"))
 
