@@ -66,11 +66,12 @@ def _absolute(target: Column) -> Column:
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, alias_id (of its component, null without aliases).
+    """One row per page: page_id, host, path, rule, verdict, alias_id (the smallest page_id among its aliases and itself).
 
     ``redirects``: further edges (url, target) as a crawler logs them. Without a rule of its own a page is allowed if an
     alias has an allow rule, else blocked if an alias has a block rule, else allowed. A null url, or one without ://, has
-    an empty host and path, no rule and no aliases, and is allowed. Null html has no links. Repeated rows stay.
+    an empty host and path, no rule, no aliases and a null alias_id, and is allowed. Null html has no links. Repeated
+    rows stay. A null page_id names no component that has another id.
     """
     url = F.col("url")
     known = url.contains("://")
@@ -82,11 +83,11 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, red
         edges = edges.union(redirects.where("url is not null and target is not null").select(node_of(F.col("url")), node_of(F.col("target"))))
     judged = keep(judged_by_rules(rows.select("row", "page_id", "host", "path", "node"), list(rules)))
     roots = components(edges.distinct())
-    linked = judged.join(roots, "node", "left").withColumn("alias_id", F.coalesce("root", "node")).drop("root")
-    # a component's decision comes from its ruled pages and is counted per component, with a map-side part
-    decided = linked.where("rule_verdict is not null and node is not null").groupBy("alias_id").agg(F.bool_or(F.col("rule_verdict") == "allow").alias("allowed"))
-    decided = decided.select("alias_id", F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict"))
-    out = linked.join(decided, "alias_id", "left")
+    linked = judged.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a component's decision comes from its ruled pages (bool_or skips nulls) and is counted with a map-side part
+    decided = linked.where("node is not null").groupBy("root").agg(F.bool_or(F.col("rule_verdict") == "allow").alias("allowed"), F.min("page_id").alias("alias_id"))
+    decided = decided.select("root", "alias_id", F.when(F.col("allowed"), "allow").when(~F.col("allowed"), "block").alias("alias_verdict"))
+    out = linked.join(decided, "root", "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "alias_verdict", F.lit("allow")).alias("verdict"), "alias_id")
 
 
@@ -94,5 +95,57 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def _sql_node(url: str, host: str, path: str) -> str:
+    """The text that node_of() hashes."""
+    query = f"regexp_replace(regexp_extract({url}, '(?s)^[^?#]*\\?([^#]*)', 1), '(^|&)(utm_\\w+|ref|fbclid|gclid)=[^&]*', '', 'g')"
+    return f"{host} || chr(10) || regexp_replace({path}, '/$', '') || chr(10) || regexp_replace({query}, '^&', '')"
+
+
+def _sql_host(url: str) -> str:
+    return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
+
+
+def _sql_path(url: str) -> str:
+    return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+#: Reachable nodes by a recursive query; tags are taken first, as the engine's patterns cannot look ahead.
+_SQL = f"""
+WITH RECURSIVE rules(rule_verdict, h, p) AS (VALUES {", ".join(map(repr, RULES))}),
+given AS (
+  SELECT row_number() OVER () AS r, page_id, url, html, coalesce(contains(url, '://'), false) AS known,
+         coalesce({_sql_host("url")}, '') AS host, coalesce({_sql_path("url")}, '') AS path
+  FROM pages
+), nodes AS (
+  SELECT *, CASE WHEN known THEN {_sql_node("url", "host", "path")} END AS node FROM given
+), tags AS (
+  SELECT r, url, host, path, node, unnest([
+    list_filter(list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*'), lambda t: regexp_matches(t, '(?is)\\brel\\s*=\\s*["'']?canonical\\b')),
+      lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> '')[1],
+    list_filter(list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*'), lambda t: regexp_matches(t, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')),
+      lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> '')[1]]) AS link
+  FROM nodes WHERE known
+), targets AS (
+  SELECT node, replace(link, '&amp;', '&') AS t, regexp_extract(url, '(?s)^(.*?://)', 1) || host AS root, path FROM tags WHERE link IS NOT NULL
+), absolute AS (
+  SELECT node, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN root || t ELSE root || regexp_replace(path, '[^/]*$', '') || t END AS u FROM targets
+), edges AS (
+  SELECT DISTINCT node AS a, {_sql_node("u", _sql_host("u"), _sql_path("u"))} AS b FROM absolute
+), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(node, other) AS (
+  SELECT DISTINCT node, node FROM nodes WHERE node IS NOT NULL
+  UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a
+), best AS (
+  SELECT r, max_by(h || p, length(h || p)) AS rule, max_by(rule_verdict, length(h || p)) AS rule_verdict
+  FROM nodes JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r
+), judged AS (SELECT nodes.*, rule, rule_verdict FROM nodes LEFT JOIN best USING (r)),
+decided AS (
+  SELECT reach.node, min(page_id) AS alias_id, bool_or(rule_verdict = 'allow') AS allowed
+  FROM reach JOIN judged ON judged.node = reach.other GROUP BY reach.node
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN allowed THEN 'allow' WHEN NOT allowed THEN 'block' END, 'allow') AS verdict, alias_id
+FROM judged LEFT JOIN decided USING (node)
+"""
+
 QUERIES = {"op3_url_filters": op3_url_filters}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op3_url_filters": _SQL}
