@@ -236,5 +236,37 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: The report by a join of word windows: a row per word with the 13 words from it on. Shorter items match as its start.
+_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM benchmark
+), words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d WHERE len(w) > 0
+), grams AS (
+  SELECT r, p, word, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS gram FROM words
+), starts AS (
+  SELECT item, w, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS q FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, array_to_string(w[q : q + {WINDOW - 1}], ' ') AS gram, w[q] AS word, least(len(w), {WINDOW}) AS k FROM starts
+), hits AS (
+  SELECT r, p, k, item FROM grams JOIN windows USING (gram) WHERE k = {WINDOW}
+  UNION ALL SELECT r, p, k, item FROM grams JOIN windows USING (word) WHERE k < {WINDOW} AND starts_with(grams.gram || ' ', windows.gram || ' ')
+), hit_words AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + k)) AS place FROM hits) GROUP BY r
+), hit_items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
+), found AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256
+  FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+)
+SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM found
+"""
+
 QUERIES = {"op5_benchmark_decontamination": op5_benchmark_decontamination}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op5_benchmark_decontamination": _SQL}

@@ -90,5 +90,46 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def _sql_kind(kind: str, pattern: str, value: str = "v", fits: str = "true") -> str:
+    """Spans of a kind: matches and the gaps before them alternate, so their lengths add up to places."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+SELECT r, '{kind}' AS kind, {KINDS.index(kind)} AS kind_order, upto - length(v) AS start, upto AS stop, {value.replace("PATTERN", quoted)} AS value FROM (
+  SELECT r, v, sum(length(gap) + length(v)) OVER (PARTITION BY r ORDER BY n) AS upto FROM (
+    SELECT r, unnest(m) AS v, unnest(gaps[1 : len(m)]) AS gap, generate_subscripts(m, 1) AS n FROM (
+      SELECT r, regexp_extract_all(text, {quoted}) AS m, string_split_regex(text, {quoted}) AS gaps FROM d WHERE regexp_matches(text, {quoted}))))
+WHERE {fits.replace("PATTERN", quoted)}"""
+
+
+_ASSIGN_WORDS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_SQL_SPANS = " UNION ALL ".join((
+    _sql_kind("assign", ASSIGN.pattern.replace("password|passwd|secret|token|api_?key", _ASSIGN_WORDS), "regexp_extract(v, PATTERN, 2)", "length(regexp_extract(v, PATTERN, 2)) >= 6"),
+    _sql_kind("access", ACCESS.pattern, fits="length(v) >= 20"),
+    _sql_kind("hex", HEX.pattern),
+    _sql_kind("vendor", VENDOR.pattern),
+    _sql_kind("key", KEY.pattern),
+))
+_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repository FROM documents
+), found AS ({_SQL_SPANS}
+), owned AS (
+  SELECT found.*, owner, repository, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span,
+         len(list_distinct(string_split(value, ''))) >= least(8, length(value)) AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
+  FROM found JOIN d USING (r)
+), spread AS (
+  SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repository)) AS repositories FROM owned GROUP BY value
+), by_row AS (
+  SELECT r, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, kind_order) FILTER (kind_order < 3) AS base, string_agg(span, ',' ORDER BY start, kind_order) AS spans,
+         count_if(owners >= {SHARED_OWNERS}) AS n_shared, count_if(owners < {SHARED_OWNERS} AND live) AS n_live, max(owners) AS most_owners, max(repositories) AS most_repositories
+  FROM owned JOIN spread USING (value) GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_shared, 0) AS BIGINT) AS n_shared, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live,
+       coalesce(most_owners, 0) AS most_owners, coalesce(most_repositories, 0) AS most_repositories
+FROM d LEFT JOIN by_row USING (r)
+"""
+
 QUERIES = {"op10_secret_scan": op10_secret_scan}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op10_secret_scan": _SQL}
