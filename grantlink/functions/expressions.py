@@ -26,7 +26,8 @@ def compact_id(x: Column) -> Column:
 
 
 def epoch_date(ms: Column) -> Column:
-    return F.to_date(F.timestamp_millis(ms.cast("bigint")))
+    """The day in UTC, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(ms.cast("bigint") / 86_400_000).cast("int"))
 
 
 def link_tails(links: Column, rel: str) -> Column:

@@ -1,3 +1,3 @@
-"""Registered queries: ``queries`` and ``linkage`` fill one registry."""
+"""Registered queries: ``queries``, ``linkage`` and ``records`` fill one registry."""
 
-from . import linkage, queries  # noqa: F401
+from . import linkage, queries, records  # noqa: F401
