@@ -71,10 +71,11 @@ def impact_quintiles(works: DataFrame) -> DataFrame:
 
 def sample_author_works(works: DataFrame, per_author: int = 50, seed: int = 42) -> DataFrame:
     """Weighted sample without replacement of (author_id, id, year, quintile): max(1, per_author / years) per author-year,
-    then per_author in all, weighted by quintile. Keys are u ** (1 / w) with u from a hash, so a sample does not depend on
-    partitions."""
+    then per_author in all, weighted by quintile. Keys are u ** (1 / w) with u from the first 52 bits of an MD5, so a
+    sample does not depend on partitions, and other engines can draw the same."""
     rows = works.select("author_id", "id", "year", "quintile").dropDuplicates(["author_id", "id"])
-    u = (F.pmod(F.xxhash64(F.lit(seed), "author_id", "id"), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), "author_id", "id").cast("binary")), 1, 13)
+    u = (F.conv(digits, 16, 10).cast("bigint") + 1) / float((1 << 52) + 1)
     rows = rows.withColumn("key", F.pow(u, 1 / F.col("quintile")))
     years = rows.groupBy("author_id").agg(F.count_distinct("year").alias("years"))
     w = Window.partitionBy("author_id", "year").orderBy(F.desc("key"), "id")

@@ -172,7 +172,15 @@ def fwci_quintile(x: Views) -> DataFrame:
     return citation.impact_quintiles(x.read("orders", "o_orderkey", "o_totalprice").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("fwci"))).select("id", "quintile")
 
 
-@query()
+@query(
+    with_(v.AUTHORSHIPS, v.WORKS, "e AS (SELECT quantile_cont(fwci, 0.0) AS e0, quantile_cont(fwci, 0.2) AS e1, quantile_cont(fwci, 0.4) AS e2, quantile_cont(fwci, 0.6) AS e3, quantile_cont(fwci, 0.8) AS e4 FROM works)")
+    + """, q AS (SELECT id, year, greatest(1, CAST(e0 < fwci AS INTEGER) + CAST(e1 < fwci AS INTEGER) + CAST(e2 < fwci AS INTEGER) + CAST(e3 < fwci AS INTEGER) + CAST(e4 < fwci AS INTEGER)) AS quintile FROM works, e),
+    k AS (SELECT author_id, id, year, quintile, pow((CAST('0x' || substr(md5('42:' || author_id || ':' || id), 1, 13) AS BIGINT) + 1) / 4503599627370497.0::DOUBLE, 1.0 / quintile) AS key FROM auth JOIN q USING (id) WHERE author_id % 2 = 0),
+    n AS (SELECT author_id, count(DISTINCT year) AS years FROM k GROUP BY author_id),
+    r AS (SELECT k.*, years, row_number() OVER (PARTITION BY author_id, year ORDER BY key DESC, id) AS place FROM k JOIN n USING (author_id)),
+    s AS (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY key DESC, id) AS among FROM r WHERE place <= greatest(1, 50 // years))
+    SELECT author_id, id, year, quintile FROM s WHERE among <= 50"""
+)
 def stratified_sample(x: Views) -> DataFrame:
     works = citation.impact_quintiles(x.works().drop("authorships")).select("id", "year", "quintile")
     return citation.sample_author_works(x.authorships().join(x.matched(), "author_id").join(works, "id"))
