@@ -2,7 +2,8 @@
 
 Word statistics of each text, then mergeable quantile sketches (KLL) of four ratios per language and source. A group's
 sketches are merged upwards: to the language and to the whole corpus, whose quantiles stand in for groups with few
-documents. Outer fences of the quartiles replace fixed cutoffs, and a join applies them.
+documents. Outer fences of the quartiles replace fixed cutoffs, and a join applies them. Where the quartiles coincide, as
+they do where most texts have none of a thing, the upper tail gives the spread.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, keep, table
 
-#: Ratio: the least spread that counts, and whether low values are odd, too. A spread below it is taken as this much.
-RATIOS = {"word_length": (0.5, True), "symbol_ratio": (0.25, False), "dup_line_ratio": (0.1, False), "repeat_ratio": (0.1, False)}
+#: Ratio: the quantile that ends its usual upper tail, and whether low values are odd, too. Sound texts repeat lines and
+#: words now and then, so those tails are longer.
+RATIOS = {"word_length": (0.9, True), "symbol_ratio": (0.9, False), "dup_line_ratio": (0.98, False), "repeat_ratio": (0.98, False)}
 FENCE = 3.0
+#: A spread of no more than this is a tie.
+TIE = 0.01
 #: Documents that a group needs for thresholds of its own.
 GROUP_ROWS = 30
 SKETCH_K = 1024
@@ -66,20 +70,31 @@ def thresholds(stats: DataFrame) -> DataFrame:
     sketches = keep(sketches)
     merged = [F.kll_merge_agg_double(r).alias(r) for r in RATIOS]
 
-    def fences(df: DataFrame, level: str, *keys: str) -> DataFrame:
+    def level(df: DataFrame, name: str, *keys: str, always: bool = False) -> DataFrame:
+        """Quartiles and spreads. A tail counts if as many documents lie beyond it as beyond a quartile of GROUP_ROWS."""
         out = []
-        for r, (least, both) in RATIOS.items():
-            q1, q3 = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75))
-            spread = FENCE * F.greatest(q3 - q1, F.lit(least))
-            out += [(q1 - spread if both else F.lit(None).cast("double")).alias(f"low_{r}"), (q3 + spread).alias(f"high_{r}")]
-        return df.select(*keys, "n", F.struct(*out).alias(level))
-
-    by_lang = fences(sketches.groupBy("lang").agg(F.sum("n").alias("n"), *merged), "of_lang", "lang")
-    overall = fences(sketches.agg(F.sum("n").alias("n"), *merged).where("n > 0"), "of_all")
-    own = fences(sketches, "own", "lang", "source").alias("s")
+        for r, (end, _) in RATIOS.items():
+            q1, q3, top = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75, end))
+            tail = top - q3 if always else F.when(F.col("n") * (1 - end) >= GROUP_ROWS / 4, top - q3)
+            out += [q1.alias(f"q1_{r}"), q3.alias(f"q3_{r}"), (q3 - q1).alias(f"iqr_{r}"), tail.alias(f"tail_{r}")]
+        return df.select(*keys, "n", F.struct(*out).alias(name))
+
+    by_lang = level(sketches.groupBy("lang").agg(F.sum("n").alias("n"), *merged), "of_lang", "lang")
+    overall = level(sketches.agg(F.sum("n").alias("n"), *merged).where("n > 0"), "of_all", always=True)
+    own = level(sketches, "own", "lang", "source").alias("s")
     joined = own.join(by_lang.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang")), "left").join(overall.alias("a"), F.lit(True), "left")  # the last is one row
     pick = F.when(F.col("s.n") >= GROUP_ROWS, F.col("own")).when(F.col("l.n") >= GROUP_ROWS, F.col("of_lang")).otherwise(F.col("of_all"))
-    return keep(joined.select(F.col("s.lang").alias("lang"), F.col("s.source").alias("source"), pick.alias("f")).select("lang", "source", "f.*"))
+    joined = joined.select(F.col("s.lang").alias("lang"), F.col("s.source").alias("source"), pick.alias("f"), "own", "of_lang", "of_all")
+    out = []
+    for r, (_, both) in RATIOS.items():
+        tail = F.coalesce(*[F.col(f"{x}.tail_{r}") for x in ("own", "of_lang", "of_all")])
+        spread = F.greatest(F.col(f"f.iqr_{r}"), tail)
+        if both:  # nothing has a natural 0 here: a group without spread is one of copies, and the others' spread counts
+            for x in ("of_lang", "of_all"):
+                spread = F.when(spread > TIE, spread).otherwise(F.greatest(F.col(f"{x}.iqr_{r}"), F.col(f"{x}.tail_{r}")))
+        spread = FENCE * F.greatest(spread, F.lit(TIE))
+        out += [(F.col(f"f.q1_{r}") - spread if both else F.lit(None).cast("double")).alias(f"low_{r}"), (F.col(f"f.q3_{r}") + spread).alias(f"high_{r}")]
+    return keep(joined.select("lang", "source", *out))
 
 
 def _verdict(stats: DataFrame) -> DataFrame:

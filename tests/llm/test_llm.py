@@ -160,6 +160,23 @@ def test_quality(docs, crowded, empty):
     assert quality.judge_quality(empty).count() == 0 == quality.drop_low_quality(empty).count()
 
 
+def test_quality_fences_follow_the_spread(spark):
+    r = random.Random(3)
+    text = lambda k: " ".join(r.choice(VOCABULARY[13:]) + ("|" if i < k else "") for i in range(100))
+    narrow = [(i, text(0), "en", "narrow") for i in range(200)]
+    wide = [(1000 + i, text(i % 40), "en", "wide") for i in range(200)]
+    menus = [(2000 + i, text(45), "en", "narrow") for i in range(5)]
+    copies = [(3000, text(0), "en", "copies")] * 200 + [(3001 + i, text(0), "en", "copies") for i in range(5)]
+    rows = narrow + wide + menus + copies
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {x.doc_id for x in quality.judge_quality(docs).collect() if x.kept}
+    assert not kept & {x[0] for x in menus} and {x[0] for x in wide} <= kept
+    assert len(kept & {x[0] for x in narrow}) >= 198 and {x[0] for x in copies} <= kept
+    stats = quality.word_statistics(docs).withColumn("base_failed", quality.base_failed()).select("*", "doc.lang", "doc.source")
+    high = {x.source: x.high_symbol_ratio for x in quality.thresholds(stats).collect()}
+    assert high["narrow"] < 0.1 < 0.6 < high["wide"]
+
+
 def brute_hits(text, items):
     split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or "")) if w]
     w, hit, found = split(text), set(), set()
