@@ -2,7 +2,9 @@
 
 import json
 import math
+import random
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -192,6 +194,30 @@ def test_model(spark):
     assert abs(counts[1] - counts[0]) <= 30 and all(math.isfinite(r.a) for r in up.collect())
 
 
+def test_oversampling_finds_the_nearest_of_many(spark):
+    r = random.Random(5)
+    points = [(0.5 if i % 3 else r.random(), r.random(), r.random() / 4) for i in range(2200)] + [(9.0, 9.0, 9.0)] + [(0.25, 0.25, 0.25)] * 20
+    rows = [(str(i), str(i), 1, *x) for i, x in enumerate(points)] + [(f"n{i}", "", 0, 0.0, 0.0, 0.0) for i in range(len(points) + 10)]
+    m = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int, a double, b double, c double")
+    p = np.array(points)
+    d = ((p[:, None] - p[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    tables_ = m.where("is_match = 1").withColumn("id", F.col("gtr_id").cast("long"))
+    for k in (1, 9):
+        got = {x.id: x.near for x in model.nearest(tables_, ["a", "b", "c"], k, len(points)).collect()}
+        assert len(got) == len(points)
+        for i, near in got.items():
+            assert [sum((p[i] - np.array(y.v2)) ** 2) for y in near] == pytest.approx(np.sort(d[i])[:k].tolist(), abs=1e-12)
+    made = [x for x in model.smote(m, k=1).collect() if x.gtr_id.startswith("smote-")]
+    assert len(made) == len(points)  # the one far from all others has its row, too
+    to = p[d.argmin(1)] - p
+    length = np.maximum((to**2).sum(1), 1e-300)
+    for x in made:  # on the line from a positive to its nearest one
+        y = np.array([x.a, x.b, x.c])
+        u = np.clip(((y - p) * to).sum(1) / length, 0, 1)
+        assert (((y - p - u[:, None] * to) ** 2).sum(1)).min() < 1e-18
+
+
 def test_streamed_landing(spark, tmp_path):
     df = spark.createDataFrame([("1", "a"), ("2", "b"), ("1", "c")], "id string, v string")
     df.write.parquet(str(tmp_path / "in"))
