@@ -48,8 +48,8 @@ def judged_by_rules(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataF
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     each = urls.select("row", "path", F.explode(suffixes).alias("rule_host")).join(listed, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
     name = F.concat("rule_host", "rule_path")
-    best = each.groupBy("row").agg(F.max(F.struct(F.length(name).alias("n"), name.alias("rule"), "rule_verdict")).alias("b"))
-    return urls.join(best.select("row", "b.rule", "b.rule_verdict"), "row", "left")
+    best = each.groupBy("row").agg(F.max(F.struct(F.length(name).alias("n"), "rule_verdict", "rule_host", "rule_path")).alias("b"))  # ties as in _inline
+    return urls.join(best.select("row", F.concat("b.rule_host", "b.rule_path").alias("rule"), "b.rule_verdict"), "row", "left")
 
 
 def node_of(url: Column) -> Column:

@@ -370,6 +370,17 @@ def test_urls(spark):
     assert urls.filter_urls(pages).count() == len(rows) and urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_rules_of_one_length_decide_alike(spark):
+    rules = [("allow", "example.com", "/ab"), ("block", "a.example.com", "/"), ("block", "b.net", "/xyz"), ("allow", "c.b.net", "/x")]
+    pages = spark.createDataFrame([(1, "http://a.example.com/abc", ""), (2, "http://c.b.net/xyz", "")], "page_id long, url string, html string")
+    got = []
+    for limit in (200, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(urls, "INLINE_RULES", limit)
+            got.append({r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(pages, rules).collect()})
+    assert got[0] == got[1] == {1: ("a.example.com/", "block"), 2: ("b.net/xyz", "block")}
+
+
 def test_language(spark):
     say = {"en": "the house and the garden with that thing", "fr": "la maison et le jardin avec cette chose", "de": "das haus und der garten mit dieser sache"}
     documents = spark.createDataFrame([(k, v + f" {i}") for k, v in say.items() for i in range(20)], "lang string, text string")
