@@ -1,292 +1,369 @@
-"""LM scoring with a weighted backoff automaton.
+"""LM scoring with a weighted backoff automaton over every word, bigram and trigram of the training part.
 
-n-grams up to three words are counted over the whole training part of the corpus. An n-gram with a share of TAU or more
-of all training tokens is kept, so each order has at most 1/TAU of them, whatever the corpus: that bounds what is
-broadcast. Kept n-grams are states of an automaton with failure arcs (to the state without the oldest word) that carry
-the backoff weights. A document is scored in one left-to-right traversal that carries the state.
+Smoothing is Bayesian (a Dirichlet prior around the next lower order, after MacKay and Peto): P(w | h) = (c(h w) + M *
+P(w | shorter h)) / (c(h) + M). So a seen n-gram is an arc with that weight, and the failure arc of a state carries
+M / (c(h) + M). The lowest order is the base distribution, (c + 0.1) / (N + 0.1 (V + 1)). A document is scored in one
+left-to-right traversal that carries the state.
 
-The lowest order is the base distribution over all words, (c + 0.1) / (N + 0.1 (V + 1)). Its counts cover every word of
-the corpus; only words with a share of WORD_TAU or more (at most 1/WORD_TAU) go with the automaton. At any other word
-the traversal ends in the root, so its probability is a factor of its own, and these factors come from a join.
+Nothing is cut, so the model grows with the corpus, and no task holds it. Documents are put into blocks of about
+BLOCK_TOKENS. A block asks for the counts of its own n-grams and builds the part of the automaton that its documents can
+reach; other states do not change their scores. The counts meet by ranges of the n-grams' 64-bit hashes: a block sends
+one row per range, sorted and delta-coded, with its own training counts, and gets the totals back in the same order.
 
-Counts meet packed: a block of documents sends, for each bucket of n-gram numbers, one row of sorted, delta-coded arrays.
+Words and bigrams meet first, and the answer tells which of them lie in several blocks. The trigrams around a bigram of
+one block lie in that block, too, so their counts are known; only those of two wider spread bigrams meet. Two n-grams of one hash would share
+their count: below 10^10 n-grams about three such pairs are to be expected.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import keep, table, utf8, widened, with_row
+from .common import keep, table, utf8, with_row
 
-WORD_TAU = 1e-6
-TAU = 4e-6
-DISCOUNT = 0.75
 SMOOTH = 0.1
+#: Weight of the lower order in words, for bigrams and trigrams.
+PRIOR = (8.0, 4.0)
 #: The end token. A word has no white space, so none is equal.
 END = b"\n"
 BLOCK_TOKENS = 1_500_000
+#: Tokens whose part of the automaton is built at once.
+CHUNK_TOKENS = 150_000
+#: n-grams of all blocks that one range holds, about.
+RANGE_CODES = 1_500_000
+ROOT, START = 0, 1  # local word numbers begin with the end token, whose state is where a document starts
+CODES = "block bigint, range int, codes binary, counts binary"
+TOTALS = "block bigint, range int, totals binary, types bigint"
 
 
 def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def word_hash(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word, 42)
-    return h - (1 << 64) if h >> 63 else h
+def narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, in as few bytes each as the largest needs; the first byte says how many."""
+    width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
-    """Token lists of training documents, about BLOCK_TOKENS at a time."""
-    block, size = [], 0
-    for batch in batches:
-        for text in batch.column(0):
-            block.append(tokens_of(text.as_py()))
-            size += len(block[-1])
-            if size >= BLOCK_TOKENS:
-                yield block
-                block, size = [], 0
-    if block:
-        yield block
-
-
-def _count_words(tau: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """h, n and, where the word's share of this block is tau or more, the word: a word with such a share of the corpus
-    has it in some block."""
-    counts, total = Counter(), 0
-
-    def out():
-        least = tau * total
-        words = list(counts)
-        n = np.fromiter(counts.values(), np.int64, len(words))
-        hashes = np.fromiter(map(word_hash, words), np.int64, len(words))
-        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n), pa.array([w if c >= least else None for w, c in counts.items()], pa.binary())], ["h", "n", "word"])
+def wide(x: bytes) -> np.ndarray:
+    out = np.zeros(((len(x) - 1) // x[0], 8), np.uint8)
+    out[:, : x[0]] = np.frombuffer(x, np.uint8, offset=1).reshape(-1, x[0])
+    return out.view("<u8").ravel()
 
-    for batch in batches:
-        for text in batch.column(0):
-            found = tokens_of(text.as_py())
-            counts.update(found)
-            total += len(found)
-            if len(counts) > 500_000:
-                yield out()
-                counts, total = Counter(), 0
-    if counts:
-        yield out()
-
-
-def pack(codes: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Rows (bucket, codes, counts) of distinct codes; a code's bucket is its remainder."""
-    order = np.lexsort((codes, codes % buckets))
-    codes, counts = codes[order], counts[order]
-    edges = np.searchsorted(codes % buckets, np.arange(buckets + 1))
-    for b, (s, e) in enumerate(itertools.pairwise(edges.tolist())):
+
+def _first(ranges: int) -> np.ndarray:
+    """The least code of each range, and one past the last."""
+    return np.array([min((-(-(r << 32) // ranges)) << 32, (1 << 64) - 1) for r in range(ranges + 1)], np.uint64)
+
+
+def pack(codes: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Rows (range, gaps between the codes, counts) of sorted distinct codes."""
+    first = _first(ranges)
+    edges = np.r_[np.searchsorted(codes, first[:-1]), len(codes)]
+    for r, (s, e) in enumerate(itertools.pairwise(edges.tolist())):
         if s < e:
-            gaps = np.diff(codes[s:e] // buckets, prepend=0)
-            yield b, _narrow(gaps), _narrow(counts[s:e])
+            yield r, narrow(np.diff(codes[s:e], prepend=first[r])), narrow(counts[s:e])
 
 
-def _narrow(x: np.ndarray) -> bytes:
-    """Numbers from 0 on, in as few bytes each as the largest needs; the first byte says how many."""
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or x.max() < 1 << 8 * w)
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+def unpack(first: np.uint64, codes: bytes) -> np.ndarray:
+    return first + np.cumsum(wide(codes), dtype=np.uint64)
+
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
 
-def _wide(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64)
 
+def _coded(x: np.ndarray, order: int) -> np.ndarray:
+    """Hashes whose last two bits tell the order."""
+    return (x & ~np.uint64(3)) | np.uint64(order)
 
-def unpack(bucket: int, codes: bytes, counts: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.cumsum(_wide(codes)) * buckets + bucket, _wide(counts)
 
+# -- blocks ----------------------------------------------------------------------------------------------------------
 
-def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(code, kind="stable")
-    code, n = code[order], n[order]
-    edge = np.flatnonzero(np.diff(code, prepend=-1))
-    return code[edge], np.add.reduceat(n, edge) if len(edge) else n
+
+def _made_block(docs: list[pa.StructArray], vocabulary: dict, ids: list[np.ndarray]) -> pa.RecordBatch:
+    flat = np.concatenate(ids)
+    docs_ = pa.concat_arrays(docs)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in itertools.islice(vocabulary, 1, None)), np.uint64, len(vocabulary) - 1)
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    planes = zlib.compress(np.ascontiguousarray(flat.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    trained = int(lengths[~docs_.field(1).to_numpy(zero_copy_only=False).astype(bool)].sum())
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(docs_)], pa.int32()), docs_), *(pa.array([x], pa.binary()) for x in (planes, narrow(lengths), hashes.tobytes()))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([len(flat)], pa.int64()), pa.array([trained], pa.int64())], ["docs", "ids", "lengths", "words", "n", "n_train"])
+
+
+def _blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, _utf8) to a row per block: its documents, and their words as numbers of its own."""
+
+    def fresh() -> dict:
+        new = defaultdict(lambda: len(new), {None: ROOT, END: START})
+        return new
+
+    vocabulary, ids, docs, held = fresh(), [], [], 0
+    for batch in batches:
+        meta = pa.StructArray.from_arrays([batch.column(0), batch.column(1)], ["doc_id", "held_out"])
+        begin = 0
+        for i, text in enumerate(batch.column(2)):
+            words = tokens_of(text.as_py())
+            ids.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))
+            held += len(words)
+            if held >= size:
+                yield _made_block([*docs, meta.slice(begin, i + 1 - begin)], vocabulary, ids)
+                vocabulary, ids, docs, held, begin = fresh(), [], [], 0, i + 1
+        if begin < len(meta):
+            docs.append(meta.slice(begin))
+    if ids:
+        yield _made_block(docs, vocabulary, ids)
+
+
+@dataclass
+class Block:
+    """A block's n-grams. ``ids``: the words, a document's end last; before the first word stands an end, too."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+    train: np.ndarray  # of each token
+    words: np.ndarray  # hashes by local number, that of the root left out
+
+    def __post_init__(self):
+        self.width = len(self.words) + 1
+        before = np.r_[START, self.ids[:-1]]
+        self.bigrams, self.pair = np.unique(before * self.width + self.ids, return_inverse=True)
+        # a trigram's middle word is no end: there a new document begins
+        self.third = np.flatnonzero(before != START)
+        self.trigrams, triple = np.unique(self.pair[self.third - 1] * self.width + self.ids[self.third], return_inverse=True)
+        self.triple = np.full(len(self.ids), -1)
+        self.triple[self.third] = triple
+        self.hash2 = _mix(self._hash(self.bigrams // self.width) * np.uint64(0x9E3779B97F4A7C15) + self._hash(self.bigrams % self.width))
+
+    @classmethod
+    def of(cls, row: dict) -> Block:
+        raw = np.frombuffer(zlib.decompress(row["ids"]), np.uint8).reshape(4, -1)
+        ids = np.ascontiguousarray(raw.T).view("<u4").ravel().astype(np.int64)
+        lengths = wide(row["lengths"]).astype(np.int64)
+        train = np.repeat([not d["held_out"] for d in row["docs"]], lengths)
+        return cls(ids, lengths, train, np.frombuffer(row["words"], np.uint64))
+
+    def _hash(self, numbers: np.ndarray) -> np.ndarray:
+        return self.words[numbers - 1]
+
+    def _trained(self, index: np.ndarray, mask: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(index[mask], minlength=size)
+
+    def low(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of words and bigrams, unsorted, and their training counts in this block."""
+        codes = np.r_[_coded(self.words, 0), _coded(self.hash2, 1)]
+        return codes, np.r_[self._trained(self.ids, self.train, self.width)[1:], self._trained(self.pair, self.train, len(self.bigrams))]
+
+    def high(self, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Training counts of the trigrams in this block; those that may occur in other blocks, as ``spread`` tells of
+        low(); and their codes."""
+        shared = spread[len(self.words) :]
+        own = self._trained(self.triple, self.train & (self.triple >= 0), len(self.trigrams))
+        tail = np.zeros(len(self.trigrams), np.int64)
+        tail[self.triple[self.third]] = self.pair[self.third]
+        ask = np.flatnonzero(shared[self.trigrams // self.width] & shared[tail])
+        head = self.trigrams[ask] // self.width
+        return own, ask, _coded(_mix(self.hash2[head] * np.uint64(0xD6E8FEB86659FD93) + self._hash(self.trigrams[ask] % self.width)), 2)
+
+
+def _sent(block: int, codes: np.ndarray, counts: np.ndarray, ranges: int) -> pa.Table:
+    order = np.argsort(codes)
+    rows = [*pack(codes[order], counts[order], ranges)]
+    columns = [[x[i] for x in rows] for i in range(3)]
+    return pa.table([pa.array([block] * len(rows), pa.int64()), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["block", "range", "codes", "counts"])
+
+
+def _received(codes: np.ndarray, rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """From (range, totals) rows: the total of each of ``codes`` as it was sent, and whether several blocks have it."""
+    out = np.zeros(len(codes), np.int64)
+    if len(codes):
+        out[np.argsort(codes)] = np.concatenate([wide(x) for _, x in sorted(rows)])
+    return out >> 1, out & 1 > 0
+
+
+def _low_codes(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield from _sent(row["block"], *Block.of(row).low(), ranges).to_batches()
+
+
+def _totals(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of codes sorted by range to the totals of each, doubled, and one more where several blocks have the code.
+    ``types``: how many words of training lie in the range; one of its rows says so. Memory: the range's distinct
+    n-grams, and the rows as they came."""
+    first = _first(ranges)
+
+    def summed(parts):
+        code, n, blocks = (np.concatenate([x[i] for x in parts]) for i in range(3))
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        edge = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        return code[edge], np.add.reduceat(n[order], edge), np.minimum(np.add.reduceat(blocks[order], edge), 2)
+
+    def out(r, rows):
+        parts = []
+        for _, codes, counts in rows:
+            parts.append((unpack(first[r], codes), n := wide(counts).astype(np.int64), np.ones(len(n), np.int64)))
+            if len(parts) > 64:
+                parts = [summed(parts)]
+        code, n, blocks = summed(parts)
+        doubled = 2 * n + (blocks > 1)
+        types = int(((code & np.uint64(3) == 0) & (n > 0)).sum())
+        totals = [narrow(doubled[np.searchsorted(code, unpack(first[r], codes))]) for _, codes, _ in rows]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in rows], pa.int64()), pa.array([r] * len(rows), pa.int32()), pa.array(totals, pa.binary()), pa.array([types] + [0] * (len(rows) - 1), pa.int64())],
+            ["block", "range", "totals", "types"],
+        )
+
+    now, rows = None, []
+    for batch in batches:
+        for block, r, codes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if r != now and rows:
+                yield out(now, rows)
+                rows = []
+            now = r
+            rows.append((block, codes, counts))
+    if rows:
+        yield out(now, rows)
+
+
+def _split(table_: pa.Table) -> tuple[dict, list[tuple[int, bytes]]]:
+    """A block's own row, and its totals."""
+    rows = table_.to_pylist()
+    return next(r for r in rows if r["totals"] is None), [(r["range"], r["totals"]) for r in rows if r["totals"] is not None]
+
+
+def _high_codes(ranges: int, met: pa.Table) -> pa.Table:
+    row, low = _split(met)
+    block = Block.of(row)
+    own, ask, codes = block.high(_received(block.low()[0], low)[1])
+    return _sent(row["block"], codes, own[ask], ranges)
+
+
+# -- the automaton ---------------------------------------------------------------------------------------------------
 
 
 @dataclass
 class Automaton:
-    """Words are numbered from 1 (0: any other). State 0 is the root, 1 to W the words, then the kept bigrams."""
-
-    words: dict[bytes, int]
-    unigram: list[float]  # log10 of the base distribution; 0 for number 0
-    bigrams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # codes a * (W + 1) + b, sorted
-    arcs: dict[int, int] = field(default_factory=dict)  # state * (W + 1) + word to number of the arc
-    weight: list[float] = field(default_factory=list)
-    target: list[int] = field(default_factory=list)
-    back: list[float] = field(default_factory=list)  # log10 backoff weight of each state
-    fail: list[int] = field(default_factory=list)
-
-    def score(self, ids: list[int], end: int) -> float:
-        """log10 probability of the numbers but for the factors of those that are 0."""
-        arcs, weight, target, back, fail, unigram, width = self.arcs.get, self.weight, self.target, self.back, self.fail, self.unigram, len(self.unigram)
-        state, total = end, 0.0
+    """States: 0 is the root, then the words by number, then the bigrams: width + number of the bigram."""
+
+    width: int
+    arcs: dict[int, tuple[float, int]]  # state * width + word to (log10 probability, next state)
+    fail: dict[int, tuple[float, int]]  # bigram state to (log10 weight, state of its last word)
+    back: list[float]  # log10 weight of each word state's failure arc, to the root
+    unigram: list[float]
+
+    def score(self, ids: list[int]) -> float:
+        """log10 probability of a document's words, in one traversal from the start."""
+        arcs, fail, back, unigram, width = self.arcs.get, self.fail, self.back, self.unigram, self.width
+        state, total = START, 0.0
         for w in ids:
             while state:
                 arc = arcs(state * width + w)
                 if arc is not None:
-                    total += weight[arc]
-                    state = target[arc]
+                    total += arc[0]
+                    state = arc[1]
                     break
-                total += back[state]
-                state = fail[state]
+                if state < width:
+                    total += back[state]
+                    state = ROOT
+                else:
+                    weight, state = fail[state]
+                    total += weight
             else:
                 total += unigram[w]
                 state = w
         return total
 
 
-def build(words: dict[bytes, int], counts: np.ndarray, total: int, types: int, bigram: tuple[np.ndarray, np.ndarray], trigram: tuple[np.ndarray, np.ndarray]) -> Automaton:
-    """counts[i]: training count of word i. Absolute discounting over the kept n-grams; what they leave goes down."""
-    width = len(words) + 1
-    base = total + SMOOTH * (types + 1)
-    p1 = (counts + SMOOTH) / base
-    p1[0] = 1.0
-    made = Automaton(words, np.log10(p1).tolist())
-    code2, n2 = bigram
-    made.bigrams = code2
-    first, second = code2 // width, code2 % width
-    p2 = (n2 - DISCOUNT) / counts[first]
-    left = 1 - np.bincount(first, p2, width)
-    lower = 1 - np.bincount(first, p1[second], width)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        back1 = np.where(lower > 1e-12, left / lower, 1.0)
-    back1[0] = 1.0
-    code3, n3 = trigram  # number of the bigram * width + word
-    pair, third = code3 // width, code3 % width
-    p3 = (n3 - DISCOUNT) / n2[pair] if len(code3) else np.zeros(0)
-    tail = np.searchsorted(code2, second[pair] * width + third) if len(code3) else np.zeros(0, np.int64)  # kept, as the trigram's own tail
-    left = 1 - np.bincount(pair, p3, len(code2))
-    lower = 1 - np.bincount(pair, p2[tail] if len(code3) else None, len(code2))
-    back2 = np.where(lower > 1e-12, left / np.where(lower > 1e-12, lower, 1), 1.0)
-    made.arcs = dict(zip(code2.tolist(), range(len(code2)), strict=True))
-    made.arcs.update(zip(((width + pair) * width + third).tolist(), range(len(code2), len(code2) + len(code3)), strict=True))
-    made.weight = np.log10(np.r_[p2, p3]).tolist()
-    made.target = np.r_[width + np.arange(len(code2)), width + tail].astype(np.int64).tolist()
-    made.back = np.log10(np.maximum(np.r_[back1, back2], 1e-12)).tolist()
-    made.fail = np.r_[np.zeros(width, np.int64), second].tolist()
-    return made
-
-
-def _count_ngrams(known, order: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, bigrams = known.value
-    width, end = len(words) + 1, words.get(END, 0)
-    for block in _blocks(batches):
-        get = words.get
-        ids = np.fromiter((get(w, 0) for w in itertools.chain.from_iterable(block)), np.int64, sum(map(len, block)))
-        ids = np.r_[end, ids]  # the token before a document's first is an end
-        pair = np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * width + ids[1:], -1)
-        # the state before a document's first word is that of an end alone
-        if order == 2:
-            codes = pair[pair >= 0]
-        else:
-            at = np.searchsorted(bigrams, pair)
-            at[at == len(bigrams)] = 0
-            kept = (bigrams[at] == pair) & (pair >= 0) if len(bigrams) else np.zeros(len(pair), bool)
-            both = np.flatnonzero(kept[:-1] & kept[1:] & (ids[1:-1] != end))
-            codes = at[both] * width + ids[both + 2]
-        rows = list(pack(*np.unique(codes, return_counts=True), buckets)) if len(codes) else []
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["bucket", "codes", "counts"])
-
-
-def _sum_ngrams(least: float, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket to the kept (code, n)."""
-
-    def out(bucket, parts):
-        code, n = _summed(np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]))
-        stay = n >= least
-        return pa.RecordBatch.from_arrays([pa.array(code[stay]), pa.array(n[stay])], ["code", "n"])
-
-    now, parts = None, []
-    for batch in batches:
-        for bucket, codes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != now and parts:
-                yield out(now, parts)
-                parts = []
-            now = bucket
-            parts.append(unpack(bucket, codes, counts, buckets))
-            if len(parts) > 64:  # bounded by the distinct codes of the bucket
-                parts = [_summed(np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]))]
-    if parts:
-        yield out(now, parts)
-
-
-def _score(known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model: Automaton = known.value
-    get, end, unigram = model.words.get, model.words.get(END, 0), model.unigram
-    for batch in batches:
-        rows = []
-        for text in batch.column(batch.schema.get_field_index("_utf8")):
-            words = tokens_of(text.as_py())
-            ids = [get(w, 0) for w in words]
-            rare = [word_hash(w) for w, i in zip(words, ids, strict=True) if not i]
-            rows.append((len(ids), len(ids) - len(rare), math.fsum(map(unigram.__getitem__, ids)), model.score(ids, end), rare))
-        rest = batch.drop_columns(["_utf8"])
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
-        columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([*rest.columns, *columns], [*rest.schema.names, "n_tokens", "n_known", "base_score", "score", "rare"])
-
-
-def train(train_docs: DataFrame, text: str = "text", word_tau: float = WORD_TAU, tau: float = TAU):
-    """The automaton, and the kept table of all words (h, n) with their number and the tokens'."""
-    spark = train_docs.sparkSession
-    data = train_docs.select(utf8(f"`{text}`").alias("_utf8"))
-    counted = data.mapInArrow(lambda b: _count_words(word_tau, b), "h bigint, n bigint, word binary")
-    words = keep(counted.groupBy("h").agg(F.sum("n").alias("n"), F.max("word").alias("word")))
-    total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    often = words.where(F.col("word").isNotNull() & (F.col("n") >= word_tau * total)).select("word", "n").toArrow()  # 1 / word_tau rows at most
-    numbers = {w: i + 1 for i, w in enumerate(often["word"].to_pylist())}
-    counts = np.r_[0, often["n"].to_numpy()].astype(np.int64)
-    buckets = max(32, total // 2_000_000)
-
-    def ngrams(order: int, bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = spark.sparkContext.broadcast((numbers, bigrams))
-        packed = data.mapInArrow(lambda b: _count_ngrams(known, order, buckets, b), "bucket int, codes binary, counts binary")
-        met = packed.repartition("bucket").sortWithinPartitions("bucket")
-        kept = met.mapInArrow(lambda b: _sum_ngrams(max(1, tau * total), buckets, b), "code bigint, n bigint").toArrow()  # 1 / tau rows at most
-        code, n = kept["code"].to_numpy(), kept["n"].to_numpy()
-        order_ = np.argsort(code)
-        return code[order_], n[order_]
-
-    bigram = ngrams(2, np.zeros(0, np.int64))
-    trigram = ngrams(3, bigram[0])
-    return build(numbers, counts, total, types, bigram, trigram), words, total, types
+def build(b: Block, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray, p1: np.ndarray, begin: int, end: int, words: tuple[list[float], list[float]] | None = None) -> Automaton:
+    """The part of the automaton that the tokens from ``begin`` to ``end`` can reach. n1, n2, n3: training counts by
+    the block's numbers of words, bigrams and trigrams; p1: the base distribution."""
+    width, (m2, m3) = b.width, PRIOR
+    unigram, back = words or (np.log10(p1).tolist(), np.log10(m2 / (n1 + m2)).tolist())
+    seen2 = np.unique(b.pair[begin:end])
+    seen2 = seen2[n2[seen2] > 0]
+    a, w = b.bigrams[seen2] // width, b.bigrams[seen2] % width
+    p2 = np.zeros(0) if not len(seen2) else (n2[seen2] + m2 * p1[w]) / (n1[a] + m2)
+    arcs = dict(zip(b.bigrams[seen2].tolist(), zip(np.log10(p2).tolist(), (width + seen2).tolist(), strict=True), strict=True))
+    fail = dict(zip((width + seen2).tolist(), zip(np.log10(m3 / (n2[seen2] + m3)).tolist(), w.tolist(), strict=True), strict=True))
+    at = begin + np.flatnonzero(b.triple[begin:end] >= 0)
+    seen3, first = np.unique(b.triple[at], return_index=True)
+    some = n3[seen3] > 0
+    seen3, tail = seen3[some], b.pair[at[first[some]]]  # the trigram's last two words have occurred as well
+    head, w = b.trigrams[seen3] // width, b.trigrams[seen3] % width
+    p3 = (n3[seen3] + m3 * p2[np.searchsorted(seen2, tail)]) / (n2[head] + m3)
+    arcs.update(zip(((width + head) * width + w).tolist(), zip(np.log10(p3).tolist(), (width + tail).tolist(), strict=True), strict=True))
+    return Automaton(width, arcs, fail, back, unigram)
+
+
+def _scores(total: int, types: int, chunk: int, met: pa.Table, high: pa.Table) -> pa.Table:
+    row, low = _split(met)
+    b = Block.of(row)
+    n, spread = _received(b.low()[0], low)
+    n1, n2 = np.r_[0, n[: b.width - 1]], n[b.width - 1 :]
+    n3, ask, codes = b.high(spread)
+    n3[ask] = _received(codes, list(zip(high["range"].to_pylist(), high["totals"].to_pylist(), strict=True)))[0]
+    p1 = (n1 + SMOOTH) / (total + SMOOTH * (types + 1))
+    words = np.log10(p1).tolist(), np.log10(PRIOR[0] / (n1 + PRIOR[0])).tolist()
+    ends = np.cumsum(b.lengths)
+    known = np.add.reduceat(n1[b.ids] > 0, ends - b.lengths, dtype=np.int64)
+    base, score, model, upto = [], [], None, 0
+    for k, e in enumerate(ends.tolist()):
+        s = e - int(b.lengths[k])
+        if e > upto:  # the next chunk, of whole documents
+            upto = int(ends[max(k, int(np.searchsorted(ends, s + chunk, "right")) - 1)])
+            model = build(b, n1, n2, n3, p1, s, upto, words)
+        ids = b.ids[s:e].tolist()
+        base.append(math.fsum(map(words[0].__getitem__, ids)))
+        score.append(model.score(ids))
+    docs = met["docs"].filter(met["docs"].is_valid()).combine_chunks().flatten()
+    return pa.table([docs.field(0), docs.field(1), pa.array(b.lengths), pa.array(known), pa.array(base, pa.float64()), pa.array(score, pa.float64())], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
 def score_documents(docs: DataFrame, held_out: str = "pmod(crc32(cast(cast(doc_id as string) as binary)), 10) = 0") -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows where ``held_out`` is false; a null doc_id counts as the text ''. A null or empty
-    text is its end token alone. Repeated rows are all learnt from and all scored.
+    text is its end token alone; a very long one makes a block of its own. Repeated rows are all learnt from and all
+    scored. Without training rows every probability is that of an unknown word. Other columns play no part.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce(F.expr(held_out), F.expr("pmod(crc32(cast('' as binary)), 10) = 0")).alias("held_out"), utf8("text").alias("_utf8"), "text")
-    model, words, total, types = train(rows.where(~F.col("held_out")).select("text"))
-    known = spark.sparkContext.broadcast(model)
-    rows = rows.drop("text")
-    kind = widened(rows, "n_tokens bigint, n_known bigint, base_score double, score double, rare array<bigint>")
-    scored = keep(with_row(rows.mapInArrow(lambda b: _score(known, b), kind)))
-    rare = scored.select("row", F.explode("rare").alias("h")).join(words.select("h", "n"), "h", "left")
-    factor = F.log10((F.coalesce("n", F.lit(0)) + SMOOTH) / F.lit(total + SMOOTH * (types + 1)))
-    rare = rare.groupBy("row").agg(F.sum(factor).alias("more"), F.count("n").alias("known"))
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"),
-    )
+    rows = docs.select("doc_id", F.coalesce(F.expr(held_out), F.expr("pmod(crc32(cast('' as binary)), 10) = 0")).alias("held_out"), utf8("text").alias("_utf8"))
+    doc = T.ArrayType(T.StructType(rows.schema.fields[:2]))
+    kind = T.StructType([T.StructField("docs", doc), *T.StructType.fromDDL("ids binary, lengths binary, words binary, n bigint, n_train bigint").fields])
+    size, chunk = BLOCK_TOKENS, CHUNK_TOKENS
+    blocks = keep(with_row(rows.mapInArrow(lambda b: _blocks(size, b), kind), "block"))
+    tokens, total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    ranges = max(32, tokens // RANGE_CODES)
+
+    def totals(codes: DataFrame) -> DataFrame:
+        return codes.repartition("range").sortWithinPartitions("range").mapInArrow(lambda b: _totals(ranges, b), TOTALS)
+
+    low = keep(totals(blocks.mapInArrow(lambda b: _low_codes(ranges, b), CODES)))
+    types = low.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
+    met = blocks.drop("n", "n_train").unionByName(low.drop("types"), allowMissingColumns=True).groupBy("block")
+    high = totals(met.applyInArrow(lambda t: _high_codes(ranges, t), CODES)).drop("types")
+    out = T.StructType([*rows.schema.fields[:2], *T.StructType.fromDDL("n_tokens bigint, n_known bigint, base_score double, score double").fields])
+    scored = met.cogroup(high.groupBy("block")).applyInArrow(lambda left, right: _scores(total, types, chunk, left, right), out)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,25 +269,73 @@ def test_lm(docs, empty):
     assert lm.score_documents(empty).count() == 0
 
 
-def test_lm_is_a_distribution(spark):
-    data = spark.createDataFrame([("a b a b c",), ("a b d",), ("c a b a",)] * 3, "text string")
-    model, known, total, types = lm.train(data)
-    end = model.words[lm.END]
-    for context in ([], ["a"], ["a", "b"], ["c"], ["d"]):
-        ids = [model.words[w.encode()] for w in context]
-        before = model.score(ids, end)
-        mass = sum(10 ** (model.score([*ids, i], end) - before) for i in model.words.values())
-        other = 0.1 / (total + 0.1 * (types + 1))
-        state_back = 10 ** (model.score([*ids, 0], end) - before)
-        assert mass + other * state_back == pytest.approx(1, abs=1e-6)
+def brute_lm(texts):
+    """The smoothed model of whole counts: a function from a text to its log10 probability."""
+    m2, m3 = lm.PRIOR
+    token = lambda t: [*words(ascii_lower(t)), "\n"]
+    one, two, three = collections.Counter(), collections.Counter(), collections.Counter()
+    for t in texts:
+        w = ["\n", *token(t)]
+        one.update(w[1:])
+        two.update(zip(w, w[1:], strict=False))
+        three.update(zip(w, w[1:], w[2:], strict=False))
+    n, v = sum(one.values()), len(one)
+
+    def probability(before, w):
+        p = (one[w] + 0.1) / (n + 0.1 * (v + 1))
+        p = (two[before[-1], w] + m2 * p) / (one[before[-1]] + m2)
+        return p if len(before) == 1 else (three[(*before, w)] + m3 * p) / (two[before] + m3)
+
+    def score(t):
+        w = ["\n", *token(t)]
+        return sum(math.log10(probability(tuple(w[max(0, i - 2) : i]), w[i])) for i in range(1, len(w)))
+
+    return score, probability, one
+
+
+@pytest.mark.parametrize(("block", "codes"), [(1_500_000, 1_500_000), (700, 10), (1, 100)])
+def test_lm_score_matches_the_whole_model(spark, monkeypatch, block, codes):
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", max(1, block // 3))
+    monkeypatch.setattr(lm, "RANGE_CODES", codes)
+    r = random.Random(8)
+    pool = [f"w{int(r.paretovariate(0.6))}" for _ in range(3000)]
+    texts = [" ".join(r.choices(pool, k=r.choice([1, 2, 40, 90]))) for _ in range(60)]
+    texts += texts[:15] + [None, "", "  ", "once only here", "É é\tB b", " ".join(pool)]
+    rows = [(i, t, -1, "x") for i, t in enumerate(texts)]
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, block long, ids string").repartition(3)).collect()
+    score, _, one = brute_lm([t or "" for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10])
+    assert len(got) == len(texts) and any(g.held_out for g in got)
+    for g in got:
+        assert g.score == pytest.approx(score(texts[g.doc_id] or "")) and g.train_tokens == sum(one.values())
+
+
+def test_lm_is_a_distribution():
+    texts = [b"a b a b c", b"a b d", b"c a b a"] * 3
+    score, probability, one = brute_lm([t.decode() for t in texts])
+    for before in [("\n",), ("\n", "a"), ("a", "b"), ("c", "a"), ("d", "d")]:
+        assert sum(probability(before, w) for w in [*one, "unseen"]) == pytest.approx(1)
+    numbers = {w: i + 1 for i, w in enumerate(["\n", "a", "b", "c", "d", "z"])}
+    hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in numbers], np.uint64)
+    docs_ = [[numbers[w] for w in [*t.decode().split(), "\n"]] for t in texts]
+    b = lm.Block(np.array(sum(docs_, [])), np.array([len(d) for d in docs_]), np.ones(sum(map(len, docs_)), bool), hashes)
+    n = b.low()[1]
+    n1, n2 = np.r_[0, n[: b.width - 1]], n[b.width - 1 :]
+    p1 = (n1 + 0.1) / (n1.sum() + 0.1 * (len(one) + 1))
+    model = lm.build(b, n1, n2, b.high(np.zeros(len(n), bool))[0], p1, 0, len(b.ids))
+    for words_ in (["a"], ["a", "b", "z", "b", "\n"], ["c", "d", "d"]):
+        want = sum(math.log10(probability(tuple(["\n", *words_][max(0, i - 1) : i + 1]), words_[i])) for i in range(len(words_)))
+        assert model.score([numbers[w] for w in words_]) == pytest.approx(want)
 
 
 def test_lm_packing():
-    codes = np.array([0, 5, 9, 1 << 40, (1 << 40) + 3], np.int64)
-    counts = np.array([1, 300, 2, 70_000, 5], np.int64)
-    back = [lm.unpack(b, c, n, 4) for b, c, n in lm.pack(codes, counts, 4)]
-    got = dict(zip(np.concatenate([x[0] for x in back]).tolist(), np.concatenate([x[1] for x in back]).tolist(), strict=True))
-    assert got == dict(zip(codes.tolist(), counts.tolist(), strict=True))
+    codes = np.array([0, 5, 9, 1 << 40, (1 << 40) + 3, (1 << 63) + 7, (1 << 64) - 1], np.uint64)
+    counts = np.array([1, 300, 2, 70_000, 5, 0, 1 << 40], np.int64)
+    for ranges in (1, 4, 1000):
+        rows = list(lm.pack(codes, counts, ranges))
+        first = lm._first(ranges)
+        assert np.concatenate([lm.unpack(first[r], c) for r, c, _ in rows]).tolist() == codes.tolist()
+        assert np.concatenate([lm.wide(n) for _, _, n in rows]).tolist() == counts.tolist()
 
 
 def brute_best_fit(sizes, capacity):
