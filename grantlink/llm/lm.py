@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +40,7 @@ PRIOR = (8.0, 4.0)
 #: The end token. A word has no white space, so none is equal.
 END = b"\n"
 BLOCK_TOKENS = 1_500_000
-#: Tokens whose part of the automaton is built at once.
+#: Tokens whose arcs are hashed at once.
 CHUNK_TOKENS = 150_000
 #: n-grams of all blocks that one range holds, about.
 RANGE_CODES = 1_500_000
@@ -150,6 +151,8 @@ class Block:
         self.trigrams, triple = np.unique(self.pair[self.third - 1] * self.width + self.ids[self.third], return_inverse=True)
         self.triple = np.full(len(self.ids), -1)
         self.triple[self.third] = triple
+        self.tail = np.zeros(len(self.trigrams), np.int64)  # the bigram of a trigram's last two words
+        self.tail[triple] = self.pair[self.third]
         self.hash2 = _mix(self._hash(self.bigrams // self.width) * np.uint64(0x9E3779B97F4A7C15) + self._hash(self.bigrams % self.width))
 
     @classmethod
@@ -176,9 +179,7 @@ class Block:
         low(); and their codes."""
         shared = spread[len(self.words) :]
         own = self._trained(self.triple, self.train & (self.triple >= 0), len(self.trigrams))
-        tail = np.zeros(len(self.trigrams), np.int64)
-        tail[self.triple[self.third]] = self.pair[self.third]
-        ask = np.flatnonzero(shared[self.trigrams // self.width] & shared[tail])
+        ask = np.flatnonzero(shared[self.trigrams // self.width] & shared[self.tail])
         head = self.trigrams[ask] // self.width
         return own, ask, _coded(_mix(self.hash2[head] * np.uint64(0xD6E8FEB86659FD93) + self._hash(self.trigrams[ask] % self.width)), 2)
 
@@ -261,60 +262,58 @@ def _high_codes(ranges: int, met: pa.Table) -> pa.Table:
 # -- the automaton ---------------------------------------------------------------------------------------------------
 
 
-@dataclass
 class Automaton:
-    """States: 0 is the root, then the words by number, then the bigrams: width + number of the bigram."""
+    """The part of the automaton that a block can reach. States: 0 is the root, then the words by number, then the
+    bigrams: width + number of the bigram. n1, n2, n3: training counts by the block's numbers; p1: the base distribution.
+
+    The arcs of word states are found by bisection in the sorted bigrams. Those of bigram states, which most steps take,
+    are hashed, for as many documents at once as ``load`` is asked for.
+    """
 
-    width: int
-    arcs: dict[int, tuple[float, int]]  # state * width + word to (log10 probability, next state)
-    fail: dict[int, tuple[float, int]]  # bigram state to (log10 weight, state of its last word)
-    back: list[float]  # log10 weight of each word state's failure arc, to the root
-    unigram: list[float]
+    def __init__(self, b: Block, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray, p1: np.ndarray):
+        m2, m3 = PRIOR
+        self.block, self.n3 = b, n3
+        self.unigram = np.log10(p1).tolist()
+        self.back = np.log10(m2 / (n1 + m2)).tolist()  # weight of each word state's failure arc, to the root
+        first, second = b.bigrams // b.width, b.bigrams % b.width
+        p2 = (n2 + m2 * p1[second]) / (n1[first] + m2)
+        self.weight2 = np.where(n2 > 0, np.log10(p2), 1.0)  # 1: no such arc
+        self.back2 = np.log10(m3 / (n2 + m3))  # of each bigram state's failure arc, to the state of its last word
+        head = b.trigrams // b.width
+        self.weight3 = np.log10((n3 + m3 * p2[b.tail]) / (n2[head] + m3))
+        self.arcs: dict[int, int] = {}
+
+    def load(self, begin: int, end: int) -> None:
+        """Makes the arcs of bigram states ready for the tokens from ``begin`` to ``end``."""
+        used = self.block.triple[begin:end]
+        used = np.unique(used[used >= 0])
+        used = used[self.n3[used] > 0]
+        self.arcs = dict(zip(self.block.trigrams[used].tolist(), used.tolist(), strict=True))
 
     def score(self, ids: list[int]) -> float:
         """log10 probability of a document's words, in one traversal from the start."""
-        arcs, fail, back, unigram, width = self.arcs.get, self.fail, self.back, self.unigram, self.width
+        width, unigram, back, arcs = self.block.width, self.unigram, self.back, self.arcs.get
+        bigrams, tail, weight2, weight3, back2 = map(memoryview, (self.block.bigrams, self.block.tail, self.weight2, self.weight3, self.back2))
         state, total = START, 0.0
         for w in ids:
-            while state:
-                arc = arcs(state * width + w)
+            if state >= width:
+                arc = arcs((state - width) * width + w)
                 if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if state < width:
-                    total += back[state]
-                    state = ROOT
-                else:
-                    weight, state = fail[state]
-                    total += weight
+                    total += weight3[arc]
+                    state = width + tail[arc]
+                    continue
+                total += back2[state - width]
+                state = bigrams[state - width] % width
+            arc = bisect_left(bigrams, state * width + w)
+            if arc < len(bigrams) and bigrams[arc] == state * width + w and weight2[arc] <= 0:
+                total += weight2[arc]
+                state = width + arc
             else:
-                total += unigram[w]
+                total += back[state] + unigram[w]
                 state = w
         return total
 
 
-def build(b: Block, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray, p1: np.ndarray, begin: int, end: int, words: tuple[list[float], list[float]] | None = None) -> Automaton:
-    """The part of the automaton that the tokens from ``begin`` to ``end`` can reach. n1, n2, n3: training counts by
-    the block's numbers of words, bigrams and trigrams; p1: the base distribution."""
-    width, (m2, m3) = b.width, PRIOR
-    unigram, back = words or (np.log10(p1).tolist(), np.log10(m2 / (n1 + m2)).tolist())
-    seen2 = np.unique(b.pair[begin:end])
-    seen2 = seen2[n2[seen2] > 0]
-    a, w = b.bigrams[seen2] // width, b.bigrams[seen2] % width
-    p2 = np.zeros(0) if not len(seen2) else (n2[seen2] + m2 * p1[w]) / (n1[a] + m2)
-    arcs = dict(zip(b.bigrams[seen2].tolist(), zip(np.log10(p2).tolist(), (width + seen2).tolist(), strict=True), strict=True))
-    fail = dict(zip((width + seen2).tolist(), zip(np.log10(m3 / (n2[seen2] + m3)).tolist(), w.tolist(), strict=True), strict=True))
-    at = begin + np.flatnonzero(b.triple[begin:end] >= 0)
-    seen3, first = np.unique(b.triple[at], return_index=True)
-    some = n3[seen3] > 0
-    seen3, tail = seen3[some], b.pair[at[first[some]]]  # the trigram's last two words have occurred as well
-    head, w = b.trigrams[seen3] // width, b.trigrams[seen3] % width
-    p3 = (n3[seen3] + m3 * p2[np.searchsorted(seen2, tail)]) / (n2[head] + m3)
-    arcs.update(zip(((width + head) * width + w).tolist(), zip(np.log10(p3).tolist(), (width + tail).tolist(), strict=True), strict=True))
-    return Automaton(width, arcs, fail, back, unigram)
-
-
 def _scores(total: int, types: int, chunk: int, met: pa.Table, high: pa.Table) -> pa.Table:
     row, low = _split(met)
     b = Block.of(row)
@@ -323,17 +322,17 @@ def _scores(total: int, types: int, chunk: int, met: pa.Table, high: pa.Table) -
     n3, ask, codes = b.high(spread)
     n3[ask] = _received(codes, list(zip(high["range"].to_pylist(), high["totals"].to_pylist(), strict=True)))[0]
     p1 = (n1 + SMOOTH) / (total + SMOOTH * (types + 1))
-    words = np.log10(p1).tolist(), np.log10(PRIOR[0] / (n1 + PRIOR[0])).tolist()
+    model = Automaton(b, n1, n2, n3, p1)
     ends = np.cumsum(b.lengths)
     known = np.add.reduceat(n1[b.ids] > 0, ends - b.lengths, dtype=np.int64)
-    base, score, model, upto = [], [], None, 0
+    base, score, upto = [], [], 0
     for k, e in enumerate(ends.tolist()):
         s = e - int(b.lengths[k])
         if e > upto:  # the next chunk, of whole documents
             upto = int(ends[max(k, int(np.searchsorted(ends, s + chunk, "right")) - 1)])
-            model = build(b, n1, n2, n3, p1, s, upto, words)
+            model.load(s, upto)
         ids = b.ids[s:e].tolist()
-        base.append(math.fsum(map(words[0].__getitem__, ids)))
+        base.append(math.fsum(map(model.unigram.__getitem__, ids)))
         score.append(model.score(ids))
     docs = met["docs"].filter(met["docs"].is_valid()).combine_chunks().flatten()
     return pa.table([docs.field(0), docs.field(1), pa.array(b.lengths), pa.array(known), pa.array(base, pa.float64()), pa.array(score, pa.float64())], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])

@@ -322,7 +322,8 @@ def test_lm_is_a_distribution():
     n = b.low()[1]
     n1, n2 = np.r_[0, n[: b.width - 1]], n[b.width - 1 :]
     p1 = (n1 + 0.1) / (n1.sum() + 0.1 * (len(one) + 1))
-    model = lm.build(b, n1, n2, b.high(np.zeros(len(n), bool))[0], p1, 0, len(b.ids))
+    model = lm.Automaton(b, n1, n2, b.high(np.zeros(len(n), bool))[0], p1)
+    model.load(0, len(b.ids))
     for words_ in (["a"], ["a", "b", "z", "b", "\n"], ["c", "d", "d"]):
         want = sum(math.log10(probability(tuple(["\n", *words_][max(0, i - 1) : i + 1]), words_[i])) for i in range(len(words_)))
         assert model.score([numbers[w] for w in words_]) == pytest.approx(want)
