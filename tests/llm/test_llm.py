@@ -210,6 +210,45 @@ def test_decontamination(spark, docs, crowded, empty, monkeypatch, bytes_):
     assert max(m.words for m in found.matches) >= 40
 
 
+def brute_longest(text, items):
+    """(words, place in text, item, place in item) of the longest run that both have and a window of the item lies in."""
+    split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or "")) if w]
+    w, found = split(text), []
+    for item, t in items:
+        v = split(t)
+        for p, q in itertools.product(range(len(w)), range(len(v))):
+            if w[p] == v[q] and not (p and q and w[p - 1] == v[q - 1]):
+                n = 0
+                while p + n < len(w) and q + n < len(v) and w[p + n] == v[q + n]:
+                    n += 1
+                if n >= min(13, len(v)):
+                    found.append((-n, p, item is None, str(item), q))
+    best = min(found, default=None)
+    return (None,) * 4 if best is None else (-best[0], best[1], None if best[2] else best[3], best[4])
+
+
+@pytest.mark.parametrize("bytes_", [1 << 20, 100])
+def test_longest_matches(spark, monkeypatch, bytes_):
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", bytes_)
+    r = random.Random(5)
+    texts = [" ".join(r.choices("abc", k=r.choice([0, 5, 12, 13, 40]))) for _ in range(25)]
+    items = [(i % 7, " ".join(r.choices("abc", k=r.choice([1, 4, 13, 30])))) for i in range(12)] + [(None, texts[-1]), (8, "b B,b"), (9, "z z"), (3, None)]
+    texts += [f"z z {' '.join(['a'] * 30)} {items[3][1]} {items[3][1]} z", "A-" * 20, None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = decontaminate.contamination(rows, spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert len(got) == len(texts)
+    for g in got:
+        assert (g.match_words, g.match_start, g.match_item, g.match_item_start) == brute_longest(texts[g.doc_id], items)
+
+
+def test_suffix_array_is_sorted():
+    texts = [b"b a b a b a", b"", b"a b a b", b"c"] * 3
+    s = decontaminate.SuffixArray(texts)
+    ids = s.levels[0].tolist()
+    keys = [(ids[i:] + [0] * 16)[:16] for i in s.order]
+    assert sorted(s.order.tolist()) == list(range(len(ids))) and keys == sorted(keys)
+
+
 def test_tokens(docs, empty):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     import sentencepiece
