@@ -17,6 +17,8 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Up to so many rules are tried as an expression; more are joined.
 INLINE_RULES = 200
+#: What a page does not show a crawler as markup.
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 
@@ -30,9 +32,9 @@ def path_of(url: Column) -> Column:
 
 
 def _inline(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
-    """The longest rule that fits (host, path), as text and verdict."""
+    """The longest rule that fits (host, path), as text and verdict; of equally long ones an allow, then the greatest host."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for v, h, p in sorted(rules, key=lambda r: (len(r[1]) + len(r[2]), r)):
+    for v, h, p in sorted(rules, key=lambda r: (len(r[1]) + len(r[2]), r[0] == "allow", r[1], r[2])):
         fits = ((F.col("host") == h) | F.col("host").endswith(f".{h}")) & F.col("path").startswith(p)
         rule, verdict = F.when(fits, h + p).otherwise(rule), F.when(fits, v).otherwise(verdict)
     return rule, verdict
@@ -48,14 +50,15 @@ def judged_by_rules(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataF
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     each = urls.select("row", "path", F.explode(suffixes).alias("rule_host")).join(listed, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
     name = F.concat("rule_host", "rule_path")
-    best = each.groupBy("row").agg(F.max(F.struct(F.length(name).alias("n"), "rule_verdict", "rule_host", "rule_path")).alias("b"))  # ties as in _inline
+    allow = (F.col("rule_verdict") == "allow").alias("allow")
+    best = each.groupBy("row").agg(F.max(F.struct(F.length(name).alias("n"), allow, "rule_host", "rule_path", "rule_verdict")).alias("b"))  # ties as in _inline
     return urls.join(best.select("row", F.concat("b.rule_host", "b.rule_path").alias("rule"), "b.rule_verdict"), "row", "left")
 
 
 def node_of(url: Column) -> Column:
-    """A url's node: a hash of host, path without its last slash, and query without the usual tracking parameters."""
+    """A url's node: 128 bits (MD5) of host, path without its last slash, and query without the usual tracking parameters."""
     query = F.regexp_replace(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1), r"(^|&)(utm_\w+|ref|fbclid|gclid)=[^&]*", "")
-    return F.xxhash64(host_of(url), F.regexp_replace(path_of(url), "/$", ""), F.regexp_replace(query, "^&", ""))
+    return F.md5(F.concat_ws("\n", host_of(url), F.regexp_replace(path_of(url), "/$", ""), F.regexp_replace(query, "^&", "")))
 
 
 def _absolute(target: Column) -> Column:
@@ -70,13 +73,15 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, red
 
     ``redirects``: further edges (url, target) as a crawler logs them. Without a rule of its own a page is allowed if an
     alias has an allow rule, else blocked if an alias has a block rule, else allowed. A null url, or one without ://, has
-    an empty host and path, no rule, no aliases and a null alias_id, and is allowed. Null html has no links. Repeated
-    rows stay. A null page_id names no component that has another id.
+    an empty host and path, no rule, no aliases and a null alias_id, and is allowed. All canonical and refresh links of
+    a page count, but those in comments, scripts and styles. Null html has no links; very long pages are read whole.
+    Repeated rows stay. A null page_id names no component that has another id. Other columns play no part.
     """
     url = F.col("url")
     known = url.contains("://")
-    rows = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"), F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1)).alias("links"))
-    rows = rows.withColumn("targets", F.when(known, F.transform(F.filter("links", lambda x: x != ""), _absolute))).drop("links")
+    rows = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"), F.regexp_replace("html", HIDDEN, " ").alias("shown"))
+    links = F.concat(F.regexp_extract_all("shown", F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all("shown", F.lit(REFRESH), F.lit(1)))
+    rows = rows.withColumn("targets", F.when(known, F.transform(F.array_distinct(links), _absolute))).drop("shown")
     rows = keep(with_row(rows.withColumn("node", F.when(known, node_of(url)))))
     edges = rows.where("node is not null and size(targets) > 0").select(F.col("node").alias("a"), F.explode("targets").alias("target")).select("a", node_of(F.col("target")).alias("b"))
     if redirects is not None:
@@ -118,13 +123,15 @@ given AS (
   FROM pages
 ), nodes AS (
   SELECT *, CASE WHEN known THEN {_sql_node("url", "host", "path")} END AS node FROM given
+), shown AS (
+  SELECT r, url, host, path, node, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g') AS html FROM nodes WHERE known
 ), tags AS (
-  SELECT r, url, host, path, node, unnest([
+  SELECT r, url, host, path, node, unnest(list_concat(
     list_filter(list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*'), lambda t: regexp_matches(t, '(?is)\\brel\\s*=\\s*["'']?canonical\\b')),
-      lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> '')[1],
+      lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> ''),
     list_filter(list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*'), lambda t: regexp_matches(t, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')),
-      lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> '')[1]]) AS link
-  FROM nodes WHERE known
+      lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)), lambda x: x <> ''))) AS link
+  FROM shown
 ), targets AS (
   SELECT node, replace(link, '&amp;', '&') AS t, regexp_extract(url, '(?s)^(.*?://)', 1) || host AS root, path FROM tags WHERE link IS NOT NULL
 ), absolute AS (

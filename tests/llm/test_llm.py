@@ -466,7 +466,18 @@ def test_url_rules_of_one_length_decide_alike(spark):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr(urls, "INLINE_RULES", limit)
             got.append({r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(pages, rules).collect()})
-    assert got[0] == got[1] == {1: ("a.example.com/", "block"), 2: ("b.net/xyz", "block")}
+    assert got[0] == got[1] == {1: ("example.com/ab", "allow"), 2: ("c.b.net/x", "allow")}
+
+
+def test_url_links_count_all_but_hidden_ones(spark):
+    link = '<link rel="canonical" href="{}">'
+    rows = [
+        (1, "http://a.org/", link.format("http://b.org/") + link.format("http://x.net/es/")), (2, "http://c.org/", f"<!-- {link.format('http://x.net/es/')} -->"), (3, "http://x.net/es/", None),
+        (4, "http://d.org/", "<p>" * 200_000 + link.format("http://x.net/es/")), (5, "http://e.org/", f"<script>{link.format('http://x.net/es/')}</script>"), (6, "http://b.org/", ""),
+    ]
+    pages = spark.createDataFrame([(*r, -1, "h", "n") for r in rows], "page_id long, url string, html string, row int, host string, node string")
+    got = {r.page_id: r.verdict for r in urls.filter_urls(pages).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "block"}
 
 
 def test_language(spark):

@@ -21,6 +21,7 @@ PAGES = [
     (1, "http://www.Example.com/en/a", None), (2, "https://m.example.com/en/x?utm_source=q&k=1", ""), (3, "http://a.net/es/1", "<p>"), (4, None, "<p>"), (5, "no scheme", LINK.format("http://a.net/es/1")),
     (6, "http://b.org/x", LINK.format("http://a.net/es/1/")), (7, "http://c.org/y", '<meta http-equiv="Refresh" content="0; url=http://b.org/x">'), (8, "http://d.org/", LINK.format("/deep?a=1&amp;b=2")),
     (9, "http://d.org/deep?a=1&b=2&ref=z", LINK.format("//c.org/y")), (10, "http://e.org/p/q", LINK.format("r")), (11, "http://e.org/p/r", LINK.format("http://w.com/")), (12, "http://e.org/p/r", LINK.format("http://n.net/fr/")),
+    (17, "http://g.org/two", LINK.format("http://h.org/1") + LINK.format("http://a.net/es/1") + '<meta content="1;URL=http://h.org/2" http-equiv=refresh>'), (18, "http://h.org/2", "<p>" * 60_000), (19, "http://i.org/", "<!-- " + LINK.format("http://a.net/es/1") + "\n--><script>'" + LINK.format("http://a.net/es/1") + "'</script>"),
     (13, "http://n.net/fr/", None), (14, "http://w.com", None), (None, "http://e.org/p/r", None), (16, "http://f.org?x", '<link rel="stylesheet" href="http://a.net/es/1"><link rel="canonical"><link rel=canonical href=/z>'),
 ]
 
