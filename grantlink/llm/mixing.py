@@ -1,94 +1,108 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's rows, over and over, form a stream of blocks. Block j of a source of weight w is released at slot floor(j/w)
-and due at slot ceil((j+1)/w); of the released blocks the one with the earliest deadline takes the next slot. So at any
-slot a source has less than one block more or less than its weight asks for.
+A source's rows, over and over, form a stream of blocks, and its target weight gives the rate of its blocks. Block j of
+a source of rate r is released at slot floor(j/r) and due at slot ceil((j+1)/r); of the released blocks the one with the
+earliest deadline takes the next slot. So at any slot a source has less than one block more or less than its rate asks.
 
-Weights are whole shares of a period. The schedule repeats after a period, so only one is simulated, whatever the
-number of blocks: a table of PERIOD rows, from which the place of every block follows by arithmetic.
+Rates are kept to 2**-40, so a small source is as near to its target as a large one. The schedule is a number of slots,
+not of rows: where the stream is longer than SLOTS blocks of BLOCK_ROWS rows, blocks are longer.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import keep, ranked, table, with_row
 
-PERIOD = 1024
 BLOCK_ROWS = 16
+#: Blocks of BLOCK_ROWS rows or more in a stream, about; those of sources with fewer rows come on top.
+SLOTS = 1 << 20
+UNIT = 1 << 40
+#: A source of fewer rows than a block gives them all in each block, and more only if it has more blocks than these.
+SMALL_BLOCKS = 4096
+MOST_SOURCES = 1 << 16
 #: Target weights are the sources' shares to this power, made to sum to one: small sources gain.
 TEMPERATURE = 0.9
 
 
-def whole_weights(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Shares of the period, at least 1 each, by largest remainder; the period grows if sources are many."""
-    if not weights:
-        return {}
-    period = max(period, 4 * len(weights))
-    spare = period - len(weights)
-    total = math.fsum(weights.values())
-    exact = {s: w / total * spare for s, w in weights.items()}
+def block_lengths(count: dict[str, int], weights: dict[str, float], block_rows: int | None = None) -> dict[str, int]:
+    """Rows of a block of each source. The stream's length is what the source that needs most asks for."""
+    total = math.fsum(weights[s] for s in count)
+    stream = max((n * total / weights[s] for s, n in count.items()), default=0)
+    block_rows = block_rows or max(BLOCK_ROWS, math.ceil(stream / SLOTS))
+    return {s: min(block_rows, max(n, math.ceil(weights[s] / total * stream / SMALL_BLOCKS))) for s, n in count.items()}
+
+
+def rates(weights: dict[str, float], lengths: dict[str, int]) -> dict[str, int]:
+    """Blocks of each source in UNIT slots, so that the rows keep to the weights; by largest remainder, at least 1."""
+    exact = {s: Fraction(weights[s]) / n for s, n in lengths.items()}
+    total = sum(exact.values())
+    exact = {s: x / total * (UNIT - len(exact)) for s, x in exact.items()}
     out = {s: 1 + math.floor(x) for s, x in exact.items()}
     order = sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))
-    for s in order[: period - sum(out.values())]:
+    for s in order[: UNIT - sum(out.values())]:
         out[s] += 1
     return out
 
 
-def schedule(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """One period, earliest deadline first: (source, block, release, deadline, slot)."""
-    period = sum(shares.values())
-    window = lambda s, j: (j * period // shares[s], -(-(j + 1) * period // shares[s]))
-    waiting = sorted((0, s, 0) for s in shares)  # release, source, block
-    ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    out = []
-    heapq.heapify(waiting)
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, j)[1], s, j))
-        deadline, s, j = heapq.heappop(ready)
-        out.append((s, j, window(s, j)[0], deadline, slot))
-        if j + 1 < shares[s]:
-            heapq.heappush(waiting, (window(s, j + 1)[0], s, j + 1))
+def schedule(rate: dict[str, int], need: dict[str, int]) -> list[tuple[str, int, int, int]]:
+    """Slot by slot, earliest deadline first: (source, block, release, deadline), until each source has given ``need``
+    blocks."""
+    waiting = [(0, s, 0) for s in sorted(rate)]  # release, source, block
+    ready: list[tuple[int, str, int, int]] = []  # deadline, source, block, release
+    out, left = [], len(rate)
+    while left:
+        while waiting and waiting[0][0] <= len(out):
+            release, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * UNIT // rate[s]), s, j, release))
+        deadline, s, j, release = heapq.heappop(ready)
+        out.append((s, j, release, deadline))
+        left -= j + 1 == need[s]
+        heapq.heappush(waiting, ((j + 1) * UNIT // rate[s], s, j + 1))
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = TEMPERATURE) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """Rows (doc struct, source_key, epoch, block, release, deadline, slot, place): the mixed stream, by slot and place.
 
     The stream ends when each source has given every row once, so nothing is dropped; sources that end earlier start a
     new epoch, as their weight asks. Without ``weights`` the target is the tempered share. A null source is the source
-    ''. Sources without a weight raise; weights without rows are left out. An empty table gives no rows. The number of
-    sources is that of the weights, which are a parameter; only they and a period of slots reach the driver.
+    ''. Repeated rows are rows like others; texts, of whatever length, pass through. Sources without a weight raise, and
+    so do weights of 0 or less, and more than MOST_SOURCES sources: each is scheduled on the driver. Weights without
+    rows are left out. An empty table gives no rows.
     """
     spark = docs.sparkSession
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = keep(with_row(docs.select(doc, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_key"))))
-    count = {r[0]: r[1] for r in rows.groupBy("source_key").count().collect()}
+    count = {r[0]: r[1] for r in rows.groupBy("source_key").count().limit(MOST_SOURCES + 1).collect()}
+    if len(count) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     if weights is None:
         weights = {s: n**temperature for s, n in count.items()}
-    if missing := count.keys() - weights.keys():
+    if missing := [s for s in count if weights.get(s, 0) <= 0]:
         raise ValueError(f"sources without a weight: {sorted(missing)[:5]}")
-    shares = whole_weights({s: weights[s] for s in count})
-    slots = schedule(shares)
-    period = sum(shares.values())
-    at = {(s, j): slot for s, j, _, _, slot in slots}
-    last = {s: -(-n // block_rows) - 1 for s, n in count.items()}
-    end = max((b // shares[s] * period + at[s, b % shares[s]] + 1 for s, b in last.items()), default=0)
-    blocks = {s: end // period * shares[s] + sum(slot < end % period for t, _, _, _, slot in slots if t == s) for s in shares}
-    sizes = spark.createDataFrame([(s, shares[s], count[s], blocks[s] * block_rows) for s in shares], "source_key string, share long, n long, stream long")
-    ranks = ranked(rows.select("row", "source_key"), ["source_key"], ["row"], sum(count.values())).join(F.broadcast(sizes), "source_key")  # a row per weight
+    length = block_lengths(count, weights, block_rows)
+    rate = rates(weights, length)
+    slots = schedule(rate, {s: -(-n // length[s]) for s, n in count.items()})
+    made = dict.fromkeys(count, 0)
+    for s, *_ in slots:
+        made[s] += 1
+    sizes = spark.createDataFrame([(s, length[s], count[s], made[s] * length[s]) for s in count], "source_key string, length long, n long, stream long")
+    ranks = ranked(rows.select("row", "source_key"), ["source_key"], ["row"], sum(count.values())).join(F.broadcast(sizes), "source_key")  # MOST_SOURCES rows
     copies = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("stream") - 1 - F.col("rank")) / F.col("n")))
-    stream = ranks.select("row", "source_key", "share", "n", "rank", F.explode(copies).alias("epoch")).withColumn("at", F.col("epoch") * F.col("n") + F.col("rank"))
-    stream = stream.withColumn("block", F.floor(F.col("at") / block_rows)).withColumn("j", F.col("block") % F.col("share")).withColumn("turn", F.floor(F.col("block") / F.col("share")) * period)
-    table_ = spark.createDataFrame(slots, "source_key string, j long, r long, d long, s long")
-    stream = stream.join(F.broadcast(table_), ["source_key", "j"])  # a row per slot of the period
-    stream = stream.select("row", "epoch", "block", (F.col("turn") + F.col("r")).alias("release"), (F.col("turn") + F.col("d")).alias("deadline"), (F.col("turn") + F.col("s")).alias("slot"), (F.col("at") % block_rows).alias("place"))
+    stream = ranks.select("row", "source_key", "length", "n", "rank", F.explode(copies).alias("epoch")).withColumn("at", F.col("epoch") * F.col("n") + F.col("rank"))
+    stream = stream.select("row", "source_key", "epoch", F.floor(F.col("at") / F.col("length")).alias("block"), (F.col("at") % F.col("length")).alias("place"))
+    names, numbers = [x[0] for x in slots], np.array([x[1:] for x in slots], np.int64).reshape(-1, 3)
+    columns = [pa.array(names, pa.string()), *map(pa.array, numbers.T), pa.array(range(len(slots)), pa.int64())]
+    placed = keep(spark.createDataFrame(pa.table(columns, ["source_key", "block", "release", "deadline", "slot"])))
+    stream = stream.join(placed, ["source_key", "block"]).drop("source_key")
     return rows.join(stream, "row").drop("row")
 
 

@@ -421,17 +421,43 @@ def test_sharding_splits_what_no_shard_holds(spark):
     assert len(got) == 6 and max(got.values()) - min(got.values()) <= 2
 
 
+def brute_schedule(rate, need):
+    """Earliest deadline first by trying all sources at every slot, with exact fractions."""
+    from fractions import Fraction
+
+    w = {s: Fraction(n, mixing.UNIT) for s, n in rate.items()}
+    given, out = dict.fromkeys(rate, 0), []
+    while any(given[s] < need[s] for s in rate):
+        free = [(math.ceil((given[s] + 1) / w[s]), s) for s in rate if math.floor(given[s] / w[s]) <= len(out)]
+        deadline, s = min(free)
+        out.append((s, given[s], math.floor(given[s] / w[s]), deadline))
+        given[s] += 1
+    return out
+
+
 def test_mixing(docs, crowded, empty):
-    got = mixing.mix(docs, block_rows=4).collect()
     counts = collections.Counter(r[3] or "" for r in ROWS)
-    assert {r.doc.doc_id for r in got} == {r[0] for r in ROWS} and len(got) == 4 * (1 + max(r.slot for r in got))
-    assert len({(r.slot, r.place) for r in got}) == len(got) and all(r.release <= r.slot < r.deadline for r in got)
-    shares = mixing.whole_weights({s: n**mixing.TEMPERATURE for s, n in counts.items()})
-    by_slot = sorted({(r.slot, r.source_key) for r in got})
-    seen = collections.Counter()
-    for slot, s in by_slot:
-        seen[s] += 1
-        assert all(abs(seen[x] - (slot + 1) * shares[x] / sum(shares.values())) < 1 for x in shares)
+    for weights in (None, {s: 1.0 + (s == "hot") for s in counts}):
+        got = mixing.mix(docs, weights, block_rows=4).collect()
+        target = weights or {s: n**mixing.TEMPERATURE for s, n in counts.items()}
+        length = mixing.block_lengths(counts, target, 4)
+        assert length == {s: min(4, n) for s, n in counts.items()}
+        assert {r.doc.doc_id for r in got} == {r[0] for r in ROWS} and len({(r.slot, r.place) for r in got}) == len(got)
+        order = sorted({(r.slot, r.source_key, r.block, r.release, r.deadline) for r in got})
+        want = brute_schedule(mixing.rates(target, length), {s: -(-n // length[s]) for s, n in counts.items()})
+        assert [x[1:] for x in order] == want and [x[0] for x in order] == list(range(len(want))) and all(x[3] <= x[0] < x[4] for x in order)
+        assert len(got) == sum(length[x[1]] for x in order)
+        blocks = collections.defaultdict(list)
+        for r in sorted(got, key=lambda r: (r.block, r.place)):
+            blocks[r.source_key].append((r.epoch, r.doc.doc_id))
+        for s, stream in blocks.items():  # each epoch has every row once, in one order
+            one = [d for e, d in stream if e == 0]
+            assert len(one) == counts[s] and [d for _, d in stream] == list(itertools.islice(itertools.cycle(one), len(stream)))
+        rate = {s: target[s] / n for s, n in length.items()}
+        seen = collections.Counter()
+        for slot, s, *_ in order:
+            seen[s] += 1
+            assert all(abs(seen[x] - (slot + 1) * rate[x] / sum(rate.values())) < 1 for x in rate)
     left = mixing.mixed_documents(crowded)
     assert left.columns == crowded.columns and left.select("doc_id").distinct().count() == len({r[0] for r in ROWS})
     assert mixing.mix(empty).count() == 0
@@ -439,6 +465,20 @@ def test_mixing(docs, crowded, empty):
         mixing.mix(docs, {"hot": 1.0})
 
 
+def test_mixing_keeps_small_sources_small():
+    count = {"web": 10**8, "books": 1000, "one": 1}
+    weights = {s: n**mixing.TEMPERATURE for s, n in count.items()}
+    length = mixing.block_lengths(count, weights)
+    need = {s: -(-n // length[s]) for s, n in count.items()}
+    order = mixing.schedule(mixing.rates(weights, length), need)
+    made = collections.Counter(x[0] for x in order)
+    assert made["one"] * length["one"] <= 8 and len(order) < 1.2 * mixing.SLOTS
+    rows = {s: made[s] * length[s] for s in count}
+    for s in count:
+        want = weights[s] / sum(weights.values()) * sum(rows.values())
+        assert abs(rows[s] - want) < length[s] * 1.001 + 1e-6 * want
+
+
 def test_urls(spark):
     link = '<link rel="canonical" href="{}">'
     rows = [
