@@ -1,14 +1,15 @@
 """Quality rules with adaptive thresholds, in DataFrame functions only.
 
-Word statistics of each text, then mergeable quantile sketches (KLL) of four ratios per language and source. A group's
-sketches are merged upwards: to the language and to the whole corpus, whose quantiles stand in for groups with few
-documents. Outer fences of the quartiles replace fixed cutoffs, and a join applies them. Where the quartiles coincide, as
+Word statistics of each text, then mergeable quantile sketches of four ratios per language and source: counts by
+logarithmic bucket (DDSketch, Masson et al. 2019), whose quantiles are off by half of GROWTH - 1 at most, whatever the
+order of the rows. A group's sketches are merged upwards, by adding counts: to the language and to the whole corpus,
+whose quantiles stand in for groups with few documents. Outer fences of the quartiles replace fixed cutoffs, and a join applies them. Where the quartiles coincide, as
 they do where most texts have none of a thing, the upper tail gives the spread.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, keep, table
@@ -21,7 +22,8 @@ FENCE = 3.0
 TIE = 0.01
 #: Documents that a group needs for thresholds of its own.
 GROUP_ROWS = 30
-SKETCH_K = 1024
+#: Ratio of a bucket's bounds. Values from 1e-9 to 1e9 fall into about 4,200 buckets.
+GROWTH = 1.01
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -59,29 +61,37 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def sketches_of(good: DataFrame) -> DataFrame:
+    """Rows (lang, source, ratio, value, count): a bucket of a group's sketch, by the value that stands for it."""
+    bucket = lambda x: F.when(x > 0, F.ceil(F.log(x) / F.log(F.lit(GROWTH))))
+    each = good.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(r).alias("ratio"), bucket(_ratio(r)).alias("bucket")) for r in RATIOS])).alias("x"))
+    value = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(2 * F.pow(F.lit(GROWTH), "bucket") / (GROWTH + 1))
+    return each.groupBy("lang", "source", "x.ratio", "x.bucket").count().select("lang", "source", "ratio", value.alias("value"), "count")
+
+
 def thresholds(stats: DataFrame) -> DataFrame:
     """Rows (lang, source, low_x, high_x): fences for each group of ``stats`` (lang, source, base_failed, statistics).
 
     Only documents that pass the base rules shape them. Sketches are aggregated with a map-side part, so a source with
-    most of the rows makes no hot task.
+    most of the rows makes no hot task; what follows sees buckets, not documents.
     """
-    good = stats.where(~F.col("base_failed"))
-    sketches = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(_ratio(r), F.lit(SKETCH_K)).alias(r) for r in RATIOS])
-    sketches = keep(sketches)
-    merged = [F.kll_merge_agg_double(r).alias(r) for r in RATIOS]
+    sketches = keep(sketches_of(stats.where(~F.col("base_failed"))))
 
-    def level(df: DataFrame, name: str, *keys: str, always: bool = False) -> DataFrame:
+    def level(name: str, *keys: str, always: bool = False) -> DataFrame:
         """Quartiles and spreads. A tail counts if as many documents lie beyond it as beyond a quartile of GROUP_ROWS."""
+        merged = sketches.groupBy(*keys, "ratio", "value").agg(F.sum("count").alias("count"))
+        group = Window.partitionBy(*keys, "ratio")
+        merged = merged.withColumn("n", F.sum("count").over(group)).withColumn("upto", F.sum("count").over(group.orderBy("value")))
+        at = lambda r, q: F.min(F.when((F.col("ratio") == r) & (F.col("upto") >= q * F.col("n")), F.col("value")))
+        found = merged.groupBy(*keys).agg(F.max("n").alias("n"), *[at(r, q).alias(f"{x}_{r}") for r, (end, _) in RATIOS.items() for x, q in (("q1", 0.25), ("q3", 0.75), ("top", end))])
         out = []
         for r, (end, _) in RATIOS.items():
-            q1, q3, top = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75, end))
+            q1, q3, top = (F.col(f"{x}_{r}") for x in ("q1", "q3", "top"))
             tail = top - q3 if always else F.when(F.col("n") * (1 - end) >= GROUP_ROWS / 4, top - q3)
             out += [q1.alias(f"q1_{r}"), q3.alias(f"q3_{r}"), (q3 - q1).alias(f"iqr_{r}"), tail.alias(f"tail_{r}")]
-        return df.select(*keys, "n", F.struct(*out).alias(name))
+        return found.select(*keys, "n", F.struct(*out).alias(name))
 
-    by_lang = level(sketches.groupBy("lang").agg(F.sum("n").alias("n"), *merged), "of_lang", "lang")
-    overall = level(sketches.agg(F.sum("n").alias("n"), *merged).where("n > 0"), "of_all", always=True)
-    own = level(sketches, "own", "lang", "source").alias("s")
+    by_lang, overall, own = level("of_lang", "lang"), level("of_all", always=True).where("n > 0"), level("own", "lang", "source").alias("s")
     joined = own.join(by_lang.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang")), "left").join(overall.alias("a"), F.lit(True), "left")  # the last is one row
     pick = F.when(F.col("s.n") >= GROUP_ROWS, F.col("own")).when(F.col("l.n") >= GROUP_ROWS, F.col("of_lang")).otherwise(F.col("of_all"))
     joined = joined.select(F.col("s.lang").alias("lang"), F.col("s.source").alias("source"), pick.alias("f"), "own", "of_lang", "of_all")
@@ -97,9 +107,9 @@ def thresholds(stats: DataFrame) -> DataFrame:
     return keep(joined.select("lang", "source", *out))
 
 
-def _verdict(stats: DataFrame) -> DataFrame:
-    """Adds kept. Thresholds have a row per group, and Spark broadcasts them if they are small."""
-    limits = thresholds(stats).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+def _verdict(stats: DataFrame, limits: DataFrame) -> DataFrame:
+    """Adds kept. ``limits`` have a row per group, and Spark broadcasts them if they are small."""
+    limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = stats.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     fine = F.lit(True)
     for r, (_, both) in RATIOS.items():
@@ -113,17 +123,25 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     A null or empty text has no words and fails the base rules. Null languages and sources are groups like others.
-    Repeated rows and ties are judged alike.
+    Repeated rows and ties are judged alike, and so is a table read in another order. Very long texts are read whole.
     """
     stats = word_statistics(docs.select("doc_id", "lang", "source", "text")).select("doc.doc_id", "doc.lang", "doc.source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-    judged = _verdict(keep(stats.withColumn("base_failed", base_failed())))
+    stats = keep(stats.withColumn("base_failed", base_failed()))
+    judged = _verdict(stats, thresholds(stats))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rejected ones; columns pass through."""
-    stats = keep(word_statistics(docs).withColumn("base_failed", base_failed()).select("doc", F.col("doc.lang").alias("lang"), F.col("doc.source").alias("source"), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"))
-    return _verdict(stats).where("kept").select("doc.*")
+    """``docs`` without the rejected ones; columns pass through.
+
+    The statistics are made twice, for the thresholds and for the verdict, so that no text is written or shuffled.
+    """
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    groups = [F.col("doc.lang").alias("lang"), F.col("doc.source").alias("source")]
+    limits = thresholds(keep(word_statistics(docs).select(*groups, *names).withColumn("base_failed", base_failed())))
+    # through explode, the conditions stay above the statistics and do not repeat their expressions
+    stats = word_statistics(docs).select("doc", F.explode(F.array(F.struct(*names))).alias("x")).select("doc", *groups, "x.*")
+    return _verdict(stats.withColumn("base_failed", base_failed()), limits).where("kept").select("doc.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
