@@ -1,9 +1,9 @@
 """Language ID by Bayesian fusion of evidence.
 
 The likelihood of the text (byte trigrams) is combined with the likelihood of the declared markup language, that of the
-address suffix, and a prior of the host. The last three come from grouped aggregation over all pages: the languages
-that the text alone suggests are counted by declaration, suffix, host and domain. Host priors are smoothed towards their
-domain's, and those towards the whole corpus.
+address suffix, and a prior of the host. The last three come from grouped aggregation over all pages: the languages that the text
+alone suggests are counted by declaration, suffix, host and domain. A page's own guess is taken off every count that
+judges it, so its text counts once. Host priors are smoothed towards their domain's, and those towards the whole corpus.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from .common import keep, table, utf8, widened, with_row
 from .urls import host_of
 
 BINS = 1 << 15
-#: The text model is fitted on about so many labelled documents at most, chosen by a hash of their text.
-SAMPLE = 8000
+#: The text model is fitted on about so many different labelled texts of each language, chosen by a hash of the text.
+SAMPLE = 2000
 #: Weight of a trigram: each byte lies in three.
 TEMPER = 1 / 3
 STRENGTH = 5.0
@@ -53,10 +53,13 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages, and log10 probabilities (language, bin), of labelled documents (lang, text)."""
+    """Languages, and log10 probabilities (language, bin), of labelled documents (lang, text). Equal texts of a language
+    count once; a language with fewer than ``sample`` of them is fitted on all."""
     labelled = documents.where("lang is not null and text is not null").select("lang", utf8("text").alias("_utf8"))
-    share = min(1.0, sample / max(1, labelled.count()))
-    chosen = labelled.where(F.pmod(F.xxhash64("_utf8"), F.lit(1_000_000)) < share * 1_000_000)
+    hashed = F.xxhash64("_utf8")
+    sizes = labelled.select("lang", hashed.alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    chosen = labelled.join(F.broadcast(sizes), "lang").where(F.pmod(hashed, F.lit(1_000_003)) * F.col("n") < F.lit(sample * 1_000_003))  # a row per language
+    chosen = chosen.groupBy("lang", hashed.alias("h")).agg(F.first("_utf8").alias("_utf8")).select("lang", "_utf8")
     counts = chosen.mapInArrow(_fit, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()  # BINS rows a language
     langs = sorted(counts["lang"].unique())
     n = np.full((len(langs), BINS), 0.5)
@@ -85,7 +88,8 @@ def identify_languages(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """One row per page: page_id, host, declared, lang, probability, text_lang (by the text alone).
 
     ``documents`` (lang, text) are the labelled ones. A null or empty page has a flat text likelihood and goes by its
-    other evidence; null urls have host ''. Without labelled documents lang is null. Repeated rows stay and count.
+    other evidence; null urls have host ''. Very long pages are read whole. Without labelled documents lang is null.
+    Repeated rows stay and count; so do ties of the text, for the first language by name. Other columns play no part.
     """
     spark = pages.sparkSession
     langs, model = fit(documents)
@@ -102,20 +106,19 @@ def identify_languages(pages: DataFrame, documents: DataFrame) -> DataFrame:
     rows = keep(with_row(rows.withColumn("guess", F.when(~flat | F.lit(len(langs) == 1), F.array_position("text_score", F.array_max("text_score")).cast("int") - 1))))
     names = F.array(*map(F.lit, langs))
     overall = _counts(rows, langs).select(F.col("c").alias("c_all"))  # one row
-    by_suffix, by_declared = (_counts(rows, langs, k).withColumnRenamed("c", f"c_{k}") for k in ("suffix", "declared"))
-    by_domain = _counts(rows, langs, "domain").withColumnRenamed("c", "c_domain")
-    by_host = _counts(rows, langs, "host", "domain").withColumnRenamed("c", "c_host")
-    n_suffix, n_declared = rows.agg(F.approx_count_distinct("suffix"), F.approx_count_distinct("declared")).first()
-    shrunk = lambda c, prior: F.zip_with(c, prior, lambda x, p: (x + STRENGTH * p))
-    normal = lambda c: F.transform(c, lambda x: x / _sum(c))
-    priors = by_host.join(by_domain, "domain").crossJoin(F.broadcast(overall))
-    priors = priors.withColumn("p_all", F.transform("c_all", lambda x: (x + 1) / (_sum("c_all") + len(langs))))
-    priors = priors.withColumn("p_domain", normal(shrunk("c_domain", "p_all"))).withColumn("prior", normal(shrunk("c_host", "p_domain"))).select("host", "prior")
+    by_suffix, by_declared, by_domain, by_host = (_counts(rows, langs, k).withColumnRenamed("c", f"c_{k}") for k in ("suffix", "declared", "domain", "host"))
+    values = overall.join(by_suffix.agg(F.count(F.lit(1)).alias("n_suffix"))).join(by_declared.agg(F.count(F.lit(1)).alias("n_declared")))  # one row
+    seen = rows.join(by_host, "host").join(by_domain, "domain").join(by_suffix, "suffix").join(by_declared, "declared").crossJoin(F.broadcast(values))
+    own = F.array(*[F.when(F.col("guess") == i, 1.0).otherwise(0.0) for i in range(len(langs))])
+    seen = seen.withColumn("own", own).withColumns({f"c_{k}": F.zip_with(f"c_{k}", "own", lambda x, y: x - y) for k in ("suffix", "declared", "domain", "host", "all")})
+    seen = seen.withColumns({f"t_{k}": _sum(f"c_{k}") for k in ("domain", "host", "all")})
+    seen = seen.withColumn("p", F.transform("c_all", lambda x: (x + 1) / (F.col("t_all") + len(langs))))
+    for k in ("domain", "host"):
+        seen = seen.withColumn("p", F.zip_with(f"c_{k}", "p", lambda x, p: (x + STRENGTH * p) / (F.col(f"t_{k}") + STRENGTH)))  # noqa: B023
     # P(suffix | language) and P(declaration | language), with one more count for each value
-    likelihood = lambda c, n: F.zip_with(c, "c_all", lambda x, t: (x + 1) / (t + n))
-    seen = rows.join(priors, "host").join(by_suffix, "suffix").join(by_declared, "declared").crossJoin(F.broadcast(overall))
-    seen = seen.withColumn("like_suffix", likelihood("c_suffix", n_suffix + 1)).withColumn("like_declared", likelihood("c_declared", n_declared + 1))
-    one = lambda i: F.when(flat, 0.0).otherwise(F.get("text_score", F.lit(i))) + F.log10(F.get("prior", F.lit(i))) + F.when(F.col("suffix") == "", 0.0).otherwise(F.log10(F.get("like_suffix", F.lit(i)))) + F.when(F.col("declared") == "", 0.0).otherwise(F.log10(F.get("like_declared", F.lit(i))))
+    likelihood = lambda k: F.zip_with(f"c_{k}", "c_all", lambda x, t: (x + 1) / (t + F.col(f"n_{k}") + 1))
+    seen = seen.withColumns({f"like_{k}": likelihood(k) for k in ("suffix", "declared")})
+    one = lambda i: F.when(flat, 0.0).otherwise(F.get("text_score", F.lit(i))) + F.log10(F.get("p", F.lit(i))) + sum(F.when(F.col(k) == "", 0.0).otherwise(F.log10(F.get(f"like_{k}", F.lit(i)))) for k in ("suffix", "declared"))
     seen = seen.withColumn("score", F.array(*[one(i) for i in range(len(langs))])).withColumn("best", F.array_max("score"))
     mass = F.aggregate("score", F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - F.col("best")))
     at = lambda i: F.get(names, i)

@@ -177,6 +177,58 @@ def test_quality_fences_follow_the_spread(spark):
     assert high["narrow"] < 0.1 < 0.6 < high["wide"]
 
 
+def brute_kept(rows):
+    """Verdicts of (lang, source, ratios) rows by sorted lists of bucket values instead of sketches."""
+    grid = lambda x: 0.0 if x <= 0 else 2 * quality.GROWTH ** math.ceil(math.log(x) / math.log(quality.GROWTH)) / (quality.GROWTH + 1)
+
+    def level(group, always=False):
+        out = {}
+        for r, (end, _) in quality.RATIOS.items():
+            x = sorted(grid(g[2][r]) for g in group)
+            q1, q3, top = (x[max(1, math.ceil(q * len(x) - 1e-12)) - 1] for q in (0.25, 0.75, end))
+            out[r] = q1, q3, top - q3 if always or len(x) * (1 - end) >= quality.GROUP_ROWS / 4 else None
+        return len(group), out
+
+    verdicts = []
+    for lang, source, ratios in rows:
+        levels = [level([g for g in rows if g[:2] == (lang, source)]), level([g for g in rows if g[0] == lang]), level(rows, True)]
+        fences = levels[0][1] if levels[0][0] >= quality.GROUP_ROWS else levels[1][1] if levels[1][0] >= quality.GROUP_ROWS else levels[2][1]
+        fine = True
+        for r, (_, both) in quality.RATIOS.items():
+            q1, q3, _ = fences[r]
+            spread = max(q3 - q1, next(x[1][r][2] for x in levels if x[1][r][2] is not None))
+            if both:
+                for _, x in levels[1:]:
+                    if spread <= quality.TIE:
+                        spread = max(v for v in (x[r][1] - x[r][0], x[r][2]) if v is not None)
+            spread = quality.FENCE * max(spread, quality.TIE)
+            fine = fine and ratios[r] <= q3 + spread and (not both or ratios[r] >= q1 - spread)
+        verdicts.append(fine)
+    return verdicts
+
+
+def test_quality_verdicts_match_sorted_lists(spark):
+    r = random.Random(12)
+    rows = []
+    for i in range(420):
+        lang, source = r.choice([("en", "a"), ("en", "a"), ("en", "b"), ("de", "a"), (None, "c"), ("fr", None)])
+        odd = r.random()
+        w = [r.choice(VOCABULARY) * (4 if odd > 0.97 else 1) + ("|" if r.random() < (0.5 if odd < 0.05 else 0.03) else "") for _ in range(r.randint(55, 120))]
+        text = " ".join(w) + ("\n" + " ".join(w[:8])) * (r.choice([2, 9]) if odd < 0.1 or 0.5 < odd < 0.6 else 0)
+        rows.append((i, text, lang, source))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {x.doc_id: x for x in quality.judge_quality(docs).collect()}
+    again = {x.doc_id: x for x in quality.judge_quality(docs.repartition(7, "text")).collect()}
+    assert got == again
+    good = [x for x in rows if not got[x[0]].base_failed]
+    ratios = []
+    for i, text, lang, source in good:
+        g, lines = got[i], [x for x in text.split("\n") if words(x)]
+        ratios.append((lang, source, {"word_length": g.word_chars / g.n_words, "symbol_ratio": g.n_symbols / g.n_words, "dup_line_ratio": g.n_dup_lines / len(lines), "repeat_ratio": g.n_repeat_words / g.n_words}))
+    want = brute_kept(ratios)
+    assert [got[x[0]].kept for x in good] == want and 5 < want.count(False) < 100
+
+
 def brute_hits(text, items):
     split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or "")) if w]
     w, hit, found = split(text), set(), set()
@@ -535,6 +587,45 @@ def test_language(spark):
     assert {r.lang for r in language.identify_languages(pages, documents.limit(0)).collect()} == {None}
 
 
+def test_language_matches_brute_force(spark):
+    r = random.Random(4)
+    vocabulary = {"en": "the and with that thing of house".split(), "fr": "le et avec cette chose de maison".split(), "de": "das und mit dieser sache von haus".split(), "nl": ["huis", "het"]}
+    documents = spark.createDataFrame([(k, " ".join(r.choices(v, k=9)), i) for k, v in vocabulary.items() for i in range(3 if k == "nl" else 40)] + [("en", None, 0), (None, "x", 0)], "lang string, text string, row int")
+    rows = []
+    for i in range(200):
+        host = r.choice(["", "a.x.com", "a.x.com", "a.x.com", "b.x.com", "c.y.de", "z.fr", "rare%d.net" % i])
+        said = r.choice(["", ' lang="en"', " lang=DE-at", " lang='fr'"])
+        text = " ".join(r.choice(vocabulary[r.choice(["en", "fr", "de"])]) for _ in range(r.choice([0, 1, 2, 6])))
+        rows.append((i % 150, None if not host else f"http://{host}/p", r.choice([None, f"<html{said}><p>{text}"]) if i % 9 == 0 else f"<html{said}><p>{text}", "clash", "own"))
+    rows.append((500, "http://a.x.com/", "<html lang=en>" + "<p>das und mit</p> " * 20_000, "", ""))
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string, lang string, own string")
+    langs, model = language.fit(documents)
+    assert langs == sorted(vocabulary)
+    k = len(langs)
+    seen = []
+    for _, url, html, *_ in rows:
+        host = url.split("/")[2] if url else ""
+        declared = (re.search(r"<html lang=[\"']?([A-Za-z]{2})", html or "") or ["", ""])[1].lower()
+        score = language.TEMPER * (model @ language.trigram_counts(language.visible((html or "").encode())))
+        flat = len(set(score.tolist())) == 1
+        domain = ".".join(host.split(".")[-2:]) if "." in host else ""
+        seen.append(dict(host=host, domain=domain, suffix=host.split(".")[-1], declared=declared, score=score, flat=flat, guess=None if flat else int(np.argmax(score))))
+    got = language.identify_languages(pages, documents).collect()
+    assert len(got) == len(rows)
+    want = collections.Counter()
+    for n, x in enumerate(seen):
+        count = lambda key: np.array([sum(y["guess"] == i and (key is None or y[key] == x[key]) for m, y in enumerate(seen) if m != n) for i in range(k)], float)  # noqa: B023, E731
+        p = (count(None) + 1) / (count(None).sum() + k)
+        for key in ("domain", "host"):
+            p = (count(key) + language.STRENGTH * p) / (count(key).sum() + language.STRENGTH)
+        total = (0 if x["flat"] else x["score"]) + np.log10(p)
+        for key in ("suffix", "declared"):
+            if x[key]:
+                total = total + np.log10((count(key) + 1) / (count(None) + len({y[key] for y in seen}) + 1))
+        want[rows[n][0], x["host"], x["declared"], langs[int(np.argmax(total))], round(1 / float((10 ** (total - total.max())).sum()), 6)] += 1
+    assert collections.Counter((g.page_id, g.host, g.declared, g.lang, round(g.probability, 6)) for g in got) == want
+
+
 def test_pipeline(spark, tmp_path):
     rows = [r for r in ROWS if r[0] is not None]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
