@@ -5,7 +5,8 @@ holds one bit of 64 fingerprints, and carry-save counters update 64 distances wi
 A block of 64 is abandoned as soon as all its distances exceed the radius.
 
 Buckets come from the pigeonhole principle: of five bit ranges, two at least are equal in fingerprints that differ in
-at most three bits, so ten tables of two ranges each miss no link. A bucket with too many fingerprints is cut into
+at most three bits, so ten tables of two ranges each miss no link. Very many fingerprints take more ranges, which makes
+more tables with smaller buckets (six: twenty of three ranges) and finds the same links. A bucket with too many fingerprints is cut into
 tiles, so that no task holds a whole hot bucket and still every pair meets. A task returns a spanning forest of the
 links that it found, never all pairs.
 """
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import components, keep, table, utf8, widened, with_row
 
-RANGES = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, bits
+RADIUS = 3
+#: Random fingerprints in a bucket, about, up to which a number of ranges serves.
+CROWD = 64
 TILE = 4096
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -174,11 +177,25 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(g, f)
 
 
+def ranges_for(count: int) -> list[tuple[int, int]]:
+    """The fewest bit ranges (first bit, bits) whose tables leave CROWD random fingerprints to a bucket, or fewer."""
+    for n in range(RADIUS + 2, 64):
+        bits = [64 // n + (i < 64 % n) for i in range(n)]
+        if count <= CROWD << sum(sorted(bits)[: n - RADIUS]) or n == 9:
+            return [(sum(bits[:i]), b) for i, b in enumerate(bits)]
+
+
 def links(fps: DataFrame) -> DataFrame:
     """Distinct fingerprints (fp) to edges (a, b) with the components of all pairs that differ in 3 bits or fewer."""
-    parts = [F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1)) for first, bits in RANGES]
-    pairs = list(itertools.combinations(range(len(RANGES)), 2))
-    keys = [F.lit(n << 26) + F.shiftleft(parts[i], 13) + parts[j] for n, (i, j) in enumerate(pairs)]
+    ranges = ranges_for(fps.count())
+    parts = [F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1)) for first, bits in ranges]
+    tables = list(itertools.combinations(range(len(ranges)), len(ranges) - RADIUS))
+    keys = []
+    for n, chosen in enumerate(tables):
+        key = F.lit(n).cast("bigint")
+        for i in chosen:
+            key = F.shiftleft(key, ranges[i][1]).bitwiseOR(parts[i])
+        keys.append(key)
     rows = fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
     hot = keep(rows.groupBy("bucket").count().where(F.col("count") > TILE).select("bucket", F.ceil(F.col("count") / TILE).cast("int").alias("cuts")))
     if not hot.isEmpty():

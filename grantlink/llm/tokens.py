@@ -21,8 +21,9 @@ from .common import table, utf8, widened
 MARK = "▁"
 NONE = np.int64(1 << 40)
 LIMIT = 4096
-#: Cuts whose counts a worker remembers at most; beyond it, it starts anew.
+#: Cuts whose counts a worker remembers, and their characters; beyond either it starts anew.
 REMEMBERED = 300_000
+REMEMBERED_CHARS = 16_000_000
 
 
 @dataclass
@@ -141,10 +142,11 @@ class Counter:
     """Counts tokens of texts, batch by batch."""
 
     def __init__(self, pieces: Pieces):
-        self.p, self.tokens, self.lone = pieces, {}, set()
+        self.p, self.tokens, self.lone, self.chars = pieces, {}, set(), 0
 
     def learn(self, cuts: set[str]) -> None:
         new = list(cuts)
+        self.chars += sum(map(len, new))
         size, begin = 0, 0
         for n, c in enumerate(new):  # some at a time
             size += len(c)
@@ -164,8 +166,8 @@ class Counter:
             cuts.append((t.replace("\n", " \n") if self.p.barrier else t).split(" ") if t else [])
         wanted = set().union(*cuts)
         wanted.discard("")
-        if len(self.tokens) > REMEMBERED:
-            self.tokens, self.lone = {}, set()
+        if len(self.tokens) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.tokens, self.lone, self.chars = {}, set(), 0
         self.learn(wanted - self.tokens.keys())
         get, run = self.tokens.__getitem__, self.p.marks
         for t, parts in zip(texts, cuts, strict=True):

@@ -142,6 +142,23 @@ def test_hot_bucket_is_cut_into_tiles(spark, monkeypatch):
     assert {r.root for r in common.components(edges).collect()} == {min(fps)} and edges.count() < len(fps) ** 2 / 20
 
 
+@pytest.mark.parametrize("count", [1, 1 << 33, 1 << 40, 1 << 60])
+def test_more_ranges_find_the_same_links(spark, monkeypatch, count):
+    ranges = simhash.ranges_for(count)
+    assert len(ranges) == {0: 5, 33: 6, 40: 7, 60: 9}[count.bit_length() - 1] and [f for f, _ in ranges] == [0, *itertools.accumulate(b for _, b in ranges)][:-1] and sum(ranges[-1]) == 64
+    monkeypatch.setattr(simhash, "ranges_for", lambda n: ranges)
+    r = random.Random(6)
+    fps = [r.getrandbits(64) for _ in range(40)]
+    fps += [x ^ sum(1 << b for b in r.sample(range(64), k)) for x in fps for k in (1, 3, 4)]
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    found = {x.node: x.root for x in common.components(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long").distinct())).collect()}
+    want = brute_components(fps)
+    groups = collections.defaultdict(set)
+    for x, w in zip(signed, want, strict=True):
+        groups[w].add(found.get(x, x))
+    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+
+
 def test_quality(docs, crowded, empty):
     got = quality.judge_quality(docs).collect()
     assert len(got) == len(ROWS)
@@ -465,6 +482,12 @@ def test_sharding(docs, empty):
         whole[text[r.doc_id]].add(r.shard)
     assert all(len(s) == 1 for t, s in whole.items())
     assert sharding.shard(empty, 4).count() == 0
+    # small groups even the shards out
+    many = [(i, "x" * (i * 37 % 101), "en", "s") for i in range(400)] + [(400 + i, f"{i:0{i % 50 + 5}}", "en", "s") for i in range(400)]
+    bins = collections.Counter()
+    for r in sharding.shard(docs.sparkSession.createDataFrame(many, SCHEMA), 7).collect():
+        bins[r.shard] += r.size
+    assert len(bins) == 7 and max(bins.values()) <= 1.01 * sum(bins.values()) / 7
 
 
 def test_sharding_splits_what_no_shard_holds(spark):
@@ -626,6 +649,14 @@ def test_language_matches_brute_force(spark):
     assert collections.Counter((g.page_id, g.host, g.declared, g.lang, round(g.probability, 6)) for g in got) == want
 
 
+def test_clashing_columns_play_no_part(docs, crowded):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    for f in (sharding.shard, quality.judge_quality, lm.score_documents, lambda d: tokens.token_counts(d, path), secrets.scan_secrets, simhash.near_duplicates):
+        assert sorted(map(repr, f(docs.drop("slot")).drop("slot", "score", "base_score").collect())) == sorted(map(repr, f(crowded).drop("slot", "score", "base_score").collect()))
+
+
 def test_pipeline(spark, tmp_path):
     rows = [r for r in ROWS if r[0] is not None]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
@@ -638,4 +669,27 @@ def test_pipeline(spark, tmp_path):
     left = [r for i, r in enumerate(left) if roots[i] == i]
     left = [r for r in left if not ((h := brute_hits(r[1], [(1, item)]))[1] > 0 and 20 * h[1] >= h[0])]
     assert {r.doc_id for r in got} == {r[0] for r in left} and 30 not in {r.doc_id for r in got}
+    epochs = collections.Counter(r.doc_id for r in got)
+    counts = collections.Counter(r[3] or "" for r in left)
+    weights = {s: n**mixing.TEMPERATURE for s, n in counts.items()}
+    length = mixing.block_lengths(counts, weights)
+    made = collections.Counter(x[0] for x in brute_schedule(mixing.rates(weights, length), {s: -(-n // length[s]) for s, n in counts.items()}))
+    rows_of = collections.defaultdict(list)
+    for r in left:
+        rows_of[r[3] or ""].append(epochs[r[0]])
+    for s, n in counts.items():  # as many whole epochs as the schedule gives, and one more for some
+        assert sum(rows_of[s]) == made[s] * length[s] and {made[s] * length[s] // n} <= set(rows_of[s]) <= {made[s] * length[s] // n, made[s] * length[s] // n + 1}
+    text = {r[0]: r[1] or "" for r in left}
+    assert all((r.size, r.text_crc32) == (len(text[r.doc_id].encode()) + 8, zlib.crc32(text[r.doc_id].encode())) for r in got)
+    for n in range(sharding.SHARDS):
+        assert sorted(r.slot for r in got if r.shard == n) == list(range(sum(r.shard == n for r in got)))
+    bins = collections.Counter()
+    for r in got:
+        bins[r.shard] += r.size
+    whole = collections.Counter()
+    for r in got:
+        whole[text[r.doc_id]] += r.size
+    fair = -(-sum(bins.values()) // sharding.SHARDS)
+    assert all(len({r.shard for r in got if text[r.doc_id] == t}) == 1 for t, n in whole.items() if n <= fair)
+    assert max(bins.values()) <= 1.1 * max(fair, max(r.size for r in got), max(n for n in whole.values() if n <= fair))
     assert len(corpus_pipeline.STAGES) == 5
