@@ -10,34 +10,49 @@ def _kinds(country: Column, home: str) -> dict[str, Column]:
     return {"uk": country == home, "abroad": (country != home) & (country != ""), "unknown": country == ""}
 
 
+def _first_entries(works: DataFrame) -> DataFrame:
+    """(id, author_id, country): the first entry of each author on a paper."""
+    entry = works.select("id", F.posexplode("authorships").alias("pos", "a")).select("id", "pos", "a.author_id", "a.country").where("author_id is not null")
+    return entry.groupBy("id", "author_id").agg(F.min(F.struct("pos", "country")).alias("f")).select("id", "author_id", F.col("f.country").alias("country"))
+
+
 def author_papers(works: DataFrame, matched: DataFrame, home: str) -> DataFrame:
     """A row per paper and matched author. ``works``: id, year, fwci, cited_by_count, authorships[author_id, country].
 
     Only the first entry of an author on a paper counts; one without country (null) neither counts nor appears, and ''
     is an unknown country. Linear in authorships: a paper's totals are made once, and a matched author's own part is
-    taken off, so no pair of co-authors is ever made.
+    taken off, so no pair of co-authors is made.
     """
-    entry = works.select("id", F.posexplode("authorships").alias("pos", "a")).select("id", "pos", "a.author_id", "a.country").where("author_id is not null")
-    first = entry.groupBy("id", "author_id").agg(F.min(F.struct("pos", "country")).alias("f")).select("id", "author_id", F.col("f.country").alias("country"))
-    people = F.collect_list(F.when(F.col("country").isNotNull(), F.struct("author_id", "country")))
-    totals = first.groupBy("id").agg(people.alias("people"), *[F.count_if(c).alias(f"all_{k}") for k, c in _kinds(F.col("country"), home).items()])
+    first = _first_entries(works)
+    totals = first.groupBy("id").agg(*[F.count_if(c).alias(f"all_{k}") for k, c in _kinds(F.col("country"), home).items()])
     own = first.join(matched.select("author_id").distinct(), "author_id", "left_semi")
     rows = own.join(totals, "id").join(works.select("id", "year", "fwci", "cited_by_count"), "id")
     mine = {k: F.coalesce(c, F.lit(False)).cast("bigint") for k, c in _kinds(F.col("country"), home).items()}
-    others = F.filter("people", lambda p: p["author_id"] != F.col("author_id"))
-    countries = F.array_sort(F.array_distinct(F.filter(F.transform(others, lambda p: p["country"]), lambda c: c != "")))
     return rows.select(
         "id", "author_id", "year", "fwci", "cited_by_count", F.when(F.col("country").isNotNull(), F.array("country")).otherwise(F.array().cast("array<string>")).alias("affiliation_countries"),
         *[mine[k].alias(f"n_affils_{k}") for k in mine], *[(F.col(f"all_{k}") - mine[k]).alias(f"n_collab_{k}") for k in mine],
-        countries.alias("collab_countries"), F.array_sort(F.transform(others, lambda p: p["author_id"])).alias("collab_ids"),
     )
 
 
+def collaborators(works: DataFrame, matched: DataFrame) -> DataFrame:
+    """Distinct (author_id, year, collab_id, country): who else is on a matched author's papers of a year, with a country
+    ('' if unknown). Pairs are rows, made distinct before they are shuffled; no list of people is held."""
+    first = _first_entries(works)
+    own = first.join(matched.select("author_id").distinct(), "author_id", "left_semi").join(works.select("id", "year"), "id").select("id", "author_id", "year")
+    others = first.where("country is not null").select("id", F.col("author_id").alias("collab_id"), "country")
+    return own.join(others, "id").where("author_id <> collab_id").select("author_id", "year", "collab_id", "country").distinct()
+
+
 def author_years(papers: DataFrame) -> DataFrame:
     """Author-years of ``author_papers``."""
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    countries = F.array_sort(F.array_distinct(F.flatten(F.collect_set("affiliation_countries"))))
     sums = [F.sum(f"n_{w}_{k}").alias(f"n_{w}_{k}") for w in ("affils", "collab") for k in ("uk", "abroad", "unknown")]
-    return papers.groupBy("author_id", "year").agg(
-        union("affiliation_countries").alias("affiliation_countries"), *sums, F.avg("fwci").alias("fwci"), F.sum("cited_by_count").alias("cited_by_count"),
-        union("collab_countries").alias("unique_collab_countries"), union("collab_ids").alias("unique_collab_ids"), F.count(F.lit(1)).alias("n_pubs"),
-    )
+    return papers.groupBy("author_id", "year").agg(countries.alias("affiliation_countries"), *sums, F.avg("fwci").alias("fwci"), F.sum("cited_by_count").alias("cited_by_count"), F.count(F.lit(1)).alias("n_pubs"))
+
+
+def with_collaborators(years: DataFrame, collabs: DataFrame) -> DataFrame:
+    """Author-years with unique_collab_ids and unique_collab_countries (without unknown ones), sorted."""
+    sets = collabs.groupBy("author_id", "year").agg(F.array_sort(F.collect_set("collab_id")).alias("unique_collab_ids"), F.array_sort(F.collect_set(F.nullif("country", F.lit("")))).alias("unique_collab_countries"))
+    out = years.join(sets, ["author_id", "year"], "left")
+    none = F.array_remove(F.array(F.lit("")), "")
+    return out.withColumns({"unique_collab_ids": F.coalesce("unique_collab_ids", none.cast(dict(sets.dtypes)["unique_collab_ids"])), "unique_collab_countries": F.coalesce("unique_collab_countries", none)})

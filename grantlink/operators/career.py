@@ -26,48 +26,70 @@ def _by_author(refs: DataFrame, years: DataFrame, *aggs: Column) -> DataFrame:
     return refs.where("ref_year is not null").join(years, "author_id").groupBy(*KEYS).agg(*aggs)
 
 
-def collaborations(refs: DataFrame, years: DataFrame, home: str) -> DataFrame:
-    """Collaborators and their countries. Country counts are of years, not papers; unknown countries only count among
-    the distinct collaborators."""
+def _collab_aggs(home: str) -> list[Column]:
     aggs = []
     for side, on in SIDES.items():
         uk, abroad = F.coalesce(F.sum(on(F.col("n_collab_uk"))), F.lit(0)), F.coalesce(F.sum(on(F.col("n_collab_abroad"))), F.lit(0))
         aggs += [(uk + abroad).alias(f"total_collabs_{side}"), F.bround(F.try_divide(abroad, uk + abroad), 3).alias(f"foreign_collab_fraction_{side}")]
-        foreign = F.flatten(F.collect_list(on(F.filter("unique_collab_countries", lambda c: c != home))))
-        aggs.append(F.array_sort(F.array_distinct(foreign)).alias(f"collab_countries_list_{side}"))
-    base = _by_author(refs, years, *aggs)
-    # distinct collaborators from an exploded table: a prolific author makes no large array
-    ids = refs.where("ref_year is not null").join(years.select("author_id", "year", F.explode("unique_collab_ids").alias("c")), "author_id")
-    ids = ids.groupBy(*KEYS, "c").agg(*[F.max(on(F.lit(1))).alias(s) for s, on in SIDES.items()])
-    ids = ids.groupBy(*KEYS).agg(*[F.count(s).alias(f"unique_collabs_{s}") for s in SIDES])
-    out = base.join(ids, [*KEYS], "left").withColumns({f"unique_collabs_{s}": F.coalesce(f"unique_collabs_{s}", F.lit(0)) for s in SIDES})
-    return refs.join(out, [*KEYS], "left")
-
-
-def collaboration_country_years(refs: DataFrame, years: DataFrame, home: str) -> DataFrame:
+    return aggs
+
+
+def distinct_collaborators(refs: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+    """Number of distinct collaborators, and their sorted countries abroad. Collaborators come as rows (author_id, year,
+    collab_id, country), so a prolific author makes no large array."""
+    each = refs.where("ref_year is not null").join(collabs, "author_id").groupBy(*KEYS, "collab_id", "country").agg(*[F.max(on(F.lit(1))).alias(s) for s, on in SIDES.items()])
+    each = each.groupBy(*KEYS, "collab_id").agg(*[F.max(s).alias(s) for s in SIDES], *[F.collect_set(F.when(F.col(s).isNotNull() & (F.col("country") != home) & (F.col("country") != ""), F.col("country"))).alias(f"abroad_{s}") for s in SIDES])
+    union = lambda s: F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"abroad_{s}"))))
+    return each.groupBy(*KEYS).agg(*[F.count(s).alias(f"unique_collabs_{s}") for s in SIDES], *[union(s).alias(f"collab_countries_list_{s}") for s in SIDES])
+
+
+def _with_collaborators(out: DataFrame, ids: DataFrame) -> DataFrame:
+    """Joins ``distinct_collaborators``: none where there are years but no collaborators, null without years."""
+    none = F.array_remove(F.array(F.lit("")), "")
+    out = out.join(ids, [*KEYS], "left")
+    some = F.col("total_collabs_before").isNotNull()
+    return out.withColumns({f"unique_collabs_{s}": F.when(some, F.coalesce(f"unique_collabs_{s}", F.lit(0))) for s in SIDES} | {f"collab_countries_list_{s}": F.when(some, F.coalesce(f"collab_countries_list_{s}", none)) for s in SIDES})
+
+
+def collaborations(refs: DataFrame, years: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+    """Collaborators and their countries. Sums are of years, not papers; unknown countries only count among the distinct
+    collaborators."""
+    out = refs.join(_by_author(refs, years, *_collab_aggs(home)), [*KEYS], "left")
+    return _with_collaborators(out, distinct_collaborators(refs, collabs, home))
+
+
+def collaboration_country_years(refs: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
     """(person_id, author_id, period, country, n_years)."""
-    each = years.select("author_id", "year", F.explode("unique_collab_countries").alias("country")).where(F.col("country") != home)
+    each = collabs.where((F.col("country") != home) & (F.col("country") != "")).select("author_id", "year", "country").distinct()
     period = F.when(F.col("year") < F.col("ref_year"), "before").otherwise("after")
     return refs.where("ref_year is not null").join(each, "author_id").groupBy(*KEYS, period.alias("period"), "country").agg(F.count(F.lit(1)).alias("n_years"))
 
 
-def affiliations(refs: DataFrame, years: DataFrame, home: str) -> DataFrame:
+def _affil_aggs(home: str) -> list[Column]:
     aggs = []
     for side, on in SIDES.items():
         uk, abroad = F.coalesce(F.sum(on(F.col("n_affils_uk"))), F.lit(0)), F.coalesce(F.sum(on(F.col("n_affils_abroad"))), F.lit(0))
         foreign = F.array_sort(F.array_distinct(F.flatten(F.collect_list(on(F.filter("affiliation_countries", lambda c: (c != home) & (c != "")))))))
         aggs += [foreign.alias(f"countries_{side}"), F.bround(F.try_divide(abroad, uk + abroad), 3).alias(f"abroad_fraction_{side}"), F.when(uk + abroad > 0, F.size(foreign) > 0).alias(f"abroad_experience_{side}")]
-    return refs.join(_by_author(refs, years, *aggs), [*KEYS], "left")
+    return aggs
 
 
-def publication_counts(refs: DataFrame, pub_years: DataFrame, cite_years: DataFrame | None = None) -> DataFrame:
-    """From publication years (author_id, year, n_pubs, cited_by): sums that are 0 become null, their means do not. From
-    citation years (author_id, year, n_pubs, cited_by): the means of the profile's own series."""
+def affiliations(refs: DataFrame, years: DataFrame, home: str) -> DataFrame:
+    return refs.join(_by_author(refs, years, *_affil_aggs(home)), [*KEYS], "left")
+
+
+def _count_aggs() -> list[Column]:
     aggs = []
     for side, on in SIDES.items():
         n, c = F.sum(on(F.col("n_pubs"))), F.sum(on(F.col("cited_by")))
         aggs += [F.nullif(n, F.lit(0)).alias(f"n_pubs_{side}"), F.nullif(c, F.lit(0)).alias(f"total_citations_pubyear_{side}"), F.bround(F.avg(on(F.col("cited_by"))), 3).alias(f"mean_citations_pubyear_{side}"), F.bround(F.when(n > 0, c / n), 3).alias(f"citations_pp_pubyear_{side}")]
-    out = refs.join(_by_author(refs, pub_years, *aggs), [*KEYS], "left")
+    return aggs
+
+
+def publication_counts(refs: DataFrame, pub_years: DataFrame, cite_years: DataFrame | None = None) -> DataFrame:
+    """From publication years (author_id, year, n_pubs, cited_by): sums that are 0 become null, their means do not. From
+    citation years (author_id, year, n_pubs, cited_by): the means of the profile's own series."""
+    out = refs.join(_by_author(refs, pub_years, *_count_aggs()), [*KEYS], "left")
     if cite_years is not None:
         more = []
         for side, on in SIDES.items():
@@ -77,9 +99,13 @@ def publication_counts(refs: DataFrame, pub_years: DataFrame, cite_years: DataFr
     return out
 
 
+def _impact_aggs() -> list[Column]:
+    return [F.bround(F.avg(on(F.col("fwci"))), 3).alias(f"mean_fwci_{s}") for s, on in SIDES.items()]
+
+
 def impact(refs: DataFrame, years: DataFrame) -> DataFrame:
     """Unweighted mean of the yearly mean fwci."""
-    return refs.join(_by_author(refs, years, *[F.bround(F.avg(on(F.col("fwci"))), 3).alias(f"mean_fwci_{s}") for s, on in SIDES.items()]), [*KEYS], "left")
+    return refs.join(_by_author(refs, years, *_impact_aggs()), [*KEYS], "left")
 
 
 def counts_by_year(years: DataFrame) -> DataFrame:
@@ -114,11 +140,11 @@ def one_to_one(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(b, key)
 
 
-def basic_metrics(refs: DataFrame, years: DataFrame, home: str) -> DataFrame:
-    """All basic before/after metrics of author-years, one row per person and author."""
-    counts = years.select("author_id", "year", "n_pubs", F.col("cited_by_count").alias("cited_by"))
+def basic_metrics(refs: DataFrame, years: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+    """All basic before/after metrics of author-years, one row per person and author: one aggregate of the years, and one
+    of the collaborators. ``years`` and ``collabs`` are read several times, so they should be kept."""
     keys = [*KEYS, "ref_year"]
-    out = publication_counts(refs, counts)
-    for part in (impact(refs, years), academic_age(refs, years), affiliations(refs, years, home), collaborations(refs, years, home)):
-        out = out.join(part.drop("ref_year"), [*KEYS], "left")
+    counted = years.withColumn("cited_by", F.col("cited_by_count"))
+    out = academic_age(refs, years).join(_by_author(refs, counted, *_count_aggs(), *_impact_aggs(), *_affil_aggs(home), *_collab_aggs(home)), [*KEYS], "left")
+    out = _with_collaborators(out, distinct_collaborators(refs, collabs, home))
     return out.select(*keys, *[c for c in out.columns if c not in keys])

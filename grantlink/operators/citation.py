@@ -2,20 +2,59 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import kept
+
+
+#: Cells that distinct values are cut into for exact quantiles.
+CELLS = 64
+
+
+def percentiles(values: DataFrame, column: str, quantiles: list[float]) -> list[float | None]:
+    """Exact quantiles, interpolated, of a column's values that are not null; None for each if there are none.
+
+    Equal values are counted first. Estimated quantiles cut the distinct ones into cells, the cells' counts tell where
+    the wanted ranks lie, and only those cells are sorted. The driver sees the cells and two values for each quantile.
+    """
+    value = F.col("value")
+    counted = kept(values.select(F.col(column).cast("double").alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    edges = sorted(set(counted.approxQuantile("value", [i / CELLS for i in range(1, CELLS)], 0.002)))
+    cell = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= value)) if edges else F.lit(0)
+    placed = counted.withColumn("cell", cell)
+    sizes = dict(placed.groupBy("cell").agg(F.sum("n")).collect())
+    if not sizes:
+        return [None] * len(quantiles)
+    first, total = {}, 0
+    for c in sorted(sizes):
+        first[c], total = total, total + sizes[c]
+    ranks = sorted({r for q in quantiles for r in (math.floor(q * (total - 1)), math.ceil(q * (total - 1)))})
+    home = {r: max(c for c in first if first[c] <= r) for r in ranks}
+    upto = F.sum("n").over(Window.partitionBy("cell").orderBy("value"))
+    found = placed.where(F.col("cell").isin(sorted(set(home.values())))).withColumn("upto", upto)
+    found = found.agg(*[F.min(F.when((F.col("cell") == c) & (F.col("upto") > r - first[c]), value)).alias(str(r)) for r, c in home.items()]).first()
+    out = []
+    for q in quantiles:
+        at = q * (total - 1)
+        low, high = found[str(math.floor(at))], found[str(math.ceil(at))]
+        out.append(low + (high - low) * (at - math.floor(at)))
+    return out
+
 
 def disruption(focal: DataFrame, citing: DataFrame) -> DataFrame:
     """For each focal work (id, referenced_works): n_f citing works share no reference with it, n_b do;
-    disruption_index = (n_f - n_b) / (n_f + n_b), null with status calculation_failed if it is never cited.
+    disruption_index = (n_f - n_b) / (n_f + n_b), null with status calculation_failed if it is never cited. A focal work
+    without references has no index and is left out.
 
     Works count once per id. References are exploded to pairs of ids, and only pairs that end in a focal work are given
     the lists: a list travels once for each such pair, not for each reference. A highly cited focal work makes a skewed
     join, which AQE splits.
     """
     clean = lambda c: F.filter(F.coalesce(F.col(c), F.array().cast("array<bigint>")), lambda x: x.isNotNull())
-    f = focal.select(F.col("id").cast("bigint").alias("focal_id"), clean("referenced_works").alias("own")).dropDuplicates(["focal_id"])
+    f = focal.select(F.col("id").cast("bigint").alias("focal_id"), clean("referenced_works").alias("own")).where("size(own) > 0").dropDuplicates(["focal_id"])
     c = citing.select(F.col("id").cast("bigint").alias("id"), clean("referenced_works").alias("refs")).dropDuplicates(["id"])
     edges = c.select("id", F.explode(F.array_distinct("refs")).alias("focal_id"))
     pairs = edges.join(f, "focal_id").join(c, "id")  # pairs of ids meet the focal works first
@@ -26,6 +65,11 @@ def disruption(focal: DataFrame, citing: DataFrame) -> DataFrame:
     return out.withColumn("disruption_index", index).withColumn("status", F.when(index.isNull(), "calculation_failed").otherwise("valid"))
 
 
+def sampled_disruption(focal: DataFrame, citing: DataFrame, sampled: DataFrame) -> DataFrame:
+    """``disruption`` of the focal works that a sample (id, ...) of authors' works has drawn."""
+    return disruption(focal.join(sampled.select("id").distinct(), "id", "left_semi"), citing)
+
+
 def disruption_relational(focal_refs: DataFrame, citing_refs: DataFrame) -> DataFrame:
     """The same counts from edge tables (focal_id, ref) and (id, ref): no arrays."""
     f, c = focal_refs.distinct(), citing_refs.distinct()
@@ -37,7 +81,8 @@ def disruption_relational(focal_refs: DataFrame, citing_refs: DataFrame) -> Data
 def disruption_summary(di: DataFrame) -> DataFrame:
     d = F.col("disruption_index")
     share = lambda c: F.avg(F.when(d.isNotNull(), c.cast("double")))
-    return di.agg(F.avg(d).alias("mean_di"), F.median(d).alias("median_di"), F.min(d).alias("min_di"), F.max(d).alias("max_di"), share(d > 0).alias("share_positive"), share(d < 0).alias("share_negative"), share(d == 0).alias("share_zero"), F.count_if(F.col("status") == "valid").alias("n_valid"), F.count_if(F.col("status") != "valid").alias("n_failed"))
+    median = percentiles(di, "disruption_index", [0.5])[0]
+    return di.agg(F.avg(d).alias("mean_di"), F.lit(median).cast("double").alias("median_di"), F.min(d).alias("min_di"), F.max(d).alias("max_di"), share(d > 0).alias("share_positive"), share(d < 0).alias("share_negative"), share(d == 0).alias("share_zero"), F.count_if(F.col("status") == "valid").alias("n_valid"), F.count_if(F.col("status") != "valid").alias("n_failed"))
 
 
 def disruption_author_years(authored: DataFrame, di: DataFrame, default_weight: float = 0.01) -> DataFrame:
@@ -62,11 +107,12 @@ def prune_frequent_references(works: DataFrame, quantile: float = 0.97) -> DataF
 
 
 def impact_quintiles(works: DataFrame) -> DataFrame:
-    """Adds quintile: equal values share a bucket, equal edges are one; all values equal give bucket 1."""
+    """Adds quintile: equal values share a bucket, equal edges are one; all values equal give bucket 1. A missing fwci
+    counts as -1."""
     value = F.coalesce("fwci", F.lit(-1.0))
-    edges = works.agg(F.percentile(value, F.array(*[F.lit(q) for q in (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)])).alias("edges"))
-    below = F.size(F.filter(F.array_distinct("edges"), lambda e: e < value))
-    return works.crossJoin(F.broadcast(edges)).withColumn("quintile", F.greatest(F.lit(1), below)).drop("edges")  # one row
+    edges = percentiles(works.select(value.alias("fwci")), "fwci", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])
+    below = sum((F.lit(e) < value).cast("int") for e in sorted({e for e in edges if e is not None})) if edges[0] is not None else F.lit(1)
+    return works.withColumn("quintile", F.greatest(F.lit(1), below))
 
 
 def sample_author_works(works: DataFrame, per_author: int = 50, seed: int = 42) -> DataFrame:

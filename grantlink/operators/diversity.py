@@ -9,10 +9,26 @@ from ..functions.expressions import decay
 
 
 def subfield_frequencies(rows: DataFrame) -> DataFrame:
-    """(author_id, year, subfield, freq) of rows (author_id, id, year, subfield); each paper counts once per subfield entry."""
+    """(author_id, year, subfield, freq) of rows (author_id, id, year, subfield), each of which counts."""
     return rows.groupBy("author_id", "year", "subfield").agg(F.count(F.lit(1)).alias("freq"))
 
 
+def author_topic_rows(works: DataFrame, matched: DataFrame, legacy_duplicates: bool = False) -> DataFrame:
+    """(author_id, id, year, subfield): a row for each topic of each paper of a matched author. ``works``: id, year,
+    authorships[author_id, ...], topics[subfield, ...]. An author with several entries on a paper counts once, or with
+    ``legacy_duplicates`` once for each entry."""
+    entries = works.select("id", "year", F.explode("authorships.author_id").alias("author_id")).where("author_id is not null")
+    entries = entries.join(matched.select("author_id").distinct(), "author_id", "left_semi")
+    entries = entries if legacy_duplicates else entries.distinct()
+    return entries.join(works.select("id", F.explode("topics.subfield").alias("subfield")), "id").select("author_id", "id", "year", "subfield")
+
+
+def author_subfield_years(works: DataFrame, matched: DataFrame, legacy_duplicates: bool = False) -> DataFrame:
+    """Works to (author_id, year, subfield, freq, n_pubs, total_publications), subfields that are missing left out."""
+    rows = author_topic_rows(works, matched, legacy_duplicates)
+    return subfield_frequencies(rows.where("subfield is not null")).join(author_year_publications(rows), ["author_id", "year"])
+
+
 def decayed_frequencies(freq: DataFrame, alpha: float = 1.0, past_only: bool = False) -> DataFrame:
     """For every year of an author the frequencies of all the author's years, weighted by distance in time."""
     targets = freq.select("author_id", F.col("year").alias("target_year")).distinct()

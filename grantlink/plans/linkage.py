@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import assemble, career, coverage, diversity, features, grants, model, normalise, pairs
 from ..streaming.landing import land_stream
 from . import views as v
-from .queries import BLOCKED, CLASSED, ORACLE_SQL, ROUND6, SCORED, _blocked, _classed, _half_even, _scored, _years, query, topic_diversity
+from .queries import BLOCKED, CLASSED, ORACLE_SQL, ROUND6, SCORED, _blocked, _classed, _collabs, _half_even, _scored, _years, query, topic_diversity
 from .queries import disruption_author_year as _disruption_years
 from .views import HOME, Views, with_
 
@@ -147,7 +147,7 @@ def best_threshold(x: Views) -> DataFrame:
     return coverage.best_threshold(coverage.threshold_sweep(_classed(x))).select("threshold", "tp", "fp", ROUND6("f1"))
 
 
-@query(with_(PROFILES) + "SELECT id, id + 1000000 AS gtr_id, works_count, cited_by_count, round(cited_by_count / nullif(works_count, 0), 6) AS citations_per_publication, CASE WHEN id % 5 <> 0 THEN n_name = '" + HOME + "' END AS last_institution_uk FROM profiles WHERE id % 2 = 0")
+@query(with_(PROFILES, v.REFS) + "SELECT id, id + 1000000 AS gtr_id, works_count, cited_by_count, round(cited_by_count / nullif(works_count, 0), 6) AS citations_per_publication, CASE WHEN id % 5 <> 0 THEN n_name = '" + HOME + "' END AS last_institution_uk FROM profiles WHERE id IN (SELECT author_id FROM refs)")
 def author_metadata(x: Views) -> DataFrame:
     matches = x.matched().select(F.col("author_id").alias("oa_id"), (F.col("author_id") + 1_000_000).alias("gtr_id"))
     out = career.author_metadata(career.home_institution(_profiles(x), HOME), matches)
@@ -208,11 +208,11 @@ def diversity_before_after(x: Views) -> DataFrame:
     return diversity.before_after(x.refs(), diversity.yearly_series(topic_diversity(x), 3, *columns), *columns)
 
 
-@query("SELECT * FROM (" + ORACLE_SQL["counts_before_after"] + ") a JOIN (" + ORACLE_SQL["fwci_before_after"] + ") b USING (person_id, author_id, ref_year) JOIN (" + ORACLE_SQL["academic_age"] + ") c USING (person_id, author_id, ref_year) JOIN (" + ORACLE_SQL["affil_before_after"] + ") d USING (person_id, author_id, ref_year) JOIN (SELECT * EXCLUDE (countries_before, countries_after) FROM (" + ORACLE_SQL["collab_before_after"] + ") t) e USING (person_id, author_id, ref_year)"
+@query("SELECT * FROM (" + ORACLE_SQL["counts_before_after"] + ") a JOIN (" + ORACLE_SQL["fwci_before_after"] + ") b USING (person_id, author_id, ref_year) JOIN (" + ORACLE_SQL["academic_age"] + ") c USING (person_id, author_id, ref_year) JOIN (SELECT * EXCLUDE (affil_countries_before, affil_countries_after) FROM (" + ORACLE_SQL["affil_before_after"] + ") t) d USING (person_id, author_id, ref_year) JOIN (SELECT * EXCLUDE (countries_before, countries_after) FROM (" + ORACLE_SQL["collab_before_after"] + ") t) e USING (person_id, author_id, ref_year)"
        + " JOIN (" + DISRUPTION_MEANS + ") f USING (author_id, ref_year) JOIN (" + DIVERSITY_MEANS + ") g USING (author_id, ref_year)")
 def researcher_table(x: Views) -> DataFrame:
     """All metrics before and after, one row per person and author."""
-    basic = career.basic_metrics(x.refs(), _years(x), HOME).drop("countries_before", "countries_after", "collab_countries_list_before", "collab_countries_list_after")
+    basic = career.basic_metrics(x.kept(x.refs()), x.kept(_years(x)), _collabs(x), HOME).drop("countries_before", "countries_after", "collab_countries_list_before", "collab_countries_list_after")
     return assemble.wide_table(basic, disruption_before_after(x), diversity_before_after(x))
 
 

@@ -31,6 +31,10 @@ def _years(x: Views) -> DataFrame:
     return author_year.author_years(author_year.author_papers(x.works(), x.matched(), HOME))
 
 
+def _collabs(x: Views) -> DataFrame:
+    return author_year.collaborators(x.works(), x.matched())
+
+
 BASE = (v.AUTHORSHIPS, v.WORKS, v.PAPERS, v.YEARS)
 ROUND6 = lambda c: F.round(c, 6).alias(c)
 
@@ -39,7 +43,7 @@ ROUND6 = lambda c: F.round(c, 6).alias(c)
 FROM years y LEFT JOIN (SELECT author_id, year, count(DISTINCT c) AS n_ids, count(DISTINCT country) AS n_countries FROM co GROUP BY author_id, year) k ON y.author_id = k.author_id AND y.year = k.year""")
 def author_year_collab(x: Views) -> DataFrame:
     size = lambda c, n: F.size(c).cast("bigint").alias(n)
-    return _years(x).select("author_id", "year", "n_affils_uk", "n_affils_abroad", "n_collab_uk", "n_collab_abroad", "n_pubs", "cited_by_count", ROUND6("fwci"), size("unique_collab_ids", "n_ids"), size("unique_collab_countries", "n_countries"))
+    return author_year.with_collaborators(_years(x), _collabs(x)).select("author_id", "year", "n_affils_uk", "n_affils_abroad", "n_collab_uk", "n_collab_abroad", "n_pubs", "cited_by_count", ROUND6("fwci"), size("unique_collab_ids", "n_ids"), size("unique_collab_countries", "n_countries"))
 
 
 def _half_even(x: str) -> str:
@@ -58,21 +62,24 @@ def _sides(sql: str, year: str = "year") -> str:
        + _sides("count(DISTINCT c) FILTER (WHERE ON) AS unique_collabs_SIDE", "y.year") + ", " + _sides(f"coalesce(string_agg(DISTINCT CASE WHEN ON AND country <> '{HOME}' THEN country END, ',' ORDER BY CASE WHEN ON AND country <> '{HOME}' THEN country END), '') AS countries_SIDE", "y.year")
        + " FROM years y JOIN refs USING (author_id) LEFT JOIN co ON co.author_id = y.author_id AND co.year = y.year GROUP BY y.author_id) k ON r.author_id = k.author_id")
 def collab_before_after(x: Views) -> DataFrame:
-    out = career.collaborations(x.refs(), _years(x), HOME)
+    out = career.collaborations(x.refs(), _years(x), _collabs(x), HOME)
     lists = {f"countries_{s}": F.array_join(f"collab_countries_list_{s}", ",") for s in career.SIDES}
     return out.withColumns(lists).drop(*[f"collab_countries_list_{s}" for s in career.SIDES])
 
 
 @query(with_(*BASE, v.CO, v.REFS) + f"SELECT r.person_id, r.author_id, CASE WHEN co.year < ref_year THEN 'before' ELSE 'after' END AS period, country, count(DISTINCT co.year) AS n_years FROM refs r JOIN co ON co.author_id = r.author_id WHERE country <> '{HOME}' GROUP BY 1, 2, 3, 4")
 def collab_country_years(x: Views) -> DataFrame:
-    return career.collaboration_country_years(x.refs(), _years(x), HOME)
+    return career.collaboration_country_years(x.refs(), _collabs(x), HOME)
 
 
-@query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, "
+@query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id), k.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, "
        + _sides("HALF_EVEN(sum(n_affils_abroad) FILTER (WHERE ON) / nullif(sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON), 0)) AS abroad_fraction_SIDE, CASE WHEN sum(n_affils_uk + n_affils_abroad) FILTER (WHERE ON) > 0 THEN sum(n_affils_abroad) FILTER (WHERE ON) > 0 END AS abroad_experience_SIDE")
-       + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id")
+       + " FROM years JOIN refs USING (author_id) GROUP BY author_id) t ON r.author_id = t.author_id LEFT JOIN (SELECT author_id, "
+       + _sides(f"coalesce(string_agg(DISTINCT CASE WHEN ON AND country <> '{HOME}' THEN country END, ',' ORDER BY CASE WHEN ON AND country <> '{HOME}' THEN country END), '') AS affil_countries_SIDE")
+       + " FROM papers JOIN refs USING (author_id) GROUP BY author_id) k ON r.author_id = k.author_id")
 def affil_before_after(x: Views) -> DataFrame:
-    return career.affiliations(x.refs(), _years(x), HOME).drop("countries_before", "countries_after")
+    out = career.affiliations(x.refs(), _years(x), HOME)
+    return out.withColumns({f"affil_countries_{s}": F.array_join(f"countries_{s}", ",") for s in career.SIDES}).drop("countries_before", "countries_after")
 
 
 @query(with_(*BASE, v.REFS) + "SELECT r.person_id, r.author_id, r.ref_year, t.* EXCLUDE (author_id) FROM refs r LEFT JOIN (SELECT author_id, "
@@ -138,7 +145,7 @@ def disruption(x: Views) -> DataFrame:
 
 @query(with_(v.DISRUPTION) + "SELECT focal_id, n_f, n_b FROM di WHERE n_f + n_b > 0")
 def disruption_relational(x: Views) -> DataFrame:
-    focal = x.focal().select(F.col("id").alias("focal_id"), F.explode_outer("referenced_works").alias("ref"))
+    focal = x.focal().select(F.col("id").alias("focal_id"), F.explode("referenced_works").alias("ref"))
     return citation.disruption_relational(focal, x.citing().select("id", F.explode("referenced_works").alias("ref")))
 
 
@@ -156,12 +163,35 @@ def disruption_author_year(x: Views) -> DataFrame:
     return out.select("author_id", "year", ROUND6("mean_disruption"), F.round(F.col("mean_fwci") + 1e-9, 6).alias("mean_fwci"), ROUND6("weighted_disruption"))
 
 
-@query("SELECT l_partkey AS reference_id, count(DISTINCT l_orderkey) AS n_citing, min(l_orderkey) AS first_citing FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 25 GROUP BY l_partkey")
+@query(with_(v.EDGES) + "SELECT ref AS reference_id, count(DISTINCT id) AS n_citing, min(id) AS first_citing FROM cites WHERE ref IN (SELECT focal_id FROM own) GROUP BY ref")
 def citing_index(x: Views) -> DataFrame:
-    wanted = x.read("part", "p_partkey", "p_size").where("p_size > 25").select(F.col("p_partkey").alias("id"))
+    """Who cites the works that have references of their own."""
+    wanted = x.focal().where("size(referenced_works) > 0").select("id")
     return citation.citing_index(x.citing(), wanted).select("reference_id", F.size("citing_ids").cast("bigint").alias("n_citing"), F.get("citing_ids", F.lit(0)).alias("first_citing"))
 
 
+@query(
+    with_(v.EDGES, "a AS (SELECT l_suppkey AS author_id, l_partkey AS id, CAST(year(min(l_shipdate)) AS INTEGER) AS year FROM lineitem GROUP BY 1, 2)")
+    + """, e AS (SELECT quantile_cont(p_retailprice, 0.0) AS e0, quantile_cont(p_retailprice, 0.2) AS e1, quantile_cont(p_retailprice, 0.4) AS e2, quantile_cont(p_retailprice, 0.6) AS e3, quantile_cont(p_retailprice, 0.8) AS e4 FROM part),
+    q AS (SELECT p_partkey AS id, greatest(1, CAST(e0 < p_retailprice AS INTEGER) + CAST(e1 < p_retailprice AS INTEGER) + CAST(e2 < p_retailprice AS INTEGER) + CAST(e3 < p_retailprice AS INTEGER) + CAST(e4 < p_retailprice AS INTEGER)) AS quintile FROM part, e),
+    k AS (SELECT author_id, id, year, quintile, pow((CAST('0x' || substr(md5('42:' || author_id || ':' || id), 1, 13) AS BIGINT) + 1) / 4503599627370497.0::DOUBLE, 1.0 / quintile) AS key FROM a JOIN q USING (id)),
+    n AS (SELECT author_id, count(DISTINCT year) AS years FROM k GROUP BY author_id),
+    r AS (SELECT k.*, years, row_number() OVER (PARTITION BY author_id, year ORDER BY key DESC, id) AS place FROM k JOIN n USING (author_id)),
+    s AS (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY key DESC, id) AS among FROM r WHERE place <= greatest(1, 5 // years)),
+    f AS (SELECT DISTINCT o.focal_id FROM own o JOIN s ON s.id = o.focal_id WHERE among <= 5),
+    h AS (SELECT DISTINCT c.id, c.ref AS focal_id FROM cites c JOIN f ON c.ref = f.focal_id),
+    b AS (SELECT DISTINCT h.id, h.focal_id FROM h JOIN own o ON h.focal_id = o.focal_id JOIN cites c ON c.id = h.id AND c.ref = o.ref),
+    d AS (SELECT f.focal_id, CAST(count(h.id) - count(b.id) AS BIGINT) AS n_f, CAST(count(b.id) AS BIGINT) AS n_b FROM f LEFT JOIN h ON h.focal_id = f.focal_id LEFT JOIN b ON b.id = h.id AND b.focal_id = h.focal_id GROUP BY f.focal_id)
+    SELECT focal_id, n_f, n_b, round((n_f - n_b) / nullif(n_f + n_b, 0), 6) AS disruption_index, CASE WHEN n_f + n_b > 0 THEN 'valid' ELSE 'calculation_failed' END AS status FROM d"""
+)
+def disruption_sampled(x: Views) -> DataFrame:
+    """The index of those works with references that the authors' samples have drawn, five for each author."""
+    works = citation.impact_quintiles(x.read("part", "p_partkey", "p_retailprice").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("fwci"))).select("id", "quintile")
+    authored = x.read("lineitem", "l_suppkey", "l_partkey", "l_shipdate").groupBy(F.col("l_suppkey").alias("author_id"), F.col("l_partkey").alias("id")).agg(F.year(F.min("l_shipdate")).alias("year"))
+    sampled = citation.sample_author_works(authored.join(works, "id"), per_author=5)
+    return citation.sampled_disruption(x.focal(), x.citing(), sampled).withColumn("disruption_index", F.round("disruption_index", 6))
+
+
 @query("WITH c AS (SELECT l_partkey AS reference_id, count(DISTINCT l_orderkey) AS frequency FROM lineitem GROUP BY l_partkey) SELECT reference_id, frequency FROM c WHERE frequency <= (SELECT quantile_cont(frequency, 0.97) FROM c)")
 def prune_top_refs(x: Views) -> DataFrame:
     return citation.prune_frequent_references(x.citing())
@@ -175,7 +205,7 @@ def fwci_quintile(x: Views) -> DataFrame:
 @query(
     with_(v.AUTHORSHIPS, v.WORKS, "e AS (SELECT quantile_cont(fwci, 0.0) AS e0, quantile_cont(fwci, 0.2) AS e1, quantile_cont(fwci, 0.4) AS e2, quantile_cont(fwci, 0.6) AS e3, quantile_cont(fwci, 0.8) AS e4 FROM works)")
     + """, q AS (SELECT id, year, greatest(1, CAST(e0 < fwci AS INTEGER) + CAST(e1 < fwci AS INTEGER) + CAST(e2 < fwci AS INTEGER) + CAST(e3 < fwci AS INTEGER) + CAST(e4 < fwci AS INTEGER)) AS quintile FROM works, e),
-    k AS (SELECT author_id, id, year, quintile, pow((CAST('0x' || substr(md5('42:' || author_id || ':' || id), 1, 13) AS BIGINT) + 1) / 4503599627370497.0::DOUBLE, 1.0 / quintile) AS key FROM auth JOIN q USING (id) WHERE author_id % 2 = 0),
+    k AS (SELECT author_id, id, year, quintile, pow((CAST('0x' || substr(md5('42:' || author_id || ':' || id), 1, 13) AS BIGINT) + 1) / 4503599627370497.0::DOUBLE, 1.0 / quintile) AS key FROM auth JOIN q USING (id)),
     n AS (SELECT author_id, count(DISTINCT year) AS years FROM k GROUP BY author_id),
     r AS (SELECT k.*, years, row_number() OVER (PARTITION BY author_id, year ORDER BY key DESC, id) AS place FROM k JOIN n USING (author_id)),
     s AS (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY key DESC, id) AS among FROM r WHERE place <= greatest(1, 50 // years))
@@ -191,6 +221,32 @@ def subfield_freq(x: Views) -> DataFrame:
     return diversity.subfield_frequencies(x.author_subfields())
 
 
+def _topical_works(x: Views) -> DataFrame:
+    """Orders with an authorship and a topic for each of their lines."""
+    lines = x.read("lineitem", "l_orderkey", "l_partkey", "l_suppkey").join(x.read("part", "p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    lists = lines.groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct(F.col("l_suppkey").alias("author_id"))).alias("authorships"), F.collect_list(F.struct(F.col("p_brand").alias("subfield"))).alias("topics"))
+    return lists.join(x.read("orders", "o_orderkey", "o_orderdate").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year")), "id")
+
+
+def _composed(distinct: str) -> str:
+    return f"""WITH e AS (SELECT {distinct} l_suppkey AS author_id, l_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    t AS (SELECT l_orderkey AS id, p_brand AS subfield FROM lineitem JOIN part ON l_partkey = p_partkey),
+    f AS (SELECT author_id, year, subfield, count(*) AS freq FROM e JOIN t USING (id) GROUP BY author_id, year, subfield),
+    y AS (SELECT author_id, year, count(DISTINCT id) AS n_pubs FROM e GROUP BY author_id, year)
+    SELECT author_id, year, subfield, freq, n_pubs, CAST(total AS BIGINT) AS total_publications FROM f JOIN y USING (author_id, year) JOIN (SELECT author_id, sum(n_pubs) AS total FROM y GROUP BY author_id) s USING (author_id)"""
+
+
+@query(_composed("DISTINCT"))
+def author_subfields_composed(x: Views) -> DataFrame:
+    return diversity.author_subfield_years(_topical_works(x), x.matched())
+
+
+@query(_composed(""))
+def author_subfields_legacy(x: Views) -> DataFrame:
+    """As above, with a paper counted for each entry of an author."""
+    return diversity.author_subfield_years(_topical_works(x), x.matched(), legacy_duplicates=True)
+
+
 DECAYED = "f AS (SELECT author_id, year, subfield, count(*) AS freq FROM sub GROUP BY author_id, year, subfield), d AS (SELECT f.author_id, t.year, f.subfield, sum(f.freq / (1.0 + abs(f.year - t.year))) AS freq FROM (SELECT DISTINCT author_id, year FROM f) t JOIN f ON f.author_id = t.author_id GROUP BY f.author_id, t.year, f.subfield)"
 DISTANCES = "m AS (SELECT label, i, avg(e) AS e FROM (SELECT label, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings) t GROUP BY label, i), raw AS (SELECT a.label AS a, b.label AS b, sqrt(sum((a.e - b.e) * (a.e - b.e))) AS x FROM m a JOIN m b ON a.i = b.i GROUP BY a.label, b.label), dist AS (SELECT a, b, coalesce(x / nullif((SELECT max(x) FROM raw), 0), 0) AS distance FROM raw)"
 

@@ -3,13 +3,10 @@ with grants, brands subfields. Each has the same definition in SQL."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import kept, shared_folder, table
 
 HOME = "NATION_3"
 
@@ -22,14 +19,10 @@ class Views:
         return table(self.spark, self.folder, name, *columns)
 
     def shared(self) -> str:
-        """The folder that all executors share; a temporary one only where none is set."""
-        return self.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
+        return shared_folder(self.spark)
 
     def kept(self, df: DataFrame) -> DataFrame:
-        """``df`` written into the shared folder and read again: several jobs use it, and it is made once."""
-        path = f"{self.shared()}/kept-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return kept(df)
 
     def authorships(self) -> DataFrame:
         """(id, author_id, country)."""
@@ -45,7 +38,9 @@ class Views:
         return orders.join(cited, "id").join(people, "id")
 
     def matched(self) -> DataFrame:
-        return self.read("supplier", "s_suppkey").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("author_id"))
+        """Suppliers whose orders have customers."""
+        ordered = self.read("lineitem", "l_orderkey", "l_suppkey").join(self.read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return ordered.where("o_custkey is not null").select(F.col("l_suppkey").alias("author_id")).distinct()
 
     def refs(self) -> DataFrame:
         """Each matched author's person, with the year of the first grant."""
@@ -75,10 +70,10 @@ class Views:
 
 AUTHORSHIPS = "auth AS (SELECT DISTINCT l_orderkey AS id, l_suppkey AS author_id, n_name AS country FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"
 WORKS = "works AS (SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice / 100000 AS fwci, q.c AS cited_by_count FROM orders JOIN (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS c FROM lineitem GROUP BY l_orderkey) q ON q.l_orderkey = o_orderkey)"
-REFS = "refs AS (SELECT s_suppkey + 1000000 AS person_id, s_suppkey AS author_id, CAST(1996 + s_suppkey % 4 AS INTEGER) AS ref_year FROM supplier WHERE s_suppkey % 2 = 0)"
+REFS = "refs AS (SELECT s_suppkey + 1000000 AS person_id, s_suppkey AS author_id, CAST(1996 + s_suppkey % 4 AS INTEGER) AS ref_year FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey))"
 #: Co-author rows per paper and matched author, and the totals of each paper.
 PAPERS = (
-    f"papers AS (SELECT a.id, a.author_id, a.country, w.year, w.fwci, w.cited_by_count, t.n_home, t.n_all FROM auth a JOIN works w ON a.id = w.id JOIN (SELECT id, count(*) AS n_all, sum(CASE WHEN country = '{HOME}' THEN 1 ELSE 0 END) AS n_home FROM auth GROUP BY id) t ON a.id = t.id WHERE a.author_id % 2 = 0)"
+    f"papers AS (SELECT a.id, a.author_id, a.country, w.year, w.fwci, w.cited_by_count, t.n_home, t.n_all FROM auth a JOIN works w ON a.id = w.id JOIN (SELECT id, count(*) AS n_all, sum(CASE WHEN country = '{HOME}' THEN 1 ELSE 0 END) AS n_home FROM auth GROUP BY id) t ON a.id = t.id)"
 )
 YEARS = (
     f"years AS (SELECT author_id, year, CAST(sum(CASE WHEN country = '{HOME}' THEN 1 ELSE 0 END) AS BIGINT) AS n_affils_uk, CAST(sum(CASE WHEN country <> '{HOME}' THEN 1 ELSE 0 END) AS BIGINT) AS n_affils_abroad, avg(fwci) AS fwci, CAST(sum(cited_by_count) AS BIGINT) AS cited_by_count, "
@@ -88,7 +83,7 @@ CO = "co AS (SELECT DISTINCT p.author_id, p.year, b.author_id AS c, b.country FR
 GRANTS = "grants AS (SELECT o_custkey AS person_id, o_orderkey AS project_id, CAST(o_orderdate AS DATE) AS start_date, e.end_date, o_orderpriority AS category, c_mktsegment AS funder, o_orderstatus = 'O' AS active FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS end_date FROM lineitem GROUP BY l_orderkey) e ON e.l_orderkey = o_orderkey)"
 SUBFIELDS = "sub AS (SELECT l_suppkey AS author_id, l_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year, p_brand AS subfield FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"
 EDGES = "cites AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS ref FROM lineitem), own AS (SELECT a.p_partkey AS focal_id, b.p_partkey AS ref FROM part a JOIN part b ON a.p_size = b.p_size AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey)"
-DISRUPTION = f"{EDGES}, hits AS (SELECT DISTINCT c.id, c.ref AS focal_id FROM cites c JOIN part p ON c.ref = p.p_partkey), shared AS (SELECT DISTINCT h.id, h.focal_id FROM hits h JOIN own o ON h.focal_id = o.focal_id JOIN cites c ON c.id = h.id AND c.ref = o.ref), di AS (SELECT p.p_partkey AS focal_id, CAST(count(h.id) - count(s.id) AS BIGINT) AS n_f, CAST(count(s.id) AS BIGINT) AS n_b FROM part p LEFT JOIN hits h ON h.focal_id = p.p_partkey LEFT JOIN shared s ON s.id = h.id AND s.focal_id = h.focal_id GROUP BY p.p_partkey)"
+DISRUPTION = f"{EDGES}, hits AS (SELECT DISTINCT c.id, c.ref AS focal_id FROM cites c JOIN part p ON c.ref = p.p_partkey), shared AS (SELECT DISTINCT h.id, h.focal_id FROM hits h JOIN own o ON h.focal_id = o.focal_id JOIN cites c ON c.id = h.id AND c.ref = o.ref), di AS (SELECT p.p_partkey AS focal_id, CAST(count(h.id) - count(s.id) AS BIGINT) AS n_f, CAST(count(s.id) AS BIGINT) AS n_b FROM part p LEFT JOIN hits h ON h.focal_id = p.p_partkey LEFT JOIN shared s ON s.id = h.id AND s.focal_id = h.focal_id WHERE p.p_partkey IN (SELECT focal_id FROM own) GROUP BY p.p_partkey)"
 
 
 def with_(*parts: str) -> str:

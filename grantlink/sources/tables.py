@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +61,22 @@ def save_model(model: PipelineModel, folder: str, version: str) -> None:
 
 def load_model(folder: str, version: str) -> PipelineModel:
     return PipelineModel.load(f"{folder}/{version}")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one for a local session,
+    as in tests; on a cluster that would lose rows, and raises."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: there is no folder that all executors share")
+        found = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written into the shared folder and read again: several jobs use it, and it is made once."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

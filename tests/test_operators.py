@@ -64,9 +64,12 @@ def test_author_papers_and_years(spark):
     papers = author_year.author_papers(works, spark.createDataFrame([("A",)], "author_id string"), "GB")
     r = papers.first()
     assert (r.n_affils_uk, r.n_affils_abroad, r.n_affils_unknown, r.n_collab_uk, r.n_collab_abroad, r.n_collab_unknown) == (1, 0, 0, 0, 1, 1)
-    assert r.collab_countries == ["US"] and r.collab_ids == ["B", "C"]
-    y = author_year.author_years(papers.union(papers)).first()
-    assert (y.n_pubs, y.n_collab_abroad, y.unique_collab_ids) == (2, 2, ["B", "C"])
+    collabs = author_year.collaborators(works, spark.createDataFrame([("A",)], "author_id string"))
+    assert sorted(values(collabs, "year", "collab_id", "country")) == [(2005, "B", "US"), (2005, "C", "")]
+    y = author_year.with_collaborators(author_year.author_years(papers.union(papers)), collabs.union(collabs)).first()
+    assert (y.n_pubs, y.n_collab_abroad, y.affiliation_countries, y.unique_collab_ids, y.unique_collab_countries) == (2, 2, ["GB"], ["B", "C"], ["US"])
+    alone = author_year.with_collaborators(author_year.author_years(papers), collabs.limit(0)).first()
+    assert (alone.unique_collab_ids, alone.unique_collab_countries) == ([], [])
 
 
 def test_counts_before_after(spark):
@@ -81,13 +84,19 @@ def test_counts_before_after(spark):
 
 def test_affiliations_and_collaborations(spark):
     refs = spark.createDataFrame([("g", "a", 2000)], "person_id string, author_id string, ref_year int")
-    schema = "author_id string, year int, affiliation_countries array<string>, n_affils_uk long, n_affils_abroad long, unique_collab_countries array<string>, unique_collab_ids array<string>, n_collab_uk long, n_collab_abroad long, fwci double"
-    years = spark.createDataFrame([("a", 1998, ["FR", "GB", ""], 1, 2, ["US"], ["x"], 1, 1, 1.0), ("a", 1999, ["FR"], 0, 1, ["GB", "US"], ["x", "y"], 0, 2, 2.0)], schema)
+    schema = "author_id string, year int, affiliation_countries array<string>, n_affils_uk long, n_affils_abroad long, n_collab_uk long, n_collab_abroad long, fwci double, n_pubs long, cited_by_count long"
+    years = spark.createDataFrame([("a", 1998, ["FR", "GB", ""], 1, 2, 1, 1, 1.0, 2, 5), ("a", 1999, ["FR"], 0, 1, 0, 2, 2.0, 1, 0)], schema)
+    collabs = spark.createDataFrame([("a", 1998, "x", "US"), ("a", 1999, "x", "US"), ("a", 1999, "y", "GB"), ("a", 1999, "x", "")], "author_id string, year int, collab_id string, country string")
     r = career.affiliations(refs, years, "GB").first()
     assert (r.abroad_fraction_before, r.abroad_experience_before, r.countries_before) == (0.75, True, ["FR"]) and (r.abroad_fraction_after, r.abroad_experience_after, r.countries_after) == (None, None, [])
-    c = career.collaborations(refs, years, "GB").first()
+    c = career.collaborations(refs, years, collabs, "GB").first()
     assert (c.total_collabs_before, c.foreign_collab_fraction_before, c.unique_collabs_before, c.unique_collabs_after) == (4, 0.75, 2, 0)
-    assert values(career.collaboration_country_years(refs, years, "GB"), "period", "country", "n_years") == [("before", "US", 2)]
+    assert (c.collab_countries_list_before, c.collab_countries_list_after) == (["US"], [])
+    assert values(career.collaboration_country_years(refs, collabs, "GB"), "period", "country", "n_years") == [("before", "US", 2)]
+    more = refs.union(spark.createDataFrame([("h", "a", None), ("i", "none", 2000)], refs.schema))
+    b = {x.person_id: x for x in career.basic_metrics(more, years, collabs, "GB").collect()}
+    assert (b["g"].n_pubs_before, b["g"].mean_fwci_before, b["g"].abroad_fraction_before, b["g"].unique_collabs_before, b["g"].academic_age) == (3, 1.5, 0.75, 2, 2)
+    assert (b["h"].n_pubs_before, b["h"].unique_collabs_before, b["h"].collab_countries_list_after, b["h"].first_work_year, b["h"].academic_age) == (None, None, None, 1998, None) and b["i"].total_collabs_after is None
 
 
 def test_one_to_one(spark):
