@@ -90,5 +90,20 @@ def topic_similarity(person: Column, candidate: Column) -> dict[str, Column]:
     return {"jaccard": pick(both / F.size(F.array_union(keys, other)), 0.0), "cosine": pick(cosine, 0.0), "js_div": pick(js, 1.0), "containment": pick(both / F.size(keys), 0.0)}
 
 
+def weighted_topic_similarity(person: Column, candidate: Column) -> dict[str, Column]:
+    """Optional similarities of two map<id,count>: weighted Jaccard, cosine of shares, Jensen-Shannon distance in base 2
+    (null if either is empty), and the share of the person's topics that the candidate has; the others are 0 if empty."""
+    none = F.create_map().cast("map<string,bigint>")
+    person, candidate = F.coalesce(person, none), F.coalesce(candidate, none)
+    zipped = F.map_values(F.map_zip_with(person, candidate, lambda _, a, b: F.struct(F.coalesce(a, F.lit(0)).cast("double").alias("a"), F.coalesce(b, F.lit(0)).cast("double").alias("b"))))
+    total = lambda f: F.aggregate(zipped, F.lit(0.0), lambda acc, x: acc + f(x))
+    jaccard = F.try_divide(total(lambda x: F.least(x["a"], x["b"])), total(lambda x: F.greatest(x["a"], x["b"])))
+    cosine = F.try_divide(total(lambda x: x["a"] * x["b"]), F.sqrt(total(lambda x: x["a"] * x["a"]) * total(lambda x: x["b"] * x["b"])))
+    js = F.when((map_total(person) > 0) & (map_total(candidate) > 0), topic_similarity(person, candidate)["js_div"] / F.sqrt(F.ln(F.lit(2.0))))
+    shared = F.size(F.array_intersect(F.map_keys(person), F.map_keys(candidate)))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return {"weighted_jaccard": zero(jaccard), "share_cosine": zero(cosine), "js_base2": js, "coverage": zero(F.try_divide(shared, F.size(F.map_keys(person))))}
+
+
 def decay(year: Column, target: Column, alpha: float = 1.0) -> Column:
     return 1 / (1 + alpha * F.abs(year - target))

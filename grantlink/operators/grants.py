@@ -28,3 +28,28 @@ def person_grants(grants: DataFrame) -> DataFrame:
 
     out = facts.join(counted("category", "grant_categories"), "person_id", "left").join(counted("funder", "lead_funders"), "person_id", "left")
     return out.withColumn("has_multiple_funders", F.coalesce(F.size("lead_funders") > 1, F.lit(False)))
+
+
+#: Columns of a matched person, in their fixed order.
+PERSON_COLUMNS = (
+    "person_id", "first_name", "surname", "organisation", "organisation_name", "earliest_start_date", "latest_end_date", "has_active_project", "number_grants", "has_multiple_funders", "grant_categories",
+    "lead_funders", "project_timeline", "project_id", "project_publications", "project_topics", "project_authors", "project_oa_ids",
+)
+
+
+def with_summaries(persons: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Persons with their grant facts, in PERSON_COLUMNS; columns that ``persons`` lacks are left out. Grants are counted
+    by the person's own project ids; a person without summary stays and has one funder at most."""
+    facts = summaries.drop("number_grants")
+    out = persons.join(facts, "person_id", "left").withColumn("has_multiple_funders", F.coalesce("has_multiple_funders", F.lit(False)))
+    out = out.withColumn("number_grants", F.when(F.exists("project_id", lambda x: x.isNotNull()), F.size("project_id")).otherwise(0))
+    return out.select([c for c in PERSON_COLUMNS if c in out.columns])
+
+
+def matched_person_grants(persons: DataFrame, projects: DataFrame, matched: DataFrame) -> DataFrame:
+    """Grant facts of the persons (person_id, project_id[], ...) among the matches (gtr_id, ...). ``projects``: project_id,
+    start_date, end_date, extended_end, category, funder, status; one row of each id counts, and unknown ids stay."""
+    own = persons.join(matched.select(F.col("gtr_id").alias("person_id")).distinct(), "person_id", "left_semi")
+    each = own.select("person_id", F.explode("project_id").alias("project_id"))
+    joined = each.join(clean_dates(projects.dropDuplicates(["project_id"])), "project_id", "left")
+    return with_summaries(own, person_grants(joined))

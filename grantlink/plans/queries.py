@@ -116,6 +116,49 @@ def person_grants(x: Views) -> DataFrame:
     return out.select("person_id", "earliest_start_date", "latest_end_date", "has_active_project", "number_grants", F.size("project_timeline").cast("bigint").alias("n_timeline"))
 
 
+def _persons(x: Views) -> DataFrame:
+    """Customers with the lists of their orders and the parts of these."""
+    names = x.read("nation", "n_nationkey", "n_name")
+    people = x.read("customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal").join(names, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = x.read("orders", "o_orderkey", "o_custkey").join(x.read("lineitem", "l_orderkey", "l_partkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    lists = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderkey")).alias("project_id"), F.array_sort(F.collect_set("l_partkey")).alias("project_publications"))
+    out = people.join(lists, F.col("c_custkey") == F.col("o_custkey"), "left")
+    orcid = F.when(F.col("c_acctbal") > 0, F.col("c_acctbal").cast("string")).alias("orcid_gtr")
+    return out.select(F.col("c_custkey").alias("person_id"), F.lit(None).cast("string").alias("first_name"), F.col("c_name").alias("surname"), F.col("c_nationkey").alias("organisation"), F.col("n_name").alias("organisation_name"), "project_id", "project_publications", orcid)
+
+
+@query(with_(v.GRANTS) + """, m AS (SELECT DISTINCT o_custkey AS person_id FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+    f AS (SELECT person_id, min(start_date) AS earliest_start_date, max(end_date) AS latest_end_date, bool_or(active) AS has_active_project, count(DISTINCT project_id) AS number_grants, count(DISTINCT category) AS n_categories, count(DISTINCT funder) > 1 AS has_multiple_funders, string_agg(DISTINCT funder, ',' ORDER BY funder) AS funders FROM grants GROUP BY person_id)
+    SELECT person_id, c_name AS surname, n_name AS organisation_name, earliest_start_date, latest_end_date, has_active_project, number_grants, has_multiple_funders, n_categories, funders, number_grants AS n_timeline, n_parts AS n_publications
+    FROM m JOIN f USING (person_id) JOIN customer ON c_custkey = person_id JOIN nation ON n_nationkey = c_nationkey JOIN (SELECT o_custkey, count(DISTINCT l_partkey) AS n_parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey) p ON p.o_custkey = person_id""")
+def person_grants_matched(x: Views) -> DataFrame:
+    """Customers with lines in their orders are matched."""
+    lines = x.read("orders", "o_orderkey", "o_custkey").join(x.read("lineitem", "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    projects = x.grants().drop("person_id").withColumn("extended_end", F.lit(None).cast("string"))
+    out = grants.matched_person_grants(_persons(x), projects, lines.select(F.col("o_custkey").alias("gtr_id")))
+    size = lambda c, n: F.size(c).cast("bigint").alias(n)
+    funders = F.array_join(F.array_sort(F.transform("lead_funders", lambda f: f["value"])), ",").alias("funders")
+    return out.select("person_id", "surname", "organisation_name", "earliest_start_date", "latest_end_date", "has_active_project", F.col("number_grants").cast("bigint").alias("number_grants"), "has_multiple_funders", size("grant_categories", "n_categories"), funders, size("project_timeline", "n_timeline"), size("project_publications", "n_publications"))
+
+
+@query("SELECT count(*) AS persons, round(avg(coalesce(n, 0)), 6) AS mean_projects, round(avg(coalesce(k, 0)), 6) AS mean_publications, count(CASE WHEN c_acctbal > 0 THEN 1 END) AS with_orcid FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN (SELECT o_custkey, count(DISTINCT o_orderkey) AS n, count(DISTINCT l_partkey) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey) t ON o_custkey = c_custkey")
+def person_statistics(x: Views) -> DataFrame:
+    return coverage.person_statistics(_persons(x)).select("persons", ROUND6("mean_projects"), ROUND6("mean_publications"), "with_orcid")
+
+
+CITED = "cy AS (SELECT l_suppkey AS author_id, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n_pubs, CAST(sum(l_quantity) AS BIGINT) AS cited_by FROM lineitem GROUP BY 1, 2)"
+MEANS = "m AS (SELECT author_id, " + _sides("HALF_EVEN(avg(cited_by) FILTER (WHERE ON)) AS mean_citations_SIDE, avg(n_pubs) FILTER (WHERE ON) AS pubs_SIDE") + " FROM cy JOIN refs USING (author_id) GROUP BY author_id)"
+
+
+@query(with_(v.REFS, CITED, MEANS) + "SELECT r.person_id, r.author_id, r.ref_year, mean_citations_before, mean_citations_after, " + _sides("HALF_EVEN(mean_citations_SIDE / nullif(pubs_SIDE, 0)) AS citations_pp_SIDE") + " FROM refs r LEFT JOIN m USING (author_id)")
+def citations_before_after(x: Views) -> DataFrame:
+    """The profile's own yearly series."""
+    rows = x.read("lineitem", "l_suppkey", "l_shipdate", "l_quantity").groupBy(F.col("l_suppkey").alias("author_id"), F.year("l_shipdate").alias("year"))
+    cited = rows.agg(F.count(F.lit(1)).alias("n_pubs"), F.sum("l_quantity").cast("bigint").alias("cited_by"))
+    out = career.publication_counts(x.refs(), cited, cited)
+    return out.select("person_id", "author_id", "ref_year", *[f"{c}_{s}" for c in ("mean_citations", "citations_pp") for s in career.SIDES])
+
+
 @query(with_(v.GRANTS) + "SELECT person_id, category, count(*) AS n FROM grants GROUP BY person_id, category")
 def grant_category_counts(x: Views) -> DataFrame:
     return grants.person_grants(x.grants()).select("person_id", F.explode("grant_categories").alias("c")).select("person_id", F.col("c.value").alias("category"), "c.n")
@@ -316,12 +359,24 @@ def best_name(x: Views) -> DataFrame:
     return pairs.best_names(authors, authors.select("batch", F.initcap(F.reverse("display_name")).alias("name")).distinct())
 
 
-@query(with_(v.SUBFIELDS) + ", s AS (SELECT author_id, subfield, count(*) AS n FROM sub WHERE year < 1998 GROUP BY author_id, subfield), t AS (SELECT author_id, subfield, count(*) AS n FROM sub WHERE year >= 1998 GROUP BY author_id, subfield), z AS (SELECT coalesce(s.author_id, t.author_id) AS author_id, CAST(coalesce(s.n, 0) AS DOUBLE) AS a, CAST(coalesce(t.n, 0) AS DOUBLE) AS b FROM s FULL JOIN t ON s.author_id = t.author_id AND s.subfield = t.subfield), q AS (SELECT author_id, sum(a) AS pa, sum(b) AS pb FROM z GROUP BY author_id) SELECT z.author_id, round(sum(CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE 0.0 END) / count(*), 6) AS jaccard, round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine, round(sqrt(greatest(0, sum(CASE WHEN a > 0 THEN a / pa * ln(a / pa / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END + CASE WHEN b > 0 THEN b / pb * ln(b / pb / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END))), 6) AS js_div, round(sum(CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE 0.0 END) / sum(CASE WHEN a > 0 THEN 1.0 ELSE 0.0 END), 6) AS containment FROM z JOIN q ON q.author_id = z.author_id WHERE pa > 0 AND pb > 0 GROUP BY z.author_id")
+TOPICS = v.SUBFIELDS + ", s AS (SELECT author_id, subfield, count(*) AS n FROM sub WHERE year < 1998 GROUP BY author_id, subfield), t AS (SELECT author_id, subfield, count(*) AS n FROM sub WHERE year >= 1998 GROUP BY author_id, subfield), z AS (SELECT coalesce(s.author_id, t.author_id) AS author_id, CAST(coalesce(s.n, 0) AS DOUBLE) AS a, CAST(coalesce(t.n, 0) AS DOUBLE) AS b FROM s FULL JOIN t ON s.author_id = t.author_id AND s.subfield = t.subfield), q AS (SELECT author_id, sum(a) AS pa, sum(b) AS pb FROM z GROUP BY author_id)"
+
+
+@query(with_(TOPICS) + " SELECT z.author_id, round(sum(CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE 0.0 END) / count(*), 6) AS jaccard, round(sum(a * b) / sqrt(sum(a * a) * sum(b * b)), 6) AS cosine, round(sqrt(greatest(0, sum(CASE WHEN a > 0 THEN a / pa * ln(a / pa / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END + CASE WHEN b > 0 THEN b / pb * ln(b / pb / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END))), 6) AS js_div, round(sum(CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE 0.0 END) / sum(CASE WHEN a > 0 THEN 1.0 ELSE 0.0 END), 6) AS containment FROM z JOIN q ON q.author_id = z.author_id WHERE pa > 0 AND pb > 0 GROUP BY z.author_id")
 def topic_similarity(x: Views) -> DataFrame:
+    return _topic_maps(x).select("author_id", *[F.round(c, 6).alias(n) for n, c in ex.topic_similarity(F.col("p"), F.col("c")).items()])
+
+
+def _topic_maps(x: Views) -> DataFrame:
+    """Subfield counts of authors before and from 1998 on."""
     rows = x.author_subfields().groupBy("author_id", (F.col("year") < 1998).alias("early"), "subfield").agg(F.count(F.lit(1)).alias("n"))
     side = lambda early, name: rows.where(F.col("early") == early).groupBy("author_id").agg(F.map_from_entries(F.collect_list(F.struct("subfield", "n"))).alias(name))
-    both = side(True, "p").join(side(False, "c"), "author_id")
-    return both.select("author_id", *[F.round(c, 6).alias(n) for n, c in ex.topic_similarity(F.col("p"), F.col("c")).items()])
+    return side(True, "p").join(side(False, "c"), "author_id")
+
+
+@query(with_(TOPICS) + " SELECT z.author_id, round(sum(least(a, b)) / sum(greatest(a, b)), 6) AS weighted_jaccard, round(sum(a / pa * b / pb) / sqrt(sum(a / pa * a / pa) * sum(b / pb * b / pb)), 6) AS share_cosine, round(sqrt(greatest(0, sum(CASE WHEN a > 0 THEN a / pa * log2(a / pa / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END + CASE WHEN b > 0 THEN b / pb * log2(b / pb / ((a / pa + b / pb) / 2)) / 2 ELSE 0 END))), 6) AS js_base2, round(sum(CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE 0.0 END) / sum(CASE WHEN a > 0 THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM z JOIN q ON q.author_id = z.author_id WHERE pa > 0 AND pb > 0 GROUP BY z.author_id")
+def weighted_topic_similarity(x: Views) -> DataFrame:
+    return _topic_maps(x).select("author_id", *[F.round(c, 6).alias(n) for n, c in ex.weighted_topic_similarity(F.col("p"), F.col("c")).items()])
 
 
 @query("SELECT o_custkey AS person_id, l_suppkey AS oa_id, round(count(*) / max(t.n), 6) AS publication_coverage FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN (SELECT o_custkey AS k, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY o_custkey) t ON t.k = o_custkey GROUP BY o_custkey, l_suppkey")
@@ -384,9 +439,9 @@ def _classed(x: Views) -> DataFrame:
     return rows.select(F.col("quality").alias("is_match"), F.least(F.lit(1.0), F.col("n_chars") / 4000.0).alias("match_probability"), F.col("doc_id").alias("gtr_id"))
 
 
-@query(with_(CLASSED) + f"SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM (SELECT {CELLS} FROM cls, (SELECT 0.8 AS t) u) c")
+@query(with_(CLASSED) + f"SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1, round(tn / nullif(tn + fn, 0), 6) AS npv, round(fp / nullif(tp + fp, 0), 6) AS fdr, round(fn / nullif(tn + fn, 0), 6) AS \"for\", round((tp + fp) / (tp + fp + fn + tn), 6) AS predicted_positive_rate, round((tp + fn) / (tp + fp + fn + tn), 6) AS actual_positive_rate FROM (SELECT {CELLS} FROM cls, (SELECT 0.8 AS t) u) c")
 def confusion_metrics(x: Views) -> DataFrame:
-    return coverage.confusion(_classed(x)).select("tp", "fp", "fn", "tn", ROUND6("accuracy"), ROUND6("precision"), ROUND6("recall"), ROUND6("f1"))
+    return coverage.confusion(_classed(x)).select("tp", "fp", "fn", "tn", *map(ROUND6, ("accuracy", "precision", "recall", "f1", "npv", "fdr", "for", "predicted_positive_rate", "actual_positive_rate")))
 
 
 @query(with_(CLASSED) + f"SELECT CAST(t AS DOUBLE) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM (SELECT t, {CELLS} FROM cls, (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99]) AS t) u GROUP BY t) c")
