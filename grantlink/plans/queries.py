@@ -177,6 +177,20 @@ def person_portfolio(x: Views) -> DataFrame:
     return out.where("size(project_publications) > 0").select("person_id", F.size("project_publications").cast("bigint").alias("n_publications"), total.alias("n_authorships"), F.size("project_authors").cast("bigint").alias("n_authors"))
 
 
+@query("""WITH w AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS author_id FROM lineitem), c AS (SELECT l_orderkey AS project_id, author_id, count(*) AS n FROM lineitem JOIN w ON w.id = l_partkey GROUP BY 1, 2)
+    SELECT project_id, n_works, count(*) AS n_authors, CAST(sum(n) AS BIGINT) AS n_authorships, max(n) AS most FROM c JOIN (SELECT l_orderkey AS project_id, count(*) AS n_works FROM lineitem GROUP BY 1) t USING (project_id) GROUP BY project_id, n_works""")
+def project_authors(x: Views) -> DataFrame:
+    """The lines' parts are outputs, given by DOI in several spellings; the suppliers of a part are its authors."""
+    doi = F.concat(F.lit("10.1000/part."), F.col("l_partkey"))
+    lines = x.read("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    spelled = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("https://doi.org/"), doi)).when(F.col("l_linenumber") == 2, F.concat(F.lit("doi:"), doi)).otherwise(doi)
+    works = lines.groupBy(F.col("l_partkey").alias("id"), doi.alias("doi")).agg(F.transform(F.collect_set("l_suppkey"), lambda a: F.struct(a.alias("author_id"))).alias("authorships"))
+    out = persons.project_authors(lines.select(F.col("l_orderkey").alias("project_id"), spelled.alias("doi")), works)
+    size = lambda c, n: F.size(c).cast("bigint").alias(n)
+    total = F.aggregate("project_authors", F.lit(0).cast("bigint"), lambda s, a: s + a["n"]).alias("n_authorships")
+    return out.select("project_id", size("project_oa_ids", "n_works"), size("project_authors", "n_authors"), total, F.array_max(F.transform("project_authors", lambda a: a["n"])).alias("most"))
+
+
 def _di(x: Views) -> DataFrame:
     return citation.disruption(x.focal(), x.citing())
 

@@ -134,6 +134,73 @@ def test_pruning_quintiles_and_sampling(spark):
     assert sorted(values(sample, "author_id", "id")) == sorted(values(citation.sample_author_works(rows.repartition(7)), "author_id", "id"))
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 1000])
+def test_percentiles_are_exact(spark, n):
+    r = random.Random(n)
+    values_ = [r.choice([7.5, 7.5, r.gauss(0, 5), float(r.randint(0, 9))]) for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in [*values_, None]], "v double").repartition(3)
+    quantiles = [0.0, 0.2, 0.5, 0.8, 0.97, 1.0]
+    got = citation.percentiles(df, "v", quantiles)
+    assert got == ([None] * 6 if not n else pytest.approx([float(np.quantile(values_, q)) for q in quantiles]))
+
+
+def test_works_without_references_have_no_index(spark):
+    focal = spark.createDataFrame([(1, [9]), (2, None), (3, []), (4, [8])], "id long, referenced_works array<long>")
+    citing = spark.createDataFrame([(5, [1, 2, 3]), (6, [1, 9])], "id long, referenced_works array<long>")
+    assert sorted(values(citation.disruption(focal, citing), "focal_id", "n_f", "n_b")) == [(1, 1, 1), (4, 0, 0)]
+    assert values(citation.sampled_disruption(focal, citing, spark.createDataFrame([(1,), (1,), (2,)], "id long")), "focal_id", "n_f") == [(1, 1)]
+
+
+def test_topic_rows_count_an_author_once(spark):
+    works = spark.createDataFrame([(1, 2000, [("a",), ("a",), ("b",)], [("s",), ("s",), (None,)])], "id int, year int, authorships array<struct<author_id:string>>, topics array<struct<subfield:string>>")
+    matched = spark.createDataFrame([("a",)], "author_id string")
+    assert values(diversity.author_subfield_years(works, matched), "author_id", "subfield", "freq", "n_pubs", "total_publications") == [("a", "s", 2, 1, 1)]
+    assert values(diversity.author_subfield_years(works, matched, legacy_duplicates=True), "freq", "n_pubs") == [(4, 1)]
+
+
+def test_matched_person_grants(spark):
+    persons_ = spark.createDataFrame([(1, "A", [10, 11, 12], "x"), (2, "B", [10], None), (3, "C", None, None)], "person_id int, surname string, project_id array<int>, orcid_gtr string")
+    projects = spark.createDataFrame([(10, "2001-01-01", "2002-01-01", None, "c", "f", "Active"), (10, "2001-01-01", "2002-01-01", None, "c", "f", "Active"), (11, "bad", None, "2009-01-01", "c", "g", "Closed")], "project_id int, start_date string, end_date string, extended_end string, category string, funder string, status string")
+    got = {r.person_id: r for r in grants.matched_person_grants(persons_, projects, spark.createDataFrame([(1,), (3,), (1,)], "gtr_id int")).collect()}
+    assert set(got) == {1, 3} and "orcid_gtr" not in got[1].asDict()
+    assert (got[1].number_grants, got[1].has_multiple_funders, str(got[1].latest_end_date), got[1].grant_categories[0].n) == (3, True, "2009-01-01", 2)
+    assert (got[3].number_grants, got[3].has_multiple_funders, got[3].lead_funders) == (0, False, None)
+    s = coverage.person_statistics(persons_.withColumn("project_publications", F.array(F.lit(1)))).first()
+    assert (s.persons, round(s.mean_projects, 4), s.mean_publications, s.with_orcid) == (3, 1.3333, 1.0, 1)
+
+
+def test_sinks_and_unions(spark, tmp_path):
+    a, b = spark.createDataFrame([(1, "x"), (2, "y")], "v int, k string"), spark.createDataFrame([(3, "y")], "v int, k string")
+    tables.write_table(a, str(tmp_path / "t"), "k")
+    tables.write_table(b, str(tmp_path / "t"), "k")
+    assert sorted(values(spark.read.parquet(str(tmp_path / "t")), "v", "k")) == [(1, "x"), (3, "y")]  # only the partition y is replaced
+    tables.write_table(b, str(tmp_path / "u"))
+    tables.write_table(a, str(tmp_path / "u"))
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 2
+    lists = spark.createDataFrame([(0, "1|2", 2), (1, "3", 1)], "batch long, ids string, n long")
+    tables.write_id_lists(lists, str(tmp_path / "ids"))
+    assert sorted(values(tables.read_id_lists(spark, str(tmp_path / "ids")), "batch", "ids", "n")) == [(0, "1|2", 2), (1, "3", 1)]
+    joined = tables.union_pages(a, b.drop("k"), b.withColumn("more", F.lit(True)))
+    assert joined.columns == ["v", "k", "more"] and joined.count() == 4 and joined.where("k is null and more is null").count() == 1
+
+
+def test_funds(spark):
+    raw = spark.createDataFrame([("f", (5.0,), "x")], "id string, valuePounds struct<amount:double>, links string")
+    assert values(normalise.funds(raw), "id", "value") == [("f", 5.0)]
+
+
+def test_grid_is_searched_with_oversampling_inside_folds(spark):
+    r = random.Random(2)
+    rows = [(f"g{i}", f"o{i}", int(i % 9 == 0), r.gauss(2 * (i % 9 == 0), 1), r.random()) for i in range(180)]
+    matrix = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int, x double, y double")
+    folds = model.with_folds(matrix, 2)
+    assert folds.groupBy("fold", "is_match").count().count() == 4
+    found = model.train(matrix, grid={"maxIter": [1, 2], "maxDepth": [2]}, folds=2, oversample=3)
+    assert found.stages[-1].getMaxDepth() == 2 and found.stages[-1].getMaxIter() in (1, 2)
+    weights = values(model.importances(found, matrix), "feature", "importance")
+    assert [w[0] for w in weights][0] == "x" and sum(w[1] for w in weights) == pytest.approx(1)
+
+
 def test_diversity(spark):
     freq = spark.createDataFrame([("a", 2000, 1, 2), ("a", 2002, 1, 1), ("a", 2002, 2, 3)], "author_id string, year int, subfield int, freq long")
     decayed = diversity.decayed_frequencies(freq)
