@@ -6,17 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import clean_doi, clean_name
+from ..sources.tables import kept
 
 
 def id_batches(ids: DataFrame, column: str, size: int = 50) -> DataFrame:
-    """(batch, ids, n) of the distinct non-null ids. Batches are cut inside hash buckets of about 100,000 ids, so no task
-    numbers them all; only the last batch of a bucket may be short. Below that size there is one bucket, in id order."""
-    distinct = ids.select(F.col(column).cast("string").alias("id")).where("id is not null and id <> ''").distinct()
-    buckets = max(1, distinct.count() // 100_000)
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id")) - 1
-    rows = distinct.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets))).withColumn("k", F.floor(rank / size))
-    joined = rows.groupBy("bucket", "k").agg(F.array_join(F.array_sort(F.collect_list("id")), "|").alias("ids"), F.count(F.lit(1)).alias("n"))
-    return joined.select((F.col("k") * buckets + F.col("bucket")).alias("batch"), "ids", "n")
+    """(batch, ids, n) of the distinct non-null ids in their order; only the last batch may be short. Ids are numbered
+    inside ranges of about 100,000, and the counts of the ranges before are added, so no task numbers them all."""
+    distinct = kept(ids.select(F.col(column).cast("string").alias("id")).where("id is not null and id <> ''").distinct())
+    ranges = max(1, distinct.count() // 100_000)
+    placed = kept(distinct.repartitionByRange(ranges, "id").select("id", F.spark_partition_id().alias("range")))
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))  # a row per range
+    sums = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy("id")) - 1
+    rows = placed.withColumn("inside", inside).join(F.broadcast(sums), "range")  # a row per range
+    batch = F.floor((F.col("before") + F.col("inside")) / size).alias("batch")
+    return rows.groupBy(batch).agg(F.array_join(F.array_sort(F.collect_list("id")), "|").alias("ids"), F.count(F.lit(1)).alias("n"))
 
 
 def doi_batches(publications: DataFrame) -> DataFrame:

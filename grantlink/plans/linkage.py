@@ -91,13 +91,13 @@ def _full_pairs(x: Views) -> DataFrame:
 
 @query()
 def feature_matrix(x: Views) -> DataFrame:
-    return features.feature_matrix(_full_pairs(x))
+    return features.feature_matrix(x.kept(_full_pairs(x)))
 
 
 @query()
 def match_authors(x: Views) -> DataFrame:
     """Features, a trained classifier, its scores, and the best candidate of each person."""
-    matrix = x.kept(features.feature_matrix(_full_pairs(x)).drop("publication_coverage", "author_proportion"))  # they hold the label
+    matrix = x.kept(features.feature_matrix(x.kept(_full_pairs(x))).drop("publication_coverage", "author_proportion"))  # they hold the label
     train, _ = model.stratified_split(matrix)
     return pairs.best_matches(model.score(model.train(train), matrix), 0.5)
 

@@ -28,11 +28,11 @@ def query(sql: str | None = None):
 
 
 def _years(x: Views) -> DataFrame:
-    return author_year.author_years(author_year.author_papers(x.works(), x.matched(), HOME))
+    return author_year.author_years(author_year.author_papers(x.kept_works(), x.matched(), HOME))
 
 
 def _collabs(x: Views) -> DataFrame:
-    return author_year.collaborators(x.works(), x.matched())
+    return author_year.collaborators(x.kept_works(), x.matched())
 
 
 BASE = (v.AUTHORSHIPS, v.WORKS, v.PAPERS, v.YEARS)

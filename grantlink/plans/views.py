@@ -13,7 +13,7 @@ HOME = "NATION_3"
 
 class Views:
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.works_ = spark, folder, None
 
     def read(self, name: str, *columns: str) -> DataFrame:
         return table(self.spark, self.folder, name, *columns)
@@ -37,6 +37,12 @@ class Views:
         people = self.authorships().groupBy("id").agg(F.array_sort(F.collect_list(F.struct("author_id", "country"))).alias("authorships"))
         return orders.join(cited, "id").join(people, "id")
 
+    def kept_works(self) -> DataFrame:
+        """``works``, made once for a query."""
+        if self.works_ is None:
+            self.works_ = kept(self.works())
+        return self.works_
+
     def matched(self) -> DataFrame:
         """Suppliers whose orders have customers."""
         ordered = self.read("lineitem", "l_orderkey", "l_suppkey").join(self.read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -13,6 +13,7 @@ def new_records(batch: DataFrame, landed: DataFrame, key: str = "id") -> DataFra
 
 def land_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str = "id") -> StreamingQuery:
     """Appends new Parquet files of ``source`` to ``target``, without repeated ids; ends when all files are read. The seen
-    ids are the stream's state, kept in ``checkpoint``."""
+    ids are the stream's state, kept in ``checkpoint``, and grow with all ids ever landed; where that is too much, land
+    batches with ``new_records``."""
     stream = spark.readStream.schema(schema).parquet(source).dropDuplicates([key])
     return stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
