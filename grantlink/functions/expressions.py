@@ -71,38 +71,65 @@ def map_total(m: Column) -> Column:
     return F.aggregate(F.map_values(m), F.lit(0.0), lambda a, x: a + x)
 
 
-def topic_similarity(person: Column, candidate: Column) -> dict[str, Column]:
-    """Set and distribution similarities of two map<id,count>; 0, 0, 1, 0 if either is empty."""
-    empty = (F.size(F.coalesce(person, F.create_map().cast("map<string,bigint>"))) == 0) | (F.size(F.coalesce(candidate, F.create_map().cast("map<string,bigint>"))) == 0)
-    keys, other = F.map_keys(person), F.map_keys(candidate)
-    both = F.size(F.array_intersect(keys, other))
-    zipped = F.map_values(F.map_zip_with(person, candidate, lambda _, a, b: F.struct(F.coalesce(a, F.lit(0)).cast("double").alias("a"), F.coalesce(b, F.lit(0)).cast("double").alias("b"))))
-    total = lambda f: F.aggregate(zipped, F.lit(0.0), lambda acc, x: acc + f(x))
-    cosine = total(lambda x: x["a"] * x["b"]) / F.sqrt(total(lambda x: x["a"] * x["a"]) * total(lambda x: x["b"] * x["b"]))
-    pa, pb = map_total(person), map_total(candidate)
-
-    def half(x, own, n):  # p * ln(p / m), where m is the mean of both shares
-        p, m = x[own] / n, (x["a"] / pa + x["b"] / pb) / 2
-        return F.when(p > 0, p * F.ln(p / m)).otherwise(0.0)
-
-    js = F.sqrt(F.greatest(F.lit(0.0), total(lambda x: half(x, "a", pa) / 2 + half(x, "b", pb) / 2)))
+def topic_sums(person: Column, candidate: Column) -> Column:
+    """What the similarities of two map<id,count> need, as one struct made in one pass over the ids of either side; a null
+    map counts as empty. Both totals are made once, outside the pass."""
+    none = F.create_map().cast("map<string,bigint>")
+    person, candidate = F.coalesce(person, none), F.coalesce(candidate, none)
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("double")
+    counts = F.map_zip_with(person, candidate, lambda _, a, b: F.struct(number(a).alias("a"), number(b).alias("b"), (a.isNotNull() & b.isNotNull()).cast("int").alias("both")))
+    given = F.struct(F.map_values(counts).alias("each"), map_total(person).alias("pa"), map_total(candidate).alias("pb"))
+
+    def part(own: Column, p: Column, m: Column) -> Column:  # p * ln(p / m), where m is the mean of both shares
+        return F.when(own > 0, p * F.ln(p / m)).otherwise(0.0)
+
+    def one_pass(g: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            p, q = F.try_divide(x["a"], g["pa"]), F.try_divide(x["b"], g["pb"])
+            half = (part(x["a"], p, (p + q) / 2) + part(x["b"], q, (p + q) / 2)) / 2
+            terms = {"ab": x["a"] * x["b"], "aa": x["a"] * x["a"], "bb": x["b"] * x["b"], "js": half, "low": F.least(x["a"], x["b"]), "high": F.greatest(x["a"], x["b"])}
+            return F.struct(*[(acc[n] + t).alias(n) for n, t in terms.items()], (acc["both"] + x["both"]).alias("both"))
+
+        zero = F.struct(*[F.lit(0.0).alias(n) for n in ("ab", "aa", "bb", "js", "low", "high")], F.lit(0).alias("both"))
+        sizes = lambda acc: F.struct(acc.alias("sums"), F.size(g["each"]).alias("ids"), F.size(person).alias("own"), F.size(candidate).alias("other"))
+        return F.aggregate(g["each"], zero, add, sizes)
+
+    return F.get(F.transform(F.array(given), one_pass), F.lit(0))
+
+
+def similarities(sums: Column) -> dict[str, Column]:
+    """Set and distribution similarities from ``topic_sums``; 0, 0, 1, 0 if either map is empty."""
+    x, empty = sums["sums"], (sums["own"] == 0) | (sums["other"] == 0)
     pick = lambda c, default: F.when(empty, F.lit(default)).otherwise(c)
-    return {"jaccard": pick(both / F.size(F.array_union(keys, other)), 0.0), "cosine": pick(cosine, 0.0), "js_div": pick(js, 1.0), "containment": pick(both / F.size(keys), 0.0)}
+    return {
+        "jaccard": pick(x["both"] / sums["ids"], 0.0),
+        "cosine": pick(F.coalesce(F.try_divide(x["ab"], F.sqrt(x["aa"] * x["bb"])), F.lit(0.0)), 0.0),
+        "js_div": pick(F.sqrt(F.greatest(F.lit(0.0), x["js"])), 1.0),
+        "containment": pick(x["both"] / sums["own"], 0.0),
+    }
+
+
+def weighted_similarities(sums: Column) -> dict[str, Column]:
+    """Optional similarities from ``topic_sums``: weighted Jaccard, cosine of shares, Jensen-Shannon distance in base 2 (null
+    if either is empty), and the share of the person's topics that the candidate has; the others are 0 if empty."""
+    x = sums["sums"]
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return {
+        "weighted_jaccard": zero(F.try_divide(x["low"], x["high"])),
+        "share_cosine": zero(F.try_divide(x["ab"], F.sqrt(x["aa"] * x["bb"]))),
+        "js_base2": F.when((x["aa"] > 0) & (x["bb"] > 0), similarities(sums)["js_div"] / F.sqrt(F.ln(F.lit(2.0)))),
+        "coverage": zero(F.try_divide(x["both"], sums["own"])),
+    }
+
+
+def topic_similarity(person: Column, candidate: Column) -> dict[str, Column]:
+    """``similarities`` of two map<id,count>. Where several are wanted, make ``topic_sums`` a column first."""
+    return similarities(topic_sums(person, candidate))
 
 
 def weighted_topic_similarity(person: Column, candidate: Column) -> dict[str, Column]:
-    """Optional similarities of two map<id,count>: weighted Jaccard, cosine of shares, Jensen-Shannon distance in base 2
-    (null if either is empty), and the share of the person's topics that the candidate has; the others are 0 if empty."""
-    none = F.create_map().cast("map<string,bigint>")
-    person, candidate = F.coalesce(person, none), F.coalesce(candidate, none)
-    zipped = F.map_values(F.map_zip_with(person, candidate, lambda _, a, b: F.struct(F.coalesce(a, F.lit(0)).cast("double").alias("a"), F.coalesce(b, F.lit(0)).cast("double").alias("b"))))
-    total = lambda f: F.aggregate(zipped, F.lit(0.0), lambda acc, x: acc + f(x))
-    jaccard = F.try_divide(total(lambda x: F.least(x["a"], x["b"])), total(lambda x: F.greatest(x["a"], x["b"])))
-    cosine = F.try_divide(total(lambda x: x["a"] * x["b"]), F.sqrt(total(lambda x: x["a"] * x["a"]) * total(lambda x: x["b"] * x["b"])))
-    js = F.when((map_total(person) > 0) & (map_total(candidate) > 0), topic_similarity(person, candidate)["js_div"] / F.sqrt(F.ln(F.lit(2.0))))
-    shared = F.size(F.array_intersect(F.map_keys(person), F.map_keys(candidate)))
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return {"weighted_jaccard": zero(jaccard), "share_cosine": zero(cosine), "js_base2": js, "coverage": zero(F.try_divide(shared, F.size(F.map_keys(person))))}
+    """``weighted_similarities`` of two map<id,count>."""
+    return weighted_similarities(topic_sums(person, candidate))
 
 
 def decay(year: Column, target: Column, alpha: float = 1.0) -> Column:

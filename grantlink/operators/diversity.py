@@ -42,15 +42,16 @@ def decayed_frequencies(freq: DataFrame, alpha: float = 1.0, past_only: bool = F
 def diversity(decayed: DataFrame, distances: DataFrame, n_subfields: int, tolerance: float = 1e-6) -> DataFrame:
     """variety, evenness and disparity per author-year, of subfields with frequency 1 or more. ``distances``: (a, b,
     distance) for both orders. Author-years without such a subfield have zeros."""
-    kept = decayed.where(F.col("freq") >= 1 - tolerance)
-    base = kept.groupBy("author_id", "year").agg(F.count(F.lit(1)).alias("n"), F.sum("freq").alias("total"), F.sum(F.col("freq") * F.col("freq")).alias("squares"))
-    # pairs inside an author-year: as many as it has subfields, squared, and those are of a fixed taxonomy
-    left, right = kept.select("author_id", "year", F.col("subfield").alias("a")), kept.select("author_id", "year", F.col("subfield").alias("b"))
-    spread = left.join(right, ["author_id", "year"]).where("a < b").join(distances, ["a", "b"]).groupBy("author_id", "year").agg(F.avg("distance").alias("disparity"))
-    years = decayed.select("author_id", "year").distinct()
-    out = years.join(base, ["author_id", "year"], "left").join(spread, ["author_id", "year"], "left")
+    own = lambda c: F.when(F.col("freq") >= 1 - tolerance, c)
+    sums = [F.count(own(F.lit(1))).alias("n"), F.sum(own(F.col("freq"))).alias("total"), F.sum(own(F.col("freq") * F.col("freq"))).alias("squares")]
+    base = decayed.groupBy("author_id", "year").agg(*sums, F.array_sort(F.collect_list(own(F.col("subfield")))).alias("held"))
+    # an author-year's subfields are of a fixed taxonomy, so their array is short, and its pairs are made in the row
+    after = lambda a, i: F.transform(F.slice("held", i + 2, F.size("held")), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = base.select("author_id", "year", "n", "total", "squares", F.explode_outer(F.flatten(F.transform("held", after))).alias("p"))
+    apart = pairs.select("author_id", "year", "n", "total", "squares", "p.a", "p.b").join(distances, ["a", "b"], "left")
+    out = apart.groupBy("author_id", "year", "n", "total", "squares").agg(F.avg("distance").alias("disparity"))
     evenness = F.when(F.col("n") > 1, (F.col("total") * F.col("total") / F.col("squares") - 1) / (F.col("n") - 1)).otherwise(0.0)
-    return out.select("author_id", "year", (F.coalesce("n", F.lit(0)) / n_subfields).alias("variety"), F.coalesce(evenness, F.lit(0.0)).alias("evenness"), F.coalesce("disparity", F.lit(0.0)).alias("disparity"))
+    return out.select("author_id", "year", (F.col("n") / n_subfields).alias("variety"), F.coalesce(evenness, F.lit(0.0)).alias("evenness"), F.coalesce("disparity", F.lit(0.0)).alias("disparity"))
 
 
 def group_distances(vectors: DataFrame, key: str, vector: str) -> DataFrame:

@@ -71,13 +71,13 @@ def _full_pairs(x: Views) -> DataFrame:
     lines = x.read("lineitem", "l_orderkey", "l_partkey", "l_suppkey").join(x.read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lines.join(x.read("part"), F.col("l_partkey") == F.col("p_partkey"))
     level = {"domain": F.col("p_type"), "field": (F.col("p_size") % 5).cast("string"), "subfield": F.col("p_brand"), "topic": F.col("p_name")}
+    lines = x.kept(lines.select("l_orderkey", "l_suppkey", "o_custkey", F.array([F.struct(F.lit(name).alias("level"), c.alias("t")) for name, c in level.items()]).alias("topics")))
 
     def maps(key: str, alias: str, side: str) -> DataFrame:
-        out = None
-        for name, c in level.items():
-            one = lines.groupBy(F.col(key).alias(alias), c.alias("t")).agg(F.count(F.lit(1)).alias("n")).groupBy(alias).agg(F.map_from_entries(F.collect_list(F.struct("t", "n"))).alias(f"{side}_{name}"))
-            out = one if out is None else out.join(one, alias)
-        return out
+        """Topic counts of all levels in one aggregate."""
+        each = lines.select(F.col(key).alias(alias), F.explode("topics").alias("topic")).groupBy(alias, "topic").agg(F.count(F.lit(1)).alias("n"))
+        own = lambda name: F.collect_list(F.when(F.col("topic.level") == name, F.struct("topic.t", "n")))
+        return each.groupBy(alias).agg(*[F.map_from_entries(own(name)).alias(f"{side}_{name}") for name in level])
 
     works = lines.groupBy(F.col("o_custkey").alias("person_id")).agg(F.collect_set("l_orderkey").alias("project_publications"))
     authors = lines.groupBy(F.col("o_custkey").alias("person_id"), F.col("l_suppkey").alias("author_id")).agg(F.count(F.lit(1)).alias("n"))
@@ -91,13 +91,13 @@ def _full_pairs(x: Views) -> DataFrame:
 
 @query()
 def feature_matrix(x: Views) -> DataFrame:
-    return features.feature_matrix(x.kept(_full_pairs(x)))
+    return features.feature_matrix(_full_pairs(x))
 
 
 @query()
 def match_authors(x: Views) -> DataFrame:
     """Features, a trained classifier, its scores, and the best candidate of each person."""
-    matrix = x.kept(features.feature_matrix(x.kept(_full_pairs(x))).drop("publication_coverage", "author_proportion"))  # they hold the label
+    matrix = x.kept(features.feature_matrix(_full_pairs(x)).drop("publication_coverage", "author_proportion"))  # they hold the label
     train, _ = model.stratified_split(matrix)
     return pairs.best_matches(model.score(model.train(train), matrix), 0.5)
 
