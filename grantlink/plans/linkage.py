@@ -94,6 +94,46 @@ def feature_matrix(x: Views) -> DataFrame:
     return features.feature_matrix(_full_pairs(x))
 
 
+LINES = "lines AS (SELECT o_custkey AS c, l_suppkey AS s, l_orderkey AS o, p_type AS domain, CAST(p_size % 5 AS VARCHAR) AS field, p_brand AS subfield, p_name AS topic FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"
+
+
+def _level_tables(level: str) -> str:
+    """SQL of a level's counts by side, and of what the pairs have in common."""
+    side = lambda name, key: f"{name}_{level} AS (SELECT {key}, {level} AS t, count(*) AS n, sum(count(*)) OVER (PARTITION BY {key}) AS total FROM lines GROUP BY 1, 2)"
+    size = lambda name, key: f"{name}s_{level} AS (SELECT {key}, count(*) AS k, CAST(sum(n * n) AS DOUBLE) AS sq FROM {name}_{level} GROUP BY {key})"
+    shares = f"SELECT c, s, n, m, n / total AS p, m / all_ AS q FROM a_{level} JOIN (SELECT s, t, n AS m, total AS all_ FROM b_{level}) b USING (t) JOIN crossed ON c = person_id AND s = oa_id"
+    terms = "count(*) AS both, CAST(sum(n * m) AS DOUBLE) AS ab, sum(p) AS p, sum(q) AS q, sum(p * ln(2 * p / (p + q)) / 2 + q * ln(2 * q / (p + q)) / 2) AS js"
+    return ", ".join((side("a", "c"), side("b", "s"), size("a", "c"), size("b", "s"), f"x_{level} AS (SELECT c, s, {terms} FROM ({shares}) z GROUP BY c, s)"))
+
+
+def _level_columns(level: str) -> str:
+    a, b, x = f"as_{level}", f"bs_{level}", f"x_{level}"
+    both = f"coalesce({x}.both, 0)"
+    alone = f"(2 - coalesce({x}.p, 0) - coalesce({x}.q, 0)) * ln(2.0) / 2"  # the shares of topics that only one side has
+    found = {"jaccard": (f"{both} / ({a}.k + {b}.k - {both})", 0), "cosine": (f"coalesce({x}.ab, 0) / sqrt({a}.sq * {b}.sq)", 0), "js_div": (f"sqrt(greatest(0, coalesce({x}.js, 0) + {alone}))", 1), "containment": (f"{both} / {a}.k", 0)}
+    return ", ".join(f"round(coalesce({c}, {empty}), 6) AS {level}_{n}" for n, (c, empty) in found.items())
+
+
+def _level_joins(level: str) -> str:
+    return f"LEFT JOIN as_{level} ON as_{level}.c = person_id LEFT JOIN bs_{level} ON bs_{level}.s = oa_id LEFT JOIN x_{level} ON x_{level}.c = person_id AND x_{level}.s = oa_id"
+
+
+@query(
+    with_(CROSSED, PROFILES, LINES, *map(_level_tables, features.LEVELS))
+    + f"SELECT person_id AS gtr_id, oa_id, CAST(own.n IS NOT NULL AS INTEGER) AS is_match, round({LEV('b')}, 6) AS display_lev, round({JW('a', 'b')}, 6) AS display_jw, "
+    + f"round(({LEV('alt')} + {LEV('upper(b)')}) / 2, 6) AS alt_lev_mean, round(greatest({JW('a', 'alt')}, {JW('a', 'upper(b)')}), 6) AS alt_jw_max, round({JW('lower(org)', 'lower(child)')}, 6) AS inst_child_jw_max, "
+    + "works_count, cited_by_count, h_index, round(coalesce(own.n, 0) / grants.papers, 6) AS publication_coverage, round(coalesce(own.n, 0) / grants.entries, 6) AS author_proportion, "
+    + ", ".join(map(_level_columns, features.LEVELS))
+    + " FROM crossed JOIN profiles ON id = oa_id LEFT JOIN (SELECT c, s, count(*) AS n FROM lines GROUP BY 1, 2) own ON own.c = person_id AND own.s = oa_id LEFT JOIN (SELECT c, count(DISTINCT o) AS papers, count(*) AS entries FROM lines GROUP BY 1) grants ON grants.c = person_id "
+    + " ".join(map(_level_joins, features.LEVELS))
+)
+def pair_features(x: Views) -> DataFrame:
+    """The columns of the feature matrix that SQL can express."""
+    scores = ("display_lev", "display_jw", "alt_lev_mean", "alt_jw_max", "inst_child_jw_max", "publication_coverage", "author_proportion")
+    topics = [f"{level}_{n}" for level in features.LEVELS for n in ("jaccard", "cosine", "js_div", "containment")]
+    return features.feature_matrix(_full_pairs(x)).select("gtr_id", "oa_id", "is_match", "works_count", "cited_by_count", "h_index", *map(ROUND6, (*scores, *topics)))
+
+
 @query()
 def match_authors(x: Views) -> DataFrame:
     """Features, a trained classifier, its scores, and the best candidate of each person."""

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from grantlink.functions import expressions as ex
-from grantlink.functions.similarity import jaro_winkler, sequence_ratio, token_set_ratio
+from grantlink.functions.similarity import jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
 from grantlink.operators import author_year, batching, career, citation, coverage, diversity, grants, model, normalise, pairs, persons
 from grantlink.sources import tables
 from grantlink.streaming import landing
@@ -331,3 +331,38 @@ def test_series_and_taxonomy(spark):
 def test_odd_transpositions():
     """Three letters out of place are one transposition."""
     assert jaro_winkler("abcxyz", "bcaxyz") == pytest.approx((1 + 1 + 5 / 6) / 3)
+
+
+def plain_ratio(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
+
+
+def plain_token_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    common, own, other = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
+    with_own, with_other = f"{common} {own}".strip(), f"{common} {other}".strip()
+    sides = [plain_ratio(common, with_own), plain_ratio(common, with_other)] if common else []
+    return max([plain_ratio(with_own, with_other), *sides])
+
+
+@given(st.lists(st.tuples(st.text("abé \U0001f600", max_size=80), st.text("abé \U0001f600", max_size=80)), min_size=1, max_size=20))
+def test_batched_scores_are_those_of_single_pairs(pairs):
+    a, b = map(list, zip(*pairs, strict=True))
+    assert list(jaro_winklers(a, b)) == pytest.approx([jaro_winkler(x, y) for x, y in pairs], abs=1e-12)
+    assert list(token_set_ratios(a, b)) == pytest.approx([plain_token_set(x, y) for x, y in pairs], abs=1e-12)
+
+
+def test_names_are_scored_in_their_row(spark):
+    rows = [(1, "ann lee", ["lee ann", None, "x" * 70 + " lee"]), (2, None, ["a"]), (3, "b", None), (4, "", [])]
+    df = spark.createDataFrame(rows, "id int, name string, others array<string>").repartition(1)
+    got = {r.id: r.s for r in df.select("id", name_scores("name", "others").alias("s")).collect()}
+    assert [None if x.token is None else round(x.token, 6) for x in got[1]] == [1.0, None, round(plain_token_set("ann lee", "x" * 70 + " lee"), 6)]
+    assert got[1][0].jw == pytest.approx(jaro_winkler("ann lee", "lee ann")) and got[1][1].jw is None
+    assert [tuple(x) for x in got[2]] == [(None, None)] and got[3] == [] and got[4] == []
