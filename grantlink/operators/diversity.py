@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,6 +68,18 @@ def group_distances(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return raw.crossJoin(F.broadcast(largest)).select("a", "b", F.coalesce(F.try_divide("d", "m"), F.lit(0.0)).alias("distance"))  # one row
 
 
+def hashed_words(label: Column, size: int = 256) -> Column:
+    """A vector of the label's words, counted at the places that their hashes give: an encoder without a trained model."""
+    places = F.transform(F.filter(F.split(F.lower(label), r"\W+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(size)))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(places, lambda p: p == i)).cast("double"))
+
+
+def label_distances(labels: DataFrame, encode: Callable[[Column], Column] = hashed_words) -> DataFrame:
+    """(a, b, distance) of taxonomy entries (subfield_id, label) by their labels. ``encode`` makes a label an
+    array<double>; a sentence encoder can be given as a pandas UDF. Entries without a label are left out."""
+    return group_distances(labels.where("label is not null").select("subfield_id", encode(F.col("label")).alias("vector")), "subfield_id", "vector")
+
+
 def author_year_publications(rows: DataFrame) -> DataFrame:
     """(author_id, year, n_pubs, total_publications) of rows (author_id, id, year): distinct papers, and the author's total."""
     each = rows.select("author_id", "id", "year").distinct().groupBy("author_id", "year").agg(F.count(F.lit(1)).alias("n_pubs"))

@@ -67,6 +67,7 @@ def authors(raw: DataFrame) -> DataFrame:
         zero("works_count").alias("works_count"), zero("cited_by_count").alias("cited_by_count"), zero("summary_stats.h_index").alias("h_index"), zero("summary_stats.i10_index").alias("i10_index"),
         F.transform("affiliations", lambda a: F.struct(*inst(a["institution"]), a["years"].alias("years"))).alias("affiliations"),
         F.transform("last_known_institutions", lambda i: F.struct(*inst(i))).alias("last_known_institutions"), topics.alias("topics"), "counts_by_year",
+        *[c for c in ("gtr_author_name", "name_match_score") if c in raw.columns],
     )
 
 

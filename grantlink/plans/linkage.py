@@ -236,6 +236,19 @@ DISRUPTION_MEANS = _means(ORACLE_SQL["disruption_author_year"], 2, "mean_disrupt
 DIVERSITY_MEANS = _means(ORACLE_SQL["topic_diversity"], 3, "variety", "evenness", "disparity")
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+APART = " + ".join(f"power(a.{c}_ - b.{c}_, 2)" for c in LETTERS)
+COUNTED = ", ".join(f"length(label) - length(replace(label, '{c}', '')) AS {c}_" for c in LETTERS)
+
+
+@query(f"WITH l AS (SELECT p_type, {COUNTED} FROM (SELECT DISTINCT p_type, lower(p_type) AS label FROM part) t), d AS (SELECT a.p_type AS a, b.p_type AS b, sqrt({APART}) AS d FROM l a CROSS JOIN l b) SELECT a, b, round(coalesce(d / nullif(max(d) OVER (), 0), 0), 6) AS distance FROM d")
+def label_distance(x: Views) -> DataFrame:
+    """Part types by the letters of their names, as an encoder that SQL has, too."""
+    labels = x.read("part", "p_type").distinct().select(F.col("p_type").alias("subfield_id"), F.lower("p_type").alias("label"))
+    letters = lambda label: F.array([(F.length(label) - F.length(F.replace(label, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
+    return diversity.label_distances(labels, letters).select("a", "b", ROUND6("distance"))
+
+
 @query(DISRUPTION_MEANS)
 def disruption_before_after(x: Views) -> DataFrame:
     columns = ("mean_disruption", "weighted_disruption")

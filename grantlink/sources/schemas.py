@@ -19,10 +19,12 @@ RAW_AUTHOR = (
     f"affiliations array<struct<institution:{_INSTITUTION},years:array<int>>>, last_known_institutions array<{_INSTITUTION}>, topics array<struct<{_TOPIC.format('count:bigint,')}>>, "
     "counts_by_year array<struct<year:int,works_count:bigint,cited_by_count:bigint>>"
 )
+#: What the search by name added to an author.
+MATCH_INFO = "gtr_author_name string, name_match_score double"
 RAW_WORK = (
     "id string, doi string, title string, publication_date string, fwci double, cited_by_count bigint, "
     "authorships array<struct<author:struct<id:string>,institutions:array<struct<id:string,country_code:string>>,author_position:string>>, "
     f"topics array<struct<{_TOPIC.format('')}>>, referenced_works array<string>, ids struct<pmid:string,mag:string>, counts_by_year array<struct<year:int,cited_by_count:bigint>>"
 )
 RAW_INSTITUTION = "id string, associated_institutions array<struct<id:string,display_name:string,country_code:string,relationship:string>>"
-SCHEMAS = {"project": RAW_PROJECT, "person": RAW_PERSON, "publication": RAW_PUBLICATION, "organisation": RAW_ORGANISATION, "fund": RAW_FUND, "author": RAW_AUTHOR, "work": RAW_WORK, "institution": RAW_INSTITUTION}
+SCHEMAS = {"project": RAW_PROJECT, "person": RAW_PERSON, "publication": RAW_PUBLICATION, "organisation": RAW_ORGANISATION, "fund": RAW_FUND, "author": RAW_AUTHOR, "matched_author": f"{RAW_AUTHOR}, {MATCH_INFO}", "work": RAW_WORK, "institution": RAW_INSTITUTION}

@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import normalise
 from .schemas import SCHEMAS
 
 
@@ -47,6 +48,20 @@ def union_pages(*pages: DataFrame) -> DataFrame:
     return out
 
 
+def landed_authors(spark: SparkSession, *paths: str, include_match_info: bool = False) -> DataFrame:
+    """Normalised authors of all landed batches; with ``include_match_info`` also the name that found each, and its score."""
+    kind = "matched_author" if include_match_info else "author"
+    return normalise.authors(union_pages(*(landed_records(spark, p, kind, nested=True) for p in paths)))
+
+
+def landed_works(spark: SparkSession, *paths: str) -> DataFrame:
+    return normalise.works(union_pages(*(landed_records(spark, p, "work") for p in paths)))
+
+
+def landed_institutions(spark: SparkSession, *paths: str) -> DataFrame:
+    return normalise.institutions(union_pages(*(landed_records(spark, p, "institution", nested=True) for p in paths)))
+
+
 def write_id_lists(batches: DataFrame, path: str) -> None:
     batches.write.mode("overwrite").json(path)
 

@@ -366,3 +366,26 @@ def test_names_are_scored_in_their_row(spark):
     assert [None if x.token is None else round(x.token, 6) for x in got[1]] == [1.0, None, round(plain_token_set("ann lee", "x" * 70 + " lee"), 6)]
     assert got[1][0].jw == pytest.approx(jaro_winkler("ann lee", "lee ann")) and got[1][1].jw is None
     assert [tuple(x) for x in got[2]] == [(None, None)] and got[3] == [] and got[4] == []
+
+
+def test_landed_batches_are_united(spark, tmp_path):
+    author = {"id": "https://x/A1", "display_name": "J", "gtr_author_name": "J.", "name_match_score": 0.5}
+    for n, page in enumerate(([[author], []], [[author | {"id": "https://x/A2"}]])):
+        (tmp_path / f"a{n}").mkdir()
+        (tmp_path / f"a{n}" / "page.json").write_text(json.dumps(page))
+    paths = [str(tmp_path / f"a{n}") for n in range(2)]
+    assert "gtr_author_name" not in tables.landed_authors(spark, *paths).columns
+    rows = tables.landed_authors(spark, *paths, include_match_info=True)
+    assert sorted(values(rows, "id", "gtr_author_name", "name_match_score")) == [("A1", "J.", 0.5), ("A2", "J.", 0.5)]
+    (tmp_path / "i").mkdir()
+    (tmp_path / "i" / "page.json").write_text(json.dumps([[{"id": "https://x/I1", "associated_institutions": [{"id": "https://x/I2", "display_name": "C", "country_code": "GB", "relationship": "child"}]}], []]))
+    assert values(tables.landed_institutions(spark, str(tmp_path / "i")), "id", F.col("associated_institutions")[0]["id"]) == [("I1", "I2")]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "page.json").write_text(json.dumps([{"id": "https://x/W1", "referenced_works": []}]))
+    assert values(tables.landed_works(spark, str(tmp_path / "w"), str(tmp_path / "w")), "id") == [("W1",)] * 2
+
+
+def test_labels_have_distances(spark):
+    labels = spark.createDataFrame([(1, "Organic chemistry"), (2, "organic Chemistry"), (3, "Law"), (4, None)], "subfield_id int, label string")
+    got = {(r.a, r.b): r.distance for r in diversity.label_distances(labels).collect()}
+    assert got[1, 2] == 0.0 and got[1, 3] == got[3, 1] == 1.0 and not any(4 in k for k in got)
