@@ -8,7 +8,7 @@ import pytest
 from grantlink.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark")
+TABLES = ("documents", "pages", "benchmark", "conversations")
 
 PASSAGE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 TEXTS = [
@@ -40,7 +40,9 @@ def odd(tmp_path_factory):
     ids, addresses, html = zip(*(PAGES + PAGES[5:7]), strict=True)
     pages = {"page_id": pa.array(ids, pa.int64()), "url": pa.array(addresses, pa.string()), "html": pa.array(html, pa.string())}
     benchmark = {"item_id": pa.array([2, 10, 3, None, 5, 6, 7], pa.int64()), "text": pa.array([PASSAGE, "Short item", None, "and one", "", "x x x", PASSAGE + " and"], pa.string())}
-    for name, columns in (("documents", documents), ("pages", pages), ("benchmark", benchmark)):
+    turns = [(7, None, None, None), (7, 0, "user", "a"), (7, 0, "system", "b"), (None, 1, "user", "x"), *((c, t, "user", f"t{t}") for c in (-3, 5, 6, 8, 9, 10) for t in range(c % 4 * 9))]
+    conversations = {n: pa.array(v, k) for n, v, k in zip(("conv_id", "turn", "role", "text"), zip(*turns, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)}
+    for name, columns in (("conversations", conversations), ("documents", documents), ("pages", pages), ("benchmark", benchmark)):
         pq.write_table(pa.table(columns), folder / f"{name}.parquet")
     return str(folder)
 
