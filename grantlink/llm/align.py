@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ByChunk, batches_of, json_encoder, piece_encoder
+from .chunks import ByChunk, batches_of, byte_letters, json_encoder, piece_encoder
 from .common import keep, table, utf8
 
 #: A tokens of a document that one pair of pointers passes at most.
@@ -154,8 +154,7 @@ def sides(path_a: str, path_b: str) -> tuple[tuple, tuple]:
     import sentencepiece
     from tokenizers import Tokenizer
 
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves
-    letters = {chr(b): b for b in shown} | {chr(0x100 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+    letters = {chr(c): b for b, c in byte_letters().items()}
     model_a, model_b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
     entries = [model_a.id_to_token(i) or "" for i in range(model_a.get_vocab_size())]
     bytes_a = [bytes(map(letters.__getitem__, e)) if all(c in letters for c in e) else e.encode() for e in entries]

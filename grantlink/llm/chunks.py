@@ -10,7 +10,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 
@@ -34,9 +36,10 @@ def chunks_of(text: str) -> list[str]:
 
 
 class ByChunk:
-    """``encode`` gives the ids of many chunks. ``ids`` gives those of many texts; an empty text has none."""
+    """``encode`` gives the ids of many chunks, as little-endian unsigned 32-bit numbers. ``ids`` gives those of many
+    texts; an empty text has none."""
 
-    def __init__(self, encode: Callable[[list[str]], list]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode, self.known, self.chars = encode, {"": b""}, 0
 
     def learn(self, chunks: list[str]) -> None:
@@ -46,7 +49,7 @@ class ByChunk:
             size += len(chunk)
             if size > CALL_CHARS or n == len(chunks) - 1:
                 part = chunks[begin : n + 1]
-                self.known.update((c, np.array(i, "<u4").tobytes()) for c, i in zip(part, self.encode(part), strict=True))
+                self.known.update(zip(part, self.encode(part), strict=True))
                 self.chars += size
                 size, begin = 0, n + 1
 
@@ -59,34 +62,46 @@ class ByChunk:
         return [np.frombuffer(b"".join(map(get, parts)), "<u4") for parts in cuts]
 
 
-def json_encoder(path: str, before: str = "", specials_as_text: bool = False) -> Callable[[list[str]], list]:
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level files: itself where it is printed, else U+0100 and up."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 0x100 + n for n, b in enumerate(rest)}
+
+
+def json_encoder(path: str, before: str = "", specials_as_text: bool = False) -> Callable[[list[str]], list[bytes]]:
     """The tokenizers library with the file at ``path``, on one thread; ``before`` is set before every chunk."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
     model.encode_special_tokens = specials_as_text
-    return lambda chunks: [e.ids for e in model.encode_batch_fast([before + c for c in chunks], add_special_tokens=False)]
+    return lambda chunks: [_bytes(e.ids) for e in model.encode_batch_fast([before + c for c in chunks], add_special_tokens=False)]
 
 
 class _PreTokens(dict):
-    """Ids of pre-tokens by the library's model alone, each asked for once."""
+    """Ids of pre-tokens by the library's model alone, each asked for once; bytes are shown as byte-level files do."""
 
     def __init__(self, model):
         super().__init__()
-        self.model = model
+        self.model, self.shown = model, byte_letters()
 
-    def __missing__(self, pre_token: str) -> list[int]:
-        self[pre_token] = found = [t.id for t in self.model.tokenize(pre_token)]
+    def __missing__(self, pre_token: str) -> bytes:
+        self[pre_token] = found = _bytes([t.id for t in self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.shown))])
         return found
 
 
-def word_encoder(path: str) -> Callable[[list[str]], list]:
+def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """As json_encoder, faster for files that compose, lower-case, split by a pattern and drop white space.
 
-    There the library spends most of its time in the pattern. A chunk of printable ASCII has nothing to compose and its
-    bytes stand for themselves, so Python's ``re`` splits it by the file's own pattern, and the library's model is asked
-    for each pre-token once. Other chunks, and those that may hold an added token, go to the library whole.
+    There the library spends most of its time in the pattern. In a chunk of printable ASCII and the composed letters of
+    Latin-1 there is nothing to compose, so Python's ``re`` splits it by the file's own pattern, and the library's model
+    is asked for each pre-token once. Other chunks, and those with the first character of an added token, go to the
+    library whole.
     """
     from tokenizers import Tokenizer
 
@@ -97,23 +112,25 @@ def word_encoder(path: str) -> Callable[[list[str]], list]:
     norms, cuts = [x["type"] for x in norms["normalizers"]], cuts["pretokenizers"]
     if norms != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in cuts] != ["Split", "ByteLevel"] or cuts[0]["behavior"] != "Removed" or cuts[1]["use_regex"]:
         return whole
-    pattern = re.compile(cuts[0]["pattern"]["Regex"].replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
-    plain, added = re.compile("[!-~]*").fullmatch, tuple(x["content"] for x in told["added_tokens"])
+    split = re.compile(cuts[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zß-öø-ÿ").replace(r"\p{N}", "0-9")).findall
+    starts = {x["content"][0] for x in told["added_tokens"]}
+    plain = re.compile("[" + "".join(re.escape(chr(c)) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)) if chr(c) not in {*starts, "×", "÷"}) + "]*").fullmatch
     known = _PreTokens(model.model)
 
-    def encode(chunks: list[str]) -> list:
+    def encode(chunks: list[str]) -> list[bytes]:
         if len(known) > REMEMBERED:
             known.clear()
-        out = [[i for p in pattern.findall(c.lower()) for i in known[p]] if plain(c) and not any(a in c for a in added) else None for c in chunks]
-        rest = [n for n, ids in enumerate(out) if ids is None]
-        for n, ids in zip(rest, whole([chunks[n] for n in rest]), strict=True):
-            out[n] = ids
+        ids, join = known.__getitem__, b"".join
+        out = [join(map(ids, split(c.lower()))) if plain(c) else None for c in chunks]
+        rest = [n for n, found in enumerate(out) if found is None]
+        for n, found in zip(rest, whole([chunks[n] for n in rest]), strict=True):
+            out[n] = found
         return out
 
     return encode
 
 
-def piece_encoder(path: str) -> Callable[[list[str]], list]:
+def piece_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """The sentencepiece library with the model at ``path``, on one thread. It sets a space before every chunk itself."""
     import sentencepiece
 
@@ -121,7 +138,7 @@ def piece_encoder(path: str) -> Callable[[list[str]], list]:
     inner = [p for i in range(model.get_piece_size()) if "▁" in (p := model.id_to_piece(i)).lstrip("▁")]
     if inner:
         raise ValueError("chunks need pieces whose space marks all stand at the start")
-    return lambda chunks: model.encode(chunks, num_threads=1)
+    return lambda chunks: list(map(_bytes, model.encode(chunks, num_threads=1)))
 
 
 def batches_of(texts, most: int):
@@ -135,3 +152,9 @@ def batches_of(texts, most: int):
             out, size = [], 0
     if out:
         yield out
+
+
+@cache
+def worker_chunks(kind: Callable, *args) -> ByChunk:
+    """One for each encoder in a Python worker, which Spark uses for many tasks."""
+    return ByChunk(kind(*args))
