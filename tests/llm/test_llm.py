@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -693,3 +694,39 @@ def test_pipeline(spark, tmp_path):
     assert all(len({r.shard for r in got if text[r.doc_id] == t}) == 1 for t, n in whole.items() if n <= fair)
     assert max(bins.values()) <= 1.1 * max(fair, max(r.size for r in got), max(n for n in whole.values() if n <= fair))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+LINKS = [  # a page, its markup, what it links to
+    ("http://a.org/login", '<link rel="canonical" href="/go?ref=http://example.com/en/x">', ["http://a.org/go?ref=http://example.com/en/x"]),
+    ("http://a.org/p", '<link data-rel="canonical" rel="next" href="http://example.com/en/x">', []),
+    ("http://a.org/p", '<link data-href="q" rel=canonical href="http://e.org/1">', ["http://e.org/1"]),
+    ("http://a.org/z/y", "<base href='/k/'><base href='/l/'><link rel=canonical href=m>", ["http://a.org/k/m"]),
+    ("http://a.org/z/y?a", '<link rel="canonical" href="?b=1"><link rel=canonical href="//E.org:80/b">', ["http://a.org/z/y?b=1", "http://E.org:80/b"]),
+    ("http://a.org", '<link rel="canonical" href=" x "><link rel=canonical href="#f"><link rel=canonical href="mailto:x@y">', ["http://a.org/x"]),
+    ("http://a.org/", '<a title="<link rel=canonical href=q>"><title><link rel=canonical href=q></title><!-- <link rel=canonical href=q> --><link title="a > b" rel=canonical href=r>', ["http://a.org/r"]),
+    ("http://a.org/", "<META content=\"0; URL='k'\" http-equiv=Refresh><meta http-equiv=refresh content=5>", ["http://a.org/k"]),
+    ("http://a.org/", "<!--><link rel=canonical href=q><script><link rel=canonical href=r>", ["http://a.org/q"]),
+]
+
+
+def test_links_of_pages(spark):
+    given = spark.createDataFrame([(n, u, h) for n, (u, h, _) in enumerate(LINKS)], "n int, url string, html string")
+    got = {r.n: r.t for r in given.select("n", urls.links_of(F.col("url"), F.col("html")).alias("t")).collect()}
+    assert [got[n] for n in range(len(LINKS))] == [t for _, _, t in LINKS]
+    same = ["http://u@E.org:80/a/./b/../c/", "http://e.org/a/c", "https://e.org:443/a/c", "http://e.org/../a/c?utm_source=x#f"]
+    nodes = [r[0] for r in spark.createDataFrame([(u,) for u in [*same, "http://e.org:443/a/c"]], "u string").select(urls.node_of(F.col("u"))).collect()]
+    assert len(set(nodes[:4])) == 1 and nodes[4] != nodes[0]
+
+
+def test_wrongly_read_links_block_nobody(spark):
+    pages = [(1, "http://a.org/login", LINKS[0][1]), (2, "http://a.org/go?ref=http://example.com/en/x", None), (3, "http://b.org/p", LINKS[1][1]), (4, "http://c.org/z/y", '<link rel=canonical href="../../example">'), (5, "http://example.com/en/x", None), (6, "http://d.org/", '<link rel=canonical href="//Example.com:80/en/./x">')]
+    got = {r.page_id: (r.verdict, r.alias_id) for r in urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: ("allow", 1), 2: ("allow", 1), 3: ("allow", 3), 4: ("allow", 4), 5: ("block", 5), 6: ("block", 5)}
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<!-- ", "<link ", "<link a='", "=", "<textarea></textarea", "<link a=\"'", "<"])
+def test_a_megabyte_that_is_never_closed(spark, piece):
+    html = "<link rel=canonical href=x>" + piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    assert spark.createDataFrame([("http://a.org/", html)], "url string, html string").select(urls.links_of(F.col("url"), F.col("html"))).first()[0] == ["http://a.org/x"]
+    assert time.perf_counter() - start < 20

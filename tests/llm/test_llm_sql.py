@@ -22,6 +22,10 @@ PAGES = [
     (6, "http://b.org/x", LINK.format("http://a.net/es/1/")), (7, "http://c.org/y", '<meta http-equiv="Refresh" content="0; url=http://b.org/x">'), (8, "http://d.org/", LINK.format("/deep?a=1&amp;b=2")),
     (9, "http://d.org/deep?a=1&b=2&ref=z", LINK.format("//c.org/y")), (10, "http://e.org/p/q", LINK.format("r")), (11, "http://e.org/p/r", LINK.format("http://w.com/")), (12, "http://e.org/p/r", LINK.format("http://n.net/fr/")),
     (17, "http://g.org/two", LINK.format("http://h.org/1") + LINK.format("http://a.net/es/1") + '<meta content="1;URL=http://h.org/2" http-equiv=refresh>'), (18, "http://h.org/2", "<p>" * 60_000), (19, "http://i.org/", "<!-- " + LINK.format("http://a.net/es/1") + "\n--><script>'" + LINK.format("http://a.net/es/1") + "'</script>"),
+    (20, "http://a.org/login", LINK.format("/go?x=http://example.com/en/x")), (21, "http://a.org/go?x=http://example.com/en/x", None), (22, "http://a.org/hyphen", '<link data-rel="canonical" rel="next" href="http://example.com/en/x">'),
+    (23, "http://a.org/hyphen2", '<link data-href="q" rel=canonical href="http://a.net/es/1">'), (24, "http://a.org/z/y", '<link rel="canonical" href="../w">'), (25, "http://u@A.org:80/w", LINK.format("//N.net:80/./fr/x/..")),
+    (26, "http://a.org/s/t", "<base href='http://n.net/fr/'>" + LINK.format("k")), (27, "http://n.net/fr/k", None), (28, "https://p.org:443/1", '<a title="' + LINK.format("x").replace('"', "") + '"><title>' + LINK.format("http://a.net/es/1") + "</title>" + LINK.format("mailto:a@b")),
+    (29, "http://q.org/", '<link title="a > b" rel="alternate Canonical" href=http://a.net/es/1>'), (30, "http://r.org/", "<textarea>" + LINK.format("http://a.net/es/1")), (31, "http://s.org/", "<!-->" + LINK.format("?k") + "<!-- " + LINK.format("http://a.net/es/1")), (32, "http://s.org/?k", None),
     (13, "http://n.net/fr/", None), (14, "http://w.com", None), (None, "http://e.org/p/r", None), (16, "http://f.org?x", '<link rel="stylesheet" href="http://a.net/es/1"><link rel="canonical"><link rel=canonical href=/z>'),
 ]
 
