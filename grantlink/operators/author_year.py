@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import kept
+
 
 def _kinds(country: Column, home: str) -> dict[str, Column]:
     return {"uk": country == home, "abroad": (country != home) & (country != ""), "unknown": country == ""}
 
 
-def _first_entries(works: DataFrame) -> DataFrame:
-    """(id, author_id, country): the first entry of each author on a paper."""
-    entry = works.select("id", F.posexplode("authorships").alias("pos", "a")).select("id", "pos", "a.author_id", "a.country").where("author_id is not null")
-    return entry.groupBy("id", "author_id").agg(F.min(F.struct("pos", "country")).alias("f")).select("id", "author_id", F.col("f.country").alias("country"))
+def with_people(works: DataFrame) -> DataFrame:
+    """Adds people[author_id, pos, country]: the first entry of each author on a paper, by author_id. Entries are sorted
+    in the row, so nothing is shuffled."""
+    entries = F.transform("authorships", lambda a, i: F.struct(a["author_id"].alias("author_id"), i.alias("pos"), a["country"].alias("country")))
+    known = F.array_sort(F.filter(entries, lambda a: a["author_id"].isNotNull()))
+    # bound to a name, the sorted array is made once
+    first = F.transform(F.array(known), lambda s: F.filter(s, lambda a, i: (i == 0) | (F.get(s, i - 1)["author_id"] != a["author_id"])))
+    return works.withColumn("people", F.coalesce(F.get(first, F.lit(0)), F.array().cast(works.select(known).schema[0].dataType)))
 
 
 def author_papers(works: DataFrame, matched: DataFrame, home: str) -> DataFrame:
     """A row per paper and matched author. ``works``: id, year, fwci, cited_by_count, authorships[author_id, country].
 
     Only the first entry of an author on a paper counts; one without country (null) neither counts nor appears, and ''
-    is an unknown country. Linear in authorships: a paper's totals are made once, and a matched author's own part is
-    taken off, so no pair of co-authors is made.
+    is an unknown country. Linear in authorships: a paper's totals are made once in its row, and a matched author's own
+    part is taken off, so no pair of co-authors is made; the only join is with the matched authors.
     """
-    first = _first_entries(works)
-    totals = first.groupBy("id").agg(*[F.count_if(c).alias(f"all_{k}") for k, c in _kinds(F.col("country"), home).items()])
-    own = first.join(matched.select("author_id").distinct(), "author_id", "left_semi")
-    rows = own.join(totals, "id").join(works.select("id", "year", "fwci", "cited_by_count"), "id")
+    each = with_people(works)
+    number = lambda k: F.size(F.filter("people", lambda a: _kinds(a["country"], home)[k])).cast("bigint")
+    totals = [number(k).alias(f"all_{k}") for k in ("uk", "abroad", "unknown")]
+    rows = each.select("id", "year", "fwci", "cited_by_count", *totals, F.explode("people").alias("a")).select("*", "a.author_id", "a.country")
+    rows = rows.join(matched.select("author_id").distinct(), "author_id", "left_semi")
     mine = {k: F.coalesce(c, F.lit(False)).cast("bigint") for k, c in _kinds(F.col("country"), home).items()}
     return rows.select(
         "id", "author_id", "year", "fwci", "cited_by_count", F.when(F.col("country").isNotNull(), F.array("country")).otherwise(F.array().cast("array<string>")).alias("affiliation_countries"),
@@ -34,13 +43,74 @@ def author_papers(works: DataFrame, matched: DataFrame, home: str) -> DataFrame:
     )
 
 
-def collaborators(works: DataFrame, matched: DataFrame) -> DataFrame:
-    """Distinct (author_id, year, collab_id, country): who else is on a matched author's papers of a year, with a country
-    ('' if unknown). Pairs are rows, made distinct before they are shuffled; no list of people is held."""
-    first = _first_entries(works)
-    own = first.join(matched.select("author_id").distinct(), "author_id", "left_semi").join(works.select("id", "year"), "id").select("id", "author_id", "year")
-    others = first.where("country is not null").select("id", F.col("author_id").alias("collab_id"), "country")
-    return own.join(others, "id").where("author_id <> collab_id").select("author_id", "year", "collab_id", "country").distinct()
+@dataclass(frozen=True)
+class Collaborations:
+    """Who else is on matched authors' papers of a year, and from where.
+
+    People are numbers, and sets of people are rows of 64 bits: ``sets`` (author_id, year, word, mask) holds number
+    64 * word + bit for each set bit. Such rows merge by bitwise or, and are counted by their bits. ``countries``
+    (author_id, year, country) is distinct, with '' for unknown ones. ``numbers``: (author_id, number).
+    """
+
+    sets: DataFrame
+    countries: DataFrame
+    numbers: DataFrame
+
+    def ids(self) -> DataFrame:
+        """Distinct (author_id, year, collab_id)."""
+        bits = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda b: F.getbit("mask", b) == 1)
+        each = self.sets.select("author_id", "year", "word", F.explode(bits).alias("bit")).withColumn("number", F.col("word") * WORD + F.col("bit"))
+        return each.join(self.numbers.withColumnRenamed("author_id", "collab_id"), "number").select("author_id", "year", "collab_id")
+
+
+WORD = 64
+
+
+def _numbered(people: DataFrame, *order: str) -> DataFrame:
+    """(author_id, number): gapless numbers from 0 in that order. Ranges of people are ranked by themselves; the sizes of
+    the ranges before, one row for each, are added."""
+    dealt = people.repartitionByRange(*order, "author_id").withColumn("part", F.spark_partition_id())
+    local = kept(dealt.withColumn("local", F.row_number().over(Window.partitionBy("part").orderBy(*order, "author_id"))).select("author_id", "part", "local"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = local.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return local.join(F.broadcast(parts), "part").select("author_id", (F.col("local") - 1 + F.col("before")).alias("number"))
+
+
+def _place(number: str = "number") -> tuple[Column, Column]:
+    return F.expr(f"{number} div {WORD}"), F.expr(f"shiftleft(1L, cast({number} % {WORD} as int))")
+
+
+def collaborators(works: DataFrame, matched: DataFrame) -> Collaborations:
+    """The collaborators of matched authors. Entries count as in ``author_papers``; those without country do not.
+
+    People are numbered by the paper with most authors that each is on, so that those of a large paper fill few words,
+    and a paper of n authors sends each of them n / 64 rows or little more. Where people are strangers to each other
+    each is a word by itself, as a pair would be. Papers meet their authors by id, so no list of people is held.
+    """
+    each = with_people(works).select("id", "year", F.size("people").alias("n"), F.explode("people").alias("a")).select("id", "year", "n", "a.author_id", "a.country")
+    entries = kept(each)
+    homes = entries.groupBy("author_id").agg(F.max(F.struct("n", "id")).alias("home")).select("author_id", "home.n", "home.id")
+    numbers = kept(_numbered(homes, "n", "id"))
+    known = numbers.join(matched.select("author_id", F.lit(True).alias("matched")).distinct(), "author_id", "left")
+    who = kept(entries.drop("n").join(known, "author_id"))
+    word, mask = _place()
+    papers = who.where("country is not null").select("id", word.alias("word"), mask.alias("mask")).repartition("id").groupBy("id", "word").agg(F.bit_or("mask").alias("mask"))
+    own = who.where("matched").select("id", "year", "author_id", "country", word.alias("own_word"), mask.alias("own_mask")).repartition("id")
+    others = F.when(F.col("word") == F.col("own_word"), F.col("mask").bitwiseAND(F.bitwise_not("own_mask"))).otherwise(F.col("mask"))
+    met = own.join(papers, "id").select("author_id", "year", "word", others.alias("mask")).where("mask <> 0")
+    sets = met.groupBy("author_id", "year", "word").agg(F.bit_or("mask").alias("mask"))
+    places = who.where("country is not null").select("id", "country").repartition("id").groupBy("id", "country").agg(F.count(F.lit(1)).alias("n"))
+    alone = F.coalesce(F.col("own") == F.col("country"), F.lit(False)) & (F.col("n") == 1)
+    countries = own.withColumnRenamed("country", "own").join(places, "id").where(~alone).select("author_id", "year", "country").distinct()
+    return Collaborations(sets, countries, numbers)
+
+
+def collaborations_of(rows: DataFrame) -> Collaborations:
+    """The same from rows (author_id, year, collab_id, country)."""
+    numbers = kept(_numbered(rows.select(F.col("collab_id").alias("author_id")).distinct()))
+    word, mask = _place()
+    each = rows.join(numbers.withColumnRenamed("author_id", "collab_id"), "collab_id").select("author_id", "year", word.alias("word"), mask.alias("mask"))
+    return Collaborations(each.groupBy("author_id", "year", "word").agg(F.bit_or("mask").alias("mask")), rows.select("author_id", "year", "country").distinct(), numbers)
 
 
 def author_years(papers: DataFrame) -> DataFrame:
@@ -50,9 +120,19 @@ def author_years(papers: DataFrame) -> DataFrame:
     return papers.groupBy("author_id", "year").agg(countries.alias("affiliation_countries"), *sums, F.avg("fwci").alias("fwci"), F.sum("cited_by_count").alias("cited_by_count"), F.count(F.lit(1)).alias("n_pubs"))
 
 
-def with_collaborators(years: DataFrame, collabs: DataFrame) -> DataFrame:
+def with_collaborators(years: DataFrame, collabs: Collaborations) -> DataFrame:
     """Author-years with unique_collab_ids and unique_collab_countries (without unknown ones), sorted."""
-    sets = collabs.groupBy("author_id", "year").agg(F.array_sort(F.collect_set("collab_id")).alias("unique_collab_ids"), F.array_sort(F.collect_set(F.nullif("country", F.lit("")))).alias("unique_collab_countries"))
-    out = years.join(sets, ["author_id", "year"], "left")
     none = F.array_remove(F.array(F.lit("")), "")
-    return out.withColumns({"unique_collab_ids": F.coalesce("unique_collab_ids", none.cast(dict(sets.dtypes)["unique_collab_ids"])), "unique_collab_countries": F.coalesce("unique_collab_countries", none)})
+    out, keys = years, ["author_id", "year"]
+    for rows, c, name in ((collabs.ids(), "collab_id", "unique_collab_ids"), (collabs.countries, "country", "unique_collab_countries")):
+        sets = rows.where(F.col(c).cast("string") != "").groupBy(*keys).agg(F.array_sort(F.collect_set(c)).alias(name))
+        out = out.join(sets, keys, "left").withColumn(name, F.coalesce(name, none.cast(sets.schema[name].dataType)))
+    return out
+
+
+def with_collaborator_counts(years: DataFrame, collabs: Collaborations) -> DataFrame:
+    """Author-years with n_collab_ids and n_collab_countries, the sizes of these lists, which are not made."""
+    keys = ["author_id", "year"]
+    ids = collabs.sets.groupBy(*keys).agg(F.sum(F.bit_count("mask")).alias("n_collab_ids"))
+    places = collabs.countries.where("country <> ''").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_collab_countries"))
+    return years.join(ids, keys, "left").join(places, keys, "left").fillna(0, ["n_collab_ids", "n_collab_countries"])

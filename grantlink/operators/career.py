@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .author_year import Collaborations
+
 KEYS = ("person_id", "author_id")
 
 
@@ -34,13 +36,15 @@ def _collab_aggs(home: str) -> list[Column]:
     return aggs
 
 
-def distinct_collaborators(refs: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
-    """Number of distinct collaborators, and their sorted countries abroad. Collaborators come as rows (author_id, year,
-    collab_id, country), so a prolific author makes no large array."""
-    each = refs.where("ref_year is not null").join(collabs, "author_id").groupBy(*KEYS, "collab_id", "country").agg(*[F.max(on(F.lit(1))).alias(s) for s, on in SIDES.items()])
-    each = each.groupBy(*KEYS, "collab_id").agg(*[F.max(s).alias(s) for s in SIDES], *[F.collect_set(F.when(F.col(s).isNotNull() & (F.col("country") != home) & (F.col("country") != ""), F.col("country"))).alias(f"abroad_{s}") for s in SIDES])
-    union = lambda s: F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"abroad_{s}"))))
-    return each.groupBy(*KEYS).agg(*[F.count(s).alias(f"unique_collabs_{s}") for s in SIDES], *[union(s).alias(f"collab_countries_list_{s}") for s in SIDES])
+def distinct_collaborators(refs: DataFrame, collabs: Collaborations, home: str) -> DataFrame:
+    """Number of distinct collaborators, and their sorted countries abroad. The years' sets of people are united by
+    bitwise or and counted by their bits, so a prolific author makes no large array."""
+    given = refs.where("ref_year is not null")
+    people = given.join(collabs.sets, "author_id").groupBy(*KEYS, "word").agg(*[F.bit_or(on(F.col("mask"))).alias(s) for s, on in SIDES.items()])
+    people = people.groupBy(*KEYS).agg(*[F.coalesce(F.sum(F.bit_count(s)), F.lit(0)).alias(f"unique_collabs_{s}") for s in SIDES])
+    abroad = collabs.countries.where((F.col("country") != home) & (F.col("country") != ""))
+    places = given.join(abroad, "author_id").groupBy(*KEYS).agg(*[F.array_sort(F.collect_set(on(F.col("country")))).alias(f"collab_countries_list_{s}") for s, on in SIDES.items()])
+    return people.join(places, [*KEYS], "left")
 
 
 def _with_collaborators(out: DataFrame, ids: DataFrame) -> DataFrame:
@@ -51,16 +55,16 @@ def _with_collaborators(out: DataFrame, ids: DataFrame) -> DataFrame:
     return out.withColumns({f"unique_collabs_{s}": F.when(some, F.coalesce(f"unique_collabs_{s}", F.lit(0))) for s in SIDES} | {f"collab_countries_list_{s}": F.when(some, F.coalesce(f"collab_countries_list_{s}", none)) for s in SIDES})
 
 
-def collaborations(refs: DataFrame, years: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+def collaborations(refs: DataFrame, years: DataFrame, collabs: Collaborations, home: str) -> DataFrame:
     """Collaborators and their countries. Sums are of years, not papers; unknown countries only count among the distinct
     collaborators."""
     out = refs.join(_by_author(refs, years, *_collab_aggs(home)), [*KEYS], "left")
     return _with_collaborators(out, distinct_collaborators(refs, collabs, home))
 
 
-def collaboration_country_years(refs: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+def collaboration_country_years(refs: DataFrame, collabs: Collaborations, home: str) -> DataFrame:
     """(person_id, author_id, period, country, n_years)."""
-    each = collabs.where((F.col("country") != home) & (F.col("country") != "")).select("author_id", "year", "country").distinct()
+    each = collabs.countries.where((F.col("country") != home) & (F.col("country") != ""))
     period = F.when(F.col("year") < F.col("ref_year"), "before").otherwise("after")
     return refs.where("ref_year is not null").join(each, "author_id").groupBy(*KEYS, period.alias("period"), "country").agg(F.count(F.lit(1)).alias("n_years"))
 
@@ -140,7 +144,7 @@ def one_to_one(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(b, key)
 
 
-def basic_metrics(refs: DataFrame, years: DataFrame, collabs: DataFrame, home: str) -> DataFrame:
+def basic_metrics(refs: DataFrame, years: DataFrame, collabs: Collaborations, home: str) -> DataFrame:
     """All basic before/after metrics of author-years, one row per person and author: one aggregate of the years, and one
     of the collaborators. ``years`` and ``collabs`` are read several times, so they should be kept."""
     keys = [*KEYS, "ref_year"]

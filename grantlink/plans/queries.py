@@ -31,7 +31,7 @@ def _years(x: Views) -> DataFrame:
     return author_year.author_years(author_year.author_papers(x.kept_works(), x.matched(), HOME))
 
 
-def _collabs(x: Views) -> DataFrame:
+def _collabs(x: Views) -> author_year.Collaborations:
     return author_year.collaborators(x.kept_works(), x.matched())
 
 
@@ -42,8 +42,8 @@ ROUND6 = lambda c: F.round(c, 6).alias(c)
 @query(with_(*BASE, v.CO) + f"""SELECT y.author_id, y.year, n_affils_uk, n_affils_abroad, n_collab_uk, n_collab_abroad, n_pubs, cited_by_count, round(fwci, 6) AS fwci, coalesce(k.n_ids, 0) AS n_ids, coalesce(k.n_countries, 0) AS n_countries
 FROM years y LEFT JOIN (SELECT author_id, year, count(DISTINCT c) AS n_ids, count(DISTINCT country) AS n_countries FROM co GROUP BY author_id, year) k ON y.author_id = k.author_id AND y.year = k.year""")
 def author_year_collab(x: Views) -> DataFrame:
-    size = lambda c, n: F.size(c).cast("bigint").alias(n)
-    return author_year.with_collaborators(_years(x), _collabs(x)).select("author_id", "year", "n_affils_uk", "n_affils_abroad", "n_collab_uk", "n_collab_abroad", "n_pubs", "cited_by_count", ROUND6("fwci"), size("unique_collab_ids", "n_ids"), size("unique_collab_countries", "n_countries"))
+    counted = author_year.with_collaborator_counts(_years(x), _collabs(x)).withColumnsRenamed({"n_collab_ids": "n_ids", "n_collab_countries": "n_countries"})
+    return counted.select("author_id", "year", "n_affils_uk", "n_affils_abroad", "n_collab_uk", "n_collab_abroad", "n_pubs", "cited_by_count", ROUND6("fwci"), "n_ids", "n_countries")
 
 
 def _half_even(x: str) -> str:

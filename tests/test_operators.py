@@ -65,11 +65,46 @@ def test_author_papers_and_years(spark):
     r = papers.first()
     assert (r.n_affils_uk, r.n_affils_abroad, r.n_affils_unknown, r.n_collab_uk, r.n_collab_abroad, r.n_collab_unknown) == (1, 0, 0, 0, 1, 1)
     collabs = author_year.collaborators(works, spark.createDataFrame([("A",)], "author_id string"))
-    assert sorted(values(collabs, "year", "collab_id", "country")) == [(2005, "B", "US"), (2005, "C", "")]
-    y = author_year.with_collaborators(author_year.author_years(papers.union(papers)), collabs.union(collabs)).first()
+    assert sorted(values(collabs.ids(), "year", "collab_id")) == [(2005, "B"), (2005, "C")] and sorted(values(collabs.countries, "country")) == [("",), ("US",)]
+    y = author_year.with_collaborators(author_year.author_years(papers.union(papers)), collabs).first()
     assert (y.n_pubs, y.n_collab_abroad, y.affiliation_countries, y.unique_collab_ids, y.unique_collab_countries) == (2, 2, ["GB"], ["B", "C"], ["US"])
-    alone = author_year.with_collaborators(author_year.author_years(papers), collabs.limit(0)).first()
+    nobody = author_year.Collaborations(collabs.sets.limit(0), collabs.countries.limit(0), collabs.numbers)
+    alone = author_year.with_collaborators(author_year.author_years(papers), nobody).first()
     assert (alone.unique_collab_ids, alone.unique_collab_countries) == ([], [])
+    counts = author_year.with_collaborator_counts(author_year.author_years(papers), collabs).first()
+    assert (counts.n_collab_ids, counts.n_collab_countries) == (2, 1)
+
+
+def test_collaborators_against_sets(spark):
+    g = random.Random(4)
+    people = [f"a{n}" for n in range(150)]
+    works = [(n, 2000 + n % 3, [(g.choice([*people, None]), g.choice(["GB", "US", "FR", "", None])) for _ in range(g.choice([0, 1, 3, 8, 140]))]) for n in range(60)]
+    given = spark.createDataFrame([(i, y, 1.0, 1, a) for i, y, a in works], "id long, year int, fwci double, cited_by_count long, authorships array<struct<author_id: string, country: string>>").repartition(3)
+    matched = people[:40]
+    collabs = author_year.collaborators(given, spark.createDataFrame([(p,) for p in matched], "author_id string"))
+    ids, places = set(), set()
+    for _, year, authors in works:
+        first = {}
+        for who, where in authors:
+            if who is not None:
+                first.setdefault(who, where)
+        for me in set(matched) & first.keys():
+            others = {(w, c) for w, c in first.items() if w != me and c is not None}
+            ids |= {(me, year, w) for w, _ in others}
+            places |= {(me, year, c) for _, c in others}
+    got = values(collabs.ids(), "author_id", "year", "collab_id")
+    assert len(got) == len(ids) and set(got) == ids
+    assert sorted(values(collabs.countries, "author_id", "year", "country")) == sorted(places)
+    numbers = sorted(r.number for r in collabs.numbers.collect())
+    assert numbers == list(range(len(numbers)))
+
+
+def test_a_paper_of_five_thousand_makes_few_rows(spark):
+    works = spark.createDataFrame([(1, 2000, [(n, "US") for n in range(5000)]), (2, 2001, [(n, "GB") for n in range(3)])], "id long, year int, authorships array<struct<author_id: long, country: string>>")
+    collabs = author_year.collaborators(works, spark.createDataFrame([(n,) for n in range(5000)], "author_id long"))
+    words = collabs.sets.where("year = 2000")
+    assert words.count() == 5000 * -(-5000 // 64)
+    assert words.groupBy("author_id").agg(F.sum(F.bit_count("mask")).alias("n")).select("n").distinct().collect() == [(4999,)]
 
 
 def test_counts_before_after(spark):
@@ -86,7 +121,7 @@ def test_affiliations_and_collaborations(spark):
     refs = spark.createDataFrame([("g", "a", 2000)], "person_id string, author_id string, ref_year int")
     schema = "author_id string, year int, affiliation_countries array<string>, n_affils_uk long, n_affils_abroad long, n_collab_uk long, n_collab_abroad long, fwci double, n_pubs long, cited_by_count long"
     years = spark.createDataFrame([("a", 1998, ["FR", "GB", ""], 1, 2, 1, 1, 1.0, 2, 5), ("a", 1999, ["FR"], 0, 1, 0, 2, 2.0, 1, 0)], schema)
-    collabs = spark.createDataFrame([("a", 1998, "x", "US"), ("a", 1999, "x", "US"), ("a", 1999, "y", "GB"), ("a", 1999, "x", "")], "author_id string, year int, collab_id string, country string")
+    collabs = author_year.collaborations_of(spark.createDataFrame([("a", 1998, "x", "US"), ("a", 1999, "x", "US"), ("a", 1999, "y", "GB"), ("a", 1999, "x", "")], "author_id string, year int, collab_id string, country string"))
     r = career.affiliations(refs, years, "GB").first()
     assert (r.abroad_fraction_before, r.abroad_experience_before, r.countries_before) == (0.75, True, ["FR"]) and (r.abroad_fraction_after, r.abroad_experience_after, r.countries_after) == (None, None, [])
     c = career.collaborations(refs, years, collabs, "GB").first()
