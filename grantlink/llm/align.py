@@ -16,16 +16,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ByChunk, batches_of, byte_letters, json_encoder, piece_encoder
+from .chunks import ByChunk, batches_of, byte_letters, pattern_encoder, piece_encoder
 from .common import keep, table, utf8
 
 #: A tokens of a document that one pair of pointers passes at most.
@@ -85,40 +86,53 @@ def lockstep(end_a: np.ndarray, end_b: np.ndarray, first: np.ndarray, stop: np.n
     return np.concatenate(links_a or [empty]), np.concatenate(links_b or [empty]), last_a, last_b
 
 
-def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers one after the other, and where each part begins, with the end."""
-    bounds = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) for p in parts], out=bounds[1:])
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)).astype(np.int64), bounds
-
-
-class Aligner:
+class Aligner(ByChunk):
     """Aligns texts batch by batch. A side is (encode, token bytes by id); both cover a space and the text."""
 
     def __init__(self, a: tuple[Callable, list[bytes]], b: tuple[Callable, list[bytes]]):
         (encode_a, self.bytes_a), (encode_b, self.bytes_b) = a, b
         if max(len(self.bytes_a), len(self.bytes_b)) > WIDE:
             raise ValueError(f"a vocabulary has more than {WIDE} ids")
-        self.a, self.b = ByChunk(encode_a), ByChunk(encode_b)
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         words_a, words_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
         #: A token's text by what follows it: an A token, the group's B tokens; a B token, the next group.
         self.words = [w + "," for w in words_a] + [w + "|" for w in words_a] + [w + "," for w in words_b] + [w + ";" for w in words_b]
-
-    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B; none of a text that is empty or whose bytes either does not give back."""
-        out_a, out_b = self.a.ids(texts), self.b.ids(texts)
-        for n, text in enumerate(texts):
-            want = b" " + text.encode()
-            if not text or any(b"".join(map(by.__getitem__, ids.tolist())) != want for by, ids in ((self.bytes_a, out_a[n]), (self.bytes_b, out_b[n]))):
-                out_a[n] = out_b[n] = np.zeros(0, np.uint32)
-        return out_a, out_b
+        super().__init__(encode_a, encode_b)
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.whole = np.ones(1, bool)
+
+    def learned(self, chunks: list[str], sides: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Notes which chunks both sides give back byte by byte, with the space before them."""
+        want = [b" " + c.encode() for c in chunks]
+        fine = np.ones(len(chunks), bool)
+        for by, (ids, sizes) in zip((self.bytes_a, self.bytes_b), sides, strict=True):
+            if b"".join(map(by.__getitem__, ids.tolist())) != b"".join(want):
+                parts = np.split(ids, np.cumsum(sizes)[:-1])
+                fine &= [b"".join(map(by.__getitem__, p.tolist())) == w for p, w in zip(parts, want, strict=True)]
+        self.whole = np.concatenate([self.whole, fine])
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B, with where each text's begin; none of a text that is empty or that either does not give
+        back. Where all chunks come back the text does; other texts are looked at themselves."""
+        numbers, counts = self.numbers(texts)
+        sides = [self.gathered(numbers, counts, k) for k in (0, 1)]
+        fine = np.logical_and.reduceat(self.whole[numbers], np.cumsum(counts) - counts) if len(texts) else np.zeros(0, bool)
+        drop = np.zeros(len(texts), bool)
+        for n in np.flatnonzero(~fine).tolist():
+            want = b" " + texts[n].encode()
+            drop[n] = any(b"".join(map(by.__getitem__, ids[at[n] : at[n + 1]].tolist())) != want for by, (ids, at) in zip((self.bytes_a, self.bytes_b), sides, strict=True))
+        if drop.any():
+            for k, (ids, at) in enumerate(sides):
+                sizes = np.where(drop, 0, np.diff(at))
+                sides[k] = (ids[~np.repeat(drop, np.diff(at))], np.concatenate([[0], np.cumsum(sizes)]))
+        return [(ids.astype(np.int64), at) for ids, at in sides]
 
     def align(self, texts: list[str]) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
         """Columns n_a, n_b, n_groups, n_links, groups; distinct pair codes of each document, one document after the
         other, their links, and the number of pairs of each document."""
-        ids_a, ids_b = self.tokens(texts)
-        (a, at_a), (b, at_b) = _flat(ids_a), _flat(ids_b)
+        (a, at_a), (b, at_b) = self.tokens(texts)
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         lanes = -(-np.diff(at_a) // LANE)
         doc = np.repeat(np.arange(len(texts)), lanes)
@@ -128,14 +142,14 @@ class Aligner:
         begin = np.concatenate([[0], end_a])[first]
         link_a, link_b, last_a, last_b = lockstep(end_a, end_b, first, stop, np.searchsorted(end_b, begin, "right"))
         doc_a = np.repeat(np.arange(len(texts)), np.diff(at_a))
+        n_links = np.bincount(doc_a[link_a], minlength=len(texts))
         code = a[link_a] * WIDE + b[link_b]
-        order = np.lexsort((code, doc_a[link_a]))
-        code, doc = code[order], doc_a[link_a][order]
-        new = np.ones(len(code), bool)
-        new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
-        starts = np.flatnonzero(new)
+        code += doc_a[link_a] << 40
+        code.sort()
+        starts = np.flatnonzero(np.diff(code, prepend=-1))
         links = np.diff(starts, append=len(code))
-        n_pairs = np.bincount(doc[starts], minlength=len(texts))
+        code = code[starts]
+        n_pairs = np.bincount(code >> 40, minlength=len(texts))
         # a group's A tokens stand before its B tokens
         cuts_a, cuts_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         b_until, a_until = np.concatenate([[0], np.flatnonzero(last_b) + 1]), np.concatenate([[0], np.flatnonzero(last_a) + 1])
@@ -143,9 +157,9 @@ class Aligner:
         word[np.arange(len(a)) + b_until[cuts_a]] = a + last_a * len(self.bytes_a)
         word[np.arange(len(b)) + a_until[cuts_b + 1]] = 2 * len(self.bytes_a) + b + last_b * len(self.bytes_b)
         word, bounds = word.tolist(), (at_a + at_b).tolist()
-        groups = ["".join(map(self.words.__getitem__, word[i:j]))[:-1] for i, j in zip(bounds, bounds[1:], strict=False)]
-        figures = {"n_a": np.diff(at_a), "n_b": np.diff(at_b), "n_groups": np.diff(np.concatenate([[0], np.cumsum(last_a)])[at_a]), "n_links": np.bincount(doc, minlength=len(texts)), "groups": groups}
-        return figures, code[starts], links, n_pairs
+        groups = ["".join(map(self.words.__getitem__, word[i:j]))[:-1] for i, j in pairwise(bounds)]
+        figures = {"n_a": np.diff(at_a), "n_b": np.diff(at_b), "n_groups": np.diff(np.concatenate([[0], np.cumsum(last_a)])[at_a]), "n_links": n_links, "groups": groups}
+        return figures, code & ((1 << 40) - 1), links, n_pairs
 
 
 def sides(path_a: str, path_b: str) -> tuple[tuple, tuple]:
@@ -160,7 +174,13 @@ def sides(path_a: str, path_b: str) -> tuple[tuple, tuple]:
     bytes_a = [bytes(map(letters.__getitem__, e)) if all(c in letters for c in e) else e.encode() for e in entries]
     pieces = [(i, model_b.id_to_piece(i)) for i in range(model_b.get_piece_size())]
     bytes_b = [bytes([int(p[3:5], 16)]) if model_b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
-    return (json_encoder(path_a, before=" ", specials_as_text=True), bytes_a), (piece_encoder(path_b), bytes_b)
+    return (pattern_encoder(path_a, before=" ", specials_as_text=True), bytes_a), (piece_encoder(path_b), bytes_b)
+
+
+@cache
+def _worker_aligner(path_a: str, path_b: str) -> Aligner:
+    """One in a Python worker, which Spark uses for many tasks."""
+    return Aligner(*sides(path_a, path_b))
 
 
 FIGURES = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
@@ -168,7 +188,7 @@ FIGURES = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigin
 
 def _blocks(paths: tuple[str, str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block a row with its documents, and a row for each part of its pairs."""
-    aligner, compress = Aligner(*sides(*paths)), lambda s: hashlib.sha256(s.encode()).hexdigest() if s else ""
+    aligner, compress = _worker_aligner(*paths), lambda s: hashlib.sha256(s.encode()).hexdigest() if s else ""
     block, held, size = TaskContext.get().partitionId() << 32, [], 0
 
     def ended() -> pa.RecordBatch:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import batches_of, word_encoder, worker_chunks
+from .chunks import batches_of, pattern_encoder, worker_chunks
 from .common import keep, shared_dir, table, utf8
 
 MAGIC = b"GLIDS\x00\x01\n"
@@ -182,7 +182,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = None, t
         from tokenizers import Tokenizer
 
         width = width_of(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True))
-        known, end = worker_chunks(word_encoder, tokenizer_path), () if end_id is None else (np.array([end_id], np.uint32),)
+        known, end = worker_chunks(pattern_encoder, tokenizer_path), () if end_id is None else (np.array([end_id], np.uint32),)
         part, files, now = TaskContext.get().partitionId(), [], None
         for batch in batches:
             numbers = iter(batch.column(0).to_pylist())

@@ -13,13 +13,16 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import cache
+from itertools import chain, pairwise
 
 import numpy as np
 
 CUT = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
 #: Chunks whose ids a worker remembers, and their characters; beyond either it starts anew.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 8_000_000
+REMEMBERED = 900_000
+REMEMBERED_CHARS = 16_000_000
+#: Pre-tokens whose ids an encoder remembers.
+PRE_TOKENS = 300_000
 #: Characters that go to the library in one call, unless one chunk alone has more.
 CALL_CHARS = 1_000_000
 
@@ -35,31 +38,63 @@ def chunks_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class ByChunk:
-    """``encode`` gives the ids of many chunks, as little-endian unsigned 32-bit numbers. ``ids`` gives those of many
-    texts; an empty text has none."""
+    """Distinct chunks are numbered, and each encoder's ids of all chunks lie in one array, so that those of many texts
+    are gathered by numpy. An encoder gives the ids of many chunks as little-endian unsigned 32-bit numbers."""
+
+    def __init__(self, *encoders: Callable[[list[str]], list[bytes]]):
+        self.encoders = encoders
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number, self.chars = {"": 0}, 0
+        #: For each encoder the ids of all chunks, where each begins, and how many it has.
+        self.sides = [(np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)) for _ in self.encoders]
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known, self.chars = encode, {"": b""}, 0
+    def learned(self, chunks: list[str], sides: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """What is to be done with new chunks, their ids and the number of ids of each, for each encoder."""
 
-    def learn(self, chunks: list[str]) -> None:
-        """Asks the library for the chunks, some at a time."""
+    def _learn(self, chunks: list[str]) -> None:
+        """Asks the encoders for new chunks, some at a time."""
         size = begin = 0
         for n, chunk in enumerate(chunks):
             size += len(chunk)
             if size > CALL_CHARS or n == len(chunks) - 1:
-                part = chunks[begin : n + 1]
-                self.known.update(zip(part, self.encode(part), strict=True))
+                part, new = chunks[begin : n + 1], []
+                for k, encode in enumerate(self.encoders):
+                    found = encode(part)
+                    new.append((np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4))
+                    ids, starts, sizes = self.sides[k]
+                    self.sides[k] = (np.concatenate([ids, new[k][0]]), np.concatenate([starts, len(ids) + np.cumsum(new[k][1]) - new[k][1]]), np.concatenate([sizes, new[k][1]]))
+                self.learned(part, new)
+                self.number.update(zip(part, range(len(self.number), len(self.number) + len(part)), strict=True))
                 self.chars += size
                 size, begin = 0, n + 1
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks of all texts, as numbers, and how many each text has. An empty text has one, without ids."""
+        if len(self.number) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self._forget()
         cuts = list(map(chunks_of, texts))
-        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self.known, self.chars = {"": b""}, 0
-        self.learn(list(set().union(*cuts) - self.known.keys()))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, parts)), "<u4") for parts in cuts]
+        self._learn(list(set().union(*cuts) - self.number.keys()))
+        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        return np.fromiter(map(self.number.__getitem__, chain.from_iterable(cuts)), np.int64, counts.sum()), counts
+
+    def gathered(self, numbers: np.ndarray, counts: np.ndarray, side: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """An encoder's ids of all texts, and where each text's begin, with the end."""
+        ids, starts, sizes = self.sides[side]
+        upto = np.concatenate([[0], np.cumsum(sizes[numbers])])
+        return ragged(ids, starts[numbers], sizes[numbers]), upto[np.concatenate([[0], np.cumsum(counts)])]
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        flat, bounds = self.gathered(*self.numbers(texts))
+        return [flat[i:j] for i, j in pairwise(bounds.tolist())]
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -95,36 +130,53 @@ class _PreTokens(dict):
         return found
 
 
-def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """As json_encoder, faster for files that compose, lower-case, split by a pattern and drop white space.
+#: The pattern that byte-level files with use_regex stand for.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _pattern(told: dict) -> tuple[str, bool] | None:
+    """The pattern that cuts a file's pre-tokens, and whether text is lower-cased; None for kinds not known here."""
+    norms, cuts = told["normalizer"], told["pre_tokenizer"]
+    if norms is None and cuts["type"] == "ByteLevel" and cuts["use_regex"] and not cuts["add_prefix_space"]:
+        return BYTE_LEVEL, False
+    norms, cuts = [x["type"] for x in (norms or {}).get("normalizers", [])], cuts.get("pretokenizers", [])
+    if norms == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["behavior"] == "Removed" and not cuts[1]["use_regex"]:
+        return cuts[0]["pattern"]["Regex"], True
+    return None
+
+
+def pattern_encoder(path: str, before: str = "", specials_as_text: bool = False) -> Callable[[list[str]], list[bytes]]:
+    """As json_encoder, faster for files that cut pre-tokens by a pattern: byte-level ones, and those that compose and
+    lower-case first and drop white space.
 
     There the library spends most of its time in the pattern. In a chunk of printable ASCII and the composed letters of
-    Latin-1 there is nothing to compose, so Python's ``re`` splits it by the file's own pattern, and the library's model
-    is asked for each pre-token once. Other chunks, and those with the first character of an added token, go to the
-    library whole.
+    Latin-1 there is nothing to compose, so Python's ``re`` splits it by the same pattern, and the library's model is
+    asked for each pre-token once. Other chunks, and those with the first character of an added token that counts, go to
+    the library whole.
     """
     from tokenizers import Tokenizer
 
-    whole, model = json_encoder(path), Tokenizer.from_file(path)
+    whole, model = json_encoder(path, before, specials_as_text), Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         told = json.load(f)
-    norms, cuts = told["normalizer"], told["pre_tokenizer"]
-    norms, cuts = [x["type"] for x in norms["normalizers"]], cuts["pretokenizers"]
-    if norms != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in cuts] != ["Split", "ByteLevel"] or cuts[0]["behavior"] != "Removed" or cuts[1]["use_regex"]:
+    if not (found := _pattern(told)):
         return whole
-    split = re.compile(cuts[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zß-öø-ÿ").replace(r"\p{N}", "0-9")).findall
-    starts = {x["content"][0] for x in told["added_tokens"]}
+    pattern, lower = found
+    letters, digits = "a-zß-öø-ÿ" if lower else "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
+    pattern = re.sub(r"(?<!\[)(?<!\\s)(?<!\})\\p\{([LN])\}\+?", lambda m: f"[{m[0][:5]}]{m[0][5:]}", pattern)  # a class by itself
+    split = re.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", digits))
+    starts = set() if specials_as_text else {x["content"][0] for x in told["added_tokens"]}
     plain = re.compile("[" + "".join(re.escape(chr(c)) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)) if chr(c) not in {*starts, "×", "÷"}) + "]*").fullmatch
     known = _PreTokens(model.model)
 
     def encode(chunks: list[str]) -> list[bytes]:
-        if len(known) > REMEMBERED:
+        if len(known) > PRE_TOKENS:
             known.clear()
-        ids, join = known.__getitem__, b"".join
-        out = [join(map(ids, split(c.lower()))) if plain(c) else None for c in chunks]
-        rest = [n for n, found in enumerate(out) if found is None]
-        for n, found in zip(rest, whole([chunks[n] for n in rest]), strict=True):
-            out[n] = found
+        ids, join, cut = known.__getitem__, b"".join, split.findall
+        out = [join(map(ids, cut(before + c.lower() if lower else before + c))) if plain(c) else None for c in chunks]
+        rest = [n for n, done in enumerate(out) if done is None]
+        for n, done in zip(rest, whole([chunks[n] for n in rest]), strict=True):
+            out[n] = done
         return out
 
     return encode

@@ -115,7 +115,7 @@ def test_chunks_give_the_ids_of_the_library(side):
         model, before = tokenizers.Tokenizer.from_file(path), "" if side == "word" else " "
         model.encode_special_tokens = side == "byte"
         want = [model.encode(before + t, add_special_tokens=False).ids if t else [] for t in texts]
-        encode = chunks.word_encoder(path) if side == "word" else chunks.json_encoder(path, " ", True)
+        encode = chunks.pattern_encoder(path) if side == "word" else chunks.pattern_encoder(path, " ", True)
     assert [i.tolist() for i in chunks.ByChunk(encode).ids(texts)] == want
 
 
