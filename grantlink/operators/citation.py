@@ -3,64 +3,70 @@
 from __future__ import annotations
 
 import math
+import struct
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept
+from .skew import hot_keys, spread_join
 
+#: Leading bits that each pass of a selection takes: 64 in all.
+PASSES = (22, 21, 21)
 
-#: Cells that distinct values are cut into for exact quantiles.
-CELLS = 64
+
+def _double(key: int) -> float:
+    bits = key if key >= 0 else key ^ 0x7FFFFFFFFFFFFFFF
+    return struct.unpack("<d", struct.pack("<q", bits))[0]
 
 
 def percentiles(values: DataFrame, column: str, quantiles: list[float]) -> list[float | None]:
     """Exact quantiles, interpolated, of a column's values that are not null; None for each if there are none.
 
-    Equal values are counted first. Estimated quantiles cut the distinct ones into cells, the cells' counts tell where
-    the wanted ranks lie, and only those cells are sorted. The driver sees the cells and two values for each quantile.
+    Radix selection: a double becomes a 64-bit number of the same order (-0.0 before 0.0, NaN last). A pass counts the
+    values by their next bits, inside the cells of equal leading bits that hold wanted ranks, and tells in which cell
+    each rank goes on. The last pass gives the values themselves. A pass is one aggregate; a cell has at most 2^22
+    counts, and the driver sees one row for each wanted rank.
     """
-    value = F.col("value")
-    counted = kept(values.select(F.col(column).cast("double").alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n")))
-    edges = sorted(set(counted.approxQuantile("value", [i / CELLS for i in range(1, CELLS)], 0.002)))
-    cell = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= value)) if edges else F.lit(0)
-    placed = counted.withColumn("cell", cell)
-    sizes = dict(placed.groupBy("cell").agg(F.sum("n")).collect())
-    if not sizes:
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.col(column).cast("double")).cast("bigint")
+    keys = kept(values.where(F.col(column).isNotNull()).select(bits.alias("bits")).select(F.when(F.col("bits") < 0, F.col("bits").bitwiseXOR(F.lit(0x7FFFFFFFFFFFFFFF))).otherwise(F.col("bits")).alias("key")))
+    total = keys.count()
+    if not total:
         return [None] * len(quantiles)
-    first, total = {}, 0
-    for c in sorted(sizes):
-        first[c], total = total, total + sizes[c]
     ranks = sorted({r for q in quantiles for r in (math.floor(q * (total - 1)), math.ceil(q * (total - 1)))})
-    home = {r: max(c for c in first if first[c] <= r) for r in ranks}
-    upto = F.sum("n").over(Window.partitionBy("cell").orderBy("value"))
-    found = placed.where(F.col("cell").isin(sorted(set(home.values())))).withColumn("upto", upto)
-    found = found.agg(*[F.min(F.when((F.col("cell") == c) & (F.col("upto") > r - first[c]), value)).alias(str(r)) for r, c in home.items()]).first()
+    place, left, done = dict.fromkeys(ranks, 0), {r: r for r in ranks}, 0  # leading bits so far, and the rank inside them
+    for width in PASSES:
+        cell = F.shiftright("key", 64 - done) if done else F.lit(0).cast("bigint")
+        narrow = keys.where(cell.isin(sorted(set(place.values())))) if done else keys
+        done += width
+        counts = narrow.groupBy(cell.alias("cell"), F.shiftright("key", 64 - done).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("cell").orderBy("part")))
+        first = [F.min(F.when((F.col("cell") == place[r]) & (F.col("upto") > left[r]), F.struct("part", (F.col("upto") - F.col("n")).alias("before")))).alias(str(r)) for r in ranks]
+        found = upto.agg(*first).first()
+        for r in ranks:
+            place[r], left[r] = found[str(r)]["part"], left[r] - found[str(r)]["before"]
     out = []
     for q in quantiles:
         at = q * (total - 1)
-        low, high = found[str(math.floor(at))], found[str(math.ceil(at))]
-        out.append(low + (high - low) * (at - math.floor(at)))
+        low, high = _double(place[math.floor(at)]), _double(place[math.ceil(at)])
+        out.append(low if low == high else low + (high - low) * (at - math.floor(at)))
     return out
 
 
+def _edges(works: DataFrame, name: str) -> DataFrame:
+    """Distinct (``name``, ref) of works (id, referenced_works)."""
+    rows = works.select(F.col("id").cast("bigint").alias(name), F.explode("referenced_works").alias("ref")).withColumn("ref", F.col("ref").cast("bigint"))
+    return rows.where("ref is not null").distinct()
+
+
 def disruption(focal: DataFrame, citing: DataFrame) -> DataFrame:
     """For each focal work (id, referenced_works): n_f citing works share no reference with it, n_b do;
     disruption_index = (n_f - n_b) / (n_f + n_b), null with status calculation_failed if it is never cited. A focal work
-    without references has no index and is left out.
-
-    Works count once per id. References are exploded to pairs of ids, and only pairs that end in a focal work are given
-    the lists: a list travels once for each such pair, not for each reference. A highly cited focal work makes a skewed
-    join, which AQE splits.
+    without references has no index and is left out. Rows of one id count as one work with all their references.
     """
-    clean = lambda c: F.filter(F.coalesce(F.col(c), F.array().cast("array<bigint>")), lambda x: x.isNotNull())
-    f = focal.select(F.col("id").cast("bigint").alias("focal_id"), clean("referenced_works").alias("own")).where("size(own) > 0").dropDuplicates(["focal_id"])
-    c = citing.select(F.col("id").cast("bigint").alias("id"), clean("referenced_works").alias("refs")).dropDuplicates(["id"])
-    edges = c.select("id", F.explode(F.array_distinct("refs")).alias("focal_id"))
-    pairs = edges.join(f, "focal_id").join(c, "id")  # pairs of ids meet the focal works first
-    shared = F.arrays_overlap("refs", "own")
-    counted = pairs.groupBy("focal_id").agg(F.count_if(~shared).alias("n_f"), F.count_if(shared).alias("n_b"))
-    out = f.select("focal_id").join(counted, "focal_id", "left").select("focal_id", F.coalesce("n_f", F.lit(0)).alias("n_f"), F.coalesce("n_b", F.lit(0)).alias("n_b"))
+    f = _edges(focal, "focal_id")
+    out = f.select("focal_id").distinct().join(disruption_relational(f, _edges(citing, "id")), "focal_id", "left")
+    out = out.select("focal_id", F.coalesce("n_f", F.lit(0)).alias("n_f"), F.coalesce("n_b", F.lit(0)).alias("n_b"))
     index = F.try_divide(F.col("n_f") - F.col("n_b"), F.col("n_f") + F.col("n_b"))
     return out.withColumn("disruption_index", index).withColumn("status", F.when(index.isNull(), "calculation_failed").otherwise("valid"))
 
@@ -71,11 +77,27 @@ def sampled_disruption(focal: DataFrame, citing: DataFrame, sampled: DataFrame)
 
 
 def disruption_relational(focal_refs: DataFrame, citing_refs: DataFrame) -> DataFrame:
-    """The same counts from edge tables (focal_id, ref) and (id, ref): no arrays."""
-    f, c = focal_refs.distinct(), citing_refs.distinct()
-    pairs = c.join(f.select("focal_id").distinct(), c["ref"] == F.col("focal_id")).select("focal_id", "id")
-    shared = pairs.join(c, "id").join(f, ["focal_id", "ref"]).select("focal_id", "id").distinct().withColumn("shared", F.lit(True))
-    return pairs.join(shared, ["focal_id", "id"], "left").groupBy("focal_id").agg(F.count_if(F.col("shared").isNull()).alias("n_f"), F.count_if(F.col("shared").isNotNull()).alias("n_b"))
+    """(focal_id, n_f, n_b) of cited focal works from edges (focal_id, ref) and (id, ref).
+
+    A citing work that shares a reference closes a triangle of edges. Each pair of a citing and a focal work sends the
+    references of the one that has fewer, and an edge of the other closes the triangle; references travel as pairs of
+    ids, never as lists. A focal work with a large share of the citations is spread over many tasks.
+    """
+    f, c = kept(focal_refs.distinct()), kept(citing_refs.distinct())
+    sizes = f.groupBy("focal_id").agg(F.count(F.lit(1)).alias("n_own"))
+    ends = c.withColumnRenamed("ref", "focal_id")
+    cited = ends.join(sizes.select("focal_id"), "focal_id", "left_semi")
+    hot = kept(hot_keys(cited, "focal_id"))
+    pairs = spread_join(ends, sizes, ["focal_id"], hot, "id").join(c.groupBy("id").agg(F.count(F.lit(1)).alias("n_refs")), "id")
+    pairs = kept(pairs)
+    known = f.withColumn("shared", F.lit(True))
+    few = pairs.where("n_refs <= n_own").select("id", "focal_id").join(c, "id")
+    few = spread_join(few, known, ["focal_id", "ref"], hot, "id").select("id", "focal_id")
+    many = spread_join(pairs.where("n_refs > n_own").select("id", "focal_id"), f, ["focal_id"], hot, "id").join(c, ["id", "ref"], "left_semi")
+    shared = few.union(many.select("id", "focal_id")).distinct().groupBy("focal_id").agg(F.count(F.lit(1)).alias("n_b"))
+    counts = pairs.groupBy("focal_id").agg(F.count(F.lit(1)).alias("n")).join(shared, "focal_id", "left")
+    n_b = F.coalesce("n_b", F.lit(0))
+    return counts.select("focal_id", (F.col("n") - n_b).alias("n_f"), n_b.alias("n_b"))
 
 
 def disruption_summary(di: DataFrame) -> DataFrame:
@@ -101,9 +123,9 @@ def citing_index(citing: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def prune_frequent_references(works: DataFrame, quantile: float = 0.97) -> DataFrame:
     """Distinct references with their frequency, without those above the quantile of frequencies."""
-    counted = works.select(F.explode("referenced_works").alias("reference_id")).groupBy("reference_id").agg(F.count(F.lit(1)).alias("frequency"))
-    limit = counted.agg(F.percentile("frequency", F.lit(quantile)).alias("limit"))
-    return counted.crossJoin(F.broadcast(limit)).where("frequency <= `limit`").drop("limit")  # one row
+    counted = kept(works.select(F.explode("referenced_works").alias("reference_id")).groupBy("reference_id").agg(F.count(F.lit(1)).alias("frequency")))
+    limit = percentiles(counted, "frequency", [quantile])[0]
+    return counted.where(F.col("frequency") <= F.lit(limit))
 
 
 def impact_quintiles(works: DataFrame) -> DataFrame:

@@ -32,13 +32,20 @@ def author_subfield_years(works: DataFrame, matched: DataFrame, legacy_duplicate
 
 
 def decayed_frequencies(freq: DataFrame, alpha: float = 1.0, past_only: bool = False) -> DataFrame:
-    """For every year of an author the frequencies of all the author's years, weighted by distance in time."""
-    targets = freq.select("author_id", F.col("year").alias("target_year")).distinct()
-    pairs = targets.join(freq, "author_id")
-    if past_only:
-        pairs = pairs.where("year <= target_year")
-    weight = F.col("freq") * decay(F.col("year"), F.col("target_year"), alpha)
-    return pairs.groupBy("author_id", F.col("target_year"), "subfield").agg(F.sum(weight).alias("freq")).withColumnRenamed("target_year", "year")
+    """For every year of an author the frequencies of all the author's years, weighted by distance in time.
+
+    A convolution in the row: a subfield's yearly counts of an author are an array, and each of the author's years sums
+    them with its weights. Rows are dealt by author once; both aggregates and their join stay there, and so does what
+    groups the result by author and year. An array holds at most an author's years.
+    """
+    dealt = freq.select("author_id", "year", "subfield", "freq").repartition("author_id")
+    years = dealt.groupBy("author_id").agg(F.array_sort(F.collect_set("year")).alias("years"))
+    series = dealt.groupBy("author_id", "subfield").agg(F.collect_list(F.struct("year", "freq")).alias("held"))
+    held = lambda y: F.filter("held", lambda p: p["year"] <= y) if past_only else F.col("held")
+    weighted = lambda y: F.aggregate(held(y), F.lit(0.0), lambda s, p: s + p["freq"] * decay(p["year"], y, alpha))
+    each = F.transform("years", lambda y: F.struct(y.alias("year"), weighted(y).alias("freq")))
+    out = series.join(years, "author_id").select("author_id", "subfield", F.explode(each).alias("p"))
+    return out.select("author_id", "p.year", "subfield", "p.freq").where("freq > 0")
 
 
 def diversity(decayed: DataFrame, distances: DataFrame, n_subfields: int, tolerance: float = 1e-6) -> DataFrame:

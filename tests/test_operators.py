@@ -179,6 +179,40 @@ def test_percentiles_are_exact(spark, n):
     assert got == ([None] * 6 if not n else pytest.approx([float(np.quantile(values_, q)) for q in quantiles]))
 
 
+def test_percentiles_order_all_doubles(spark):
+    odd = [float("nan"), float("inf"), -float("inf"), -0.0, 0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, 1.0 + 2**-52]
+    df = spark.createDataFrame([(v,) for v in odd], "v double")
+    got = citation.percentiles(df, "v", [i / 10 for i in range(11)])
+    assert list(map(repr, got)) == ["-inf", "-1.7e+308", "-5e-324", "-0.0", "0.0", "5e-324", "1.0", "1.0000000000000002", "1.7e+308", "inf", "nan"]
+    assert citation.percentiles(spark.range(100_001).selectExpr("cast(id as double) v"), "v", [0.5, 0.97]) == [50_000, 97_000]
+
+
+def test_disruption_against_sets(spark):
+    g = random.Random(9)
+    focal = {n: set(g.sample(range(1000), g.choice([1, 2, 5, 40]))) for n in range(30)}
+    cited = {5000 + n: set(g.sample(range(1000), g.choice([0, 1, 3, 60]))) | {g.choice([0, 0, 0, *range(30)]) for _ in range(g.choice([1, 2]))} for n in range(900)}  # work 0 has most citations
+    given_focal = spark.createDataFrame([(k, sorted(v)) for k, v in focal.items()], "id long, referenced_works array<long>")
+    rows = [(k, sorted(v) * 2) for k, v in cited.items()]
+    got = {r.focal_id: (r.n_f, r.n_b) for r in citation.disruption(given_focal, spark.createDataFrame([*rows, rows[0]], "id long, referenced_works array<long>")).collect()}
+    for k, own in focal.items():
+        fans = [v for v in cited.values() if k in v]
+        assert got[k] == (sum(not own & v for v in fans), sum(bool(own & v) for v in fans))
+
+
+def test_decay_in_the_row(spark):
+    g = random.Random(2)
+    rows = sorted({(a, y, s): g.randint(1, 9) for a in range(5) for y in g.sample(range(1990, 2010), 6) for s in g.sample("abcde", 3)}.items())
+    freq = spark.createDataFrame([(*k, n) for k, n in rows], "author_id long, year int, subfield string, freq long").repartition(3)
+    for past in (False, True):
+        want = {}
+        for (a, y, s), n in rows:
+            for t in {k[1] for k, _ in rows if k[0] == a}:
+                if not past or y <= t:
+                    want[a, t, s] = want.get((a, t, s), 0) + n / (1 + abs(y - t))
+        got = {(r.author_id, r.year, r.subfield): r.freq for r in diversity.decayed_frequencies(freq, past_only=past).collect()}
+        assert got == pytest.approx(want)
+
+
 def test_works_without_references_have_no_index(spark):
     focal = spark.createDataFrame([(1, [9]), (2, None), (3, []), (4, [8])], "id long, referenced_works array<long>")
     citing = spark.createDataFrame([(5, [1, 2, 3]), (6, [1, 9])], "id long, referenced_works array<long>")
