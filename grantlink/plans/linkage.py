@@ -30,7 +30,7 @@ def _crossed(x: Views) -> DataFrame:
         F.array("n_name", "r_name").alias("institution_names"), F.array("r_name").alias("associated_institution_names"), home, (F.col("n_name") == HOME).cast("double").alias("home_affiliation_proportion"),
         F.lit(False).alias("has_home_associated"), (F.col("s_suppkey") % BLOCKS).alias("k"),
     )
-    return people.join(candidates, "k").drop("k")
+    return people.repartition("person_id").join(candidates, "k").drop("k")  # the join is of small tables: its rows are made in many tasks
 
 
 LEV = lambda c: f"1 - levenshtein(a, {c}) / greatest(length(a), length({c}))"

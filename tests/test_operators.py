@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from grantlink.functions import expressions as ex
-from grantlink.functions.similarity import jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
+from grantlink.functions import similarity
+from grantlink.functions.similarity import best_scores, jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
 from grantlink.operators import author_year, batching, career, citation, coverage, diversity, grants, model, normalise, pairs, persons
 from grantlink.sources import tables
 from grantlink.streaming import landing
@@ -458,3 +459,36 @@ def test_labels_have_distances(spark):
     labels = spark.createDataFrame([(1, "Organic chemistry"), (2, "organic Chemistry"), (3, "Law"), (4, None)], "subfield_id int, label string")
     got = {(r.a, r.b): r.distance for r in diversity.label_distances(labels).collect()}
     assert got[1, 2] == 0.0 and got[1, 3] == got[3, 1] == 1.0 and not any(4 in k for k in got)
+
+
+def long_pairs(n):
+    g = random.Random(n)
+    word = lambda k: "".join(g.choice("abcd é") for _ in range(k))
+    a = [word(g.choice([0, 1, 3, 10, 60, 64, 65, 130, 300, 1200])) for _ in range(n)]
+    return a, [(x[: g.randint(0, len(x))] + word(g.choice([0, 2, 9, 70]))) if g.random() < 0.5 else word(g.choice([0, 1, 5, 64, 66, 200])) for x in a]
+
+
+def test_strings_of_several_words_score_as_single_pairs():
+    a, b = long_pairs(300)
+    assert list(jaro_winklers(a, b)) == [jaro_winkler(x, y) for x, y in zip(a, b, strict=True)]
+    assert list(similarity._batched(similarity._lcs_lengths, similarity.lcs_length, a, b, np.int64)) == [similarity.lcs_length(x, y) for x, y in zip(a, b, strict=True)]
+
+
+def test_bounds_lose_no_best_score(monkeypatch):
+    a, b = long_pairs(400)
+    row, place = np.sort(np.array([random.Random(i).randint(0, 79) for i in range(400)])), np.arange(400)
+    for kind in ("jw", "token"):
+        score = similarity.SCORES[kind](a, b)
+        assert (similarity.BOUNDS[kind](a, b) >= score).all()
+        made = []
+        monkeypatch.setitem(similarity.SCORES, kind, lambda x, y, f=similarity.SCORES[kind], made=made: made.append(len(x)) or f(x, y))
+        got = similarity.best_of(row, 90, a, b, place, kind)
+        want = [max((score[i] for i in np.flatnonzero(row == r)), default=math.nan) for r in range(90)]
+        assert list(got) == pytest.approx(want, nan_ok=True) and sum(made) < 400
+
+
+def test_best_scores_of_rows(spark):
+    rows = [("x y", ["x", "y x", None]), ("abc", ["abd", "abd", "zzz"]), (None, ["a"]), ("a", None), ("a", []), ("", [""])]
+    got = [r.s for r in spark.createDataFrame(rows, "n string, o array<string>").coalesce(1).select(best_scores("n", "o").alias("s")).collect()]
+    assert (got[0].token, got[1].jw) == (1.0, jaro_winkler("abc", "abd")) and [(r.jw, r.token) for r in got[2:5]] == [(None, None)] * 3
+    assert (got[5].jw, got[5].token) == (1.0, 0.0)
