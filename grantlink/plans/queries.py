@@ -475,6 +475,18 @@ def train_match_model(x: Views) -> DataFrame:
     return model.score(model.train(train), test)
 
 
+_DRAWN = "row_number() OVER (PARTITION BY is_match ORDER BY CAST('0x' || substr(md5({0} || ':' || doc_id || ':' || doc_id), 1, 13) AS BIGINT), doc_id::VARCHAR)"
+
+
+@query(f"""WITH m AS (SELECT doc_id, quality AS is_match FROM labels JOIN documents USING (doc_id)), r AS (SELECT *, {_DRAWN.format("'42'")} AS r, {_DRAWN.format("'43'")} AS f, count(*) OVER (PARTITION BY is_match) AS n FROM m)
+SELECT doc_id::VARCHAR AS gtr_id, is_match, r <= floor(n * 0.1 + 0.5) AS is_test, CAST((f > floor(n * 0.2 + 0.5))::INT + (f > floor(n * 0.4 + 0.5))::INT + (f > floor(n * 0.6 + 0.5))::INT + (f > floor(n * 0.8 + 0.5))::INT AS INTEGER) AS fold FROM r""")
+def stratified_folds(x: Views) -> DataFrame:
+    """The rows of a split and of five folds, each class to the row."""
+    rows = model.with_folds(_matrix(x).select("gtr_id", "oa_id", "is_match"), 5)
+    train, test = model.stratified_split(rows, 0.1)
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))).drop("oa_id")
+
+
 @query()
 def smote(x: Views) -> DataFrame:
     minority = _matrix(x).withColumn("is_match", 1 - F.col("is_match"))

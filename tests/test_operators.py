@@ -340,7 +340,7 @@ def test_model(spark):
     assert abs(counts[1] - counts[0]) <= 30 and all(math.isfinite(r.a) for r in up.collect())
 
 
-def test_oversampling_finds_the_nearest_of_many(spark):
+def test_oversampling_finds_the_nearest_of_many(spark, monkeypatch):
     r = random.Random(5)
     points = [(0.5 if i % 3 else r.random(), r.random(), r.random() / 4) for i in range(2200)] + [(9.0, 9.0, 9.0)] + [(0.25, 0.25, 0.25)] * 20
     rows = [(str(i), str(i), 1, *x) for i, x in enumerate(points)] + [(f"n{i}", "", 0, 0.0, 0.0, 0.0) for i in range(len(points) + 10)]
@@ -348,14 +348,17 @@ def test_oversampling_finds_the_nearest_of_many(spark):
     p = np.array(points)
     d = ((p[:, None] - p[None]) ** 2).sum(2)
     np.fill_diagonal(d, np.inf)
-    tables_ = m.where("is_match = 1").withColumn("id", F.col("gtr_id").cast("long"))
-    for k in (1, 9):
-        got = {x.id: x.near for x in model.nearest(tables_, ["a", "b", "c"], k, len(points)).collect()}
-        assert len(got) == len(points)
-        for i, near in got.items():
-            assert [sum((p[i] - np.array(y.v2)) ** 2) for y in near] == pytest.approx(np.sort(d[i])[:k].tolist(), abs=1e-12)
+    vectors = m.where("is_match = 1").select(F.array("a", "b", "c").alias("v"))
+    for k, block in ((1, 20_000), (9, 100), (9, 20_000)):
+        monkeypatch.setattr(model, "BLOCK", block)
+        got = {tuple(x.v): x.near for x in model.nearest(vectors, k).collect()}
+        assert len(got) == len(set(points))
+        for i, v in enumerate(points):
+            assert [sum((p[i] - np.array(y)) ** 2) for y in got[v]] == pytest.approx(np.sort(d[i])[:k].tolist(), abs=1e-12)
     made = [x for x in model.smote(m, k=1).collect() if x.gtr_id.startswith("smote-")]
     assert len(made) == len(points)  # the one far from all others has its row, too
+    again = {(x.gtr_id, x.a, x.b, x.c) for x in model.smote(m.repartition(7, "a"), k=1).collect() if x.gtr_id.startswith("smote-")}
+    assert again == {(x.gtr_id, x.a, x.b, x.c) for x in made}  # partitions play no part
     to = p[d.argmin(1)] - p
     length = np.maximum((to**2).sum(1), 1e-300)
     for x in made:  # on the line from a positive to its nearest one
@@ -364,6 +367,21 @@ def test_oversampling_finds_the_nearest_of_many(spark):
         assert (((y - p - u[:, None] * to) ** 2).sum(1)).min() < 1e-18
 
 
+def test_quotas_are_met_to_the_row(spark):
+    rows = [(str(i), f"o{i % 7}", int(i % 11 == 0)) for i in range(1003)]
+    m = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int").repartition(5)
+    size = {c: sum(r[2] == c for r in rows) for c in (0, 1)}
+    for share in (0.0, 0.1, 0.37, 1.0):
+        train_, test_ = model.stratified_split(m, share)
+        got = dict(values(test_.groupBy("is_match").count(), "is_match", "count"))
+        assert got == {c: n for c in size if (n := math.floor(size[c] * share + 0.5))} and train_.count() + test_.count() == 1003
+    folds = model.with_folds(m, 5).groupBy("is_match", "fold").count().collect()
+    cuts = {c: [math.floor(size[c] * i / 5 + 0.5) for i in range(6)] for c in size}
+    assert sorted((r.is_match, r.fold, r["count"]) for r in folds) == [(c, f, cuts[c][f + 1] - cuts[c][f]) for c in (0, 1) for f in range(5)]
+    assert {r.gtr_id for r in model.stratified_split(m)[1].collect()} == {r.gtr_id for r in model.stratified_split(m.coalesce(1))[1].collect()}
+    assert model.stratified_split(m.limit(0))[0].count() == 0
+
+
 def test_streamed_landing(spark, tmp_path):
     df = spark.createDataFrame([("1", "a"), ("2", "b"), ("1", "c")], "id string, v string")
     df.write.parquet(str(tmp_path / "in"))
