@@ -19,10 +19,10 @@ import numpy as np
 
 CUT = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
 #: Chunks whose ids a worker remembers, and their characters; beyond either it starts anew.
-REMEMBERED = 900_000
+REMEMBERED = 400_000
 REMEMBERED_CHARS = 16_000_000
 #: Pre-tokens whose ids an encoder remembers.
-PRE_TOKENS = 300_000
+PRE_TOKENS = 600_000
 #: Characters that go to the library in one call, unless one chunk alone has more.
 CALL_CHARS = 1_000_000
 
@@ -44,6 +44,19 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+class _Numbers(dict):
+    """Numbers of chunks; a new one gets the next number and is noted."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        self[chunk] = number = len(self)
+        return number
+
+
 class ByChunk:
     """Distinct chunks are numbered, and each encoder's ids of all chunks lie in one array, so that those of many texts
     are gathered by numpy. An encoder gives the ids of many chunks as little-endian unsigned 32-bit numbers."""
@@ -53,7 +66,7 @@ class ByChunk:
         self._forget()
 
     def _forget(self) -> None:
-        self.number, self.chars = {"": 0}, 0
+        self.number, self.chars = _Numbers(), 0
         #: For each encoder the ids of all chunks, where each begins, and how many it has.
         self.sides = [(np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)) for _ in self.encoders]
 
@@ -73,7 +86,6 @@ class ByChunk:
                     ids, starts, sizes = self.sides[k]
                     self.sides[k] = (np.concatenate([ids, new[k][0]]), np.concatenate([starts, len(ids) + np.cumsum(new[k][1]) - new[k][1]]), np.concatenate([sizes, new[k][1]]))
                 self.learned(part, new)
-                self.number.update(zip(part, range(len(self.number), len(self.number) + len(part)), strict=True))
                 self.chars += size
                 size, begin = 0, n + 1
 
@@ -82,9 +94,11 @@ class ByChunk:
         if len(self.number) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self._forget()
         cuts = list(map(chunks_of, texts))
-        self._learn(list(set().union(*cuts) - self.number.keys()))
         counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        return np.fromiter(map(self.number.__getitem__, chain.from_iterable(cuts)), np.int64, counts.sum()), counts
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cuts)), np.int64, counts.sum())
+        self._learn(self.number.new)
+        self.number.new = []
+        return numbers, counts
 
     def gathered(self, numbers: np.ndarray, counts: np.ndarray, side: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """An encoder's ids of all texts, and where each text's begin, with the end."""
@@ -149,8 +163,8 @@ def pattern_encoder(path: str, before: str = "", specials_as_text: bool = False)
     """As json_encoder, faster for files that cut pre-tokens by a pattern: byte-level ones, and those that compose and
     lower-case first and drop white space.
 
-    There the library spends most of its time in the pattern. In a chunk of printable ASCII and the composed letters of
-    Latin-1 there is nothing to compose, so Python's ``re`` splits it by the same pattern, and the library's model is
+    There the library spends most of its time in the pattern. In a chunk of printable ASCII, line feeds and the
+    composed letters of Latin-1 there is nothing to compose, so Python's ``re`` splits it by the same pattern, and the library's model is
     asked for each pre-token once. Other chunks, and those with the first character of an added token that counts, go to
     the library whole.
     """
@@ -166,7 +180,7 @@ def pattern_encoder(path: str, before: str = "", specials_as_text: bool = False)
     pattern = re.sub(r"(?<!\[)(?<!\\s)(?<!\})\\p\{([LN])\}\+?", lambda m: f"[{m[0][:5]}]{m[0][5:]}", pattern)  # a class by itself
     split = re.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", digits))
     starts = set() if specials_as_text else {x["content"][0] for x in told["added_tokens"]}
-    plain = re.compile("[" + "".join(re.escape(chr(c)) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)) if chr(c) not in {*starts, "×", "÷"}) + "]*").fullmatch
+    plain = re.compile("[" + "".join(re.escape(chr(c)) for c in (0x0A, *range(0x21, 0x7F), *range(0xC0, 0x100)) if chr(c) not in {*starts, "×", "÷"}) + "]*").fullmatch
     known = _PreTokens(model.model)
 
     def encode(chunks: list[str]) -> list[bytes]:
