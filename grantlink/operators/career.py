@@ -136,12 +136,18 @@ def author_metadata(profiles: DataFrame, matches: DataFrame) -> DataFrame:
     return joined.withColumn("citations_per_publication", F.try_divide("cited_by_count", "works_count"))
 
 
+def unique_by(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df``, one row for each key; the job that uses it fails if a key is repeated, so no job of its own looks."""
+    rest = [c for c in df.columns if c not in keys]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest) if rest else F.lit(1)).alias("_row"))
+    said = F.concat(F.lit(f"{name}: repeated "), F.to_json(F.struct(*keys)))
+    once = F.when(F.col("_n") == 1, True).otherwise(F.raise_error(said).cast("boolean"))
+    return counted.where(once).select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+
+
 def one_to_one(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Inner join that fails if a key is repeated on either side."""
-    for side, name in ((a, "left"), (b, "right")):
-        if twice := side.groupBy(key).count().where("count > 1").limit(1).collect():
-            raise ValueError(f"join is not one to one: {key}={twice[0][0]!r} is repeated on the {name}")
-    return a.join(b, key)
+    return unique_by(a, [key], "join is not one to one, left").join(unique_by(b, [key], "join is not one to one, right"), key)
 
 
 def basic_metrics(refs: DataFrame, years: DataFrame, collabs: Collaborations, home: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept
+from .diversity import yearly_series
 from .skew import hot_keys, spread_join
 
 #: Leading bits that each pass of a selection takes: 64 in all.
@@ -115,6 +116,14 @@ def disruption_author_years(authored: DataFrame, di: DataFrame, default_weight:
     return rows.groupBy("author_id", "year").agg(F.avg("disruption_index").alias("mean_disruption"), F.avg("fwci").alias("mean_fwci"), F.try_divide(F.sum(F.col("disruption_index") * w), F.sum(w)).alias("weighted_disruption"))
 
 
+def disruption_series(works: DataFrame, matched: DataFrame, di: DataFrame) -> DataFrame:
+    """Works (id, year, fwci, authorships[author_id, ...]) to the yearly series of matched authors (author_id, year,
+    mean_disruption, weighted_disruption), rounded as they are reported. An author counts once on a work."""
+    own = works.join(di.select(F.col("focal_id").alias("id")).distinct(), "id", "left_semi").select("id", "year", "fwci", F.explode(F.array_distinct("authorships.author_id")).alias("author_id"))
+    own = own.join(matched.select("author_id").distinct(), "author_id", "left_semi")
+    return yearly_series(disruption_author_years(own, di), 2, "mean_disruption", "weighted_disruption")
+
+
 def citing_index(citing: DataFrame, wanted: DataFrame) -> DataFrame:
     """reference_id to the sorted ids that cite it, for wanted ids."""
     edges = citing.select("id", F.explode(F.array_distinct("referenced_works")).alias("reference_id"))

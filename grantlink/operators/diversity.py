@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import decay
+from ..sources.tables import kept
 
 
 def subfield_frequencies(rows: DataFrame) -> DataFrame:
@@ -63,18 +67,51 @@ def diversity(decayed: DataFrame, distances: DataFrame, n_subfields: int, tolera
     return out.select("author_id", "year", (F.col("n") / n_subfields).alias("variety"), F.coalesce(evenness, F.lit(0.0)).alias("evenness"), F.coalesce("disparity", F.lit(0.0)).alias("disparity"))
 
 
+#: Groups whose vectors are compared with as many others in one task.
+TILE = 512
+
+
 def group_distances(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """Euclidean distances between the mean vectors of groups, as shares of the largest: (a, b, distance), both orders.
 
-    Groups are the entries of a taxonomy, so their pairs are few; rows are averaged by a distributed aggregate first.
+    Rows are averaged by a distributed aggregate first. The means are dealt into tiles of about TILE, and each pair of
+    tiles meets in a task that takes the differences of whole vectors by numpy.
     """
     means = vectors.select(key, F.posexplode(vector).alias("i", "x")).groupBy(key, "i").agg(F.avg("x").alias("x"))
-    a, b = means.select(F.col(key).alias("a"), "i", F.col("x").alias("x")), means.select(F.col(key).alias("b"), "i", F.col("x").alias("y"))
-    raw = a.join(b, "i").groupBy("a", "b").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("d"))
+    means = kept(means.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("v")))
+    tiles = 1 + means.count() // TILE
+    dealt = means.withColumn("tile", F.pmod(F.xxhash64(key), F.lit(tiles)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    rows, columns = dealt.select(F.col("tile").alias("r"), every.alias("c"), key, "v"), dealt.select(every.alias("r2"), F.col("tile").alias("c2"), key, "v")
+
+    def apart(x: pa.Table, y: pa.Table) -> pa.Table:
+        out = []
+        if len(x) and len(y):
+            one, other = (np.array(t["v"].to_pylist(), float) for t in (x, y))
+            out = [np.sqrt(((other - v) ** 2).sum(axis=1)) for v in one]
+        a, b = np.repeat(np.arange(len(x)), len(y)), np.tile(np.arange(len(y)), len(x))
+        return pa.table({"a": x[key].take(pa.array(a)), "b": y[key].take(pa.array(b)), "d": pa.array(np.concatenate(out) if out else np.zeros(0))})
+
+    kind = dict(means.dtypes)[key]
+    raw = rows.groupBy("r", "c").cogroup(columns.groupBy("r2", "c2")).applyInArrow(apart, f"a {kind}, b {kind}, d double")
+    raw = kept(raw)
     largest = raw.agg(F.max("d").alias("m"))
     return raw.crossJoin(F.broadcast(largest)).select("a", "b", F.coalesce(F.try_divide("d", "m"), F.lit(0.0)).alias("distance"))  # one row
 
 
+def batch_encoder(load: Callable[[], Callable[[list[str]], list]]) -> Callable[[Column], Column]:
+    """An encoder of labels: ``load`` gives a function from labels to vectors, and is called once for each task's
+    iterator of batches, not for each batch."""
+
+    @F.pandas_udf("array<double>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vectors = load()
+        for labels in batches:
+            yield pd.Series([list(map(float, v)) for v in vectors(labels.tolist())])
+
+    return encode
+
+
 def hashed_words(label: Column, size: int = 256) -> Column:
     """A vector of the label's words, counted at the places that their hashes give: an encoder without a trained model."""
     places = F.transform(F.filter(F.split(F.lower(label), r"\W+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(size)))
@@ -83,7 +120,7 @@ def hashed_words(label: Column, size: int = 256) -> Column:
 
 def label_distances(labels: DataFrame, encode: Callable[[Column], Column] = hashed_words) -> DataFrame:
     """(a, b, distance) of taxonomy entries (subfield_id, label) by their labels. ``encode`` makes a label an
-    array<double>; a sentence encoder can be given as a pandas UDF. Entries without a label are left out."""
+    array<double>; a sentence encoder can be given by ``batch_encoder``. Entries without a label are left out."""
     return group_distances(labels.where("label is not null").select("subfield_id", encode(F.col("label")).alias("vector")), "subfield_id", "vector")
 
 

@@ -142,6 +142,19 @@ def match_authors(x: Views) -> DataFrame:
     return pairs.best_matches(model.score(model.train(train), matrix), 0.5)
 
 
+@query()
+def match_and_cover(x: Views) -> DataFrame:
+    """From features to coverage by a model's scores: split, train, score, best candidates, their profiles, and how many
+    of all persons and of those with active grants are matched."""
+    matrix = x.kept(features.feature_matrix(_full_pairs(x)).drop("publication_coverage", "author_proportion"))  # they hold the label
+    train, _ = model.stratified_split(matrix)
+    best = x.kept(pairs.best_matches(model.score(model.train(train), matrix), 0.5))
+    found = pairs.matched_profiles(best, _profiles(x)).select("gtr_id", "oa_id")
+    people = x.read("customer", "c_custkey").select(F.col("c_custkey").alias("person_id"))
+    active = x.read("orders", "o_custkey", "o_orderstatus").where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("person_id"))
+    return coverage.coverage_report(people, found, active=active)
+
+
 @query(with_(BLOCKED, "lab AS (SELECT person_id, k, display_name, max(is_match) AS is_match FROM blocked GROUP BY 1, 2, 3)") + "SELECT n_matches, count(*) AS n_names FROM (SELECT k, CAST(sum(is_match) AS BIGINT) AS n_matches FROM lab GROUP BY k) t GROUP BY n_matches")
 def matches_per_name(x: Views) -> DataFrame:
     return pairs.matches_per_name(pairs.label_pairs(_blocked(x)))
@@ -269,6 +282,21 @@ def researcher_table(x: Views) -> DataFrame:
     return assemble.wide_table(basic, disruption_before_after(x), diversity_before_after(x))
 
 
+@query("SELECT e.author_id AS oa_id, e.person_id AS gtr_person_id, m.works_count, m.cited_by_count, m.citations_per_publication, m.last_institution_uk AS last_known_institution_uk, y.first_work_year, c.academic_age AS academic_age_at_first_grant, "
+       + ", ".join(f"a.{n}_{s}" for n in ("n_pubs", "total_citations_pubyear", "mean_citations_pubyear", "citations_pp_pubyear") for s in ("before", "after")) + ", b.mean_fwci_before, b.mean_fwci_after, d.abroad_fraction_before, d.abroad_fraction_after, "
+       + ", ".join(f"e.{n}_{s}" for n in ("unique_collabs", "total_collabs", "foreign_collab_fraction") for s in ("before", "after"))
+       + " FROM (" + ORACLE_SQL["collab_before_after"] + ") e JOIN (" + ORACLE_SQL["counts_before_after"] + ") a USING (person_id, author_id) JOIN (" + ORACLE_SQL["fwci_before_after"] + ") b USING (person_id, author_id) JOIN (" + ORACLE_SQL["academic_age"] + ") c USING (person_id, author_id) JOIN ("
+       + ORACLE_SQL["affil_before_after"] + ") d USING (person_id, author_id) JOIN (" + ORACLE_SQL["author_metadata"] + ") m ON m.id = e.author_id JOIN (" + ORACLE_SQL["first_work_year"] + ") y ON y.author_id = e.author_id")
+def metrics_table(x: Views) -> DataFrame:
+    """Profiles and persons to the table of fixed columns; those that are no lists are compared."""
+    refs = x.refs()
+    authors = _profiles(x).join(refs.select(F.col("author_id").alias("id"), F.col("person_id").alias("gtr_id")), "id").withColumn("counts_by_year", F.array(F.struct(F.lit(2000).alias("year"), F.lit(1).alias("works_count"), F.lit(2).alias("cited_by_count"))))
+    people = refs.select("person_id", F.make_date("ref_year", F.lit(6), F.lit(1)).alias("earliest_start_date"))
+    out = assemble.metrics_table(authors, people, x.kept(_years(x)), _collabs(x), HOME)
+    sides = [f"{n}_{s}" for n in ("n_pubs", "total_citations_pubyear", "mean_citations_pubyear", "citations_pp_pubyear", "mean_fwci", "abroad_fraction", "unique_collabs", "total_collabs", "foreign_collab_fraction") for s in career.SIDES]
+    return out.select("oa_id", "gtr_person_id", "works_count", "cited_by_count", ROUND6("citations_per_publication"), "last_known_institution_uk", "first_work_year", "academic_age_at_first_grant", *sides)
+
+
 @query("SELECT event_type, count(DISTINCT event_id) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
 def landed_events(x: Views) -> DataFrame:
     """Events landed by a stream that writes each id once."""

@@ -177,6 +177,23 @@ def person_portfolio(x: Views) -> DataFrame:
     return out.where("size(project_publications) > 0").select("person_id", F.size("project_publications").cast("bigint").alias("n_publications"), total.alias("n_authorships"), F.size("project_authors").cast("bigint").alias("n_authors"))
 
 
+@query("""WITH people AS (SELECT c_custkey, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+each AS (SELECT o_custkey AS c, o_orderkey AS o, l_partkey AS p, p_brand AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
+topics AS (SELECT c, count(*) AS n, count(DISTINCT b) AS d FROM (SELECT DISTINCT c, o, b FROM each) t GROUP BY c), first AS (SELECT c, o, min(p) AS p FROM each GROUP BY c, o)
+SELECT c_custkey AS person_id, n_name AS organisation_name, coalesce(n, 0) AS n_topics, coalesce(d, 0) AS n_distinct_topics, coalesce(w, 0) AS n_works FROM people LEFT JOIN topics ON c = c_custkey LEFT JOIN (SELECT c, count(DISTINCT p) AS w FROM first GROUP BY c) f ON f.c = c_custkey""")
+def person_portfolio_full(x: Views) -> DataFrame:
+    """All that persons' projects say: topics (with repeats over projects), works and organisations are given, too."""
+    lines = x.read("lineitem", "l_orderkey", "l_partkey").join(x.read("part", "p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).withColumnRenamed("l_orderkey", "project_id")
+    projects = lines.groupBy("project_id").agg(F.collect_set("l_partkey").alias("project_publications"))
+    topics = lines.groupBy("project_id").agg(F.collect_set("p_brand").alias("topics"))
+    authors = lines.groupBy("project_id").agg(F.array(F.min("l_partkey")).alias("project_oa_ids")).withColumn("project_authors", F.array().cast("array<struct<author_id: bigint, n: bigint>>"))
+    people = x.read("orders", "o_custkey", "o_orderkey").groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("project_id"))
+    people = people.join(x.read("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_custkey").alias("person_id"), "project_id", F.col("c_nationkey").alias("organisation"))
+    out = persons.aggregate_persons(people, projects, topics, authors, x.read("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")))
+    size = lambda c, n: F.coalesce(F.array_size(c), F.lit(0)).cast("bigint").alias(n)
+    return out.select("person_id", "organisation_name", size("project_topics", "n_topics"), size(F.array_distinct("project_topics"), "n_distinct_topics"), size("project_oa_ids", "n_works"))
+
+
 @query("""WITH w AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS author_id FROM lineitem), c AS (SELECT l_orderkey AS project_id, author_id, count(*) AS n FROM lineitem JOIN w ON w.id = l_partkey GROUP BY 1, 2)
     SELECT project_id, n_works, count(*) AS n_authors, CAST(sum(n) AS BIGINT) AS n_authorships, max(n) AS most FROM c JOIN (SELECT l_orderkey AS project_id, count(*) AS n_works FROM lineitem GROUP BY 1) t USING (project_id) GROUP BY project_id, n_works""")
 def project_authors(x: Views) -> DataFrame:
@@ -339,6 +356,28 @@ def id_batches(x: Views) -> DataFrame:
     return batching.id_batches(x.read("customer", "c_custkey"), "c_custkey")
 
 
+def _batched(ids: str, names: str = "string_agg(id, '|' ORDER BY id)") -> str:
+    """SQL of batches of fifty ids in their order."""
+    return f"SELECT batch, {names} AS ids, count(*) AS n FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 50 AS batch FROM ({ids}) i) t GROUP BY batch"
+
+
+@query(_batched("SELECT DISTINCT '10.1000/' || lower(replace(c_name, '#', '')) AS id FROM customer WHERE c_custkey % 7 <> 0"))
+def doi_batches(x: Views) -> DataFrame:
+    """Customers' names as DOIs, some as links and some repeated; every seventh has none."""
+    name = F.lower(F.replace("c_name", F.lit("#"), F.lit("")))
+    start = F.when(F.col("c_custkey") % 2 == 0, "https://doi.org/10.1000/").otherwise("10.1000/")
+    rows = x.read("customer", "c_custkey", "c_name").select(F.when(F.col("c_custkey") % 7 != 0, F.concat(start, name)).alias("doi"))
+    return batching.doi_batches(rows.unionByName(rows))
+
+
+@query(_batched("SELECT DISTINCT '0000-0001-' || lpad(CAST(s_suppkey // 10000 AS VARCHAR), 4, '0') || '-' || lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0') AS id FROM supplier WHERE s_suppkey % 3 <> 0"))
+def orcid_batches(x: Views) -> DataFrame:
+    part = lambda c: F.lpad(c.cast("string"), 4, "0")
+    orcid = F.concat(F.lit("0000-0001-"), part(F.expr("s_suppkey div 10000")), F.lit("-"), part(F.col("s_suppkey") % 10000))
+    rows = x.read("supplier", "s_suppkey").select(F.when(F.col("s_suppkey") % 3 != 0, orcid).alias("orcid_id"))
+    return batching.orcid_batches(rows.unionByName(rows))
+
+
 @query("SELECT page_id, CASE WHEN regexp_matches(url, '10\\..+') THEN regexp_extract(url, '10\\..+') END AS doi FROM (SELECT page_id, replace(url, 'example', '10.1') AS url FROM pages) t")
 def doi_clean(x: Views) -> DataFrame:
     return x.read("pages", "page_id", "url").select("page_id", ex.clean_doi(F.replace("url", F.lit("example"), F.lit("10.1"))).alias("doi"))
@@ -463,6 +502,18 @@ def threshold_sweep(x: Views) -> DataFrame:
     return coverage.threshold_sweep(_classed(x)).select("threshold", "tp", "fp", ROUND6("f1"))
 
 
+SWEPT = {"accuracy": "(tp + tn) / nullif(tp + fp + fn + tn, 0)", "precision": "tp / nullif(tp + fp, 0)", "recall": "tp / nullif(tp + fn, 0)", "npv": "tn / nullif(tn + fn, 0)", "fdr": "fp / nullif(tp + fp, 0)", "for": "fn / nullif(tn + fn, 0)"}
+#: Positives weigh as many as there are negatives for each.
+BALANCED = "2 * tp * ((fp + tn) / (tp + fn)) / (2 * tp * ((fp + tn) / (tp + fn)) + fp + fn * ((fp + tn) / (tp + fn)))"
+
+
+@query(with_(CLASSED) + "SELECT CAST(t AS DOUBLE) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, " + ", ".join(f'round({f}, 6) AS "{n}"' for n, f in SWEPT.items())
+       + f", round({BALANCED}, 6) AS balanced_f1 FROM (SELECT t, {CELLS} FROM cls, (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99]) AS t) u GROUP BY t) c")
+def threshold_measures(x: Views) -> DataFrame:
+    """The whole sweep, with balanced F1."""
+    return coverage.threshold_sweep(_classed(x)).select("threshold", "tp", "fp", "fn", "tn", *map(ROUND6, (*SWEPT, "balanced_f1")))
+
+
 def _matrix(x: Views) -> DataFrame:
     words = F.size(F.split("text", " ")).cast("double")
     rows = x.read("labels", "doc_id", "quality").join(x.read("documents"), "doc_id")
@@ -487,6 +538,13 @@ def stratified_folds(x: Views) -> DataFrame:
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))).drop("oa_id")
 
 
+@query()
+def train_grid(x: Views) -> DataFrame:
+    """A grid searched over folds that are oversampled by themselves: the scores of the rows held out."""
+    train, test = model.stratified_split(_matrix(x), 0.2)
+    return model.score(model.train(train, grid={"maxDepth": [2, 4], "maxIter": [5]}, folds=3, oversample=5), test)
+
+
 @query()
 def smote(x: Views) -> DataFrame:
     minority = _matrix(x).withColumn("is_match", 1 - F.col("is_match"))
