@@ -8,12 +8,13 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from grantlink.functions import expressions as ex
 from grantlink.functions import similarity
 from grantlink.functions.similarity import best_scores, jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
-from grantlink.operators import author_year, batching, career, citation, coverage, diversity, grants, model, normalise, pairs, persons
+from grantlink.operators import assemble, author_year, batching, career, citation, coverage, diversity, grants, model, normalise, pairs, persons
 from grantlink.sources import tables
 from grantlink.streaming import landing
 
@@ -137,8 +138,9 @@ def test_affiliations_and_collaborations(spark):
 
 def test_one_to_one(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
-    with pytest.raises(ValueError, match="not one to one"):
-        career.one_to_one(a, spark.createDataFrame([(1,)], "k int"), "k")
+    with pytest.raises(Exception, match="not one to one, left: repeated"):
+        career.one_to_one(a, spark.createDataFrame([(1,)], "k int"), "k").collect()
+    assert values(career.one_to_one(a.limit(1), spark.createDataFrame([(1,), (2,)], "k int"), "k"), "k") == [(1,)]
 
 
 def test_person_grants(spark):
@@ -382,6 +384,72 @@ def test_quotas_are_met_to_the_row(spark):
     assert model.stratified_split(m.limit(0))[0].count() == 0
 
 
+def test_wide_table_keeps_its_promises(spark):
+    basic = spark.createDataFrame([("p", "a", 1), ("q", "b", 2)], "person_id string, author_id string, n_pubs_before int")
+    part = spark.createDataFrame([("a", 0.5)], "author_id string, mean_fwci_before double")
+    seen = Observation()
+    out = assemble.wide_table(basic, part, order=("mean_fwci_before", "missing", "n_pubs_before"), observation=seen)
+    assert out.columns == ["mean_fwci_before", "n_pubs_before"] and sorted(out.collect(), key=repr) == [(0.5, 1), (None, 2)]
+    assert seen.get == {"rows": 2, "rows_part_0": 1}
+    with pytest.raises(Exception, match="part 0: repeated"):
+        assemble.wide_table(basic, part.union(part)).collect()
+
+
+def test_metrics_table_has_the_fixed_columns(spark):
+    works = spark.createDataFrame([(1, 1998, 2.0, 4, [("a", "GB"), ("x", "US")]), (2, 2003, 1.0, 1, [("a", "FR"), ("y", "GB")])], "id long, year int, fwci double, cited_by_count long, authorships array<struct<author_id: string, country: string>>")
+    who = spark.createDataFrame([("a",)], "author_id string")
+    years, collabs = author_year.author_years(author_year.author_papers(works, who, "GB")), author_year.collaborators(works, who)
+    authors = spark.createDataFrame([("a", "p", 10, 20, [("GB",)], [(1998, 2, 6), (2003, 1, 3)], "note")], "id string, gtr_id string, works_count int, cited_by_count int, last_known_institutions array<struct<country: string>>, counts_by_year array<struct<year: int, works_count: int, cited_by_count: int>>, extra string")
+    people = spark.createDataFrame([("p", "2000-05-01", "Ada", ["t"])], "person_id string, earliest_start_date string, first_name string, project_topics array<string>")
+    people = people.withColumn("earliest_start_date", F.to_date("earliest_start_date"))
+    out = assemble.metrics_table(authors, people, years, collabs, "GB")
+    assert out.columns == [c for c in assemble.COLUMNS if c in out.columns] and len(out.columns) > 40
+    r = out.first()
+    assert (r.oa_id, r.gtr_person_id, r.first_name, r.gtr_project_topics, r.last_known_institution_uk, r.citations_per_publication, r.academic_age_at_first_grant) == ("a", "p", "Ada", ["t"], True, 2.0, 2)
+    assert (r.collab_countries_before, r.collab_countries_after, r.collab_countries_list_before, r.mean_citations_before, r.citations_pp_before, r.n_pubs_after) == ({"US": 1}, {}, ["US"], 6.0, 3.0, 1)
+    with pytest.raises(Exception, match="author: repeated"):
+        assemble.metrics_table(authors.union(authors.withColumn("id", F.lit("b"))), people, years, collabs, "GB").collect()
+
+
+def test_disruption_series_of_works(spark):
+    works = spark.createDataFrame([(1, 2000, 2.0, [("a",), ("a",), ("b",)]), (2, 2000, None, [("a",)]), (3, 2000, 1.0, [("a",)])], "id long, year int, fwci double, authorships array<struct<author_id: string>>")
+    di = spark.createDataFrame([(1, 0.5, "valid"), (2, -0.5, "valid")], "focal_id long, disruption_index double, status string")
+    got = values(citation.disruption_series(works, spark.createDataFrame([("a",)], "author_id string"), di), "author_id", "year", "mean_disruption", "weighted_disruption")
+    assert got == [("a", 2000, 0.0, 0.5)]
+
+
+def test_distances_in_tiles(spark, monkeypatch):
+    g = np.random.default_rng(6)
+    rows = [(f"k{n % 40}", g.normal(size=12).tolist()) for n in range(120)]
+    v = spark.createDataFrame(rows, "k string, v array<double>").repartition(3)
+    mean = {k: np.mean([x for n, x in rows if n == k], axis=0) for k, _ in rows}
+    largest = max(np.linalg.norm(a - b) for a in mean.values() for b in mean.values())
+    for tile in (512, 5):
+        monkeypatch.setattr(diversity, "TILE", tile)
+        got = {(r.a, r.b): r.distance for r in diversity.group_distances(v, "k", "v").collect()}
+        assert len(got) == 1600 and got == pytest.approx({(a, b): np.linalg.norm(mean[a] - mean[b]) / largest for a in mean for b in mean})
+    assert diversity.group_distances(v.limit(0), "k", "v").count() == 0
+
+
+def test_batch_encoder_loads_for_batches(spark):
+    def load():
+        return lambda labels: [[len(x), x.count("a")] for x in labels]
+
+    labels = spark.createDataFrame([("s1", "aa"), ("s2", "b"), ("s3", None)], "subfield_id string, label string")
+    got = {(r.a, r.b): r.distance for r in diversity.label_distances(labels, diversity.batch_encoder(load)).collect()}
+    assert got == {("s1", "s1"): 0, ("s2", "s2"): 0, ("s1", "s2"): 1, ("s2", "s1"): 1}
+
+
+def test_stateless_landing_knows_old_ids(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for n, rows in enumerate([[("1", "a"), ("2", "b"), ("1", "c")], [("2", "d"), ("3", "e")], [("1", "f"), ("3", "g"), ("4", "h")]]):
+        spark.createDataFrame(rows, "id string, v string").coalesce(1).write.mode("append").parquet(source)
+        landing.land_stream(spark, source, "id string, v string", out, state, stateless=True).awaitTermination()
+        assert sorted(values(spark.read.parquet(out), "id")) == [(str(i),) for i in range(1, (2, 3, 4)[n] + 1)]
+    assert not (tmp_path / "state" / "state").exists()  # nothing grows but the table
+    assert dict(values(spark.read.parquet(out), "id", "v"))["3"] == "e"
+
+
 def test_streamed_landing(spark, tmp_path):
     df = spark.createDataFrame([("1", "a"), ("2", "b"), ("1", "c")], "id string, v string")
     df.write.parquet(str(tmp_path / "in"))
