@@ -14,6 +14,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from .urls import host_of
 BINS = 1 << 15
 #: The text model is fitted on about so many different labelled texts of each language, chosen by a hash of the text.
 SAMPLE = 2000
+#: Languages that the model may have.
+MOST_LANGUAGES = 200
 #: Weight of a trigram: each byte lies in three.
 TEMPER = 1 / 3
 STRENGTH = 5.0
@@ -54,16 +57,20 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, and log10 probabilities (language, bin), of labelled documents (lang, text). Equal texts of a language
-    count once; a language with fewer than ``sample`` of them is fitted on all."""
+    count once; a language with fewer than ``sample`` of them is fitted on all. More than MOST_LANGUAGES raise, as the model
+    is a table of BINS numbers for each, which every worker holds."""
     labelled = documents.where("lang is not null and text is not null").select("lang", utf8("text").alias("_utf8"))
     hashed = F.xxhash64("_utf8")
-    sizes = labelled.select("lang", hashed.alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = keep(labelled.select("lang", hashed.alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    if sizes.count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     chosen = labelled.join(F.broadcast(sizes), "lang").where(F.pmod(hashed, F.lit(1_000_003)) * F.col("n") < F.lit(sample * 1_000_003))  # a row per language
     chosen = chosen.groupBy("lang", hashed.alias("h")).agg(F.first("_utf8").alias("_utf8")).select("lang", "_utf8")
-    counts = chosen.mapInArrow(_fit, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()  # BINS rows a language
-    langs = sorted(counts["lang"].unique())
+    counts = chosen.mapInArrow(_fit, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()  # BINS rows a language
+    langs = sorted(pc.unique(counts["lang"]).to_pylist())
     n = np.full((len(langs), BINS), 0.5)
-    n[[langs.index(x) for x in counts["lang"]], counts["bin"].to_numpy(np.int64)] += counts["n"].to_numpy(float)
+    own = pc.index_in(counts["lang"], value_set=pa.array(langs, pa.string())).to_numpy()
+    n[own, counts["bin"].to_numpy()] += counts["n"].to_numpy()
     return langs, np.log10(n / n.sum(axis=1, keepdims=True))
 
 

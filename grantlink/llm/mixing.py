@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -25,8 +27,10 @@ BLOCK_ROWS = 16
 #: Blocks of BLOCK_ROWS rows or more in a stream, about; those of sources with fewer rows come on top.
 SLOTS = 1 << 20
 UNIT = 1 << 40
-#: A source of fewer rows than a block gives them all in each block, and more only if it has more blocks than these.
+#: A source of fewer rows than a block gives them all in each block, and more only if it has more blocks than these; with
+#: many sources than its share of SMALL_SLOTS. So a schedule has about SLOTS + SMALL_SLOTS slots at most.
 SMALL_BLOCKS = 4096
+SMALL_SLOTS = 1 << 22
 MOST_SOURCES = 1 << 16
 #: Target weights are the sources' shares to this power, made to sum to one: small sources gain.
 TEMPERATURE = 0.9
@@ -37,7 +41,8 @@ def block_lengths(count: dict[str, int], weights: dict[str, float], block_rows:
     total = math.fsum(weights[s] for s in count)
     stream = max((n * total / weights[s] for s, n in count.items()), default=0)
     block_rows = block_rows or max(BLOCK_ROWS, math.ceil(stream / SLOTS))
-    return {s: min(block_rows, max(n, math.ceil(weights[s] / total * stream / SMALL_BLOCKS))) for s, n in count.items()}
+    blocks = min(SMALL_BLOCKS, SMALL_SLOTS // max(1, len(count)))
+    return {s: min(block_rows, max(n, math.ceil(weights[s] / total * stream / blocks))) for s, n in count.items()}
 
 
 def rates(weights: dict[str, float], lengths: dict[str, int]) -> dict[str, int]:
@@ -52,21 +57,20 @@ def rates(weights: dict[str, float], lengths: dict[str, int]) -> dict[str, int]:
     return out
 
 
-def schedule(rate: dict[str, int], need: dict[str, int]) -> list[tuple[str, int, int, int]]:
-    """Slot by slot, earliest deadline first: (source, block, release, deadline), until each source has given ``need``
+def schedule(rate: dict[str, int], need: dict[str, int]) -> Iterator[tuple[str, int, int, int]]:
+    """Gives slot by slot, earliest deadline first: (source, block, release, deadline), until each source has given ``need``
     blocks."""
     waiting = [(0, s, 0) for s in sorted(rate)]  # release, source, block
     ready: list[tuple[int, str, int, int]] = []  # deadline, source, block, release
-    out, left = [], len(rate)
+    slot, left = 0, len(rate)
     while left:
-        while waiting and waiting[0][0] <= len(out):
+        while waiting and waiting[0][0] <= slot:
             release, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * UNIT // rate[s]), s, j, release))
         deadline, s, j, release = heapq.heappop(ready)
-        out.append((s, j, release, deadline))
-        left -= j + 1 == need[s]
+        yield s, j, release, deadline
+        slot, left = slot + 1, left - (j + 1 == need[s])
         heapq.heappush(waiting, ((j + 1) * UNIT // rate[s], s, j + 1))
-    return out
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
@@ -90,17 +94,19 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
         raise ValueError(f"sources without a weight: {sorted(missing)[:5]}")
     length = block_lengths(count, weights, block_rows)
     rate = rates(weights, length)
-    slots = schedule(rate, {s: -(-n // length[s]) for s, n in count.items()})
-    made = dict.fromkeys(count, 0)
-    for s, *_ in slots:
-        made[s] += 1
+    names = sorted(count)
+    number, slots = {s: i for i, s in enumerate(names)}, array("q")  # four numbers a slot
+    for s, *times in schedule(rate, {s: -(-n // length[s]) for s, n in count.items()}):
+        slots.extend((number[s], *times))
+    slots = np.frombuffer(slots, np.int64).reshape(-1, 4)
+    made = dict(zip(names, np.bincount(slots[:, 0], minlength=len(names)).tolist(), strict=True))
     sizes = spark.createDataFrame([(s, length[s], count[s], made[s] * length[s]) for s in count], "source_key string, length long, n long, stream long")
     ranks = ranked(rows.select("row", "source_key"), ["source_key"], ["row"], sum(count.values())).join(F.broadcast(sizes), "source_key")  # MOST_SOURCES rows
     copies = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("stream") - 1 - F.col("rank")) / F.col("n")))
     stream = ranks.select("row", "source_key", "length", "n", "rank", F.explode(copies).alias("epoch")).withColumn("at", F.col("epoch") * F.col("n") + F.col("rank"))
     stream = stream.select("row", "source_key", "epoch", F.floor(F.col("at") / F.col("length")).alias("block"), (F.col("at") % F.col("length")).alias("place"))
-    names, numbers = [x[0] for x in slots], np.array([x[1:] for x in slots], np.int64).reshape(-1, 3)
-    columns = [pa.array(names, pa.string()), *map(pa.array, numbers.T), pa.array(range(len(slots)), pa.int64())]
+    keys = pa.DictionaryArray.from_arrays(pa.array(slots[:, 0], pa.int32()), pa.array(names, pa.string())).cast(pa.string())
+    columns = [keys, *(pa.array(np.ascontiguousarray(c)) for c in slots[:, 1:].T), pa.array(np.arange(len(slots)))]
     placed = keep(spark.createDataFrame(pa.table(columns, ["source_key", "block", "release", "deadline", "slot"])))
     stream = stream.join(placed, ["source_key", "block"]).drop("source_key")
     return rows.join(stream, "row").drop("row")

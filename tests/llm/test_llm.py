@@ -546,7 +546,7 @@ def test_mixing_keeps_small_sources_small():
     weights = {s: n**mixing.TEMPERATURE for s, n in count.items()}
     length = mixing.block_lengths(count, weights)
     need = {s: -(-n // length[s]) for s, n in count.items()}
-    order = mixing.schedule(mixing.rates(weights, length), need)
+    order = list(mixing.schedule(mixing.rates(weights, length), need))
     made = collections.Counter(x[0] for x in order)
     assert made["one"] * length["one"] <= 8 and len(order) < 1.2 * mixing.SLOTS
     rows = {s: made[s] * length[s] for s in count}
@@ -730,3 +730,18 @@ def test_a_megabyte_that_is_never_closed(spark, piece):
     start = time.perf_counter()
     assert spark.createDataFrame([("http://a.org/", html)], "url string, html string").select(urls.links_of(F.col("url"), F.col("html"))).first()[0] == ["http://a.org/x"]
     assert time.perf_counter() - start < 20
+
+
+def test_many_small_sources_make_a_bounded_schedule():
+    for n, rows in ((10_000, 10**6), (1 << 16, 10**9)):
+        count = {f"s{i}": 1 for i in range(n)} | {"large": rows}
+        weights = dict.fromkeys(count, 1.0)
+        length = mixing.block_lengths(count, weights)
+        stream = rows * (n + 1)
+        assert sum(stream / (n + 1) / length[s] for s in count) < 2 * (mixing.SLOTS + mixing.SMALL_SLOTS)
+
+
+def test_too_many_languages_raise(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.fit(spark.createDataFrame([(x, f"some text in {x}") for x in "abc"], "lang string, text string"))
