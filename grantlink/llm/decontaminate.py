@@ -282,7 +282,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated ones; columns pass through, and no row is shuffled."""
+    """``docs`` without the contaminated ones; columns pass through, and no row is shuffled. Null and empty texts have no
+    words and stay; repeated rows get one verdict; very long texts are searched whole. An empty benchmark, or one of
+    nulls, takes no document away."""
     return judged(find_matches(docs, benchmark)).where(~F.col("contaminated")).select("doc.*")
 
 

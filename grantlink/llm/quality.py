@@ -134,7 +134,9 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 def drop_low_quality(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected ones; columns pass through.
 
-    The statistics are made twice, for the thresholds and for the verdict, so that no text is written or shuffled.
+    The statistics are made twice, for the thresholds and for the verdict, so that no text is written or shuffled. Null
+    and empty texts have no words and go; repeated rows get one verdict, and stay or go together; a null language or
+    source is a group like others; very long texts are read whole. An empty table gives no rows.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
     groups = [F.col("doc.lang").alias("lang"), F.col("doc.source").alias("source")]

@@ -72,7 +72,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", owner: str = "source", rep
     owners or more carry the value) and n_live (fewer owners, and it looks random).
 
     ``owner`` and ``repository`` are SQL expressions over ``docs``; a null one counts as an owner of its own name ''.
-    Null and empty texts have no candidates; repeated rows stay, and add no owners.
+    Null and empty texts have no candidates; repeated rows stay, and add no owners. Very long texts are scanned whole.
+    Columns other than doc_id, the text and those that the expressions name play no part; an empty table gives no rows.
     """
     rows = docs.select("doc_id", F.coalesce(F.expr(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.expr(repository).cast("string"), F.lit("")).alias("repository"), utf8(f"`{text}`").alias("_utf8"))
     scanned = keep(with_row(rows.mapInArrow(_scan, widened(rows, SCAN))))

@@ -107,7 +107,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
     A null text has no bytes, crc32 0, and forms a group of its own. Repeated rows are rows like others, in their
-    group. Empty shards only occur with fewer groups than shards.
+    group. Empty shards only occur with fewer groups than shards. Of a text only its size, CRC-32 and MD5 are kept, so
+    very long ones weigh like others. Other columns play no part; an empty table gives no rows.
     """
     spark = docs.sparkSession
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")

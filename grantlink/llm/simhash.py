@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """Near-duplicate classes of documents: (doc_id, fingerprint, component_id), one row per input row.
 
     Null and empty texts, and texts of white space only, have fingerprint 0 and link like any other. Repeated rows and
-    ties stay separate rows of one class. A null doc_id stays null and never names a class that has another id.
+    ties stay separate rows of one class. A null doc_id stays null and never names a class that has another id. Very long
+    texts are hashed whole, one at a time. Other columns play no part; an empty table gives no rows.
     """
     fps = keep(with_row(fingerprints(docs.select("doc_id", text), text).select("doc.doc_id", "fp")))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
@@ -231,7 +232,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the one of the smallest doc_id. Other columns pass through."""
+    """``docs`` with one row of each near-duplicate class: the one of the smallest doc_id; of repeated rows one stays, and
+    a null doc_id only where its class has no other. Other columns pass through, whatever their names. Nulls, empty and
+    very long texts count as in ``near_duplicates``."""
     kept = keep(with_row(fingerprints(docs, text)))
     fps = kept.select("doc.doc_id", "row", "fp")
     stay = near_groups(fps).select(F.col("first_row").alias("row")).distinct()
