@@ -1,7 +1,11 @@
 """The corpus pipeline: quality rules, near-duplicate removal, benchmark decontamination, mixing and sharding.
 
 Each stage is a function of (spark, docs, sf_dir). Its result is written as Parquet into the shared folder and read
-again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+again as the next stage's ``docs``. All but the last return the columns of ``documents``, and any further ones.
+
+Null and empty texts fail the quality rules, so later stages see none of them in a run; each stage by itself gives them
+the result that its operator states. Repeated rows are near duplicates, of which one stays. Very long texts are handled
+whole by every stage. An empty table runs through all stages and gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -18,12 +22,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays."""
+    """One document of each near-duplicate class stays: that of the smallest doc_id."""
     return simhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a twentieth or more consists of benchmark windows go."""
+    """Documents of whose words a twentieth or more lies in benchmark windows go; those without words stay."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -33,7 +37,7 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sharding_by_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard manifest."""
+    """The shard manifest: a row for each row of the mixed stream, equal texts together."""
     return sharding.shard(docs)
 
 
