@@ -85,12 +85,12 @@ def collaborators(works: DataFrame, matched: DataFrame) -> Collaborations:
 
     People are numbered by the paper with most authors that each is on, so that those of a large paper fill few words,
     and a paper of n authors sends each of them n / 64 rows or little more. Where people are strangers to each other
-    each is a word by itself, as a pair would be. Papers meet their authors by id, so no list of people is held.
+    each is a word by itself, as a pair would be. Papers meet their authors by id, so no list of people is held. ``works``
+    is read twice, so it should be kept where it is dear.
     """
-    each = with_people(works).select("id", "year", F.size("people").alias("n"), F.explode("people").alias("a")).select("id", "year", "n", "a.author_id", "a.country")
-    entries = kept(each)
+    entries = with_people(works).select("id", "year", F.size("people").alias("n"), F.explode("people").alias("a")).select("id", "year", "n", "a.author_id", "a.country")
     homes = entries.groupBy("author_id").agg(F.max(F.struct("n", "id")).alias("home")).select("author_id", "home.n", "home.id")
-    numbers = kept(_numbered(homes, "n", "id"))
+    numbers = _numbered(homes, "n", "id")
     known = numbers.join(matched.select("author_id", F.lit(True).alias("matched")).distinct(), "author_id", "left")
     who = kept(entries.drop("n").join(known, "author_id"))
     word, mask = _place()
@@ -107,7 +107,7 @@ def collaborators(works: DataFrame, matched: DataFrame) -> Collaborations:
 
 def collaborations_of(rows: DataFrame) -> Collaborations:
     """The same from rows (author_id, year, collab_id, country)."""
-    numbers = kept(_numbered(rows.select(F.col("collab_id").alias("author_id")).distinct()))
+    numbers = _numbered(rows.select(F.col("collab_id").alias("author_id")).distinct())
     word, mask = _place()
     each = rows.join(numbers.withColumnRenamed("author_id", "collab_id"), "collab_id").select("author_id", "year", word.alias("word"), mask.alias("mask"))
     return Collaborations(each.groupBy("author_id", "year", "word").agg(F.bit_or("mask").alias("mask")), rows.select("author_id", "year", "country").distinct(), numbers)
