@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import assemble, career, coverage, diversity, features, grants, model, normalise, pairs
+from ..operators import assemble, career, citation, coverage, diversity, features, grants, model, normalise, pairs
 from ..streaming.landing import land_stream
 from . import views as v
 from .queries import BLOCKED, CLASSED, ORACLE_SQL, ROUND6, SCORED, _blocked, _classed, _collabs, _half_even, _scored, _years, query, topic_diversity
@@ -237,10 +237,13 @@ def author_year_publications(x: Views) -> DataFrame:
     return diversity.author_year_publications(x.author_subfields())
 
 
+def _rounded(c: str, places: int) -> str:
+    return _half_even(c).replace("* 1000", f"* {10**places}").replace("* 500", f"* {10**places // 2}").replace("/ 1000", f"/ {10**places}").replace(", 3)", f", {places})")
+
+
 def _means(series: str, places: int, *columns: str) -> str:
     """SQL of before and after means of values rounded first."""
-    rounded = lambda c: _half_even(c).replace("* 1000", f"* {10**places}").replace("* 500", f"* {10**places // 2}").replace("/ 1000", f"/ {10**places}").replace(", 3)", f", {places})")
-    rows = f"SELECT author_id, year, {', '.join(f'{rounded(c)} AS {c}' for c in columns)} FROM ({series}) q"
+    rows = f"SELECT author_id, year, {', '.join(f'{_rounded(c, places)} AS {c}' for c in columns)} FROM ({series}) q"
     each = [f"{_half_even(f'avg({c}) FILTER (WHERE year {op} ref_year)')} AS {c}_{s}" for c in columns for s, op in (("before", "<"), ("after", ">="))]
     return f"{with_(v.REFS)} SELECT r.author_id, r.ref_year, {', '.join(f'{c}_{s}' for c in columns for s in ('before', 'after'))} FROM refs r LEFT JOIN (SELECT s.author_id, {', '.join(each)} FROM ({rows}) s JOIN refs USING (author_id) GROUP BY s.author_id) t ON t.author_id = r.author_id"
 
@@ -262,6 +265,18 @@ def label_distance(x: Views) -> DataFrame:
     return diversity.label_distances(labels, letters).select("a", "b", ROUND6("distance"))
 
 
+PART_WORKS = "w AS (SELECT l_partkey AS id, CAST(year(min(l_shipdate)) AS INTEGER) AS year, min(p_retailprice) / 1000 AS fwci FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_partkey), a AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS author_id FROM lineitem)"
+
+
+@query(with_(v.DISRUPTION, PART_WORKS) + f"SELECT author_id, year, {_rounded('m', 2)} AS mean_disruption, {_rounded('q', 2)} AS weighted_disruption FROM (SELECT author_id, year, avg(d) AS m, sum(d * fwci) / sum(fwci) AS q FROM a JOIN w USING (id) JOIN (SELECT focal_id AS id, (n_f - n_b) / (n_f + n_b) AS d FROM di WHERE n_f + n_b > 0) t USING (id) GROUP BY author_id, year) y")
+def disruption_series(x: Views) -> DataFrame:
+    """Parts as works, with the suppliers that deliver them as authors: their yearly series, in one library call."""
+    lines = x.read("lineitem", "l_partkey", "l_suppkey", "l_shipdate").join(x.read("part", "p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    people = F.transform(F.collect_set("l_suppkey"), lambda s: F.struct(s.alias("author_id")))
+    works = lines.groupBy(F.col("l_partkey").alias("id")).agg(F.year(F.min("l_shipdate")).alias("year"), (F.min("p_retailprice") / 1000).alias("fwci"), people.alias("authorships"))
+    return citation.disruption_series(works, x.matched(), citation.disruption(x.focal(), x.citing()))
+
+
 @query(DISRUPTION_MEANS)
 def disruption_before_after(x: Views) -> DataFrame:
     columns = ("mean_disruption", "weighted_disruption")
