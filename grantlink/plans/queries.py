@@ -515,9 +515,11 @@ def threshold_measures(x: Views) -> DataFrame:
 
 
 def _matrix(x: Views) -> DataFrame:
+    """Labelled documents by three features, which are made before the join, so that no text is shuffled."""
     words = F.size(F.split("text", " ")).cast("double")
-    rows = x.read("labels", "doc_id", "quality").join(x.read("documents"), "doc_id")
-    return rows.select(F.col("doc_id").cast("string").alias("gtr_id"), F.col("doc_id").cast("string").alias("oa_id"), F.col("quality").alias("is_match"), F.log1p("n_chars").alias("length"), (F.col("n_chars") / words).alias("word"), (F.regexp_count("text", F.lit("[#*$%&|<>]")) / words).alias("symbols"))
+    made = x.read("documents", "doc_id", "text", "n_chars").select("doc_id", F.log1p("n_chars").alias("length"), (F.col("n_chars") / words).alias("word"), (F.regexp_count("text", F.lit("[#*$%&|<>]")) / words).alias("symbols"))
+    rows = x.read("labels", "doc_id", "quality").join(made, "doc_id")
+    return rows.select(F.col("doc_id").cast("string").alias("gtr_id"), F.col("doc_id").cast("string").alias("oa_id"), F.col("quality").alias("is_match"), "length", "word", "symbols")
 
 
 @query()
@@ -548,7 +550,7 @@ def train_grid(x: Views) -> DataFrame:
 @query()
 def smote(x: Views) -> DataFrame:
     minority = _matrix(x).withColumn("is_match", 1 - F.col("is_match"))
-    return model.smote(model.filled(minority))
+    return model.smote(x.kept(model.filled(minority)))
 
 
 @query("SELECT min(doc_id) AS id, count(*) AS n, md5(text) AS key FROM documents GROUP BY text")
