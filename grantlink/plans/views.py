@@ -67,11 +67,13 @@ class Views:
         """Orders cite their parts."""
         return self.read("lineitem", "l_orderkey", "l_partkey").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("referenced_works"))
 
-    def focal(self) -> DataFrame:
-        """Parts refer to the parts of their size and type."""
-        parts = self.read("part", "p_partkey", "p_size", "p_type")
-        same = parts.groupBy("p_size", "p_type").agg(F.collect_set("p_partkey").alias("all"))
-        return parts.join(same, ["p_size", "p_type"]).select(F.col("p_partkey").alias("id"), F.filter("all", lambda x: x != F.col("p_partkey")).alias("referenced_works"))
+    def citations(self) -> DataFrame:
+        """Rows (id, ref) of ``citing``, which may repeat."""
+        return self.read("lineitem", F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("ref"))
+
+    def groups(self) -> DataFrame:
+        """Parts refer to all other parts of their size and type: a class is a group (id, group)."""
+        return self.read("part", "p_partkey", "p_size", "p_type").where("p_size is not null and p_type is not null").select(F.col("p_partkey").alias("id"), F.struct("p_size", "p_type").alias("group"))
 
 
 AUTHORSHIPS = "auth AS (SELECT DISTINCT l_orderkey AS id, l_suppkey AS author_id, n_name AS country FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"

@@ -202,6 +202,28 @@ def test_disruption_against_sets(spark):
         assert got[k] == (sum(not own & v for v in fans), sum(bool(own & v) for v in fans))
 
 
+def test_disruption_of_groups(spark):
+    g = random.Random(11)
+    groups = {(n, n % 7) for n in range(60)} | {(n, 7 + n % 5) for n in range(0, 60, 3)} | {(90, 50)}  # some works are in two groups, 90 is alone
+    refs = {n: {m for k, c in groups if k == n for m, d in groups if c == d and m != n} for n, _ in groups}
+    edges = [(500 + n, r) for n in range(300) for r in {*g.sample(range(95), g.choice([1, 2, 4])), g.choice([0, 90])}]
+    cited = spark.createDataFrame([*edges, *edges[:50], (None, 3), (7, None)], "id long, ref long")
+    known = spark.createDataFrame([*groups, (None, 1), (91, None)], "id long, group int")
+    lists = spark.createDataFrame([(k, sorted(v)) for k, v in refs.items()], "id long, referenced_works array<long>")
+    works = spark.createDataFrame(edges, "id long, ref long").groupBy("id").agg(F.collect_set("ref").alias("referenced_works"))
+    columns = ("focal_id", "n_f", "n_b", "status")
+    want = sorted(values(citation.disruption(lists, works), *columns))
+    assert sorted(values(citation.group_disruption(known, cited), *columns)) == want
+    assert sorted(values(citation.group_disruption(known, cited, spark.createDataFrame([(4,), (90,), (4,)], "id long")), *columns)) == [r for r in want if r[0] == 4]
+
+
+def test_references_of_a_group_are_not_made(spark):
+    """20,000 works of one group refer to 4 * 10^8 works: rows of that number are not made."""
+    one = spark.range(20_000).select("id", F.lit(1).alias("group"))
+    cited = spark.range(40_000).select(F.expr("id div 2").alias("id"), (F.col("id") % 20_000).alias("ref"))
+    assert citation.group_disruption(one, cited).agg(F.count("*"), F.sum("n_f"), F.sum("n_b")).first() == (20_000, 0, 40_000)
+
+
 def test_decay_in_the_row(spark):
     g = random.Random(2)
     rows = sorted({(a, y, s): g.randint(1, 9) for a in range(5) for y in g.sample(range(1990, 2010), 6) for s in g.sample("abcde", 3)}.items())
