@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from grantlink.functions import expressions as ex
 from grantlink.functions import similarity
 from grantlink.functions.similarity import best_scores, jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
-from grantlink.operators import assemble, author_year, batching, career, citation, coverage, diversity, grants, model, normalise, pairs, persons
+from grantlink.operators import assemble, author_year, batching, career, citation, coverage, diversity, features, grants, model, normalise, pairs, persons, skew
 from grantlink.sources import tables
 from grantlink.streaming import landing
 
@@ -224,6 +224,83 @@ def test_references_of_a_group_are_not_made(spark):
     assert citation.group_disruption(one, cited).agg(F.count("*"), F.sum("n_f"), F.sum("n_b")).first() == (20_000, 0, 40_000)
 
 
+def test_tiled_join(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PAIRS", 10_000)
+    left = spark.range(700).select(F.col("id").alias("a"), F.when(F.col("id") < 600, 1).when(F.col("id") < 690, F.col("id") % 9).alias("k"))
+    right = spark.range(600).select(F.col("id").alias("b"), F.when(F.col("id") < 500, 1).when(F.col("id") < 590, F.col("id") % 11).alias("k"))
+    got = skew.tiled_join(left, right, "k", "a", "b")
+    assert got.exceptAll(left.join(right, "k").select(got.columns)).count() == 0 and got.count() == left.join(right, "k").count()
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 40_000  # one key has 300,000 pairs
+    assert skew.tiled_join(left.where("a < 0"), right, "k", "a", "b").count() == 0
+
+
+def test_pairs_are_not_shuffled(spark):
+    """Only the sides travel: above the join that makes the pairs there is no exchange."""
+    from grantlink.plans import linkage
+    from grantlink.plans.views import Views
+
+    for f in (linkage.name_features, linkage.institution_features, linkage.metadata_features, linkage.feature_matrix):
+        plan = f(Views(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+
+
+def test_labels_by_classes_of_candidates(spark):
+    g = random.Random(4)
+    people = spark.createDataFrame([(i, f"N{i % 3}", "X", i % 9 if i % 2 else None) for i in range(60)], "person_id long, first_name string, surname string, orcid_gtr long")
+    rows = [(100 + i, g.choice(["a", "b", None]), f"N{i % 4}, X.", g.choice([None, *range(9)]), g.choice([None, 1, 2]), 1, g.choice([None, [], ["u"], ["v", "u"]])) for i in range(200)]
+    candidates = spark.createDataFrame(rows, "id long, display_name string, gtr_author_name string, orcid long, works_count int, cited_by_count int, institution_names array<string>")
+    want = pairs.label_pairs(pairs.blocking_pairs(people, candidates))
+    got = pairs.labelled_pairs(people, candidates).select(want.columns)
+    assert got.count() == want.count() > 100 and got.exceptAll(want).count() == 0 and got.where("is_match = 1").count() > 5
+    few = candidates.where("gtr_author_name <> 'N1, X.' or orcid is null")  # a block without a positive
+    want = pairs.labelled_blocks(pairs.label_pairs(pairs.blocking_pairs(people, few)))
+    got = pairs.labelled_pairs(people, few, positive_blocks=True).select(want.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() < pairs.labelled_pairs(people, few).count()
+
+
+def test_best_names_compare_names_not_authors(spark):
+    authors = spark.range(3000).select(F.col("id"), F.concat(F.lit("Ann "), F.col("id") % 3).alias("display_name"), (F.col("id") % 2).cast("int").alias("batch"))
+    names = spark.createDataFrame([(0, "Ann 1"), (0, "Ann 2"), (1, "Bo")], "batch int, name string")
+    out = pairs.best_names(authors, names)
+    assert out.columns == ["id", "display_name", "batch", "gtr_author_name", "name_match_score"] and out.count() == 3000
+    assert out.where("batch = 0 and display_name = 'Ann 2' and gtr_author_name = 'Ann 2' and name_match_score = 1").count() == 500
+    assert out.where("batch = 0 and display_name = 'Ann 0'").select("gtr_author_name").distinct().collect()[0][0] == "Ann 1"
+
+
+def test_project_authors_are_counted_in_the_row(spark):
+    outputs = spark.createDataFrame([("p", "10.1/a"), ("p", "https://doi.org/10.1/a"), ("p", "10.1/b"), ("q", "10.1/c"), ("q", None), ("r", "10.1/d")], "project_id string, doi string")
+    works = spark.createDataFrame([("A", "10.1/a", [("x",), ("y",), ("x",)]), ("B", "10.1/b", [("y",), (None,)]), ("C", "10.1/c", []), ("D", "10.1/d", None)], "id string, doi string, authorships array<struct<author_id string>>")
+    got = lambda **k: {r[0]: (r[1], r[2] and [tuple(a) for a in r[2]]) for r in persons.project_authors(outputs, works, **k).collect()}
+    assert got() == {"p": (["A", "A", "B"], [(None, 1), ("x", 4), ("y", 3)]), "q": (["C"], None), "r": (["D"], None)}
+    assert got(distinct_papers=True) == {"p": (["A", "A", "B"], [(None, 1), ("x", 1), ("y", 2)]), "q": (["C"], None), "r": (["D"], None)}
+    plan = persons.project_authors(outputs, works)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan
+
+
+def test_topics_of_a_batch(spark, monkeypatch):
+    g = random.Random(6)
+    some = lambda: g.choice([None, {}, {g.choice("abcdefgh"): g.randint(0, 9) for _ in range(6)}])
+    rows = [(i, *(some() for _ in range(8))) for i in range(300)]
+    levels = features.LEVELS
+    maps = spark.createDataFrame(rows, "person_id long, " + ", ".join(f"{s}_{x} map<string,bigint>" for x in levels for s in ("person", "candidate"))).withColumn("oa_id", F.col("person_id"))
+    got = features.topic_features(maps)
+    want = maps.select("person_id", "oa_id", *[c.alias(f"{x}_{n}") for x in levels for n, c in ex.topic_similarity(F.col(f"person_{x}"), F.col(f"candidate_{x}")).items()])
+    for a, b in zip(got.orderBy("oa_id").collect(), want.orderBy("oa_id").collect(), strict=True):
+        assert tuple(a) == pytest.approx(tuple(b), abs=1e-9)
+
+
+def test_institutions_are_scored_by_class(spark):
+    places = ["Uni A", "Uni B", None]
+    people = spark.createDataFrame([(i, i % 2, places[i % 3]) for i in range(40)], "person_id long, k int, organisation_name string")
+    lists = [(["Uni A", "Lab"], None), (["Uni B"], ["Uni C"]), ([], ["Uni A"]), (None, [])]
+    rows = [(i, i % 2, *lists[i % 4], True, 0.5, False) for i in range(40)]
+    candidates = spark.createDataFrame(rows, "oa_id long, k int, institution_names array<string>, associated_institution_names array<string>, has_home_affiliation boolean, home_affiliation_proportion double, has_home_associated boolean")
+    met = people.join(candidates, "k")
+    want, got = features.institution_features(met), features.institution_features(features.with_institution_scores(met, people, candidates, "k"))
+    assert got.count() == want.count() == 800 and got.exceptAll(want).count() == 0 and got.where("inst_jw_max > 0.9").count() > 0
+
+
 def test_decay_in_the_row(spark):
     g = random.Random(2)
     rows = sorted({(a, y, s): g.randint(1, 9) for a in range(5) for y in g.sample(range(1990, 2010), 6) for s in g.sample("abcde", 3)}.items())
