@@ -13,6 +13,16 @@ SHARE = 256
 SPREAD = 64
 
 
+#: Rows that a task sorts or hashes at once: some 100 MB.
+ROWS = 250_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """So many tasks that each has about ROWS of ``rows``, which should be cheap to count. Partitions sized by bytes hold
+    millions of narrow, well compressed rows, whose sorts and hash tables take gigabytes; a given number is kept."""
+    return max(rows.count() // ROWS + 1, rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """The keys that have more than one in SHARE rows: at most SHARE - 1, so they can be broadcast."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

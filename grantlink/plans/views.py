@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import tasks_for
 from ..sources.tables import kept, shared_folder, table
 
 HOME = "NATION_3"
@@ -61,6 +62,8 @@ class Views:
         """(author_id, id, year, subfield): one row per line item."""
         lines = self.read("lineitem", "l_orderkey", "l_partkey", "l_suppkey").join(self.read("part", "p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         years = self.read("orders", "o_orderkey", "o_orderdate").select("o_orderkey", F.year("o_orderdate").alias("year"))
+        tasks = tasks_for(self.read("lineitem"))
+        lines, years = lines.repartition(tasks, "l_orderkey"), years.repartition(tasks, "o_orderkey")
         return lines.join(years, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_suppkey").alias("author_id"), F.col("l_orderkey").alias("id"), "year", F.col("p_brand").alias("subfield"))
 
     def citing(self) -> DataFrame:

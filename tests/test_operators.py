@@ -301,6 +301,17 @@ def test_institutions_are_scored_by_class(spark):
     assert got.count() == want.count() == 800 and got.exceptAll(want).count() == 0 and got.where("inst_jw_max > 0.9").count() > 0
 
 
+def test_tasks_grow_with_rows(spark, monkeypatch):
+    from grantlink.plans.views import Views
+
+    few = skew.tasks_for(spark.range(10))
+    monkeypatch.setattr(skew, "ROWS", 200)
+    assert skew.tasks_for(spark.range(10_000)) == 51 > few
+    plan = Views(spark, "/root/testdata/sf0.001").author_subfields()._jdf.queryExecution().optimizedPlan().toString()
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert "RepartitionByExpression [l_orderkey" in plan and str(lines // 200 + 1) in plan
+
+
 def test_decay_in_the_row(spark):
     g = random.Random(2)
     rows = sorted({(a, y, s): g.randint(1, 9) for a in range(5) for y in g.sample(range(1990, 2010), 6) for s in g.sample("abcde", 3)}.items())
