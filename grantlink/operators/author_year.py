@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept
+from .skew import ROWS, TASKS
 
 
 def _kinds(country: Column, home: str) -> dict[str, Column]:
@@ -16,12 +17,20 @@ def _kinds(country: Column, home: str) -> dict[str, Column]:
 
 def with_people(works: DataFrame) -> DataFrame:
     """Adds people[author_id, pos, country]: the first entry of each author on a paper, by author_id. Entries are sorted
-    in the row, so nothing is shuffled."""
+    in the row, so nothing is shuffled; they are searched for repeated authors only where there are some. Works that have
+    their people stay as they are."""
+    if "people" in works.columns:
+        return works
     entries = F.transform("authorships", lambda a, i: F.struct(a["author_id"].alias("author_id"), i.alias("pos"), a["country"].alias("country")))
-    known = F.array_sort(F.filter(entries, lambda a: a["author_id"].isNotNull()))
+    known = F.sort_array(F.filter(entries, lambda a: a["author_id"].isNotNull()))
     # bound to a name, the sorted array is made once
     first = F.transform(F.array(known), lambda s: F.filter(s, lambda a, i: (i == 0) | (F.get(s, i - 1)["author_id"] != a["author_id"])))
-    return works.withColumn("people", F.coalesce(F.get(first, F.lit(0)), F.array().cast(works.select(known).schema[0].dataType)))
+    ids, size = F.col("authorships.author_id"), F.size("authorships")
+    kind, kinds = (works.select(c).schema[0].dataType.simpleString() for c in (known, ids))
+    # most works repeat no author and lack none; a lambda for each entry takes longer than all else
+    plain = (size > 0) & (F.size(F.array_except(ids, F.array(F.lit(None)).cast(kinds))) == size)
+    whole = F.sort_array(F.arrays_zip(ids, F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), F.col("authorships.country")).cast(kind))
+    return works.withColumn("people", F.when(plain, whole).otherwise(F.coalesce(F.get(first, F.lit(0)), F.array().cast(kind))))
 
 
 def author_papers(works: DataFrame, matched: DataFrame, home: str) -> DataFrame:
@@ -64,6 +73,8 @@ class Collaborations:
 
 
 WORD = 64
+#: Rows of one author and word or country that a task unites at once: some 100 MB where all differ.
+PAIRS = 1_000_000
 
 
 def _numbered(people: DataFrame, *order: str) -> DataFrame:
@@ -85,24 +96,29 @@ def collaborators(works: DataFrame, matched: DataFrame) -> Collaborations:
 
     People are numbered by the paper with most authors that each is on, so that those of a large paper fill few words,
     and a paper of n authors sends each of them n / 64 rows or little more. Where people are strangers to each other
-    each is a word by itself, as a pair would be. Papers meet their authors by id, so no list of people is held. ``works``
-    is read twice, so it should be kept where it is dear.
+    each is a word by itself, as a pair would be. Papers meet their authors by id, so no list of people is held; their
+    words and their countries meet them in one join, whose rows are united in one aggregate and kept. Tasks grow with the
+    entries, and with the pairs that they could make. ``works`` is read three times, so it should be kept where it is dear.
     """
-    entries = with_people(works).select("id", "year", F.size("people").alias("n"), F.explode("people").alias("a")).select("id", "year", "n", "a.author_id", "a.country")
+    works = with_people(works).select("id", "year", "people")
+    size = works.select(F.size("people").cast("double").alias("n")).agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+    least = works.sparkSession.sparkContext.defaultParallelism
+    tasks, wide = (max(least, min(TASKS, int(n or 0) // rows + 1)) for n, rows in zip(size, (ROWS, PAIRS), strict=True))
+    entries = works.select("id", "year", F.size("people").alias("n"), F.explode("people").alias("a")).select("id", "year", "n", "a.author_id", "a.country")
     homes = entries.groupBy("author_id").agg(F.max(F.struct("n", "id")).alias("home")).select("author_id", "home.n", "home.id")
     numbers = _numbered(homes, "n", "id")
     known = numbers.join(matched.select("author_id", F.lit(True).alias("matched")).distinct(), "author_id", "left")
     who = kept(entries.drop("n").join(known, "author_id"))
     word, mask = _place()
-    papers = who.where("country is not null").select("id", word.alias("word"), mask.alias("mask")).repartition("id").groupBy("id", "word").agg(F.bit_or("mask").alias("mask"))
-    own = who.where("matched").select("id", "year", "author_id", "country", word.alias("own_word"), mask.alias("own_mask")).repartition("id")
+    none, no_place = F.lit(0).cast("bigint"), F.lit(None).cast("string")
+    each = F.explode(F.array(F.struct(word.alias("word"), mask.alias("mask"), no_place.alias("country")), F.struct(F.lit(None).cast("bigint").alias("word"), none.alias("mask"), F.col("country").cast("string").alias("country"))))
+    held = who.where("country is not null").select("id", each.alias("h")).select("id", "h.*").repartition(tasks, "id").groupBy("id", "word", "country").agg(F.bit_or("mask").alias("mask"), F.count(F.lit(1)).alias("n"))
+    own = who.where("matched").select("id", "year", "author_id", F.col("country").alias("own"), word.alias("own_word"), mask.alias("own_mask")).repartition(tasks, "id")
     others = F.when(F.col("word") == F.col("own_word"), F.col("mask").bitwiseAND(F.bitwise_not("own_mask"))).otherwise(F.col("mask"))
-    met = own.join(papers, "id").select("author_id", "year", "word", others.alias("mask")).where("mask <> 0")
-    sets = met.groupBy("author_id", "year", "word").agg(F.bit_or("mask").alias("mask"))
-    places = who.where("country is not null").select("id", "country").repartition("id").groupBy("id", "country").agg(F.count(F.lit(1)).alias("n"))
     alone = F.coalesce(F.col("own") == F.col("country"), F.lit(False)) & (F.col("n") == 1)
-    countries = own.withColumnRenamed("country", "own").join(places, "id").where(~alone).select("author_id", "year", "country").distinct()
-    return Collaborations(sets, countries, numbers)
+    met = own.join(held, "id").select("author_id", "year", "word", others.alias("mask"), "country", alone.alias("alone")).where("mask <> 0 or country is not null and not alone").drop("alone")
+    met = kept(met.repartition(wide, "author_id", "year").groupBy("author_id", "year", "word", "country").agg(F.bit_or("mask").alias("mask")))
+    return Collaborations(met.where("word is not null").select("author_id", "year", "word", "mask"), met.where("country is not null").select("author_id", "year", "country"), numbers)
 
 
 def collaborations_of(rows: DataFrame) -> Collaborations:
@@ -114,10 +130,14 @@ def collaborations_of(rows: DataFrame) -> Collaborations:
 
 
 def author_years(papers: DataFrame) -> DataFrame:
-    """Author-years of ``author_papers``."""
+    """Author-years of ``author_papers``. Papers are summed by their countries first, so that sets are made of few rows."""
+    keys = ["author_id", "year"]
+    columns = [f"n_{w}_{k}" for w in ("affils", "collab") for k in ("uk", "abroad", "unknown")]
+    sums = [F.sum(c).alias(c) for c in columns]
+    each = papers.groupBy(*keys, "affiliation_countries").agg(*sums, F.sum("fwci").alias("fwci"), F.count("fwci").alias("n_fwci"), F.sum("cited_by_count").alias("cited_by_count"), F.count(F.lit(1)).alias("n_pubs"))
     countries = F.array_sort(F.array_distinct(F.flatten(F.collect_set("affiliation_countries"))))
-    sums = [F.sum(f"n_{w}_{k}").alias(f"n_{w}_{k}") for w in ("affils", "collab") for k in ("uk", "abroad", "unknown")]
-    return papers.groupBy("author_id", "year").agg(countries.alias("affiliation_countries"), *sums, F.avg("fwci").alias("fwci"), F.sum("cited_by_count").alias("cited_by_count"), F.count(F.lit(1)).alias("n_pubs"))
+    total = lambda c: F.sum(c).alias(c)
+    return each.groupBy(*keys).agg(countries.alias("affiliation_countries"), *sums, F.try_divide(F.sum("fwci"), F.sum("n_fwci")).alias("fwci"), total("cited_by_count"), total("n_pubs"))
 
 
 def with_collaborators(years: DataFrame, collabs: Collaborations) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.author_year import with_people
 from ..operators.skew import tasks_for
 from ..sources.tables import kept, shared_folder, table
 
@@ -14,7 +15,7 @@ HOME = "NATION_3"
 
 class Views:
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.works_ = spark, folder, None
+        self.spark, self.folder, self.works_, self.matched_ = spark, folder, None, None
 
     def read(self, name: str, *columns: str) -> DataFrame:
         return table(self.spark, self.folder, name, *columns)
@@ -27,27 +28,31 @@ class Views:
 
     def authorships(self) -> DataFrame:
         """(id, author_id, country)."""
-        lines = self.read("lineitem", "l_orderkey", "l_suppkey").distinct()
+        lines = self.read("lineitem", "l_orderkey", "l_suppkey").repartition(tasks_for(self.read("lineitem")), "l_orderkey").distinct()
         places = self.read("supplier", "s_suppkey", "s_nationkey").join(self.read("nation", "n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
         return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("author_id"), F.col("n_name").alias("country"))
 
     def works(self) -> DataFrame:
         """id, year, fwci, cited_by_count, authorships[]."""
-        orders = self.read("orders", "o_orderkey", "o_orderdate", "o_totalprice").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year"), (F.col("o_totalprice") / 100000).alias("fwci"))
-        cited = self.read("lineitem", "l_orderkey", "l_quantity").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_quantity").cast("bigint").alias("cited_by_count"))
-        people = self.authorships().groupBy("id").agg(F.array_sort(F.collect_list(F.struct("author_id", "country"))).alias("authorships"))
+        tasks = tasks_for(self.read("lineitem"))
+        orders = self.read("orders", "o_orderkey", "o_orderdate", "o_totalprice").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year"), (F.col("o_totalprice") / 100000).alias("fwci")).repartition(tasks, "id")
+        cited = self.read("lineitem", F.col("l_orderkey").alias("id"), "l_quantity").repartition(tasks, "id").groupBy("id").agg(F.sum("l_quantity").cast("bigint").alias("cited_by_count"))
+        people = self.authorships().repartition(tasks, "id").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("author_id", "country"))).alias("authorships"))
         return orders.join(cited, "id").join(people, "id")
 
     def kept_works(self) -> DataFrame:
-        """``works``, made once for a query."""
+        """``works`` with their people instead of authorships, made once for a query."""
         if self.works_ is None:
-            self.works_ = kept(self.works())
+            self.works_ = kept(with_people(self.works()).drop("authorships"))
         return self.works_
 
     def matched(self) -> DataFrame:
-        """Suppliers whose orders have customers."""
-        ordered = self.read("lineitem", "l_orderkey", "l_suppkey").join(self.read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return ordered.where("o_custkey is not null").select(F.col("l_suppkey").alias("author_id")).distinct()
+        """Suppliers whose orders have customers, found once for a query."""
+        if self.matched_ is None:
+            tasks = tasks_for(self.read("lineitem"))
+            lines, orders = self.read("lineitem", "l_orderkey", "l_suppkey").repartition(tasks, "l_orderkey"), self.read("orders", "o_orderkey", "o_custkey").where("o_custkey is not null").repartition(tasks, "o_orderkey")
+            self.matched_ = kept(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_suppkey").alias("author_id")).where("author_id is not null").distinct())
+        return self.matched_
 
     def refs(self) -> DataFrame:
         """Each matched author's person, with the year of the first grant."""

@@ -15,6 +15,7 @@ from grantlink.functions import expressions as ex
 from grantlink.functions import similarity
 from grantlink.functions.similarity import best_scores, jaro_winkler, jaro_winklers, name_scores, sequence_ratio, token_set_ratio, token_set_ratios
 from grantlink.operators import assemble, author_year, batching, career, citation, coverage, diversity, features, grants, model, normalise, pairs, persons, skew
+from grantlink.plans.views import Views
 from grantlink.sources import tables
 from grantlink.streaming import landing
 
@@ -688,3 +689,23 @@ def test_best_scores_of_rows(spark):
     got = [r.s for r in spark.createDataFrame(rows, "n string, o array<string>").coalesce(1).select(best_scores("n", "o").alias("s")).collect()]
     assert (got[0].token, got[1].jw) == (1.0, jaro_winkler("abc", "abd")) and [(r.jw, r.token) for r in got[2:5]] == [(None, None)] * 3
     assert (got[5].jw, got[5].token) == (1.0, 0.0)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_collaborations_are_kept_and_people_are_made_once(spark):
+    works = spark.createDataFrame([(1, 2000, [("a", "US"), ("b", "US"), ("c", None)]), (2, 2001, [("c", "GB"), ("a", "FR"), (None, "GB"), ("c", "US")]), (3, 2001, [])], "id long, year int, authorships array<struct<author_id: string, country: string>>")
+    people = author_year.with_people(works)
+    assert author_year.with_people(people) is people  # works that have their people are not searched again
+    got = {r.id: [tuple(p) for p in r.people] for r in people.collect()}
+    assert got == {1: [("a", 0, "US"), ("b", 1, "US"), ("c", 2, None)], 2: [("a", 1, "FR"), ("c", 0, "GB")], 3: []}
+    collabs = author_year.collaborators(people.drop("authorships"), spark.createDataFrame([("a",)], "author_id string"))
+    assert not any(word in _plan(df) for df in (collabs.sets, collabs.countries) for word in ("Exchange", "Join"))
+    assert sorted(values(collabs.ids(), "year", "collab_id")) == [(2000, "b"), (2001, "c")] and sorted(values(collabs.countries, "year", "country")) == [(2000, "US"), (2001, "GB")]
+
+
+def test_tables_that_several_steps_use_are_made_once(spark):
+    x = Views(spark, "/root/testdata/sf0.001")
+    assert x.matched() is x.matched() and "Join" not in _plan(x.refs())
