@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .career import KEYS, basic_metrics, collaboration_country_years, counts_by_year, home_institution, publication_counts, unique_by
+from ..sources.tables import kept
 from .author_year import Collaborations
 
 #: The columns of the metrics table, by theme, in their order.
@@ -61,7 +62,7 @@ def metrics_table(authors: DataFrame, persons: DataFrame, years: DataFrame, coll
     own = home_institution(authors.dropDuplicates(["id", "gtr_id"]), home).withColumnRenamed("gtr_id", "person_id")
     own = unique_by(own.withColumn("citations_per_publication", F.try_divide("cited_by_count", "works_count")), ["person_id"], "author")
     merged = own.join(unique_by(persons, ["person_id"], "person"), "person_id")
-    refs = merged.select("person_id", F.col("id").alias("author_id"), F.year("earliest_start_date").alias("ref_year"))
+    refs = kept(merged.select("person_id", F.col("id").alias("author_id"), F.year("earliest_start_date").alias("ref_year")))
     out = basic_metrics(refs, years, collabs, home)
     series = authors.select(F.col("id").alias("author_id"), F.explode("counts_by_year").alias("c")).select("author_id", "c.year", F.col("c.works_count").alias("n_pubs"), F.col("c.cited_by_count").alias("cited_by"))
     counted = years.select("author_id", "year", "n_pubs", F.col("cited_by_count").alias("cited_by"))
