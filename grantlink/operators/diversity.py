@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import decay
 from ..sources.tables import kept
+from .skew import tasks_for
 
 
 def subfield_frequencies(rows: DataFrame) -> DataFrame:
@@ -40,9 +41,11 @@ def decayed_frequencies(freq: DataFrame, alpha: float = 1.0, past_only: bool = F
 
     A convolution in the row: a subfield's yearly counts of an author are an array, and each of the author's years sums
     them with its weights. Rows are dealt by author once; both aggregates and their join stay there, and so does what
-    groups the result by author and year. An array holds at most an author's years.
+    groups the result by author and year. An array holds at most an author's years. ``freq`` is kept, so that it can be
+    counted: tasks grow with it, as small bytes unfold into many rows.
     """
-    dealt = freq.select("author_id", "year", "subfield", "freq").repartition("author_id")
+    freq = kept(freq.select("author_id", "year", "subfield", "freq"))
+    dealt = freq.repartition(tasks_for(freq), "author_id")
     years = dealt.groupBy("author_id").agg(F.array_sort(F.collect_set("year")).alias("years"))
     series = dealt.groupBy("author_id", "subfield").agg(F.collect_list(F.struct("year", "freq")).alias("held"))
     held = lambda y: F.filter("held", lambda p: p["year"] <= y) if past_only else F.col("held")
@@ -61,7 +64,7 @@ def diversity(decayed: DataFrame, distances: DataFrame, n_subfields: int, tolera
     # an author-year's subfields are of a fixed taxonomy, so their array is short, and its pairs are made in the row
     after = lambda a, i: F.transform(F.slice("held", i + 2, F.size("held")), lambda b: F.struct(a.alias("a"), b.alias("b")))
     pairs = base.select("author_id", "year", "n", "total", "squares", F.explode_outer(F.flatten(F.transform("held", after))).alias("p"))
-    apart = pairs.select("author_id", "year", "n", "total", "squares", "p.a", "p.b").join(distances, ["a", "b"], "left")
+    apart = pairs.select("author_id", "year", "n", "total", "squares", "p.a", "p.b").join(F.broadcast(distances), ["a", "b"], "left")  # pairs of the taxonomy: 252 subfields make 63,504
     out = apart.groupBy("author_id", "year", "n", "total", "squares").agg(F.avg("distance").alias("disparity"))
     evenness = F.when(F.col("n") > 1, (F.col("total") * F.col("total") / F.col("squares") - 1) / (F.col("n") - 1)).otherwise(0.0)
     return out.select("author_id", "year", (F.col("n") / n_subfields).alias("variety"), F.coalesce(evenness, F.lit(0.0)).alias("evenness"), F.coalesce("disparity", F.lit(0.0)).alias("disparity"))

@@ -717,3 +717,10 @@ def test_a_sample_deals_rows_by_author_once(spark):
     assert _plan(out).count("Exchange") == 1
     by_year = [r["count"] for r in out.groupBy("year").count().collect()]
     assert out.count() == 9 and max(by_year) <= 3
+
+
+def test_tasks_of_decayed_frequencies_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS", 100)
+    freq = spark.range(2000).select((F.col("id") % 200).alias("author_id"), (2000 + F.col("id") % 5).cast("int").alias("year"), F.col("id").alias("subfield"), F.lit(1).cast("bigint").alias("freq"))
+    out = diversity.decayed_frequencies(freq)
+    assert ", 21)" in _plan(out).replace("REPARTITION_BY_NUM", "") and out.count() == 2000
