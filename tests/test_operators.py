@@ -291,6 +291,39 @@ def test_topics_of_a_batch(spark, monkeypatch):
         assert tuple(a) == pytest.approx(tuple(b), abs=1e-9)
 
 
+def test_sides_are_compared_where_they_meet(spark, monkeypatch):
+    """Tiles give the features of single pairs, also where maps and lists are null or empty and work comes in parts."""
+    g = random.Random(8)
+    some = lambda: g.choice([None, {}, {"a": 0}, {g.choice("abcdefgh"): g.randint(0, 9) for _ in range(6)}])
+    authors = lambda: g.choice([None, [], [(g.randrange(60), g.randint(1, 5)) for _ in range(9)]])
+    names = ["Ann Lee", "Bo", "", None, "Cy de la Mer"]
+    people = [(i, g.choice([0, 0, 0, 1, 2, None]), g.choice(names), g.choice(["Uni A", None]), g.choice([None, [], [1, 2, 3]]), authors(), *(some() for _ in range(4))) for i in range(90)]
+    people = spark.createDataFrame(people, "person_id long, k int, full_name string, organisation_name string, project_publications array<long>, project_authors array<struct<author_id long, n long>>, " + ", ".join(f"person_{x} map<string,bigint>" for x in features.LEVELS))
+    candidates = [(i, g.choice([0, 0, 0, 1, 3, None]), g.choice(names), g.choice([None, [], ["Ann", "bo"]]), g.choice([None, ["Uni B"]]), ["Uni A"], True, 0.5, False, i, 2 * i, 3, 4, *(some() for _ in range(4))) for i in range(60)]
+    kinds = "oa_id long, k int, display_name string, display_name_alternatives array<string>, institution_names array<string>, associated_institution_names array<string>, has_home_affiliation boolean, home_affiliation_proportion double, has_home_associated boolean, works_count long, cited_by_count long, h_index long, i10_index long, "
+    candidates = spark.createDataFrame(candidates, kinds + ", ".join(f"candidate_{x} map<string,bigint>" for x in features.LEVELS))
+    monkeypatch.setattr(skew, "PAIRS", 500)
+    monkeypatch.setattr(similarity, "ENTRIES", 7)
+    met = people.join(candidates, "k")
+    label = F.coalesce(F.exists("project_authors", lambda a: a["author_id"] == F.col("oa_id")), F.lit(False)).cast("int")
+    want = features.feature_matrix(met.withColumn("is_match", label)).orderBy("gtr_id", "oa_id").collect()
+    got = features.feature_matrix(features.compared(people, candidates, "k").withColumn("is_match", F.col("_known")))
+    got = got.orderBy("gtr_id", "oa_id").collect()
+    assert len(got) == met.count() > 1000 and got[0].asDict().keys() == want[0].asDict().keys()
+    assert sum(r.is_match for r in got) > 20 and any(r.publication_coverage for r in got) and any(r.topic_js_div not in (0, 1) for r in got)
+    for a, b in zip(got, want, strict=True):
+        assert tuple(a) == pytest.approx(tuple(b), abs=1e-9)
+    assert features.compared(people.where("k = 1"), candidates.where("k = 3"), "k").count() == 0
+
+
+def test_pairs_carry_no_maps(spark):
+    """What a pair needs of maps and lists of works is found where the sides meet, and does not travel with it."""
+    from grantlink.plans import linkage
+
+    rows = linkage._full_pairs(Views(spark, "/root/testdata/sf0.001"))
+    assert not [f.name for f in rows.schema if f.dataType.typeName() == "map" or f.name.startswith("project_")]
+
+
 def test_institutions_are_scored_by_class(spark):
     places = ["Uni A", "Uni B", None]
     people = spark.createDataFrame([(i, i % 2, places[i % 3]) for i in range(40)], "person_id long, k int, organisation_name string")
@@ -441,6 +474,21 @@ def test_persons(spark):
     assert got["q"].project_publications == []
 
 
+def test_training_assembles_features_once(spark, monkeypatch):
+    """The model is that of the whole pipeline's ``fit``, which assembles in every pass over the rows."""
+    rows = [(i, i % 7, int(i % 10 == 0 or i % 11 == 3), float(i % 10) + (i % 7) / 20, float(i % 13)) for i in range(400)]
+    m = spark.createDataFrame(rows, "gtr_id long, oa_id long, is_match int, a double, b double").repartition(2, "gtr_id").persist()
+    steps = model.pipeline(["a", "b"], maxIter=20, maxDepth=5, stepSize=0.1)
+    want = model.score(steps.fit(model.class_weighted(model.filled(m))), m)
+    seen = []
+    scaler = type(steps.getStages()[1])
+    fit = scaler.fit
+    monkeypatch.setattr(scaler, "fit", lambda self, df: seen.append(df.storageLevel.useMemory or df._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation") > 0) or fit(self, df))
+    got = model.train(m)
+    assert values(model.score(got, m).orderBy("gtr_id"), "match_probability") == values(want.orderBy("gtr_id"), "match_probability")
+    assert seen == [True] and got.stages[0].getInputCols() == ["a", "b"]
+
+
 def test_model(spark):
     rows = [(f"g{i}", f"o{i}", int(i % 10 == 0), float(i % 10 == 0) + (i % 7) / 20, float(i % 3)) for i in range(300)]
     m = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int, a double, b double")
@@ -626,6 +674,14 @@ def test_batched_scores_are_those_of_single_pairs(pairs):
     assert list(token_set_ratios(a, b)) == pytest.approx([plain_token_set(x, y) for x, y in pairs], abs=1e-12)
 
 
+@given(st.lists(st.text("ab é\U0001f600", max_size=80), min_size=1, max_size=6), st.lists(st.text("ab é\U0001f600", max_size=80), min_size=1, max_size=6))
+def test_scores_of_a_table_of_names(a, b):
+    """Few distinct strings with all pairs of them: each is laid out once."""
+    i, j = (g.ravel() for g in np.indices((len(a), len(b))))
+    assert list(jaro_winklers(a, b, i, j)) == pytest.approx([jaro_winkler(x, y) for x in a for y in b], abs=1e-12)
+    assert list(token_set_ratios(a, b, i, j)) == pytest.approx([plain_token_set(x, y) for x in a for y in b], abs=1e-12)
+
+
 def test_names_are_scored_in_their_row(spark):
     rows = [(1, "ann lee", ["lee ann", None, "x" * 70 + " lee"]), (2, None, ["a"]), (3, "b", None), (4, "", [])]
     df = spark.createDataFrame(rows, "id int, name string, others array<string>").repartition(1)
