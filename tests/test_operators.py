@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -324,6 +325,45 @@ def test_pairs_carry_no_maps(spark):
     assert not [f.name for f in rows.schema if f.dataType.typeName() == "map" or f.name.startswith("project_")]
 
 
+def test_pairs_carry_no_names(spark):
+    """Names are compared where the sides meet, and do not travel with the pairs."""
+    from grantlink.plans import linkage
+
+    rows = linkage._full_pairs(Views(spark, "/root/testdata/sf0.001"))
+    assert not {"full_name", "display_name", "display_name_alternatives"} & set(rows.columns)
+    assert "name_scores" not in features.feature_matrix(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_and_topics_of_a_tile(monkeypatch):
+    """Edit distances of texts of any length, and topics compared as tables and one by one."""
+    g = random.Random(9)
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, last = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(row[j] + 1, last[j + 1] + 1, last[j] + (x != y)))
+        return row[-1]
+
+    texts = ["", "a", *("".join(g.choice("abcé\U0001f600") for _ in range(g.choice([1, 5, 63, 64, 65, 130, 200]))) for _ in range(40)), "ab" * 600]
+    a, b = [g.choice(texts) for _ in range(150)], [g.choice(texts) for _ in range(150)]
+    want = [1 - plain(x, y) / max(1, len(x), len(y)) for x, y in zip(a, b, strict=True)]
+    assert similarity.levenshtein_similarities(a, b).tolist() == want and [similarity.edit_distance(x, y) for x, y in zip(a, b, strict=True)] == [plain(x, y) for x, y in zip(a, b, strict=True)]
+    maps = lambda n: pa.array([[*{g.choice("abcdefgh"): g.randint(0, 9) for _ in range(g.randint(0, 9))}.items()] for _ in range(n)], pa.map_(pa.string(), pa.int64()))
+    people, candidates = maps(40), maps(30)
+    monkeypatch.setattr(similarity, "PART", 500)
+    found = []
+    for dense in (0, 1000):
+        monkeypatch.setattr(similarity, "DENSE", dense)
+        rows = similarity.crossed_overlaps(people, candidates).to_pylist()
+        found.append([(*r.pop("sums").values(), *r.values()) for r in rows])
+    for x, y in zip(*found, strict=True):
+        assert x == pytest.approx(y, abs=1e-12)
+    same = similarity.crossed_overlaps(people, people).field(0).field(3)
+    assert all(same[i * 41].as_py() == 0 for i, m in enumerate(people.to_pylist()) if sum(n for _, n in m))
+
+
 def test_institutions_are_scored_by_class(spark):
     places = ["Uni A", "Uni B", None]
     people = spark.createDataFrame([(i, i % 2, places[i % 3]) for i in range(40)], "person_id long, k int, organisation_name string")
@@ -489,6 +529,19 @@ def test_training_assembles_features_once(spark, monkeypatch):
     assert seen == [True] and got.stages[0].getInputCols() == ["a", "b"]
 
 
+def test_many_training_rows_are_dealt_evenly(spark, monkeypatch):
+    """Trees are grown on tasks of about equal sizes, in one order, whatever partitions the rows come in."""
+    monkeypatch.setattr(model, "ROWS", 100)
+    rows = [(i, i % 7, int(i % 10 == 0 or i % 11 == 3), float(i % 10) + (i % 7) / 20, float(i % 13)) for i in range(900)]
+    m = spark.createDataFrame(rows, "gtr_id long, oa_id long, is_match int, a double, b double")
+    scaler, sizes = type(model.pipeline(["a", "b"]).getStages()[1]), []
+    fit = scaler.fit
+    monkeypatch.setattr(scaler, "fit", lambda self, df: sizes.append(values(df.groupBy(F.spark_partition_id().alias("p")).count(), "count", "p")) or fit(self, df))
+    scored = [[r.match_probability for r in model.score(model.train(x), m).orderBy("gtr_id").collect()] for x in (m.coalesce(1), m.repartition(5))]
+    assert scored[0] == pytest.approx(scored[1], abs=1e-9)
+    assert all(len(x) == 10 and max(n for n, _ in x) < 200 for x in sizes) and len(sizes) == 2
+
+
 def test_model(spark):
     rows = [(f"g{i}", f"o{i}", int(i % 10 == 0), float(i % 10 == 0) + (i % 7) / 20, float(i % 3)) for i in range(300)]
     m = spark.createDataFrame(rows, "gtr_id string, oa_id string, is_match int, a double, b double")
