@@ -353,8 +353,10 @@ def test_pairs_carry_features_only(spark):
     assert "Join" not in plan[: plan.index("MapInArrow")]
 
 
-def test_names_are_crossed(monkeypatch):
+def test_names_are_crossed(spark, monkeypatch):
     """Scores of two lists of names are those of their pairs, whatever their beginnings, lengths and words."""
+    from grantlink.plans import linkage
+
     g = random.Random(5)
     texts = ["", " ", "a", " a", "b a", "a b", "aa b c", *("".join(g.choice("abcé\U0001f600") for _ in range(g.choice([1, 3, 8, 20, 63, 64, 65, 130]))) for _ in range(50)), *(f"Customer#{g.randrange(10**9):09}" for _ in range(30)), *(f"SUPPLIER#{g.randrange(10**6):09}" for _ in range(20))]
     monkeypatch.setattr(similarity, "ACROSS", 30)
@@ -362,6 +364,8 @@ def test_names_are_crossed(monkeypatch):
     i, j = (x.ravel() for x in np.mgrid[: len(texts), : len(texts)])
     for kind, scored in similarity.NAMES.items():
         assert similarity.crossed_scores(kind, texts, texts).ravel().tolist() == scored(texts, texts, i, j).tolist()
+    plan = linkage.name_features(Views(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "name_scores" not in plan and "levenshtein" not in plan
 
 
 def test_rounded_as_round(spark):
