@@ -416,6 +416,24 @@ def test_institutions_are_scored_by_class(spark):
     assert got.count() == want.count() == 800 and got.exceptAll(want).count() == 0 and got.where("inst_jw_max > 0.9").count() > 0
 
 
+def test_pairs_take_what_is_made_of_sides(spark):
+    """Institutions' features are found by the number of both classes, and those of profiles are made before sides meet: no
+    list is hashed and nothing is rounded for a pair."""
+    from grantlink.plans import linkage
+
+    places = ["Uni A", "Uni B", None]
+    people = spark.createDataFrame([(i, i % 2, places[i % 3]) for i in range(40)], "person_id long, k int, organisation_name string")
+    lists = [(["Uni A", "Lab"], None), (["Uni B"], ["Uni C"]), ([], ["Uni A"]), (None, [])]
+    rows = [(i, i % 2, *lists[i % 4], i % 5 > 0, None if i % 7 else 0.5, False) for i in range(40)]
+    candidates = spark.createDataFrame(rows, "oa_id long, k int, institution_names array<string>, associated_institution_names array<string>, has_home_affiliation boolean, home_affiliation_proportion double, has_home_associated boolean")
+    want, got = features.institution_features(people.join(candidates, "k")), features.classed_institution_features(people, candidates, "k")
+    assert got.columns == want.columns and got.count() == want.count() == 800 and got.exceptAll(want).count() == 0
+    x = Views(spark, "/root/testdata/sf0.001")
+    for f in (linkage.institution_features,):
+        plan = f(x)._jdf.queryExecution().executedPlan().toString()
+        assert "round(" not in plan[: plan.index("SortMergeJoin")] and "institution_names" not in plan
+
+
 def test_tasks_grow_with_rows(spark, monkeypatch):
     from grantlink.plans.views import Views
 
