@@ -429,7 +429,7 @@ def test_pairs_take_what_is_made_of_sides(spark):
     want, got = features.institution_features(people.join(candidates, "k")), features.classed_institution_features(people, candidates, "k")
     assert got.columns == want.columns and got.count() == want.count() == 800 and got.exceptAll(want).count() == 0
     x = Views(spark, "/root/testdata/sf0.001")
-    for f in (linkage.institution_features,):
+    for f in (linkage.institution_features, linkage.metadata_features):
         plan = f(x)._jdf.queryExecution().executedPlan().toString()
         assert "round(" not in plan[: plan.index("SortMergeJoin")] and "institution_names" not in plan
 
