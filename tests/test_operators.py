@@ -373,6 +373,13 @@ def test_rounded_as_round(spark):
     values = [None, 0.0, -0.0, float("nan"), float("inf"), -float("inf"), 0.0078125, -0.0078125, 0.0000005, 1.0000005, 2.5, 1e12 + 0.5, 1e300, -1e-9, *(k / 128 for k in range(128)), *(g.random() for _ in range(500)), *(round(g.random(), 7) for _ in range(500))]
     rows = spark.createDataFrame([(v,) for v in values], "v double").select(ex.rounded(F.col("v")).alias("a"), F.round("v", 6).alias("b"))
     assert [str(r.a) for r in rows.collect()] == [str(r.b) for r in rows.collect()]
+    known = [v for v in values if v is None or v == v]
+    want = spark.createDataFrame([(v,) for v in known], "v double").select(F.round("v", 6).alias("b")).collect()
+    assert [str(v) for v in similarity.rounded(pa.array(known, pa.float64()), 6).to_pylist()] == [str(r.b) for r in want]
+    from grantlink.plans import linkage
+
+    plan = linkage.pair_features(Views(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "rint" not in plan.lower() and "round(" not in plan.lower()
 
 
 def test_names_and_topics_of_a_tile(monkeypatch):
